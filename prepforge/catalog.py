@@ -1,15 +1,42 @@
-"""Registry of named queries: each takes ``(spark, sf_dir)`` and returns a DataFrame."""
+"""Registry of named queries: each takes ``(spark, sf_dir)`` and returns a DataFrame.
+
+Every query reads the driver tables through the ``c360`` customer view (or
+straight from ``lineitem``) and runs the library operator on all rows.  The
+frames below are the stages of the reference's load/prepare path:
+
+    base      c360 as loaded
+    cleaned   metadata dropped, blocked classes dropped, rows with a null
+              dropped, ``dt_customer`` turned into ``num_days_customer``
+    featured  cleaned + business features
+"""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from prepforge.sources.tables import c360
+from prepforge.functions.exprs import minmax_expr, safe_ratio
+from prepforge.operators import clean as C
+from prepforge.operators import features as FE
+from prepforge.operators import profile as P
+from prepforge.operators import scale as S
+from prepforge.session import ensure_checkpoint_dir
+from prepforge.sources import io as IO
+from prepforge.sources.tables import (C360_FLAGS, COUNT_COLS, REF_DATE, SPEND_COLS, c360,
+                                      read_table)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
+REF_YEAR = int(REF_DATE[:4])
+LABEL = "response"
+NUMERIC = ["year_birth", "income", "kidhome", "teenhome", "num_days_customer", "recency",
+           *SPEND_COLS, *COUNT_COLS]
+FEATURED_NUMERIC = NUMERIC + [c for c in FE.BUSINESS_FEATURES]
+DUP_COLS = ["education", "marital_status", "kidhome", "teenhome"]
+
 
 def query(key: str):
     def deco(fn):
@@ -18,6 +45,265 @@ def query(key: str):
     return deco
 
 
+# ------------------------------------------------------------------ stages
+def base(spark, sf) -> DataFrame:
+    return c360(spark, sf)
+
+
+def cleaned(spark, sf) -> DataFrame:
+    df = C.drop_columns(base(spark, sf))
+    df = C.drop_unusual_classes(df)
+    df = C.drop_missing(df)
+    df = C.days_since(df, "dt_customer", REF_DATE)
+    return C.rename_column(df, "dt_customer", "num_days_customer")
+
+
+def featured(spark, sf) -> DataFrame:
+    return FE.business_features(cleaned(spark, sf), REF_YEAR)
+
+
+def scratch_path(spark, name: str) -> str:
+    """A fresh folder under the shared checkpoint directory."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+# ------------------------------------------------------- 2.1 scans / sinks
 @query("c360")
 def q_c360(spark, sf):
-    return c360(spark, sf)
+    return base(spark, sf)
+
+
+@query("scan_table")
+def q_scan_table(spark, sf):
+    return IO.scan_table(spark, f"{sf.rstrip('/')}/customer.parquet", IO.CUSTOMER_SCHEMA,
+                         key=("c_custkey", "id"))
+
+
+@query("sink_csv")
+def q_sink_csv(spark, sf):
+    df = cleaned(spark, sf)
+    path = scratch_path(spark, "prepared")
+    IO.sink_csv(df, path)
+    return IO.scan_csv(spark, path, df.schema)
+
+
+@query("scan_csv")
+def q_scan_csv(spark, sf):
+    df = featured(spark, sf).select("id", "response", *FE.BUSINESS_FEATURES)
+    path = scratch_path(spark, "train")
+    IO.sink_csv(df, path)
+    return IO.scan_csv(spark, path, df.schema)
+
+
+# ------------------------------------------------- 2.2 projections / scalars
+@query("drop_columns")
+def q_drop_columns(spark, sf):
+    return C.drop_columns(base(spark, sf))
+
+
+@query("rename_column")
+def q_rename_column(spark, sf):
+    return C.rename_column(base(spark, sf).select("id", "dt_customer"), "dt_customer",
+                           "customer_since")
+
+
+@query("days_since")
+def q_days_since(spark, sf):
+    return C.days_since(base(spark, sf).select("id", "dt_customer"), "dt_customer", REF_DATE,
+                        out="num_days_customer")
+
+
+@query("distinct_years")
+def q_distinct_years(spark, sf):
+    return C.distinct_years(base(spark, sf), "dt_customer")
+
+
+@query("cast_category")
+def q_cast_category(spark, sf):
+    return C.cast_category(base(spark, sf).select("id", *C360_FLAGS, LABEL), C360_FLAGS + [LABEL])
+
+
+@query("one_hot")
+def q_one_hot(spark, sf):
+    df = cleaned(spark, sf)
+    m = C.fit_one_hot(df, ["education", "marital_status"])
+    return m.transform(df.select("id", "education", "marital_status"))
+
+
+@query("label_encode")
+def q_label_encode(spark, sf):
+    df = base(spark, sf).select("id", "education", "marital_status")
+    return C.fit_label_codes(df, ["education", "marital_status"]).encode(df)
+
+
+@query("label_decode")
+def q_label_decode(spark, sf):
+    df = base(spark, sf).select("id", "education", "marital_status")
+    codes = C.fit_label_codes(df, ["education", "marital_status"])
+    return codes.decode(codes.encode(df))
+
+
+@query("safe_ratio")
+def q_safe_ratio(spark, sf):
+    df = base(spark, sf)
+    return df.select("id", safe_ratio("num_web", "num_web_visits").alias("web_per_visit"),
+                     safe_ratio("mnt_wines", "income").alias("wines_per_income"),
+                     safe_ratio("num_deals", "num_store").alias("deals_per_store"))
+
+
+@query("business_features")
+def q_business_features(spark, sf):
+    return featured(spark, sf)
+
+
+@query("fill_nonfinite")
+def q_fill_nonfinite(spark, sf):
+    df = base(spark, sf).select("id", "income", *SPEND_COLS, *COUNT_COLS, "recency")
+    df = df.withColumn("wines_per_income", F.try_divide("mnt_wines", "income"))
+    return FE.fill_nonfinite(df)
+
+
+@query("power_features")
+def q_power_features(spark, sf):
+    df = cleaned(spark, sf)
+    cols = ["income", "recency", "num_days_customer"]
+    scaled = S.fit_minmax(df, cols).transform(df.select("id", *cols))
+    return FE.power_features(scaled, cols).drop(*cols)
+
+
+# ------------------------------------------------------------- 2.3 filters
+@query("drop_unusual_classes")
+def q_drop_unusual_classes(spark, sf):
+    return C.drop_unusual_classes(base(spark, sf).select("id", "marital_status"))
+
+
+@query("drop_missing")
+def q_drop_missing(spark, sf):
+    return C.drop_missing(base(spark, sf))
+
+
+# The reference's spend bounds are in its own currency units; c360 spend is a
+# sum of extended prices, so the registered query uses the bounds whose units
+# carry over (birth year, income, purchase and visit counts).
+UNIT_FREE_THRESHOLDS = {k: v for k, v in C.THRESHOLDS.items() if not k.startswith("mnt_")}
+
+
+@query("threshold_filter")
+def q_threshold_filter(spark, sf):
+    return C.threshold_filter(cleaned(spark, sf), UNIT_FREE_THRESHOLDS).select(
+        "id", *UNIT_FREE_THRESHOLDS)
+
+
+# ------------------------------------------------------ 2.4 / 2.5 joins, dedupe
+def _dup_frame(spark, sf, label=False):
+    return base(spark, sf).select("id", *DUP_COLS, *([LABEL] if label else []))
+
+
+@query("attach_key")
+def q_attach_key(spark, sf):
+    kept = C.dedupe_exact(_dup_frame(spark, sf))
+    return C.attach_key(kept.select("id"), base(spark, sf).select("id", "income", "recency"))
+
+
+@query("align_columns")
+def q_align_columns(spark, sf):
+    df = cleaned(spark, sf)
+    dummies = C.fit_one_hot(df, ["education"]).transform(df.select("id", "education"))
+    return C.align_columns(dummies, base(spark, sf).select("id", "income"))
+
+
+@query("dedupe_exact")
+def q_dedupe_exact(spark, sf):
+    return C.dedupe_exact(_dup_frame(spark, sf))
+
+
+@query("dedupe_check")
+def q_dedupe_check(spark, sf):
+    return C.dedupe_check(_dup_frame(spark, sf))
+
+
+@query("duplicate_groups")
+def q_duplicate_groups(spark, sf):
+    return C.duplicate_groups(_dup_frame(spark, sf), DUP_COLS)
+
+
+@query("drop_label_conflicts")
+def q_drop_label_conflicts(spark, sf):
+    return C.drop_label_conflicts(_dup_frame(spark, sf, label=True), LABEL)
+
+
+@query("group_intersect")
+def q_group_intersect(spark, sf):
+    df = _dup_frame(spark, sf, label=True)
+    return C.group_intersect(df, DUP_COLS + [LABEL], DUP_COLS)
+
+
+# -------------------------------------------------------------- 2.6 profile
+@query("describe_numeric")
+def q_describe_numeric(spark, sf):
+    return P.describe_numeric(base(spark, sf), ["income", "recency", "year_birth", *SPEND_COLS,
+                                                *COUNT_COLS])
+
+
+@query("describe_by_group")
+def q_describe_by_group(spark, sf):
+    return P.describe_by_group(base(spark, sf), ["income", "mnt_wines", "num_deals"], "education")
+
+
+@query("missing_report")
+def q_missing_report(spark, sf):
+    return P.missing_report(base(spark, sf))
+
+
+@query("value_counts")
+def q_value_counts(spark, sf):
+    return P.value_counts(base(spark, sf), "marital_status")
+
+
+@query("response_rate")
+def q_response_rate(spark, sf):
+    return P.response_rate(base(spark, sf), LABEL)
+
+
+@query("five_number_by_label")
+def q_five_number_by_label(spark, sf):
+    return P.five_number_by_label(cleaned(spark, sf), NUMERIC, LABEL)
+
+
+@query("crosstab_shares")
+def q_crosstab_shares(spark, sf):
+    return P.crosstab_shares(cleaned(spark, sf), "education", LABEL)
+
+
+@query("group_average")
+def q_group_average(spark, sf):
+    return P.group_average(featured(spark, sf), "education",
+                           ["total_money_spent", "effort_rate", "age", "income_per_person"])
+
+
+@query("corr_with_label")
+def q_corr_with_label(spark, sf):
+    return P.corr_with_label(featured(spark, sf), FEATURED_NUMERIC, LABEL)
+
+
+@query("corr_matrix")
+def q_corr_matrix(spark, sf):
+    return P.corr_matrix(cleaned(spark, sf), NUMERIC)
+
+
+@query("top_k")
+def q_top_k(spark, sf):
+    df = cleaned(spark, sf)
+    m = S.fit_minmax(df, ["income"])
+    side = df.select("id", "income", minmax_expr("income", *m.bounds["income"]).alias("income_scaled"))
+    return P.top_k(side, "income", 300, extra=["income_scaled"])
+
+
+# --------------------------------------------------------- the minimum slice
+@query("minimum_slice")
+def q_minimum_slice(spark, sf):
+    df = featured(spark, sf)
+    return S.fit_minmax(df, FEATURED_NUMERIC).transform(df)
+
+
+_ = read_table  # re-exported for query modules that read raw tables

@@ -89,3 +89,216 @@ def oracle(key: str, sql: str) -> None:
 
 
 oracle("c360", with_c360("SELECT * FROM c360"))
+
+# ---------------------------------------------------------------- stages
+C360_COLS = (["id", "year_birth", "education", "marital_status", "income", "kidhome",
+              "teenhome", "dt_customer", "recency"] + [c for c, _ in _SPEND]
+             + ["num_deals", "num_web", "num_catalog", "num_store", "num_web_visits"]
+             + [f"accepted_cmp{m}" for m in range(1, 6)]
+             + ["complain", "z_cost_contact", "z_revenue", "response"])
+SPEND = [c for c, _ in _SPEND]
+COUNTS = ["num_deals", "num_web", "num_catalog", "num_store", "num_web_visits"]
+FLAGS = [f"accepted_cmp{m}" for m in range(1, 6)] + ["complain"]
+NUMERIC = ["year_birth", "income", "kidhome", "teenhome", "num_days_customer", "recency",
+           *SPEND, *COUNTS]
+BUSINESS = ["web_purchases_per_visit", "total_purchases", "ratio_web_purchases",
+            "ratio_catalog_purchases", "ratio_store_purchases", "age",
+            "total_accepted_campaigns", "total_money_spent", "ratio_wines", "ratio_fruits",
+            "ratio_meat", "ratio_fish", "ratio_sweet", "ratio_gold", "money_per_purchase",
+            "income_2years", "effort_rate", "total_kids", "count_household", "income_per_person"]
+FEATURED_NUMERIC = NUMERIC + BUSINESS
+DAYS = ("CAST(date_diff('day', CAST(strptime(replace({c}, '-', ''), '%Y%m%d') AS DATE), "
+        "DATE '2001-08-02') AS INTEGER)")
+
+
+def sr(a: str, b: str) -> str:
+    """safe ratio"""
+    return f"coalesce(CAST({a} AS DOUBLE) / nullif(CAST({b} AS DOUBLE), 0), 0)"
+
+
+_clean_cols = [c for c in C360_COLS if c not in ("z_cost_contact", "z_revenue")]
+CLEANED_CTE = ("cleaned AS (SELECT "
+               + ", ".join(DAYS.format(c=c) + " AS num_days_customer" if c == "dt_customer" else c
+                           for c in _clean_cols)
+               + " FROM c360 WHERE NOT coalesce(marital_status IN ('YOLO', 'Absurd', 'Alone'), false) AND "
+               + " AND ".join(f"{c} IS NOT NULL" for c in _clean_cols) + ")")
+_ratios = ", ".join(f"{sr(s, 'total_money_spent')} AS {n}" for s, n in zip(
+    SPEND, ["ratio_wines", "ratio_fruits", "ratio_meat", "ratio_fish", "ratio_sweet", "ratio_gold"]))
+FEATURED_CTE = f"""f1 AS (SELECT *,
+    {sr('num_web', 'num_web_visits')} AS web_purchases_per_visit,
+    num_web + num_catalog + num_store AS total_purchases,
+    CAST(2001 - year_birth AS INTEGER) AS age,
+    accepted_cmp1 + accepted_cmp2 + accepted_cmp3 + accepted_cmp4 + accepted_cmp5 AS total_accepted_campaigns,
+    mnt_wines + mnt_fruits + mnt_meat + mnt_fish + mnt_sweet + mnt_gold AS total_money_spent,
+    income * 2 AS income_2years,
+    kidhome + teenhome AS total_kids
+  FROM cleaned),
+f2 AS (SELECT *,
+    {sr('num_web', 'total_purchases')} AS ratio_web_purchases,
+    {sr('num_catalog', 'total_purchases')} AS ratio_catalog_purchases,
+    {sr('num_store', 'total_purchases')} AS ratio_store_purchases,
+    {_ratios},
+    {sr('total_money_spent', 'total_purchases')} AS money_per_purchase,
+    {sr('total_money_spent', 'income_2years')} AS effort_rate,
+    CAST(CASE WHEN coalesce(marital_status IN ('Together', 'Married'), false) THEN 2 ELSE 1 END
+         + total_kids AS INTEGER) AS count_household
+  FROM f1),
+featured AS (SELECT *, {sr('income_2years', 'count_household')} AS income_per_person FROM f2)"""
+
+
+def staged(body: str, *extra: str, featured: bool = False) -> str:
+    ctes = [CLEANED_CTE] + ([FEATURED_CTE] if featured else []) + list(extra)
+    return with_c360(body, *ctes)
+
+
+def minmax_cols(cols, src: str, keep: list[str]) -> str:
+    st = ", ".join(f"CAST(min({c}) AS DOUBLE) AS lo_{c}, CAST(max({c}) AS DOUBLE) AS hi_{c}"
+                   for c in cols)
+    sel = ", ".join(
+        f"CASE WHEN hi_{c} - lo_{c} <> 0 THEN (CAST({c} AS DOUBLE) - lo_{c}) / (hi_{c} - lo_{c}) "
+        f"ELSE CAST({c} AS DOUBLE) - lo_{c} END AS {c}" for c in cols)
+    k = ", ".join(keep)
+    return f"SELECT {k}{', ' if k else ''}{sel} FROM {src} CROSS JOIN (SELECT {st} FROM {src}) st"
+
+
+def power_sql(s: str, name: str) -> list[str]:
+    return [f"round({s}, 4) AS {name}__x",
+            f"CASE WHEN {s} > 0 THEN round(ln({s}), 4) ELSE -50.0 END AS {name}__log",
+            f"CASE WHEN {s} >= 0 THEN round(sqrt({s}), 4) END AS {name}__sqrt",
+            f"round(exp({s}), 4) AS {name}__exp",
+            f"CASE WHEN {s} >= 0 THEN round(pow({s}, 0.25), 4) END AS {name}__p025",
+            f"round(pow({s}, 2), 4) AS {name}__p2",
+            f"round(pow({s}, 4), 4) AS {name}__p4"]
+
+
+# ------------------------------------------------------- 2.1 scans / sinks
+oracle("scan_table", "SELECT c_custkey AS id, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
+oracle("sink_csv", staged("SELECT * FROM cleaned"))
+oracle("scan_csv", staged("SELECT id, response, " + ", ".join(BUSINESS) + " FROM featured",
+                          featured=True))
+
+# ------------------------------------------------- 2.2 projections / scalars
+oracle("drop_columns", with_c360("SELECT * EXCLUDE (z_cost_contact, z_revenue) FROM c360"))
+oracle("rename_column", with_c360("SELECT id, dt_customer AS customer_since FROM c360"))
+oracle("days_since", with_c360(f"SELECT id, dt_customer, {DAYS.format(c='dt_customer')} AS num_days_customer FROM c360"))
+oracle("distinct_years", with_c360(
+    "SELECT DISTINCT CAST(year(strptime(replace(dt_customer, '-', ''), '%Y%m%d')) AS INTEGER) AS year FROM c360"))
+oracle("cast_category", with_c360("SELECT id, " + ", ".join(f"CAST({c} AS INTEGER) AS {c}" for c in FLAGS)
+                                  + ", CAST(response AS INTEGER) AS response FROM c360"))
+_EDU = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+_MAR_CLEAN = ["Divorced", "Married", "Single", "Together", "Widow"]
+_onehot_edu = ", ".join(f"CASE WHEN education = '{v}' THEN 1 ELSE 0 END AS education_{v}" for v in _EDU[:-1])
+_onehot_mar = ", ".join(f"CASE WHEN marital_status = '{v}' THEN 1 ELSE 0 END AS marital_status_{v}"
+                        for v in _MAR_CLEAN[:-1])
+oracle("one_hot", staged(f"SELECT id, {_onehot_edu}, {_onehot_mar} FROM cleaned"))
+_codes = """codes_e AS (SELECT education AS v, CAST(row_number() OVER (ORDER BY min(id)) - 1 AS INTEGER) AS code
+                 FROM c360 WHERE education IS NOT NULL GROUP BY education),
+codes_m AS (SELECT marital_status AS v, CAST(row_number() OVER (ORDER BY min(id)) - 1 AS INTEGER) AS code
+                 FROM c360 WHERE marital_status IS NOT NULL GROUP BY marital_status)"""
+oracle("label_encode", with_c360(
+    "SELECT c360.id, ce.code AS education, cm.code AS marital_status FROM c360 "
+    "LEFT JOIN codes_e ce ON c360.education = ce.v LEFT JOIN codes_m cm ON c360.marital_status = cm.v",
+    _codes))
+oracle("label_decode", with_c360("SELECT id, education, marital_status FROM c360"))
+oracle("safe_ratio", with_c360(
+    f"SELECT id, {sr('num_web', 'num_web_visits')} AS web_per_visit, "
+    f"{sr('mnt_wines', 'income')} AS wines_per_income, {sr('num_deals', 'num_store')} AS deals_per_store FROM c360"))
+oracle("business_features", staged("SELECT * FROM featured", featured=True))
+_fill_cols = ["income", *SPEND, *COUNTS, "recency"]
+oracle("fill_nonfinite", with_c360(
+    "SELECT id, " + ", ".join(f"coalesce({c}, 0) AS {c}" for c in _fill_cols)
+    + f", {sr('mnt_wines', 'income')} AS wines_per_income FROM c360"))
+_pw = ["income", "recency", "num_days_customer"]
+oracle("power_features", staged(
+    "SELECT id, " + ", ".join(x for c in _pw for x in power_sql(c, c)) + " FROM scaled",
+    "scaled AS (" + minmax_cols(_pw, "cleaned", ["id"]) + ")"))
+
+# ------------------------------------------------------------- 2.3 filters
+oracle("drop_unusual_classes", with_c360(
+    "SELECT id, marital_status FROM c360 WHERE NOT coalesce(marital_status IN ('YOLO', 'Absurd', 'Alone'), false)"))
+oracle("drop_missing", with_c360("SELECT * FROM c360 WHERE " + " AND ".join(f"{c} IS NOT NULL" for c in C360_COLS)))
+_TH = [("year_birth", ">", 1920), ("income", "<", 153920), ("num_deals", "<", 14), ("num_web", "<", 23), ("num_catalog", "<", 21),
+       ("num_web_visits", "<", 13)]
+oracle("threshold_filter", staged(
+    "SELECT id, " + ", ".join(c for c, _, _ in _TH) + " FROM cleaned WHERE "
+    + " AND ".join(f"{c} {op} {v}" for c, op, v in _TH)))
+
+# ------------------------------------------------------ 2.4 / 2.5 joins, dedupe
+_DUP = "education, marital_status, kidhome, teenhome"
+oracle("attach_key", with_c360(
+    f"SELECT k.id, c360.income, c360.recency FROM (SELECT min(id) AS id FROM c360 GROUP BY {_DUP}) k "
+    "JOIN c360 ON k.id = c360.id"))
+oracle("align_columns", staged(
+    "SELECT id, " + ", ".join(f"education_{v}" for v in _EDU[:-1]) + ", income FROM "
+    f"(SELECT id, {_onehot_edu} FROM cleaned) d FULL OUTER JOIN (SELECT id, income FROM c360) b USING (id)"))
+oracle("dedupe_exact", with_c360(f"SELECT min(id) AS id, {_DUP} FROM c360 GROUP BY {_DUP}"))
+oracle("dedupe_check", with_c360(
+    f"SELECT count(*) AS n_rows, (SELECT count(*) FROM (SELECT DISTINCT {_DUP} FROM c360)) AS n_distinct, "
+    f"count(*) = (SELECT count(*) FROM (SELECT DISTINCT {_DUP} FROM c360)) AS is_unique FROM c360"))
+oracle("duplicate_groups", with_c360(
+    f"SELECT {_DUP}, count(*) AS n, min(id) AS first_id, max(id) AS last_id FROM c360 GROUP BY {_DUP}"))
+oracle("drop_label_conflicts", with_c360(
+    f"SELECT id, {_DUP}, response FROM (SELECT *, "
+    f"min(coalesce(response, -1)) OVER (PARTITION BY {_DUP}) AS lo, "
+    f"max(coalesce(response, -1)) OVER (PARTITION BY {_DUP}) AS hi FROM c360) WHERE lo = hi"))
+oracle("group_intersect", with_c360(
+    f"SELECT id, group_id FROM (SELECT id, min(id) OVER (PARTITION BY {_DUP}, response) AS group_id, "
+    f"count(*) OVER (PARTITION BY {_DUP}, response) AS na, count(*) OVER (PARTITION BY {_DUP}) AS nb "
+    "FROM c360) WHERE na = nb"))
+
+
+# -------------------------------------------------------------- 2.6 profile
+def _describe(cols, src, group=None):
+    g = f", {group}" if group else ""
+    parts = []
+    for c in cols:
+        x = f"CAST({c} AS DOUBLE)"
+        parts.append(
+            f"SELECT '{c}' AS var{g}, count({x}) AS count, round(avg({x}), 6) AS mean, "
+            f"round(stddev_samp({x}), 6) AS std, round(min({x}), 6) AS min, "
+            f"round(quantile_cont({x}, 0.25), 6) AS p25, round(quantile_cont({x}, 0.5), 6) AS p50, "
+            f"round(quantile_cont({x}, 0.75), 6) AS p75, round(max({x}), 6) AS max FROM {src}"
+            + (f" GROUP BY {group}" if group else ""))
+    return " UNION ALL ".join(parts)
+
+
+oracle("describe_numeric", with_c360(_describe(["income", "recency", "year_birth", *SPEND, *COUNTS], "c360")))
+oracle("describe_by_group", with_c360(_describe(["income", "mnt_wines", "num_deals"], "c360", "education")))
+oracle("missing_report", with_c360(" UNION ALL ".join(
+    f"SELECT '{c}' AS var, count(*) FILTER (WHERE {c} IS NULL) AS n_missing, "
+    f"round(count(*) FILTER (WHERE {c} IS NULL) / count(*), 6) AS p_missing FROM c360 "
+    f"HAVING count(*) FILTER (WHERE {c} IS NULL) > 0" for c in C360_COLS)))
+oracle("value_counts", with_c360("SELECT marital_status, count(*) AS n FROM c360 GROUP BY marital_status"))
+oracle("response_rate", with_c360(
+    "SELECT round(100 * avg(response), 2) AS response_pct, count(*) FILTER (WHERE response = 1) AS n_pos, "
+    "count(*) FILTER (WHERE response = 0) AS n_neg FROM c360"))
+oracle("five_number_by_label", staged(" UNION ALL ".join(
+    f"SELECT '{c}' AS var, response, round(min(CAST({c} AS DOUBLE)), 6) AS min, "
+    f"round(quantile_cont(CAST({c} AS DOUBLE), 0.25), 6) AS q1, round(quantile_cont(CAST({c} AS DOUBLE), 0.5), 6) AS median, "
+    f"round(quantile_cont(CAST({c} AS DOUBLE), 0.75), 6) AS q3, round(max(CAST({c} AS DOUBLE)), 6) AS max "
+    f"FROM cleaned GROUP BY response" for c in NUMERIC)))
+oracle("crosstab_shares", staged(
+    "SELECT education, n0, n1, total, round(n1 / total, 6) AS share1, "
+    "round((n1 / total) / (SELECT n1 / total FROM g WHERE education = '__all__'), 6) AS share_vs_mean FROM g",
+    "g AS (SELECT CAST(education AS VARCHAR) AS education, count(*) FILTER (WHERE response = 0) AS n0, "
+    "count(*) FILTER (WHERE response = 1) AS n1, count(*) AS total FROM cleaned GROUP BY education "
+    "UNION ALL SELECT '__all__', count(*) FILTER (WHERE response = 0), count(*) FILTER (WHERE response = 1), "
+    "count(*) FROM cleaned)"))
+oracle("group_average", staged(
+    "SELECT education, " + ", ".join(f"round(avg({m}), 6) AS {m}" for m in
+                                     ["total_money_spent", "effort_rate", "age", "income_per_person"])
+    + " FROM featured GROUP BY education", featured=True))
+oracle("corr_with_label", staged(" UNION ALL ".join(
+    f"SELECT '{c}' AS var, round(abs(corr(CAST({c} AS DOUBLE), CAST(response AS DOUBLE))), 6) AS abs_corr "
+    "FROM featured" for c in FEATURED_NUMERIC), featured=True))
+oracle("corr_matrix", staged(" UNION ALL ".join(
+    f"SELECT '{a}' AS var1, '{b}' AS var2, round(abs(corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE))), 6) AS abs_corr "
+    "FROM cleaned" for i, a in enumerate(NUMERIC) for b in NUMERIC[i:])))
+oracle("top_k", staged(
+    "SELECT id, income, income_scaled FROM (" + minmax_cols(["income"], "cleaned", ["id", "income AS income_raw"])
+    .replace("AS income FROM", "AS income_scaled FROM") + ") s JOIN cleaned USING (id) "
+    "ORDER BY income DESC, id LIMIT 300"))
+oracle("minimum_slice", staged(
+    minmax_cols(FEATURED_NUMERIC, "featured",
+                [c for c in ["id", "education", "marital_status", *FLAGS, "response"]]),
+    featured=True))
