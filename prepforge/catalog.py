@@ -307,3 +307,56 @@ def q_minimum_slice(spark, sf):
 
 
 _ = read_table  # re-exported for query modules that read raw tables
+
+
+# ------------------------------------------------------------ 2.15 evaluation
+from prepforge.operators import evaluate as EV  # noqa: E402
+
+
+def scored(spark, sf) -> DataFrame:
+    """cleaned rows with a ranking score: recency min-max scaled, 3 digits (ties on purpose)."""
+    df = cleaned(spark, sf)
+    m = S.fit_minmax(df, ["recency"])
+    return df.select("id", LABEL, F.round(minmax_expr("recency", *m.bounds["recency"]), 3)
+                     .alias("score"))
+
+
+def _best_threshold(df) -> float:
+    return float(EV.best_profit(EV.profit_curve(df, LABEL, "score")).first()["best_threshold"])
+
+
+@query("confusion")
+def q_confusion(spark, sf):
+    return EV.confusion(scored(spark, sf), LABEL, "score", 0.5)
+
+
+@query("profit_curve")
+def q_profit_curve(spark, sf):
+    return EV.profit_curve(scored(spark, sf), LABEL, "score")
+
+
+@query("best_profit")
+def q_best_profit(spark, sf):
+    return EV.best_profit(EV.profit_curve(scored(spark, sf), LABEL, "score"))
+
+
+@query("profit_score")
+def q_profit_score(spark, sf):
+    df = scored(spark, sf).withColumn("pred", (F.col("score") >= 0.5).cast("int"))
+    return EV.profit_score(df, LABEL, "pred")
+
+
+@query("roc_points")
+def q_roc_points(spark, sf):
+    return EV.roc_points(scored(spark, sf), LABEL, "score")
+
+
+@query("auroc")
+def q_auroc(spark, sf):
+    return EV.auroc(scored(spark, sf), LABEL, "score")
+
+
+@query("class_report")
+def q_class_report(spark, sf):
+    df = scored(spark, sf)
+    return EV.class_report(df, LABEL, "score", _best_threshold(df))

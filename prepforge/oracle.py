@@ -302,3 +302,60 @@ oracle("minimum_slice", staged(
     minmax_cols(FEATURED_NUMERIC, "featured",
                 [c for c in ["id", "education", "marital_status", *FLAGS, "response"]]),
     featured=True))
+
+
+# ------------------------------------------------------------ 2.15 evaluation
+SCORED = ("scored AS (SELECT id, response, round(CASE WHEN hi - lo <> 0 THEN (CAST(recency AS DOUBLE) - lo) / (hi - lo) "
+          "ELSE CAST(recency AS DOUBLE) - lo END, 3) AS score FROM cleaned CROSS JOIN "
+          "(SELECT CAST(min(recency) AS DOUBLE) AS lo, CAST(max(recency) AS DOUBLE) AS hi FROM cleaned) st)")
+CURVE = ("grid AS (SELECT i, CAST(i AS DOUBLE) * CAST(0.025 AS DOUBLE) AS threshold FROM range(40) t(i)), "
+         "curve AS (SELECT threshold, count(*) FILTER (WHERE score >= threshold AND response = 1) AS tp, "
+         "count(*) FILTER (WHERE score >= threshold AND response <> 1) AS fp, "
+         "(SELECT count(*) FILTER (WHERE response = 1) FROM scored) AS n_pos "
+         "FROM grid LEFT JOIN scored ON true GROUP BY threshold)")
+BEST = ("best AS (SELECT threshold AS best_threshold, 11 * tp - 3 * (tp + fp) AS best_profit, "
+        "CAST(11 * tp - 3 * (tp + fp) AS DOUBLE) / CAST(n_pos * 8 AS DOUBLE) AS best_profit_ratio "
+        "FROM curve ORDER BY 11 * tp - 3 * (tp + fp) DESC, threshold LIMIT 1)")
+
+
+def scored_sql(body, *extra):
+    return staged(body, SCORED, *extra)
+
+
+oracle("confusion", scored_sql(
+    "SELECT count(*) FILTER (WHERE score < 0.5 AND response <> 1) AS tn, count(*) FILTER (WHERE score >= 0.5 AND response <> 1) AS fp, "
+    "count(*) FILTER (WHERE score < 0.5 AND response = 1) AS fn, count(*) FILTER (WHERE score >= 0.5 AND response = 1) AS tp FROM scored"))
+oracle("profit_curve", scored_sql(
+    "SELECT threshold, tp, fp, n_pos, 11 * tp - 3 * (tp + fp) AS profit FROM curve", CURVE))
+oracle("best_profit", scored_sql("SELECT * FROM best", CURVE, BEST))
+oracle("profit_score", staged(
+    "SELECT best_profit_ratio FROM best", SCORED.replace("AS score FROM", "AS score0 FROM").replace(
+        "scored AS (", "scored0 AS ("),
+    "scored AS (SELECT id, response, CAST(score0 >= 0.5 AS INTEGER) AS score FROM scored0)", CURVE, BEST))
+_G = ("g AS (SELECT score, count(*) FILTER (WHERE response = 1) AS pos, "
+      "count(*) FILTER (WHERE response <> 1) AS neg FROM scored GROUP BY score)")
+oracle("roc_points", scored_sql(
+    "SELECT score, sum(pos) OVER (ORDER BY score DESC) AS tp, sum(neg) OVER (ORDER BY score DESC) AS fp, "
+    "CAST(sum(pos) OVER (ORDER BY score DESC) AS DOUBLE) / (SELECT sum(pos) FROM g) AS tpr, "
+    "CAST(sum(neg) OVER (ORDER BY score DESC) AS DOUBLE) / (SELECT sum(neg) FROM g) AS fpr FROM g", _G))
+oracle("auroc", scored_sql(
+    "SELECT sum(pos * (coalesce(neg_below, 0) + neg * 0.5)) / CAST(sum(pos) * sum(neg) AS DOUBLE) AS auroc FROM "
+    "(SELECT *, sum(neg) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS neg_below FROM g) c",
+    _G))
+_div = "coalesce(CAST({a} AS DOUBLE) / nullif(CAST({b} AS DOUBLE), 0), 0)"
+_CR = ("cm AS (SELECT count(*) FILTER (WHERE score < t AND response <> 1) AS tn, count(*) FILTER (WHERE score >= t AND response <> 1) AS fp, "
+       "count(*) FILTER (WHERE score < t AND response = 1) AS fn, count(*) FILTER (WHERE score >= t AND response = 1) AS tp "
+       "FROM scored CROSS JOIN (SELECT best_threshold AS t FROM best) bt), "
+       "m AS (SELECT *, " + _div.format(a="tp", b="tp + fp") + " AS c1_precision, " + _div.format(a="tp", b="tp + fn")
+       + " AS c1_recall, " + _div.format(a="tn", b="tn + fn") + " AS c0_precision, " + _div.format(a="tn", b="tn + fp")
+       + " AS c0_recall, tp + fn AS c1_support, tn + fp AS c0_support, tn + fp + fn + tp AS n FROM cm), "
+       "m2 AS (SELECT *, " + _div.format(a="2 * c0_precision * c0_recall", b="c0_precision + c0_recall") + " AS c0_f1, "
+       + _div.format(a="2 * c1_precision * c1_recall", b="c1_precision + c1_recall") + " AS c1_f1, "
+       + _div.format(a="tp + tn", b="n") + " AS acc FROM m)")
+oracle("class_report", scored_sql(
+    "SELECT c1_precision, c1_recall, c0_precision, c0_recall, c1_support, c0_support, c0_f1, c1_f1, "
+    "acc AS micro_precision, acc AS micro_recall, acc AS micro_f1, n AS micro_support, "
+    + ", ".join(f"(c0_{s} + c1_{s}) / 2 AS macro_{s}, "
+                + _div.format(a=f"c0_{s} * c0_support + c1_{s} * c1_support", b="n") + f" AS weighted_{s}"
+                for s in ("precision", "recall", "f1"))
+    + ", n AS macro_support, n AS weighted_support FROM m2", CURVE, BEST, _CR))
