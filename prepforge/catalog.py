@@ -360,3 +360,136 @@ def q_auroc(spark, sf):
 def q_class_report(spark, sf):
     df = scored(spark, sf)
     return EV.class_report(df, LABEL, "score", _best_threshold(df))
+
+
+# ------------------------------------------------- 2.7 / 2.9 outliers, votes
+from prepforge.operators import outliers as O  # noqa: E402
+
+VOTE_THRESHOLD = 0.5
+
+
+def _num(spark, sf):
+    return cleaned(spark, sf).select("id", *NUMERIC)
+
+
+@query("outlier_std_null")
+def q_outlier_std_null(spark, sf):
+    return O.outlier_std_null(_num(spark, sf), NUMERIC)
+
+
+@query("outlier_zscore")
+def q_outlier_zscore(spark, sf):
+    return O.outlier_zscore(_num(spark, sf), NUMERIC, 3.0).withColumn("score", F.round("score", 6))
+
+
+@query("outlier_boxplot")
+def q_outlier_boxplot(spark, sf):
+    return O.outlier_boxplot(_num(spark, sf), NUMERIC)
+
+
+@query("outlier_boxplot_all")
+def q_outlier_boxplot_all(spark, sf):
+    return O.outlier_boxplot_all(_num(spark, sf), NUMERIC).withColumn("dist", F.round("dist", 6))
+
+
+@query("outlier_robust_z")
+def q_outlier_robust_z(spark, sf):
+    return O.outlier_robust_z(_num(spark, sf), NUMERIC, 5.0)
+
+
+@query("outlier_iqr_scores")
+def q_outlier_iqr_scores(spark, sf):
+    return O.outlier_iqr_scores(featured(spark, sf), "total_money_spent")
+
+
+def vote_flags(df):
+    return (O.per_column_flags("zscore", O.outlier_zscore(df, NUMERIC, 3.0))
+            .unionByName(O.per_column_flags("robust_z", O.outlier_robust_z(df, NUMERIC, 5.0)))
+            .unionByName(O.whole_row_flags("boxplot", O.outlier_boxplot(df, NUMERIC))))
+
+
+@query("outlier_votes")
+def q_outlier_votes(spark, sf):
+    return O.outlier_votes(vote_flags(_num(spark, sf))).withColumn("score", F.round("score", 6))
+
+
+@query("outlier_info")
+def q_outlier_info(spark, sf):
+    return O.outlier_info(vote_flags(_num(spark, sf)))
+
+
+@query("outlier_vote_drop")
+def q_outlier_vote_drop(spark, sf):
+    df = _num(spark, sf)
+    return O.outlier_vote_drop(df, O.outlier_votes(vote_flags(df)), VOTE_THRESHOLD)
+
+
+@query("outlier_vote_info")
+def q_outlier_vote_info(spark, sf):
+    df = _num(spark, sf)
+    flags = vote_flags(df)
+    return O.outlier_vote_info(flags, O.outlier_votes(flags), VOTE_THRESHOLD)
+
+
+@query("outlier_smooth")
+def q_outlier_smooth(spark, sf):
+    df = _num(spark, sf)
+    flags = vote_flags(df)
+    out = O.outlier_smooth(df, flags, O.outlier_votes(flags), VOTE_THRESHOLD, NUMERIC)
+    return out.select("id", *[F.round(c, 6).alias(c) for c in NUMERIC])
+
+
+# ---------------------------------------------------- 2.10 impute and scale
+IMPUTE_COLS = ["income", "mnt_wines", "mnt_gold"]
+
+
+@query("impute_numeric")
+def q_impute_numeric(spark, sf):
+    df = base(spark, sf).select("id", *IMPUTE_COLS)
+    return S.fit_impute_numeric(df, IMPUTE_COLS, "auto").transform(df)
+
+
+@query("impute_mean")
+def q_impute_mean(spark, sf):
+    df = base(spark, sf).select("id", *IMPUTE_COLS)
+    out = S.fit_impute_numeric(df, IMPUTE_COLS, "mean").transform(df)
+    return out.select("id", *[F.round(c, 6).alias(c) for c in IMPUTE_COLS])
+
+
+@query("impute_median")
+def q_impute_median(spark, sf):
+    df = base(spark, sf).select("id", *IMPUTE_COLS)
+    return S.fit_impute_numeric(df, IMPUTE_COLS, "median").transform(df)
+
+
+@query("impute_mode")
+def q_impute_mode(spark, sf):
+    df = base(spark, sf).select("id", "marital_status", "response")
+    return S.fit_impute_mode(df, ["marital_status", "response"]).transform(df)
+
+
+@query("minmax_scale")
+def q_minmax_scale(spark, sf):
+    df = _num(spark, sf)
+    return S.fit_minmax(df, NUMERIC).transform(df)
+
+
+@query("standard_scale_subset")
+def q_standard_scale_subset(spark, sf):
+    df = cleaned(spark, sf).select("id", *NUMERIC, *C360_FLAGS)
+    out = S.fit_standard(df, NUMERIC + C360_FLAGS, exclude=C360_FLAGS).transform(df)
+    return out.select("id", *C360_FLAGS, *[F.round(c, 6).alias(c) for c in NUMERIC])
+
+
+@query("yeo_johnson")
+def q_yeo_johnson(spark, sf):
+    df = _num(spark, sf)
+    cols = ["income", "recency", "mnt_wines", "num_deals"]
+    return S.fit_yeo_johnson(df, cols).transform(df.select("id", *cols))
+
+
+@query("bin_uniform")
+def q_bin_uniform(spark, sf):
+    df = _num(spark, sf)
+    return FE.fit_uniform_bins(df, NUMERIC).transform(df).select(
+        "id", *[f"{c}_bin" for c in NUMERIC])

@@ -359,3 +359,95 @@ oracle("class_report", scored_sql(
                 + _div.format(a=f"c0_{s} * c0_support + c1_{s} * c1_support", b="n") + f" AS weighted_{s}"
                 for s in ("precision", "recall", "f1"))
     + ", n AS macro_support, n AS weighted_support FROM m2", CURVE, BEST, _CR))
+
+
+# ------------------------------------------------- 2.7 / 2.9 outliers, votes
+NUM_SEL = "num AS (SELECT id, " + ", ".join(NUMERIC) + " FROM cleaned)"
+_ZST = ("zst AS (SELECT " + ", ".join(f"avg(CAST({c} AS DOUBLE)) AS m_{c}, stddev_pop(CAST({c} AS DOUBLE)) AS s_{c}"
+                                      for c in NUMERIC) + " FROM num)")
+_ZL = ("zl AS (" + " UNION ALL ".join(
+    f"SELECT id, '{c}' AS var, (CAST({c} AS DOUBLE) - m_{c}) / s_{c} AS score FROM num, zst WHERE s_{c} <> 0"
+    for c in NUMERIC) + ")")
+_ZW = ("zw AS (SELECT id, " + ", ".join(f"CASE WHEN s_{c} <> 0 THEN (CAST({c} AS DOUBLE) - m_{c}) / s_{c} END AS {c}"
+                                        for c in NUMERIC) + " FROM num, zst)")
+_ZQ = ("zq AS (SELECT " + ", ".join(f"quantile_cont({c}, 0.25) AS q1_{c}, quantile_cont({c}, 0.75) AS q3_{c}"
+                                    for c in NUMERIC) + " FROM zw)")
+_BOX = ("box AS (" + " UNION ALL ".join(
+    f"SELECT id, '{c}' AS var, CASE WHEN {c} > q3_{c} + 1.5 * (q3_{c} - q1_{c}) THEN {c} - (q3_{c} + 1.5 * (q3_{c} - q1_{c})) "
+    f"WHEN {c} < q1_{c} - 1.5 * (q3_{c} - q1_{c}) THEN (q1_{c} - 1.5 * (q3_{c} - q1_{c})) - {c} END AS dist "
+    f"FROM zw, zq WHERE {c} IS NOT NULL" for c in NUMERIC) + ")")
+_BOXIDS = ("boxids AS (SELECT DISTINCT id FROM (SELECT id, row_number() OVER (ORDER BY dist DESC, id, var) AS rn "
+           "FROM box WHERE dist IS NOT NULL) WHERE rn <= (SELECT CAST(floor(CAST(count(*) AS DOUBLE) * CAST(0.03 AS DOUBLE)) AS BIGINT) FROM num))")
+_MED = "med AS (SELECT " + ", ".join(f"quantile_cont(CAST({c} AS DOUBLE), 0.5) AS md_{c}" for c in NUMERIC) + " FROM num)"
+_MAD = ("mad AS (SELECT " + ", ".join(f"quantile_cont(abs(CAST({c} AS DOUBLE) - md_{c}), 0.5) AS mad_{c}" for c in NUMERIC)
+        + " FROM num, med)")
+_ROB = ("rob AS (" + " UNION ALL ".join(
+    f"SELECT id, '{c}' AS var FROM num, med, mad WHERE CASE WHEN mad_{c} = 0 THEN CAST({c} AS DOUBLE) - md_{c} <> 0 "
+    f"ELSE abs(0.6745 * (CAST({c} AS DOUBLE) - md_{c}) / mad_{c}) > 5 END" for c in NUMERIC) + ")")
+_OUT_CTES = [NUM_SEL, _ZST, _ZL, _ZW, _ZQ, _BOX, _BOXIDS, _MED, _MAD, _ROB]
+_FLAGS = ("flags AS (SELECT 'zscore' AS detector, id, var FROM zl WHERE abs(score) > 3 "
+          "UNION ALL SELECT 'robust_z', id, var FROM rob UNION ALL SELECT 'boxplot', id, 'multi/unknown' FROM boxids)")
+_VOTES = ("v0 AS (SELECT id, count(*) AS votes FROM flags GROUP BY id), "
+          "votes AS (SELECT id, votes, CASE WHEN hi > lo THEN CAST(votes - lo AS DOUBLE) / CAST(hi - lo AS DOUBLE) ELSE 0.0 END AS score "
+          "FROM v0, (SELECT min(votes) AS lo, max(votes) AS hi FROM v0) mm)")
+_INFO = "array_to_string(list_sort(list_distinct(list(var))), ',') AS vars"
+
+
+def out_sql(body, *extra):
+    return staged(body, *_OUT_CTES, *extra)
+
+
+oracle("outlier_std_null", staged(
+    "SELECT id, " + ", ".join(
+        f"CASE WHEN {c} < m_{c} - 3.0 * s_{c} OR {c} > m_{c} + 3.0 * s_{c} THEN NULL ELSE {c} END AS {c}"
+        for c in NUMERIC) + " FROM num, st",
+    NUM_SEL, "st AS (SELECT " + ", ".join(f"avg({c}) AS m_{c}, stddev_samp({c}) AS s_{c}" for c in NUMERIC) + " FROM num)"))
+oracle("outlier_zscore", out_sql("SELECT id, var, round(score, 6) AS score FROM zl WHERE abs(score) > 3"))
+oracle("outlier_boxplot", out_sql("SELECT id FROM boxids"))
+oracle("outlier_boxplot_all", out_sql("SELECT id, var, round(dist, 6) AS dist FROM box WHERE dist IS NOT NULL"))
+oracle("outlier_robust_z", out_sql("SELECT id, var FROM rob"))
+oracle("outlier_iqr_scores", staged(
+    "SELECT id FROM featured, (SELECT quantile_cont(total_money_spent, 0.25) AS q1, quantile_cont(total_money_spent, 0.75) AS q3 FROM featured) q "
+    "WHERE total_money_spent > q3 + 1.5 * (q3 - q1) OR total_money_spent < q1 - 1.5 * (q3 - q1)", featured=True))
+oracle("outlier_votes", out_sql("SELECT id, votes, round(score, 6) AS score FROM votes", _FLAGS, _VOTES))
+oracle("outlier_info", out_sql(f"SELECT id, {_INFO} FROM flags GROUP BY id", _FLAGS))
+oracle("outlier_vote_drop", out_sql("SELECT * FROM num WHERE id NOT IN (SELECT id FROM votes WHERE score > 0.5)",
+                                    _FLAGS, _VOTES))
+oracle("outlier_vote_info", out_sql(
+    f"SELECT id, {_INFO} FROM flags WHERE id IN (SELECT id FROM votes WHERE score > 0.5) GROUP BY id", _FLAGS, _VOTES))
+_SM_ST = "sst AS (SELECT " + ", ".join(
+    f"avg({c}) AS mean_{c}, quantile_cont(CAST({c} AS DOUBLE), 0.25) AS a_{c}, quantile_cont(CAST({c} AS DOUBLE), 0.75) AS b_{c}"
+    for c in NUMERIC) + " FROM num)"
+_SM_FL = ("sfl AS (SELECT id, " + ", ".join(f"max(CASE WHEN var = '{c}' THEN 1 ELSE 0 END) AS f_{c}" for c in NUMERIC)
+          + " FROM flags WHERE id IN (SELECT id FROM votes WHERE score > 0.5) GROUP BY id)")
+oracle("outlier_smooth", out_sql(
+    "SELECT num.id, " + ", ".join(
+        f"round(CASE WHEN coalesce(f_{c}, 0) > 0 THEN CASE WHEN {c} > mean_{c} THEN b_{c} + 1.5 * (b_{c} - a_{c}) "
+        f"ELSE a_{c} - 1.5 * (b_{c} - a_{c}) END ELSE CAST({c} AS DOUBLE) END, 6) AS {c}" for c in NUMERIC)
+    + " FROM num CROSS JOIN sst LEFT JOIN sfl ON num.id = sfl.id WHERE num.id NOT IN "
+      "(SELECT id FROM flags WHERE var = 'multi/unknown' AND id IN (SELECT id FROM votes WHERE score > 0.5))",
+    _FLAGS, _VOTES, _SM_ST, _SM_FL))
+
+# ---------------------------------------------------- 2.10 impute and scale
+_IMP = ["income", "mnt_wines", "mnt_gold"]
+oracle("impute_mean", with_c360("SELECT id, " + ", ".join(
+    f"round(coalesce({c}, (SELECT avg({c}) FROM c360)), 6) AS {c}" for c in _IMP) + " FROM c360"))
+oracle("impute_median", with_c360("SELECT id, " + ", ".join(
+    f"coalesce({c}, (SELECT quantile_cont({c}, 0.5) FROM c360)) AS {c}" for c in _IMP) + " FROM c360"))
+oracle("impute_mode", with_c360(
+    "SELECT id, coalesce(marital_status, (SELECT marital_status FROM c360 WHERE marital_status IS NOT NULL "
+    "GROUP BY marital_status ORDER BY count(*) DESC, marital_status LIMIT 1)) AS marital_status, "
+    "coalesce(response, (SELECT response FROM c360 WHERE response IS NOT NULL GROUP BY response "
+    "ORDER BY count(*) DESC, response LIMIT 1)) AS response FROM c360"))
+oracle("minmax_scale", staged(minmax_cols(NUMERIC, "num", ["id"]), NUM_SEL))
+oracle("standard_scale_subset", staged(
+    "SELECT id, " + ", ".join(FLAGS) + ", " + ", ".join(
+        f"round((CAST({c} AS DOUBLE) - m_{c}) / CASE WHEN s_{c} <> 0 THEN s_{c} ELSE 1.0 END, 6) AS {c}" for c in NUMERIC)
+    + " FROM cleaned, (SELECT " + ", ".join(f"avg(CAST({c} AS DOUBLE)) AS m_{c}, stddev_pop(CAST({c} AS DOUBLE)) AS s_{c}"
+                                            for c in NUMERIC) + " FROM cleaned) st"))
+oracle("bin_uniform", staged(
+    "SELECT id, " + ", ".join(
+        f"CAST(CASE WHEN hi_{c} = lo_{c} THEN 0 ELSE least(greatest(floor((CAST({c} AS DOUBLE) - lo_{c}) * 10.0 / (hi_{c} - lo_{c})), 0), 9) END AS INTEGER) AS {c}_bin"
+        for c in NUMERIC) + " FROM num, (SELECT " + ", ".join(
+        f"CAST(min({c}) AS DOUBLE) AS lo_{c}, CAST(max({c}) AS DOUBLE) AS hi_{c}" for c in NUMERIC) + " FROM num) st",
+    NUM_SEL))
