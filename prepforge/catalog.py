@@ -26,6 +26,7 @@ from prepforge.operators import scale as S
 from prepforge.session import ensure_checkpoint_dir
 from prepforge.sources import io as IO
 from prepforge.sources.tables import (C360_FLAGS, COUNT_COLS, REF_DATE, SPEND_COLS, c360,
+                                      c360_materialized,
                                       read_table)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,7 +48,7 @@ def query(key: str):
 
 # ------------------------------------------------------------------ stages
 def base(spark, sf) -> DataFrame:
-    return c360(spark, sf)
+    return c360_materialized(spark, sf)
 
 
 def cleaned(spark, sf) -> DataFrame:
@@ -70,7 +71,7 @@ def scratch_path(spark, name: str) -> str:
 # ------------------------------------------------------- 2.1 scans / sinks
 @query("c360")
 def q_c360(spark, sf):
-    return base(spark, sf)
+    return c360(spark, sf)
 
 
 @query("scan_table")

@@ -51,6 +51,21 @@ def _marital(nationkey):
     return expr
 
 
+_MATERIALIZED: dict[tuple[str, str], DataFrame] = {}
+
+
+def c360_materialized(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``c360`` written once per application and folder to the shared checkpoint
+    directory (``DataFrame.checkpoint``): later jobs read the written rows, so
+    lineage is cut and a lost executor does not replay the joins."""
+    from prepforge.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in _MATERIALIZED:
+        _MATERIALIZED[key] = c360(spark, sf_dir).checkpoint(eager=True)
+    return _MATERIALIZED[key]
+
+
 def c360(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per customer with the reference's customer-table columns.
 
