@@ -494,3 +494,96 @@ def q_bin_uniform(spark, sf):
     df = _num(spark, sf)
     return FE.fit_uniform_bins(df, NUMERIC).transform(df).select(
         "id", *[f"{c}_bin" for c in NUMERIC])
+
+
+# ------------------------------------------------- 2.11 / 2.12 selection
+from prepforge.operators import select as SEL  # noqa: E402
+
+
+def _feat(spark, sf):
+    return featured(spark, sf)
+
+
+@query("select_constant")
+def q_select_constant(spark, sf):
+    return SEL.select_constant(_feat(spark, sf), FEATURED_NUMERIC)
+
+
+@query("rank_chi2")
+def q_rank_chi2(spark, sf):
+    return SEL.rank_chi2(_feat(spark, sf), FEATURED_NUMERIC, C360_FLAGS, LABEL)
+
+
+@query("chi2_pvalues")
+def q_chi2_pvalues(spark, sf):
+    return SEL.chi2_pvalues(SEL.rank_chi2(_feat(spark, sf), FEATURED_NUMERIC, C360_FLAGS, LABEL))
+
+
+@query("rank_linear")
+def q_rank_linear(spark, sf):
+    return SEL.rank_linear(_feat(spark, sf), FEATURED_NUMERIC, LABEL)
+
+
+@query("rank_linear_pvalues")
+def q_rank_linear_pvalues(spark, sf):
+    return SEL.rank_linear(_feat(spark, sf), FEATURED_NUMERIC, LABEL, with_p=True)
+
+
+@query("rank_fisher")
+def q_rank_fisher(spark, sf):
+    return SEL.rank_fisher(_feat(spark, sf), FEATURED_NUMERIC, LABEL)
+
+
+@query("rank_anova_f")
+def q_rank_anova_f(spark, sf):
+    return SEL.rank_anova_f(_feat(spark, sf), FEATURED_NUMERIC, LABEL)
+
+
+@query("rank_anova_f_pvalues")
+def q_rank_anova_f_pvalues(spark, sf):
+    return SEL.rank_anova_f(_feat(spark, sf), FEATURED_NUMERIC, LABEL, with_p=True)
+
+
+@query("info_gain_splits")
+def q_info_gain_splits(spark, sf):
+    return SEL.info_gain_splits(_feat(spark, sf), "recency", LABEL)
+
+
+@query("rank_info_gain")
+def q_rank_info_gain(spark, sf):
+    return SEL.rank_info_gain(_feat(spark, sf), FEATURED_NUMERIC, LABEL)
+
+
+def _selector_picks(df, n=10):
+    chi = SEL.rank_chi2(df, FEATURED_NUMERIC, C360_FLAGS, LABEL)
+    return (SEL.top_n(chi, "chi2", n, "chi2")
+            .unionByName(SEL.top_n(SEL.rank_fisher(df, FEATURED_NUMERIC, LABEL), "fisher", n, "fisher"))
+            .unionByName(SEL.top_n(SEL.rank_anova_f(df, FEATURED_NUMERIC, LABEL), "f", n, "anova"))
+            .unionByName(SEL.top_n(P.corr_with_label(df, FEATURED_NUMERIC, LABEL), "abs_corr", n, "corr")))
+
+
+@query("select_by_votes")
+def q_select_by_votes(spark, sf):
+    return SEL.select_by_votes(_selector_picks(_feat(spark, sf)), 4, 0.5)
+
+
+@query("select_uncorrelated")
+def q_select_uncorrelated(spark, sf):
+    df = _feat(spark, sf)
+    return SEL.select_uncorrelated(P.corr_with_label(df, FEATURED_NUMERIC, LABEL),
+                                   P.corr_matrix(df, FEATURED_NUMERIC))
+
+
+@query("best_power_transform")
+def q_best_power_transform(spark, sf):
+    df = cleaned(spark, sf)
+    model, scores = FE.fit_best_power(df, NUMERIC, LABEL)
+    return spark.createDataFrame([(c, t) for c, t in model.best.items()],
+                                 "feature string, transform string")
+
+
+@query("best_power_apply")
+def q_best_power_apply(spark, sf):
+    df = cleaned(spark, sf)
+    model, _ = FE.fit_best_power(df, NUMERIC, LABEL)
+    return model.transform(df.select("id", *NUMERIC))

@@ -149,32 +149,36 @@ def fit_best_power(df: DataFrame, cols, label_col: str, n_bins: int = 10,
                    digits: int = 4) -> tuple[PowerChoice, DataFrame]:
     """Min-max each feature, try the seven transforms, bin each in 10 equal
     widths, and keep the transform with the largest chi-square against the
-    label (first in the fixed order on ties).  All features x transforms are
-    scored by two aggregations over an unpivoted frame."""
+    label (compared at 9 digits; first in the fixed order on ties).  All
+    features x transforms are scored by aggregations over one unpivoted frame;
+    the per-key bounds table has 7 x d rows and is broadcast."""
+    from prepforge.operators.select import chi2_long
     st = column_stats(df, cols, ["min", "max"])
     scale = {c: (st[c]["min"], st[c]["max"]) for c in cols}
     t_cols = {}
     for c in cols:
         s = minmax_expr(c, *scale[c])
         for t in POWER_TRANSFORMS:
-            t_cols[f"{c}|{t}"] = power_expr(s, t, digits)
+            t_cols[f"{c}__{power_suffix(t)}"] = power_expr(s, t, digits)
     wide = df.select(F.col(label_col), *[v.alias(k) for k, v in t_cols.items()])
-    long = wide.unpivot(label_col, list(t_cols), "key", "v")
-    bounds = long.groupBy("key").agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
+    long = wide.unpivot(label_col, list(t_cols), "var", "x")
+    bounds = long.groupBy("var").agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
     rng = F.col("hi") - F.col("lo")
-    binned = long.join(F.broadcast(bounds), "key").withColumn(
-        "bin", F.when(rng == 0, F.lit(0)).otherwise(
-            F.least(F.floor((F.col("v") - F.col("lo")) * n_bins / rng), F.lit(n_bins - 1))))
-    scores = chi2_scores_long(binned, ["key"], "bin", label_col) \
-        .withColumn("feature", F.split("key", r"\|").getItem(0)) \
-        .withColumn("transform", F.split("key", r"\|").getItem(1))
-    rows = scores.select("feature", "transform", "chi2").collect()
+    binned = long.join(F.broadcast(bounds), "var").withColumn(
+        "v", F.when(rng == 0, F.lit(0)).otherwise(
+            F.least(F.floor((F.col("x") - F.col("lo")) * n_bins / rng), F.lit(n_bins - 1))))
+    by_suffix = {power_suffix(t): t for t in POWER_TRANSFORMS}
+    scores = chi2_long(binned, label_col).select(
+        F.regexp_extract("var", r"^(.*)__[^_]+$", 1).alias("feature"),
+        F.regexp_extract("var", r"__([^_]+)$", 1).alias("suffix"),
+        F.round("chi2", 9).alias("chi2"))
+    rows = scores.collect()  # 7 x d rows
     order = {t: i for i, t in enumerate(POWER_TRANSFORMS)}
     best: dict[str, tuple[float, str]] = {}
-    for r in sorted(rows, key=lambda r: (r["feature"], order[r["transform"]])):
-        cur = best.get(r["feature"])
+    for r in sorted(rows, key=lambda r: (r["feature"], order[by_suffix[r["suffix"]]])):
         v = r["chi2"] if r["chi2"] is not None else float("-inf")
+        cur = best.get(r["feature"])
         if cur is None or v > cur[0]:
-            best[r["feature"]] = (v, r["transform"])
+            best[r["feature"]] = (v, by_suffix[r["suffix"]])
     model = PowerChoice(scale, {c: best[c][1] for c in cols}, digits)
-    return model, scores.select("feature", "transform", "chi2")
+    return model, scores

@@ -451,3 +451,103 @@ oracle("bin_uniform", staged(
         for c in NUMERIC) + " FROM num, (SELECT " + ", ".join(
         f"CAST(min({c}) AS DOUBLE) AS lo_{c}, CAST(max({c}) AS DOUBLE) AS hi_{c}" for c in NUMERIC) + " FROM num) st",
     NUM_SEL))
+
+
+# ------------------------------------------------- 2.11 / 2.12 selection
+def feat_sql(body, *extra):
+    return staged(body, *extra, featured=True)
+
+
+oracle("select_constant", feat_sql(" UNION ALL ".join(
+    f"SELECT '{c}' AS var, round(stddev_samp(CAST({c} AS DOUBLE)), 6) AS sd, "
+    f"coalesce(stddev_samp(CAST({c} AS DOUBLE)) < 0.01, true) AS dropped FROM featured" for c in FEATURED_NUMERIC)))
+_BIN = ("CASE WHEN hi_{c} = lo_{c} THEN 0 ELSE least(greatest(floor((CAST({c} AS DOUBLE) - lo_{c}) * 10.0 / "
+        "(hi_{c} - lo_{c})), 0), 9) END")
+_CHI_LONG = ("chl AS (" + " UNION ALL ".join(
+    [f"SELECT '{c}' AS var, CAST({_BIN.format(c=c)} AS DOUBLE) AS v, response FROM featured, "
+     f"(SELECT CAST(min({c}) AS DOUBLE) AS lo_{c}, CAST(max({c}) AS DOUBLE) AS hi_{c} FROM featured) b"
+     for c in FEATURED_NUMERIC]
+    + [f"SELECT '{c}' AS var, CAST({c} AS DOUBLE) AS v, response FROM featured" for c in FLAGS]) + ")")
+
+
+def chi2_ctes(src: str) -> list[str]:
+    return [f"cells AS (SELECT var, v, count(*) FILTER (WHERE response = 1) AS o1, "
+            f"count(*) FILTER (WHERE response = 0) AS o0 FROM {src} GROUP BY var, v)",
+            "tot AS (SELECT var, sum(o1) AS t1, sum(o0) AS t0, count(*) AS nv FROM cells GROUP BY var)",
+            "cj AS (SELECT c.var, o1, o0, t1, t0, (nv - 1) * (CAST(t1 > 0 AS INTEGER) + CAST(t0 > 0 AS INTEGER) - 1) AS dof, "
+            "(o1 + o0) * t1 / (t1 + t0) AS e1, (o1 + o0) * t0 / (t1 + t0) AS e0 FROM cells c JOIN tot USING (var))",
+            "cd AS (SELECT var, dof, e1, e0, CASE WHEN dof = 1 THEN greatest(abs(o1 - e1) - least(0.5, abs(o1 - e1)), 0.0) "
+            "ELSE abs(o1 - e1) END AS d1, CASE WHEN dof = 1 THEN greatest(abs(o0 - e0) - least(0.5, abs(o0 - e0)), 0.0) "
+            "ELSE abs(o0 - e0) END AS d0 FROM cj)",
+            "chi AS (SELECT var, sum(CASE WHEN e1 > 0 THEN d1 * d1 / e1 ELSE 0.0 END + CASE WHEN e0 > 0 THEN d0 * d0 / e0 ELSE 0.0 END) AS chi2, "
+            "first(dof) AS dof FROM cd GROUP BY var)"]
+
+
+oracle("rank_chi2", feat_sql(
+    "SELECT var, chi2, CAST(dof AS BIGINT) AS dof, CAST(row_number() OVER (ORDER BY chi2 DESC, var) AS INTEGER) AS rank "
+    "FROM (SELECT var, round(chi2, 6) AS chi2, dof FROM chi)", _CHI_LONG, *chi2_ctes("chl")))
+_LIN = ", ".join(f"sum(CAST({c} AS DOUBLE) * CAST(response AS DOUBLE)) AS sxy_{i}, "
+                 f"sum(CAST({c} AS DOUBLE) * CAST({c} AS DOUBLE)) AS sxx_{i}" for i, c in enumerate(FEATURED_NUMERIC))
+oracle("rank_linear", feat_sql(
+    "SELECT var, round(coef, 6) AS coef, round(sqrt(rss / ((n - 1) * sxx)), 6) AS std_err, "
+    "round(1 - n / (n - 1) * (rss / syy), 6) AS adj_r2 FROM "
+    "(SELECT *, syy - coef * sxy AS rss FROM (SELECT *, sxy / nullif(sxx, 0) AS coef FROM ("
+    + " UNION ALL ".join(f"SELECT '{c}' AS var, sxy_{i} AS sxy, sxx_{i} AS sxx, n, syy FROM w"
+                         for i, c in enumerate(FEATURED_NUMERIC)) + ")))",
+    f"w AS (SELECT count(*) AS n, sum(CAST(response AS DOUBLE) * CAST(response AS DOUBLE)) AS syy, {_LIN} FROM featured)"))
+_MOM = ("lg AS (" + " UNION ALL ".join(f"SELECT '{c}' AS var, response, CAST({c} AS DOUBLE) AS x FROM featured"
+                                       for c in FEATURED_NUMERIC) + "), "
+        "per AS (SELECT var, response, count(x) AS nc, avg(x) AS mc, var_samp(x) AS vc FROM lg GROUP BY var, response), "
+        "allm AS (SELECT var, avg(x) AS mu, count(x) AS n, count(DISTINCT response) AS k FROM lg GROUP BY var), "
+        "mj AS (SELECT * FROM per JOIN allm USING (var))")
+oracle("rank_fisher", feat_sql(
+    "SELECT var, round(sum(nc * pow(mc - mu, 2)) / nullif(sum(nc * vc), 0), 6) AS fisher FROM mj GROUP BY var", _MOM))
+_ANOVA = ("anova AS (SELECT var, round((sum(nc * pow(mc - mu, 2)) / (first(k) - 1)) / "
+          "nullif(sum((nc - 1) * coalesce(vc, 0.0)) / (first(n) - first(k)), 0), 6) AS f FROM mj GROUP BY var)")
+oracle("rank_anova_f", feat_sql("SELECT var, f FROM anova", _MOM, _ANOVA))
+
+
+def _h(p):
+    return f"CASE WHEN ({p}) <= 0 OR ({p}) >= 1 THEN 0.0 ELSE -({p}) * log2({p}) - (1 - ({p})) * log2(1 - ({p})) END"
+
+
+def _gain_sql(cols):
+    return ("gl AS (" + " UNION ALL ".join(f"SELECT '{c}' AS var, CAST({c} AS DOUBLE) AS value, response FROM featured"
+                                           for c in cols) + "), "
+            "gg AS (SELECT var, value, count(*) AS cnt, count(*) FILTER (WHERE response = 1) AS pos FROM gl GROUP BY var, value), "
+            "gc AS (SELECT var, value, sum(cnt) OVER (PARTITION BY var ORDER BY value) AS nl, "
+            "sum(pos) OVER (PARTITION BY var ORDER BY value) AS pl, sum(cnt) OVER (PARTITION BY var) AS nn, "
+            "sum(pos) OVER (PARTITION BY var) AS pp, max(value) OVER (PARTITION BY var) AS vmax FROM gg), "
+            "gains AS (SELECT var, value, " + _h("CAST(pp AS DOUBLE) / nn") + " - ((nn - nl) / nn * "
+            + _h("CAST(pp - pl AS DOUBLE) / nullif(nn - nl, 0)") + " + nl / nn * " + _h("CAST(pl AS DOUBLE) / nl")
+            + ") AS gain FROM gc WHERE value < vmax)")
+
+
+oracle("info_gain_splits", feat_sql("SELECT value, round(gain, 6) AS gain FROM gains", _gain_sql(["recency"])))
+oracle("rank_info_gain", feat_sql(
+    "SELECT var, value AS best_value, round(gain, 6) AS gain FROM (SELECT *, row_number() OVER "
+    "(PARTITION BY var ORDER BY gain DESC, value) AS rn FROM gains) WHERE rn = 1", _gain_sql(FEATURED_NUMERIC)))
+_CORR = ("corr AS (" + " UNION ALL ".join(
+    f"SELECT '{c}' AS var, round(abs(corr(CAST({c} AS DOUBLE), CAST(response AS DOUBLE))), 6) AS abs_corr FROM featured"
+    for c in FEATURED_NUMERIC) + ")")
+_PICKS = ("picks AS (SELECT var FROM (SELECT var, row_number() OVER (ORDER BY chi2 DESC NULLS LAST, var) AS r FROM "
+          "(SELECT var, round(chi2, 6) AS chi2 FROM chi)) WHERE r <= 10 "
+          "UNION ALL SELECT var FROM (SELECT var, row_number() OVER (ORDER BY fisher DESC NULLS LAST, var) AS r FROM "
+          "(SELECT var, round(sum(nc * pow(mc - mu, 2)) / nullif(sum(nc * vc), 0), 6) AS fisher FROM mj GROUP BY var)) WHERE r <= 10 "
+          "UNION ALL SELECT var FROM (SELECT var, row_number() OVER (ORDER BY f DESC NULLS LAST, var) AS r FROM anova) WHERE r <= 10 "
+          "UNION ALL SELECT var FROM (SELECT var, row_number() OVER (ORDER BY abs_corr DESC NULLS LAST, var) AS r FROM corr) WHERE r <= 10)")
+oracle("select_by_votes", feat_sql(
+    "SELECT var, count(*) AS n_votes, round(count(*) / 4.0, 6) AS share FROM picks GROUP BY var HAVING round(count(*) / 4.0, 6) > 0.5",
+    _CHI_LONG, *chi2_ctes("chl"), _MOM, _ANOVA, _CORR, _PICKS))
+_T_ORDER = [("x", "x"), ("log", "log"), ("sqrt", "sqrt"), ("exp", "exp"), ("p025", "**1/4"), ("p2", "**2"), ("p4", "**4")]
+_PW_ALL = ("ptr AS (SELECT response, " + ", ".join(x for c in NUMERIC for x in power_sql(c, c)) + " FROM pscaled), "
+           "plong AS (UNPIVOT ptr ON COLUMNS(* EXCLUDE (response)) INTO NAME var VALUE x), "
+           "pb AS (SELECT var, min(x) AS lo, max(x) AS hi FROM plong GROUP BY var), "
+           "pbin AS (SELECT var, CASE WHEN hi - lo = 0 THEN 0 ELSE least(floor((x - lo) * 10 / (hi - lo)), 9) END AS v, response "
+           "FROM plong JOIN pb USING (var))")
+oracle("best_power_transform", staged(
+    "SELECT feature, transform FROM (SELECT regexp_extract(var, '^(.*)__[^_]+$', 1) AS feature, t.transform, "
+    "row_number() OVER (PARTITION BY regexp_extract(var, '^(.*)__[^_]+$', 1) ORDER BY round(chi2, 9) DESC, t.ord) AS rn "
+    "FROM chi JOIN (VALUES " + ", ".join(f"('{sfx}', '{name}', {i})" for i, (sfx, name) in enumerate(_T_ORDER))
+    + ") t(sfx, transform, ord) ON regexp_extract(var, '__([^_]+)$', 1) = t.sfx) WHERE rn = 1",
+    "pscaled AS (" + minmax_cols(NUMERIC, "cleaned", ["response"]) + ")", _PW_ALL, *chi2_ctes("pbin")))
