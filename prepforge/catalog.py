@@ -16,6 +16,7 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import functions as F
 
 from prepforge.functions.exprs import minmax_expr, safe_ratio
@@ -587,3 +588,232 @@ def q_best_power_apply(spark, sf):
     df = cleaned(spark, sf)
     model, _ = FE.fit_best_power(df, NUMERIC, LABEL)
     return model.transform(df.select("id", *NUMERIC))
+
+
+# ------------------------------------------------- 2.13 / 2.14 splits, models
+from prepforge.operators import models as M  # noqa: E402
+from prepforge.operators import runner as RUN  # noqa: E402
+from prepforge.operators import sample as SA  # noqa: E402
+
+MODEL_COLS = NUMERIC + C360_FLAGS
+SEED = 0
+
+
+_MEMO: dict = {}
+
+
+def memo(spark, sf, name, build):
+    """Per application and folder, build once and keep the checkpointed result."""
+    key = (spark.sparkContext.applicationId, sf.rstrip("/"), name)
+    if key not in _MEMO:
+        ensure_checkpoint_dir(spark)
+        _MEMO[key] = build()
+    return _MEMO[key]
+
+
+def model_data(spark, sf, seed: int = SEED):
+    """cleaned rows, stratified 80/20 split, min-max fitted on train, assembled."""
+    def build():
+        df = SA.split_stratified(cleaned(spark, sf), LABEL, 0.2, seed)
+        train = df.where(F.col("split") == "train")
+        mm = S.fit_minmax(train, NUMERIC)
+        out = M.assemble(mm.transform(df), MODEL_COLS, LABEL, keep=["id", "split"]).checkpoint()
+        return (out.where(F.col("split") == "train").drop("split"),
+                out.where(F.col("split") == "test").drop("split"))
+    return memo(spark, sf, f"model_data{seed}", build)
+
+
+def _scores(model, test, prob=True):
+    out = model.transform(test)
+    s = M.positive_prob() if prob else vector_to_array_raw(out)
+    return out.select("id", F.col(M.LABEL).alias("response"), s.alias("score"), "prediction")
+
+
+def vector_to_array_raw(out):
+    from pyspark.ml.functions import vector_to_array
+    return vector_to_array(F.col("rawPrediction")).getItem(1)
+
+
+@query("split_stratified")
+def q_split_stratified(spark, sf):
+    return SA.split_stratified(cleaned(spark, sf).select("id", LABEL), LABEL, 0.2, SEED)
+
+
+@query("split_random")
+def q_split_random(spark, sf):
+    return SA.split_random(cleaned(spark, sf).select("id", LABEL), 0.2, SEED)
+
+
+@query("kfold_stratified")
+def q_kfold_stratified(spark, sf):
+    return SA.kfold_stratified(cleaned(spark, sf).select("id", LABEL), LABEL, 5, SEED)
+
+
+def _n(train):
+    return train.count()
+
+
+@query("fit_logistic")
+def q_fit_logistic(spark, sf):
+    train, test = model_data(spark, sf)
+    return _scores(M.logistic(1e4, "l2", _n(train)).fit(train), test)
+
+
+@query("fit_tree")
+def q_fit_tree(spark, sf):
+    train, test = model_data(spark, sf)
+    return _scores(M.decision_tree("entropy", 5, 10).fit(train), test)
+
+
+@query("fit_complement_nb")
+def q_fit_complement_nb(spark, sf):
+    train, test = model_data(spark, sf)
+    return _scores(M.complement_nb(1.0).fit(M.clip_features(train)), M.clip_features(test))
+
+
+@query("fit_random_trees")
+def q_fit_random_trees(spark, sf):
+    train, test = model_data(spark, sf)
+    return _scores(M.random_trees(50, 5).fit(train), test)
+
+
+@query("fit_gbt")
+def q_fit_gbt(spark, sf):
+    train, test = model_data(spark, sf)
+    return _scores(M.gbt(2, 0.1, 50).fit(train), test)
+
+
+@query("fit_mlp")
+def q_fit_mlp(spark, sf):
+    train, test = model_data(spark, sf)
+    return _scores(M.mlp(len(MODEL_COLS), (10,), 0.03, 100).fit(train), test)
+
+
+@query("fit_linear_svc")
+def q_fit_linear_svc(spark, sf):
+    train, test = model_data(spark, sf)
+    return _scores(M.linear_svc(0.01).fit(train), test, prob=False)
+
+
+@query("fit_adaboost")
+def q_fit_adaboost(spark, sf):
+    train, test = model_data(spark, sf)
+    ada = M.fit_adaboost(train, rounds=50)
+    return ada.transform(test, keep=["id", F.col(M.LABEL).alias("response")])
+
+
+def _folded(train, k=5):
+    return SA.kfold(train, k, SEED, "id", M.LABEL)
+
+
+@query("tune_grid")
+def q_tune_grid(spark, sf):
+    train, _ = model_data(spark, sf)
+    n = _n(train)
+    lr = M.logistic(1e4, "l2", n)
+    # the reference's three C values for runs 0, 2 and 3, as regParam = 1 / (C n)
+    grid = ParamGridBuilder().addGrid(lr.regParam, [1.0 / (c * n) for c in (1e4, 78.476, 206.914)]).build()
+    cvm = M.tune_grid(_folded(train), lr, grid, "fold")
+    return M.cv_summary(cvm, spark)
+
+
+@query("tune_random")
+def q_tune_random(spark, sf):
+    train, _ = model_data(spark, sf)
+    tree = M.decision_tree()
+    maps = M.random_param_maps(tree, {"maxDepth": (2, 10), "minInstancesPerNode": (1, 20)}, 6, SEED)
+    cvm = M.tune_grid(_folded(train), tree, maps, "fold")
+    return M.cv_summary(cvm, spark)
+
+
+@query("vote_soft")
+def q_vote_soft(spark, sf):
+    train, test = model_data(spark, sf)
+    models = [M.logistic(1e4, "l2", _n(train)).fit(train), M.decision_tree().fit(train),
+              M.random_trees(50, 5).fit(train)]
+    return M.vote_soft(models, test, keep=["id", F.col(M.LABEL).alias("response")])
+
+
+@query("cluster_then_model")
+def q_cluster_then_model(spark, sf):
+    train, test = model_data(spark, sf)
+    k, _, chosen = M.cluster_then_model(train, test, {
+        "logistic": M.logistic(1e4, "l2", _n(train)), "tree": M.decision_tree()})
+    return spark.createDataFrame([(c, m, float(r)) for c, m, r in chosen],
+                                 "cluster int, model string, best_profit_ratio double")
+
+
+@query("kmeans_elbow")
+def q_kmeans_elbow(spark, sf):
+    train, _ = model_data(spark, sf)
+    costs = M.kmeans_costs(train.persist(), range(1, 15))
+    return spark.createDataFrame([(k, c) for k, c in costs], "k int, cost double")
+
+
+@query("predict_new")
+def q_predict_new(spark, sf):
+    df = SA.split_stratified(cleaned(spark, sf), LABEL, 0.2, SEED)
+    train = df.where(F.col("split") == "train")
+    mm = S.fit_minmax(train, NUMERIC)
+    model = M.fit_final(mm.transform(train), MODEL_COLS, LABEL)
+    new = mm.transform(df.where(F.col("split") == "test").drop(LABEL))
+    return model.transform(new).select("id", M.positive_prob().alias("score"), "prediction")
+
+
+@query("coef_rank")
+def q_coef_rank(spark, sf):
+    train, _ = model_data(spark, sf)
+    return M.coef_rank(M.logistic(1e4, "l2", _n(train)).fit(train), MODEL_COLS, spark)
+
+
+def _cv_log(spark, sf):
+    def build():
+        train, _ = model_data(spark, sf)
+        return RUN.cv_report(_folded(train), {"logistic": M.logistic(1e4, "l2", _n(train))}) \
+            .checkpoint()
+    return memo(spark, sf, "cv_log", build)
+
+
+@query("cv_report")
+def q_cv_report(spark, sf):
+    return RUN.averages(_cv_log(spark, sf))
+
+
+@query("sink_run_log")
+def q_sink_run_log(spark, sf):
+    path = scratch_path(spark, "runlog")
+    IO.sink_run_log(_cv_log(spark, sf), path)
+    return spark.read.parquet(path).where(F.col("run") == 0)
+
+
+@query("sink_pipeline_json")
+def q_sink_pipeline_json(spark, sf):
+    steps = {"preprocessing": ["drop_missing", "outlier_boxplot", "minmax_scale"],
+             "feature_engineering": ["business_features", "rank_tree_importance", "smote_nc"]}
+    return IO.sink_steps_json(spark, steps, scratch_path(spark, "steps"))
+
+
+@query("rank_tree_importance")
+def q_rank_tree_importance(spark, sf):
+    df = featured(spark, sf)
+    return SEL.rank_tree_importance(df, FEATURED_NUMERIC + C360_FLAGS, LABEL, n=20, num_trees=50)
+
+
+@query("select_rfe")
+def q_select_rfe(spark, sf):
+    df = cleaned(spark, sf)
+    mm = S.fit_minmax(df, NUMERIC).transform(df)
+    return SEL.select_rfe(mm, NUMERIC, LABEL, n=8)
+
+
+@query("select_forward_tree")
+def q_select_forward_tree(spark, sf):
+    df = cleaned(spark, sf)
+    return SEL.select_forward_tree(df, NUMERIC, LABEL, n_select=2, folds=10)
+
+
+@query("select_genetic")
+def q_select_genetic(spark, sf):
+    df = cleaned(spark, sf)
+    mm = S.fit_minmax(df, NUMERIC).transform(df)
+    return SEL.select_genetic(mm, NUMERIC, LABEL, n_pop=8, n_gen=2)
