@@ -857,3 +857,110 @@ def q_smote_nc(spark, sf):
 @query("adasyn")
 def q_adasyn(spark, sf):
     return NB.adasyn(low_d(spark, sf, SMOTE_COLS), SMOTE_COLS, LABEL, k=5, seed=SEED)
+
+
+# ------------------------------------------- 2.8 / 2.11 matrix methods, forests
+from prepforge.operators import multivariate as MV  # noqa: E402
+
+MV_COLS = ["income", "recency", "mnt_wines", "mnt_meat", "num_deals", "num_web", "num_store",
+           "num_days_customer"]
+
+
+def _mv(spark, sf):
+    df = cleaned(spark, sf)
+    return S.fit_minmax(df, MV_COLS).transform(df.select("id", LABEL, *MV_COLS, *C360_FLAGS))
+
+
+@query("mahalanobis")
+def q_mahalanobis(spark, sf):
+    return MV.mahalanobis(_mv(spark, sf), MV_COLS)
+
+
+@query("mahalanobis_scores")
+def q_mahalanobis_scores(spark, sf):
+    return MV.mahalanobis_scores(_mv(spark, sf), MV_COLS).withColumn("md", F.round("md", 6))
+
+
+@query("cooks_distance")
+def q_cooks_distance(spark, sf):
+    return MV.cooks_outliers(_mv(spark, sf), "income", [c for c in MV_COLS if c != "income"])
+
+
+@query("elliptic_envelope")
+def q_elliptic_envelope(spark, sf):
+    return MV.elliptic_envelope(_mv(spark, sf), MV_COLS, contamination=0.1).where("flagged").select("id")
+
+
+@query("isolation_forest")
+def q_isolation_forest(spark, sf):
+    return MV.isolation_forest(_mv(spark, sf), MV_COLS, contamination=0.1, n_trees=100, sample=100)
+
+
+@query("extended_isolation_forest")
+def q_extended_isolation_forest(spark, sf):
+    return MV.extended_isolation_forest(_mv(spark, sf), MV_COLS, n_trees=100, sample=256, ext=2)
+
+
+@query("kmeans_loo_gain")
+def q_kmeans_loo_gain(spark, sf):
+    return MV.kmeans_loo_gain(_mv(spark, sf), MV_COLS, [2, 3, 4])
+
+
+def _split_mv(spark, sf):
+    df = SA.split_stratified(cleaned(spark, sf).select("id", LABEL, *MV_COLS, *C360_FLAGS),
+                             LABEL, 0.2, SEED)
+    tr = df.where(F.col("split") == "train")
+    mm = S.fit_minmax(tr, MV_COLS)
+    return mm.transform(tr), mm.transform(df.where(F.col("split") == "test"))
+
+
+@query("pca_80")
+def q_pca_80(spark, sf):
+    tr, un = _split_mv(spark, sf)
+    mu, comps, _ = MV.fit_pca(tr, MV_COLS, 0.8)
+    ptr = MV.pca_project(tr, MV_COLS, mu, comps, keep=["id", LABEL])
+    pun = MV.pca_project(un, MV_COLS, mu, comps, keep=["id", LABEL])
+    cc = [c for c in ptr.columns if c.startswith("c_")]
+    mm = S.fit_minmax(ptr, cc)
+    return mm.transform(ptr).withColumn("part", F.lit("train")).unionByName(
+        mm.transform(pun).withColumn("part", F.lit("unseen")))
+
+
+@query("explained_variance")
+def q_explained_variance(spark, sf):
+    tr, _ = _split_mv(spark, sf)
+    return MV.explained_variance(tr, MV_COLS)
+
+
+@query("lda")
+def q_lda(spark, sf):
+    df = _mv(spark, sf)
+    mu, dirs, ratio = MV.fit_lda(df, MV_COLS, LABEL)
+    return df.select("id", LABEL, *[MV.lin_form(MV_COLS, mu, dirs[:, j]).alias(f"ld_{j}")
+                                    for j in range(dirs.shape[1])],
+                     F.lit(float(ratio[0])).alias("explained_ratio"))
+
+
+@query("factor_analysis")
+def q_factor_analysis(spark, sf):
+    df = _mv(spark, sf)
+    mu, W, psi, beta = MV.fit_factor_analysis(df, MV_COLS, n_components=3)
+    return df.select("id", *[MV.lin_form(MV_COLS, mu, beta[j]).alias(f"f_{j}")
+                             for j in range(beta.shape[0])])
+
+
+@query("fast_ica")
+def q_fast_ica(spark, sf):
+    df = _mv(spark, sf)
+    cols = MV_COLS[:4]
+    mu, unmix = MV.fit_fast_ica(df, cols, n_components=4)
+    return df.select("id", *[MV.lin_form(cols, mu, unmix[j]).alias(f"s_{j}")
+                             for j in range(unmix.shape[0])])
+
+
+@query("multi_factor")
+def q_multi_factor(spark, sf):
+    df = _mv(spark, sf)
+    cols, mu, comps, ratio = MV.fit_multi_factor(df, {"numerical": MV_COLS, "categorical": C360_FLAGS})
+    return df.select("id", *[MV.lin_form(cols, mu, comps[:, j]).alias(f"c_{j}")
+                             for j in range(comps.shape[1])])
