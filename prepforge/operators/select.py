@@ -258,33 +258,33 @@ def select_rfe(df: DataFrame, cols, label_col: str, n: int, max_iter: int = 100)
     return df.sparkSession.createDataFrame([(c,) for c in keep], "var string")
 
 
+def _fold_accuracy(vec, k, max_depth, seed):
+    tr, te = vec.where(F.col("fold") != k), vec.where(F.col("fold") == k)
+    m = DecisionTreeClassifier(maxDepth=max_depth, seed=seed).fit(tr)
+    return m.transform(te).agg(F.avg((F.col("prediction") == F.col("label")).cast("double"))).first()[0] or 0.0
+
+
 def select_forward_tree(df: DataFrame, cols, label_col: str, n_select: int, folds: int = 10,
-                        seed: int = 0, max_depth: int = 5) -> DataFrame:
+                        seed: int = 0, max_depth: int = 5, parallelism: int = 8) -> DataFrame:
     """Greedy forward selection by mean k-fold accuracy of a decision tree.
 
-    Folds come from a key hash, data is cached once, and each candidate set
-    is scored by ``folds`` distributed tree fits."""
+    Folds come from a key hash and the frame is cached once; in each step the
+    (candidate, fold) fits are independent distributed jobs submitted from a
+    thread pool of ``parallelism`` threads."""
+    from concurrent.futures import ThreadPoolExecutor
     data = df.select(*cols, F.col(label_col).cast("double").alias("label")) \
         .withColumn("fold", F.pmod(F.xxhash64(*cols, F.lit(seed)), F.lit(folds))).persist()
     chosen: list[str] = []
     try:
-        while len(chosen) < n_select:
-            best = None
-            for c in cols:
-                if c in chosen:
-                    continue
-                feats = chosen + [c]
-                vec = VectorAssembler(inputCols=feats, outputCol="features").transform(data)
-                acc = 0.0
-                for k in range(folds):
-                    tr, te = vec.where(F.col("fold") != k), vec.where(F.col("fold") == k)
-                    m = DecisionTreeClassifier(maxDepth=max_depth, seed=seed).fit(tr)
-                    r = m.transform(te).agg(F.avg((F.col("prediction") == F.col("label"))
-                                                  .cast("double"))).first()[0]
-                    acc += (r or 0.0) / folds
-                if best is None or acc > best[1]:
-                    best = (c, acc)
-            chosen.append(best[0])
+        with ThreadPoolExecutor(parallelism) as pool:
+            while len(chosen) < n_select:
+                cands = [c for c in cols if c not in chosen]
+                vecs = {c: VectorAssembler(inputCols=chosen + [c], outputCol="features").transform(data)
+                        for c in cands}
+                futs = {(c, k): pool.submit(_fold_accuracy, vecs[c], k, max_depth, seed)
+                        for c in cands for k in range(folds)}
+                acc = {c: sum(futs[(c, k)].result() for k in range(folds)) / folds for c in cands}
+                chosen.append(max(cands, key=lambda c: (acc[c], -cands.index(c))))
     finally:
         data.unpersist()
     return df.sparkSession.createDataFrame([(c, i + 1) for i, c in enumerate(chosen)],
@@ -293,11 +293,13 @@ def select_forward_tree(df: DataFrame, cols, label_col: str, n_select: int, fold
 
 def select_genetic(df: DataFrame, cols, label_col: str, n_pop: int = 12, n_gen: int = 3,
                    folds: int = 5, seed: int = 0, cx_prob: float = 0.5, mut_prob: float = 0.2,
-                   flip_prob: float = 0.1, tournament: int = 3) -> DataFrame:
+                   flip_prob: float = 0.1, tournament: int = 3, parallelism: int = 8) -> DataFrame:
     """Genetic search over 0/1 feature masks.  Fitness is the F1 of
     out-of-fold predictions of a logistic regression over ``folds`` hash folds.
     The driver holds only masks; each fitness is ``folds`` Spark ML fits on the
-    cached frame and is memoised by mask."""
+    cached frame, memoised by mask, and a generation's new masks are scored
+    concurrently from a thread pool."""
+    from concurrent.futures import ThreadPoolExecutor
     rng = np.random.default_rng(seed)
     d = len(cols)
     data = df.select(*cols, F.col(label_col).cast("double").alias("label")) \
@@ -325,10 +327,18 @@ def select_genetic(df: DataFrame, cols, label_col: str, n_pop: int = 12, n_gen:
         memo[key] = f1
         return f1
 
+    pool = ThreadPoolExecutor(parallelism)
+
+    def score_all(pop):
+        new = {tuple(int(b) for b in p) for p in pop} - set(memo)
+        for key, f in [(k, pool.submit(fitness, np.array(k))) for k in new]:
+            f.result()
+        return [fitness(p) for p in pop]
+
     try:
         pop = [rng.integers(0, 2, d) for _ in range(n_pop)]
         for _ in range(n_gen):
-            fits = [fitness(p) for p in pop]
+            fits = score_all(pop)
             nxt = []
             while len(nxt) < n_pop:
                 a = max(rng.choice(n_pop, tournament, replace=False), key=lambda i: fits[i])
@@ -343,9 +353,10 @@ def select_genetic(df: DataFrame, cols, label_col: str, n_pop: int = 12, n_gen:
                         z[flips] = 1 - z[flips]
                 nxt += [x, y]
             pop = nxt[:n_pop]
-        fits = [fitness(p) for p in pop]
+        fits = score_all(pop)
         best = pop[int(np.argmax(fits))]
     finally:
+        pool.shutdown()
         data.unpersist()
     chosen = [c for c, b in zip(cols, best) if b]
     return df.sparkSession.createDataFrame([(c, float(max(fits))) for c in chosen],
