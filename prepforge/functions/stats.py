@@ -30,16 +30,28 @@ _STAT = {
     "max": lambda c: F.max(c),
     "sum": lambda c: F.sum(c),
     "nulls": lambda c: F.count_if(F.col(c).isNull()),
-    "median": lambda c: F.percentile(c, 0.5),
-    "q1": lambda c: F.percentile(c, 0.25),
-    "q3": lambda c: F.percentile(c, 0.75),
 }
+_QUANT = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 
 
 def column_stats(df: DataFrame, cols, stats) -> dict[str, dict[str, float]]:
     """{col: {stat: value}} from one aggregation per batch of columns."""
     cols = list(cols)
     out: dict[str, dict[str, float]] = {c: {} for c in cols}
+    qs = [s for s in stats if s in _QUANT]
+    if qs and cols:
+        # exact quantiles from grouped counts + bucketed running sums (no
+        # per-column value map in one task); result: cols x quantiles rows
+        from prepforge.plans.prefix import exact_quantiles
+        long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]) \
+            .unpivot([], cols, "__var", "__x")
+        got = {(r["__var"], r["p"]): r["q"] for r in
+               exact_quantiles(long, "__x", [_QUANT[s] for s in qs], ["__var"]).collect()}
+        for c in cols:
+            for s_ in qs:
+                v = got.get((c, _QUANT[s_]))
+                out[c][s_] = None if v is None else float(v)
+    stats = [s for s in stats if s not in _QUANT]
     pairs = [(c, s) for c in cols for s in stats]
     for i in range(0, len(pairs), _BATCH):
         chunk = pairs[i:i + _BATCH]
@@ -166,3 +178,11 @@ def pinv(m: np.ndarray) -> np.ndarray:
         return np.linalg.inv(m)
     except np.linalg.LinAlgError:
         return np.linalg.lstsq(m, np.eye(m.shape[0]), rcond=None)[0]
+
+
+def quantile(df: DataFrame, col: str, p: float) -> float | None:
+    """Exact linear-interpolation quantile of one column (distributed, see
+    :func:`prepforge.plans.prefix.exact_quantiles`)."""
+    from prepforge.plans.prefix import exact_quantiles
+    r = exact_quantiles(df.select(F.col(col).cast("double").alias("__x")), "__x", [p]).first()
+    return None if r is None else r["q"]

@@ -21,7 +21,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from prepforge.functions.stats import column_stats, pinv
+from prepforge.functions.stats import column_stats, pinv, quantile
 from prepforge.operators.outliers import outlier_iqr_scores
 
 
@@ -79,8 +79,9 @@ def mahalanobis(df: DataFrame, cols, percent: float = 0.03, t: float = 3.0,
     hi, lo = st["m"] + t * st["s"], st["m"] - t * st["s"]
     dist = F.when(F.col("md") >= hi, F.col("md") - hi).when(F.col("md") <= lo, lo - F.col("md"))
     n = int(st["n"] * percent)
-    return (md.withColumn("dist", dist).where(F.col("dist").isNotNull())
-            .orderBy(F.col("dist").desc(), F.col(id_col)).limit(n).select(id_col))
+    from prepforge.plans.prefix import top_n_exact
+    flagged = md.withColumn("dist", dist).where(F.col("dist").isNotNull())
+    return top_n_exact(flagged, "dist", [id_col], n).select(id_col)
 
 
 # ------------------------------------------------------------ Cook's distance
@@ -133,7 +134,7 @@ def elliptic_envelope(df: DataFrame, cols, contamination: float = 0.1, id_col: s
     prev = None
     for _ in range(max_steps):
         md2 = data.withColumn("__md2", quad_form(cols, mu, pinv(cov)))
-        cut = md2.agg(F.percentile("__md2", frac)).first()[0]
+        cut = quantile(md2, "__md2", frac)
         sub = md2.where(F.col("__md2") <= cut)
         _, mu2, cov2 = moments(sub, cols)
         det = float(np.linalg.slogdet(cov2)[1]) if np.all(np.isfinite(cov2)) else float("inf")
@@ -142,7 +143,7 @@ def elliptic_envelope(df: DataFrame, cols, contamination: float = 0.1, id_col: s
             break
         prev = det
     scored = data.select(id_col, quad_form(cols, mu, pinv(cov)).alias("md2"))
-    thr = scored.agg(F.percentile("md2", 1.0 - contamination)).first()[0]
+    thr = quantile(scored, "md2", 1.0 - contamination)
     out = scored.withColumn("flagged", F.col("md2") > F.lit(thr))
     return out
 
@@ -352,13 +353,16 @@ def fit_isolation_forest(df: DataFrame, cols, n_trees: int = 100, sample: int =
     with ext + 1 non-zero normal components.  Returns the forest as rows."""
     cols = list(cols)
     n = df.count()
-    p = min(1.0, 4.0 * sample / max(n, 1))
-    thr = int(p * (2 ** 31))
+    p = min(1.0, 4.0 * sample / max(n, 1))            # per-tree inclusion rate
+    P = min(1.0, p * n_trees)                          # one-hash pre-filter rate
     limit = int(math.ceil(math.log2(max(sample, 2))))
+    u0 = F.pmod(F.xxhash64(F.col(id_col), F.lit(seed), F.lit(-1)), F.lit(2 ** 31))
+    pre = df.select(id_col, *[F.col(c).cast("double").alias(c) for c in cols]) \
+        .where(u0 < F.lit(int(P * (2 ** 31))))         # one hash per row, ~4 x sample x trees kept
     trees = F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1))).alias("tree")
     h = F.pmod(F.xxhash64(F.col(id_col), F.col("tree"), F.lit(seed)), F.lit(2 ** 31))
-    picked = (df.select(id_col, *[F.col(c).cast("double").alias(c) for c in cols], trees)
-              .withColumn("__h", h).where(F.col("__h") < F.lit(thr)))
+    thr = int(min(1.0, p / P) * (2 ** 31)) if P > 0 else 0
+    picked = pre.select("*", trees).withColumn("__h", h).where(F.col("__h") < F.lit(thr))
 
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:
         t = int(pdf["tree"].iloc[0])
@@ -423,7 +427,7 @@ def isolation_forest(df: DataFrame, cols, contamination: float = 0.1, n_trees: i
     """Keys whose isolation score is above its (1 - contamination) quantile."""
     forest, s = fit_isolation_forest(df, cols, n_trees, sample, -1, seed, id_col)
     sc = isolation_scores(df, cols, forest.collect(), s, id_col).persist()
-    thr = sc.agg(F.percentile("score", 1.0 - contamination)).first()[0]
+    thr = quantile(sc, "score", 1.0 - contamination)
     return sc.where(F.col("score") > F.lit(thr)).select(id_col)
 
 

@@ -72,12 +72,14 @@ def outlier_boxplot(df: DataFrame, cols, percent: float = 0.03, threshold: float
                     id_col: str = "id") -> DataFrame:
     """Keys of the top ``int(n * percent)`` flags by fence distance (ties by key, var).
 
-    The ``limit`` is the operator's own rule (a top share), planned as a
-    TakeOrderedAndProject that keeps at most n rows per task."""
+    The top share grows with the data, so it is cut exactly by
+    :func:`prepforge.plans.prefix.top_n_exact` (a cut value from a bucketed
+    running sum, then a bucketed rank inside the tie group), never by a
+    single-task ``limit`` of millions of rows."""
+    from prepforge.plans.prefix import top_n_exact
     n = int(df.count() * percent)
     flags = _box_flags(df, cols, threshold, id_col)
-    top = flags.orderBy(F.col("dist").desc(), F.col(id_col), F.col("var")).limit(n)
-    return top.select(id_col).distinct()
+    return top_n_exact(flags, "dist", [id_col, "var"], n).select(id_col).distinct()
 
 
 def outlier_robust_z(df: DataFrame, cols, threshold: float = 5.0, id_col: str = "id") -> DataFrame:

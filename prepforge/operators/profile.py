@@ -18,6 +18,21 @@ def _q(c, p, approx):
     return F.percentile_approx(c, p, 10000) if approx else F.percentile(c, p)
 
 
+def _with_quantiles(long, keys, base_aggs, qnames, approx):
+    """``base_aggs`` per key group joined with quartiles per key group.  Exact
+    quartiles come from grouped counts and bucketed running sums (no value
+    map per group in one task); ``approx`` uses ``percentile_approx``."""
+    probs = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
+    if approx:
+        return long.groupBy(*keys).agg(*base_aggs, *[_q("x", probs[n], True).alias(qnames[n])
+                                                       for n in qnames])
+    from prepforge.plans.prefix import exact_quantiles
+    q = exact_quantiles(long, "x", [probs[n] for n in qnames], keys)
+    piv = q.groupBy(*keys).agg(*[F.max(F.when(F.col("p") == probs[n], F.col("q"))).alias(qnames[n])
+                                 for n in qnames])
+    return long.groupBy(*keys).agg(*base_aggs).join(piv, keys, "left")
+
+
 def _as_double(df: DataFrame, cols, keep=()):
     return df.select(*keep, *[F.col(c).cast("double").alias(c) for c in cols])
 
@@ -28,11 +43,10 @@ def describe_numeric(df: DataFrame, cols, approx: bool = False, group_col: str |
     keep = [group_col] if group_col else []
     long = _as_double(df, cols, keep).unpivot(keep, list(cols), "var", "x")
     g = ["var"] + keep
-    out = long.groupBy(*g).agg(
-        F.count("x").alias("count"), F.avg("x").alias("mean"), F.stddev_samp("x").alias("std"),
-        F.min("x").alias("min"), _q("x", 0.25, approx).alias("p25"),
-        _q("x", 0.5, approx).alias("p50"), _q("x", 0.75, approx).alias("p75"),
-        F.max("x").alias("max"))
+    out = _with_quantiles(long, g, [F.count("x").alias("count"), F.avg("x").alias("mean"),
+                                    F.stddev_samp("x").alias("std"), F.min("x").alias("min"),
+                                    F.max("x").alias("max")],
+                          {"p25": "p25", "p50": "p50", "p75": "p75"}, approx)
     if digits is not None:
         out = out.withColumns({c: F.round(c, digits) for c in
                                ["mean", "std", "min", "p25", "p50", "p75", "max"]})
@@ -67,10 +81,10 @@ def response_rate(df: DataFrame, label_col: str) -> DataFrame:
 def five_number_by_label(df: DataFrame, cols, label_col: str, approx: bool = False,
                          digits: int = 6) -> DataFrame:
     long = _as_double(df, cols, [label_col]).unpivot([label_col], list(cols), "var", "x")
-    return long.groupBy("var", label_col).agg(
-        F.round(F.min("x"), digits).alias("min"), F.round(_q("x", 0.25, approx), digits).alias("q1"),
-        F.round(_q("x", 0.5, approx), digits).alias("median"),
-        F.round(_q("x", 0.75, approx), digits).alias("q3"), F.round(F.max("x"), digits).alias("max"))
+    out = _with_quantiles(long, ["var", label_col], [F.min("x").alias("min"), F.max("x").alias("max")],
+                          {"p25": "q1", "p50": "median", "p75": "q3"}, approx)
+    return out.select("var", label_col, *[F.round(c, digits).alias(c)
+                                          for c in ["min", "q1", "median", "q3", "max"]])
 
 
 def crosstab_shares(df: DataFrame, cat_col: str, label_col: str, digits: int = 6) -> DataFrame:

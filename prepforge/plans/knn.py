@@ -25,6 +25,8 @@ from pyspark.sql import functions as F
 
 from prepforge.functions.stats import column_stats
 
+_DEBUG = bool(__import__("os").environ.get("PREPFORGE_DEBUG_KNN"))
+
 
 def grid_coords(df: DataFrame, cols, max_dims: int = 3) -> list[str]:
     st = column_stats(df, cols, ["var_pop"])
@@ -114,6 +116,8 @@ def knn_join(left: DataFrame, right: DataFrame, cols, k: int, id_col: str = "id"
         done = res if done is None else done.unionByName(res)
         nxt = pending.join(ok, lid, "left_anti").persist()
         left_over = 0 if covers_all else nxt.count()
+        if _DEBUG:
+            print(f"knn round {t}: side={side:.4g} unresolved={left_over}", flush=True)
         pending.unpersist()
         pending = nxt
         if left_over == 0:

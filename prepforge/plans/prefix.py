@@ -81,3 +81,73 @@ def hash_rank(df: DataFrame, hash_col: str, group_cols=(), bits: int = 8,
     return (work.join(F.broadcast(offsets), on=group_cols + [BUCKET], how="left")
             .withColumn(out, (F.row_number().over(w) - 1 + F.col("__off")).cast("long"))
             .drop(BUCKET, "__off"))
+
+
+def exact_quantiles(long_df: DataFrame, value_col: str, probs, group_cols=(),
+                    n_buckets: int = 64) -> DataFrame:
+    """Exact quantiles with linear interpolation (position p * (n - 1)) per group.
+
+    Rows are grouped to (group, value) counts first, so a hot value is one
+    row; a bucketed running sum gives each distinct value its rank range;
+    the values at ranks floor(h) and ceil(h) are found by a range join on
+    the rank range.  No task holds a whole group's value map.
+    Returns rows (group..., p, q).
+    """
+    g = list(group_cols)
+    out_g = list(g)
+    if not g:  # a constant key keeps every join below an equi-join
+        long_df = long_df.withColumn("__g0", F.lit(0))
+        g = ["__g0"]
+    counts = long_df.where(F.col(value_col).isNotNull()) \
+        .groupBy(*g, value_col).agg(F.count(F.lit(1)).alias("__c"))
+    cum = running_sums(counts, value_col, ["__c"], group_cols=g, n_buckets=n_buckets,
+                       suffix="_cum")  # rank range of a value: [cum - c, cum)
+    tot = counts.groupBy(*g).agg(F.sum("__c").alias("__n"))
+    # positions per (group, p): bounded by groups x len(probs) rows
+    arr = F.array(*[F.struct(F.lit(float(p)).alias("p"), F.lit(i).alias("__pi"))
+                    for i, p in enumerate(probs)])
+    pos = tot.withColumn("__ps", F.explode(arr)).select(*g, "__n", "__ps.p", "__ps.__pi")
+    pos = pos.withColumn("__h", F.col("p") * (F.col("__n") - 1)) \
+        .withColumn("__lo", F.floor("__h")).withColumn("__hi", F.ceil("__h"))
+    ends = pos.select(*g, "p", "__pi", "__h", F.col("__lo").alias("__r"), F.lit(0).alias("__side")) \
+        .unionByName(pos.select(*g, "p", "__pi", "__h", F.col("__hi").alias("__r"), F.lit(1).alias("__side")))
+    hit = ends.join(cum, g).where((F.col("__r") >= F.col("__c_cum") - F.col("__c"))
+                                     & (F.col("__r") < F.col("__c_cum")))
+    piv = hit.groupBy(*g, "p", "__pi", "__h").agg(
+        F.max(F.when(F.col("__side") == 0, F.col(value_col))).alias("__vlo"),
+        F.max(F.when(F.col("__side") == 1, F.col(value_col))).alias("__vhi"))
+    frac = F.col("__h") - F.floor("__h")
+    q = F.col("__vlo") + frac * (F.col("__vhi") - F.col("__vlo"))
+    return piv.select(*out_g, "p", q.alias("q"))
+
+
+def top_n_exact(df: DataFrame, key_col: str, tie_cols, n: int, n_buckets: int = 64) -> DataFrame:
+    """The first ``n`` rows ordered by ``key_col`` descending, then ``tie_cols``.
+
+    Exact and without a single-task merge of n rows: distinct key values and
+    their counts give (by a bucketed running sum) the cut value v*; rows above
+    v* are kept by a filter; rows equal to v* (a tie group that may be hot)
+    are ranked by ``tie_cols`` with range buckets on the first tie column."""
+    if n <= 0:
+        return df.limit(0)
+    counts = df.groupBy(key_col).agg(F.count(F.lit(1)).alias("__c"))
+    cum = running_sums(counts, key_col, ["__c"], descending=True, n_buckets=n_buckets)
+    cut = cum.where(F.col("__c_cum") >= n).agg(
+        F.max(key_col).alias("v"), F.max_by(F.col("__c_cum") - F.col("__c"), F.col(key_col)).alias("before")
+    ).first()
+    if cut["v"] is None:  # fewer than n rows
+        return df
+    v, before = cut["v"], int(cut["before"])
+    above = df.where(F.col(key_col) > F.lit(v))
+    ties = df.where(F.col(key_col) == F.lit(v))
+    need = n - before
+    first = tie_cols[0]
+    b = range_bucket(ties, first, n_buckets)
+    tb = ties.withColumn(BUCKET, b)
+    bc = tb.groupBy(BUCKET).agg(F.count(F.lit(1)).alias("__n"))
+    w_off = Window.partitionBy(F.lit(0)).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    off = bc.select(BUCKET, F.coalesce(F.sum("__n").over(w_off), F.lit(0)).alias("__off"))
+    w = Window.partitionBy(BUCKET).orderBy(*[F.col(c) for c in tie_cols])
+    ranked = tb.join(F.broadcast(off), BUCKET).withColumn(
+        "__rk", F.row_number().over(w) - 1 + F.col("__off"))
+    return above.unionByName(ranked.where(F.col("__rk") < need).drop(BUCKET, "__off", "__rk"))
