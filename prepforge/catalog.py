@@ -964,3 +964,18 @@ def q_multi_factor(spark, sf):
     cols, mu, comps, ratio = MV.fit_multi_factor(df, {"numerical": MV_COLS, "categorical": C360_FLAGS})
     return df.select("id", *[MV.lin_form(cols, mu, comps[:, j]).alias(f"c_{j}")
                              for j in range(comps.shape[1])])
+
+
+MV2 = ["income", "recency"]
+
+
+@query("mahalanobis_2d")
+def q_mahalanobis_2d(spark, sf):
+    df = _mv(spark, sf)
+    return MV.mahalanobis_scores(df, MV2).withColumn("md", F.round("md", 6))
+
+
+@query("cooks_distance_2reg")
+def q_cooks_distance_2reg(spark, sf):
+    d = MV.cooks_distance(_mv(spark, sf), "income", ["recency", "mnt_wines"])
+    return d.withColumn("cooks_d", F.round("cooks_d", 6))

@@ -571,3 +571,25 @@ oracle("dbscan_noise", staged(
     _LOWD_CTE,
     f"pairs AS (SELECT a.id AS lid, b.id AS rid FROM lowd a JOIN lowd b ON {_DIST} <= 0.1)",
     "core AS (SELECT lid AS id FROM pairs GROUP BY lid HAVING count(*) >= 5)"))
+
+
+# ------------------------------------------- two-dimensional matrix cases
+_MV_COLS = ["income", "recency", "mnt_wines", "mnt_meat", "num_deals", "num_web", "num_store",
+            "num_days_customer"]
+_MV_CTE = "mv AS (" + minmax_cols(_MV_COLS, "cleaned", ["id"]) + ")"
+oracle("mahalanobis_2d", staged(
+    "SELECT id, round(sqrt(greatest((s_bb * da * da - 2 * s_ab * da * db + s_aa * db * db) / (s_aa * s_bb - s_ab * s_ab), 0)), 6) AS md "
+    "FROM (SELECT id, income - ma AS da, recency - mb AS db, s_aa, s_ab, s_bb FROM mv, "
+    "(SELECT avg(income) AS ma, avg(recency) AS mb, covar_samp(income, income) AS s_aa, "
+    "covar_samp(income, recency) AS s_ab, covar_samp(recency, recency) AS s_bb FROM mv) st)", _MV_CTE))
+oracle("cooks_distance_2reg", staged(
+    "SELECT id, round(e * e / (2 * s2) * h / ((1 - h) * (1 - h)), 6) AS cooks_d FROM ("
+    "SELECT id, e, h, (SELECT sum(e2) FROM r2) / (count(*) OVER () - 2) AS s2 FROM r2)",
+    _MV_CTE,
+    "xx AS (SELECT sum(recency * recency) AS a, sum(recency * mnt_wines) AS b, sum(mnt_wines * mnt_wines) AS c, "
+    "sum(recency * income) AS py, sum(mnt_wines * income) AS qy FROM mv)",
+    "inv AS (SELECT c / (a * c - b * b) AS i11, -b / (a * c - b * b) AS i12, a / (a * c - b * b) AS i22, py, qy FROM xx)",
+    "coef AS (SELECT i11 * py + i12 * qy AS b1, i12 * py + i22 * qy AS b2, i11, i12, i22 FROM inv)",
+    "r2 AS (SELECT id, income - (b1 * recency + b2 * mnt_wines) AS e, (income - (b1 * recency + b2 * mnt_wines)) * "
+    "(income - (b1 * recency + b2 * mnt_wines)) AS e2, i11 * recency * recency + 2 * i12 * recency * mnt_wines + "
+    "i22 * mnt_wines * mnt_wines AS h FROM mv, coef)"))
