@@ -85,3 +85,17 @@ def test_mahalanobis_ranks_planted_first(spark):
     df = spark.createDataFrame([(i, *map(float, X[i])) for i in range(400)], "id long, a double, b double, c double")
     md = MV.mahalanobis_scores(df, ["a", "b", "c"]).orderBy(F.col("md").desc()).first()
     assert md.id == 11
+
+
+def test_dbscan_noise_with_hot_duplicate_group(spark):
+    # a third of the rows sit on one point: they collapse to one weighted location
+    rng = np.random.default_rng(9)
+    X = rng.uniform(0, 1, size=(300, 2))
+    X[:100] = [0.5, 0.5]
+    rows = [(i, float(X[i, 0]), float(X[i, 1])) for i in range(300)]
+    df = spark.createDataFrame(rows, "id long, a double, b double")
+    got = sorted(r.id for r in NB.dbscan_noise(df, ["a", "b"], 0.05, 5).collect())
+    D = np.sqrt(((X[:, None, :] - X[None, :, :]) ** 2).sum(-1))
+    core = (D <= 0.05).sum(1) >= 5
+    noise = [i for i in range(300) if not core[i] and not (core & (D[i] <= 0.05)).any()]
+    assert got == noise
