@@ -12,7 +12,8 @@ distance is within the distance from the query to the ring's outer edge; the
 rest go to the next round, whose cells are twice as wide.  The answer is exact.
 
 The cell side is chosen so that a cell holds about ``target`` points on
-average; the work per query is the occupancy of its ring.
+average; the work per query is the occupancy of its block.  Identical rows
+are collapsed to weighted locations first (see :func:`knn_join`).
 """
 
 from __future__ import annotations
@@ -55,28 +56,22 @@ def _sqdist(cols, lp="l_", rp="r_"):
                F.pow(F.col(f"{lp}{cols[0]}") - F.col(f"{rp}{cols[0]}"), 2))
 
 
-def knn_join(left: DataFrame, right: DataFrame, cols, k: int, id_col: str = "id",
-             exclude_self: bool = True, extra_sqdist=None, target: float = 16.0,
-             max_rounds: int = 40, payload=()) -> DataFrame:
-    """Rows (left_id, right_id, dist, rank) with the k nearest right rows of
-    every left row (Euclidean over ``cols`` plus optional ``extra_sqdist``,
-    a function (lp, rp) -> Column of non-negative squared terms, which may read
-    the ``payload`` columns carried on both sides; ties by id).
+def _knn_locations(Lq: DataFrame, R: DataFrame, cols, payload, need_w: int, extra_sqdist,
+                   target: float, max_rounds: int) -> DataFrame:
+    """Weighted k-NN over distinct locations.
 
-    Round t uses cells of side h * 2**t and the 3**m block around the query's
-    cell; unresolved queries move to the next, coarser round.  Once the side
-    exceeds the data span the block holds every right row, so all resolve."""
-    cols = list(cols)
-    gcols = grid_coords(right, cols)
-    h, st = cell_side(right, gcols, target)
+    ``Lq``: (l_loc, l_<cols>, l_<payload>) query locations; ``R``: (r_loc, r_w,
+    r_<cols>, r_<payload>) right locations with multiplicity ``r_w``.  For each
+    query keeps every right location closer than the distance at which the
+    cumulative multiplicity reaches ``need_w`` (ties at that distance kept).
+    Returns (l_loc, r_loc, dist)."""
+    gcols = grid_coords(R.select(*[F.col(f"r_{c}").alias(c) for c in cols]), cols)
+    h, st = cell_side(R.select(*[F.col(f"r_{c}").alias(c) for c in gcols]), gcols, target)
     span = max(max((st[c]["max"] or 0) - (st[c]["min"] or 0), 0.0) for c in gcols)
     m = len(gcols)
-    lid, rid = f"l_{id_col}", f"r_{id_col}"
-    carry = [id_col, *cols, *payload]
-    R = right.select(*[F.col(c).alias(f"r_{c}") for c in carry]).persist()
-    n_right = R.count()
-    need = min(k, n_right - (1 if exclude_self else 0))
-    pending = left.select(*[F.col(c).alias(f"l_{c}") for c in carry]).persist()
+    total_w = R.agg(F.sum("r_w")).first()[0] or 0
+    need = min(need_w, total_w)
+    pending = Lq.persist()
     offs = list(itertools.product(range(-1, 2), repeat=m))
     arr = F.array(*[F.struct(*[F.lit(o[i]).alias(f"o{i}") for i in range(m)]) for o in offs])
     done = None
@@ -90,31 +85,36 @@ def knn_join(left: DataFrame, right: DataFrame, cols, k: int, id_col: str = "id"
         qx = q.withColumn("__o", F.explode(arr)).withColumns(
             {f"c{i}": F.col(f"q{i}") + F.col(f"__o.o{i}") for i in range(m)}).drop("__o")
         pairs = qx.join(Rt, [f"c{i}" for i in range(m)])
-        if exclude_self:
-            pairs = pairs.where(F.col(lid) != F.col(rid))
         d2 = _sqdist(cols)
         if extra_sqdist is not None:
             d2 = d2 + extra_sqdist("l_", "r_")
         pairs = pairs.withColumn("dist", F.sqrt(d2))
-        w = Window.partitionBy(lid).orderBy("dist", rid)
-        top = pairs.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k) \
-            .select(lid, rid, "dist", "rank", *[f"q{i}" for i in range(m)],
+        # every location weighs >= 1, so the weighted answer lies inside
+        # rank() <= need (ties kept); that filter gets a partial per-partition
+        # limit before the shuffle, and the weighted windows run on what is left
+        pairs = pairs.withColumn("__rk", F.rank().over(Window.partitionBy("l_loc").orderBy("dist"))) \
+            .where(F.col("__rk") <= need)
+        w_inc = Window.partitionBy("l_loc").orderBy("dist") \
+            .rangeBetween(Window.unboundedPreceding, Window.currentRow)
+        pairs = pairs.withColumn("__cum", F.sum("r_w").over(w_inc))
+        pairs = pairs.withColumn("__tie", F.sum("r_w").over(Window.partitionBy("l_loc", "dist")))
+        kept = pairs.where(F.col("__cum") - F.col("__tie") < need) \
+            .select("l_loc", "r_loc", "dist", "__cum", *[f"q{i}" for i in range(m)],
                     *[f"l_{c}" for c in gcols]).persist()
-        # distance from the query to the outer edge of its 3**m block: any
-        # right row outside the block is at least this far away
         edge = None
         for i, c in enumerate(gcols):
             x = F.col(f"l_{c}")
             e = F.least(x - (F.col(f"q{i}") - 1) * F.lit(side), (F.col(f"q{i}") + 2) * F.lit(side) - x)
             edge = e if edge is None else F.least(edge, e)
-        stat = top.groupBy(lid).agg(F.count(F.lit(1)).alias("n"), F.max("dist").alias("kd"),
-                                    F.first(edge).alias("edge"))
+        stat = kept.groupBy("l_loc").agg(F.max("__cum").alias("cw"), F.max("dist").alias("kd"),
+                                         F.first(edge).alias("edge"))
         ok_cond = F.lit(True) if covers_all else \
-            ((F.col("n") >= need) & (F.col("kd") <= F.col("edge")))
-        ok = stat.where(ok_cond).select(lid)
-        res = top.join(ok, lid, "left_semi").select(lid, rid, "dist", "rank")
+            ((F.col("cw") >= need) & (F.col("kd") <= F.col("edge")))
+        ok = stat.where(ok_cond).select("l_loc")
+        res = kept.join(ok, "l_loc", "left_semi").select("l_loc", "r_loc", "dist")
         done = res if done is None else done.unionByName(res)
-        nxt = pending.join(ok, lid, "left_anti").persist()
+        # checkpoint (shared folder) cuts the growing lineage between rounds
+        nxt = pending.join(ok, "l_loc", "left_anti").checkpoint()
         left_over = 0 if covers_all else nxt.count()
         if _DEBUG:
             print(f"knn round {t}: side={side:.4g} unresolved={left_over}", flush=True)
@@ -125,7 +125,48 @@ def knn_join(left: DataFrame, right: DataFrame, cols, k: int, id_col: str = "id"
     else:
         raise RuntimeError("knn_join did not resolve every query; raise max_rounds")
     pending.unpersist()
-    return done.withColumnsRenamed({lid: "left_id", rid: "right_id"})
+    return done
+
+
+def knn_join(left: DataFrame, right: DataFrame, cols, k: int, id_col: str = "id",
+             exclude_self: bool = True, extra_sqdist=None, target: float = 16.0,
+             max_rounds: int = 40, payload=()) -> DataFrame:
+    """Rows (left_id, right_id, dist, rank) with the k nearest right rows of
+    every left row (Euclidean over ``cols`` plus optional ``extra_sqdist``,
+    a function (lp, rp) -> Column of non-negative squared terms, which may read
+    the ``payload`` columns carried on both sides; ties by id).
+
+    Identical rows (same ``cols`` and ``payload``) are collapsed to one
+    location with a multiplicity on each side, so a hot group of equal rows
+    costs O(rows x k), not O(rows^2).  The location search is the grid search
+    described above; then each left row takes, from the kept locations, the
+    k + 1 smallest ids per location (a bounded per-location top list) and
+    keeps its k best by (distance, id), excluding itself."""
+    cols, payload = list(cols), list(payload)
+    key = cols + payload
+    need_w = k + (1 if exclude_self else 0)
+    rl = right.groupBy(*key).agg(F.count(F.lit(1)).alias("r_w"), F.min(id_col).alias("r_loc"))
+    R = rl.select("r_loc", "r_w", *[F.col(c).alias(f"r_{c}") for c in key]).persist()
+    Lq = left.select(*key).distinct().withColumn("l_loc", F.xxhash64(*key)) \
+        .select("l_loc", *[F.col(c).alias(f"l_{c}") for c in key])
+    # a 64-bit hash names the query location; a collision would only merge two
+    # query locations' candidate lists (both still get exact distances below)
+    near = _knn_locations(Lq, R, cols, payload, need_w, extra_sqdist, target, max_rounds).checkpoint()
+    # k + 1 smallest ids of every right location (partial limit before the shuffle)
+    rid_rank = Window.partitionBy(*key).orderBy(id_col)
+    top_ids = (right.select(id_col, *key).withColumn("__r", F.row_number().over(rid_rank))
+               .where(F.col("__r") <= k + 1)
+               .join(rl.select("r_loc", *key), key).select("r_loc", F.col(id_col).alias("right_id")))
+    lp = left.select(F.col(id_col).alias("left_id"), *key).withColumn("l_loc", F.xxhash64(*key))
+    cand = lp.select("left_id", "l_loc").join(near, "l_loc").join(top_ids, "r_loc")
+    if exclude_self:
+        cand = cand.where(F.col("left_id") != F.col("right_id"))
+    w = Window.partitionBy("left_id").orderBy("dist", "right_id")
+    out = cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k) \
+        .select("left_id", "right_id", "dist", "rank")
+    R.unpersist()
+    # the neighbour lists feed several self-joins downstream: write them once
+    return out.checkpoint()
 
 
 def range_pairs(df: DataFrame, cols, eps: float, id_col: str = "id") -> DataFrame:

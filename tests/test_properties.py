@@ -99,3 +99,17 @@ def test_dbscan_noise_with_hot_duplicate_group(spark):
     core = (D <= 0.05).sum(1) >= 5
     noise = [i for i in range(300) if not core[i] and not (core & (D[i] <= 0.05)).any()]
     assert got == noise
+
+
+def test_knn_exact_with_hot_duplicates(spark):
+    rng = np.random.default_rng(11)
+    X = rng.normal(size=(240, 2)).round(1)
+    X[:80] = [0.0, 0.0]          # a third of the rows on one point
+    rows = [(i, float(X[i, 0]), float(X[i, 1])) for i in range(240)]
+    df = spark.createDataFrame(rows, "id long, a double, b double")
+    got = {(r.left_id, r.rank): r.right_id for r in knn_join(df, df, ["a", "b"], 5).collect()}
+    D = np.sqrt(((X[:, None, :] - X[None, :, :]) ** 2).sum(-1))
+    np.fill_diagonal(D, np.inf)
+    for i in list(range(0, 240, 7)) + [0, 1, 79, 80]:
+        want = sorted(range(240), key=lambda j: (D[i, j], j))[:5]
+        assert [got[(i, r + 1)] for r in range(5)] == want, i
