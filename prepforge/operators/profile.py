@@ -118,9 +118,25 @@ def corr_with_label(df: DataFrame, cols, label_col: str, digits: int = 6) -> Dat
 
 
 def corr_matrix(df: DataFrame, cols, digits: int = 6) -> DataFrame:
-    """|r| for every pair i <= j, long form, from one aggregation of d(d+1)/2 ``corr``."""
+    """|r| for every pair i <= j, long form.
+
+    Without nulls: ``pyspark.ml.stat.Correlation`` builds the whole d x d
+    matrix in one tree aggregation over mean-centred vectors (d x d result on
+    the driver, bounded by the feature count).  With nulls: one aggregation
+    of d(d+1)/2 SQL ``corr`` (pairwise deletion, as pandas does)."""
     cols = list(cols)
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
+    nulls = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols]).first()
+    if sum(nulls) == 0:
+        from pyspark.ml.feature import VectorAssembler
+        from pyspark.ml.stat import Correlation
+        vec = VectorAssembler(inputCols=cols, outputCol="__v").transform(
+            df.select(*[F.col(c).cast("double").alias(c) for c in cols]))
+        m = Correlation.corr(vec, "__v").first()[0].toArray()
+        idx = {c: i for i, c in enumerate(cols)}
+        rows = [(a, b, float(m[idx[a], idx[b]])) for a, b in pairs]
+        out = df.sparkSession.createDataFrame(rows, "var1 string, var2 string, r double")
+        return out.select("var1", "var2", F.round(F.abs("r"), digits).alias("abs_corr"))
     names = [f"{a}|{b}" for a, b in pairs]
     wide = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(n)
                     for (a, b), n in zip(pairs, names)])

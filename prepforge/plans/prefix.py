@@ -111,7 +111,9 @@ def exact_quantiles(long_df: DataFrame, value_col: str, probs, group_cols=(),
         .withColumn("__lo", F.floor("__h")).withColumn("__hi", F.ceil("__h"))
     ends = pos.select(*g, "p", "__pi", "__h", F.col("__lo").alias("__r"), F.lit(0).alias("__side")) \
         .unionByName(pos.select(*g, "p", "__pi", "__h", F.col("__hi").alias("__r"), F.lit(1).alias("__side")))
-    hit = ends.join(cum, g).where((F.col("__r") >= F.col("__c_cum") - F.col("__c"))
+    # ends has groups x 2 x len(probs) rows: broadcast it, so the (group,
+    # value) counts are never shuffled onto one task per group
+    hit = cum.join(F.broadcast(ends), g).where((F.col("__r") >= F.col("__c_cum") - F.col("__c"))
                                      & (F.col("__r") < F.col("__c_cum")))
     piv = hit.groupBy(*g, "p", "__pi", "__h").agg(
         F.max(F.when(F.col("__side") == 0, F.col(value_col))).alias("__vlo"),
