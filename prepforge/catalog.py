@@ -734,19 +734,24 @@ def q_vote_soft(spark, sf):
     return M.vote_soft(models, test, keep=["id", F.col(M.LABEL).alias("response")])
 
 
+def _kmeans_costs(spark, sf):
+    train, _ = model_data(spark, sf)
+    return memo(spark, sf, "kmeans_costs", lambda: M.kmeans_costs(train, range(1, 15), SEED))
+
+
 @query("cluster_then_model")
 def q_cluster_then_model(spark, sf):
     train, test = model_data(spark, sf)
     k, _, chosen = M.cluster_then_model(train, test, {
-        "logistic": M.logistic(1e4, "l2", _n(train)), "tree": M.decision_tree()})
+        "logistic": M.logistic(1e4, "l2", _n(train)), "tree": M.decision_tree()},
+        costs=_kmeans_costs(spark, sf))
     return spark.createDataFrame([(c, m, float(r)) for c, m, r in chosen],
                                  "cluster int, model string, best_profit_ratio double")
 
 
 @query("kmeans_elbow")
 def q_kmeans_elbow(spark, sf):
-    train, _ = model_data(spark, sf)
-    costs = M.kmeans_costs(train.persist(), range(1, 15))
+    costs = _kmeans_costs(spark, sf)
     return spark.createDataFrame([(k, c) for k, c in costs], "k int, cost double")
 
 

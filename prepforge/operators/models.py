@@ -241,11 +241,11 @@ def elbow_k(costs: list[tuple[int, float]]) -> int:
 
 
 def cluster_then_model(train: DataFrame, unseen: DataFrame, candidates: dict, k_max: int = 14,
-                       min_rows: int = 10, seed: int = 0):
+                       min_rows: int = 10, seed: int = 0, costs=None):
     """Choose k by the elbow, shrink k until every cluster has ``min_rows``
     training rows, then per cluster keep the candidate estimator whose fitted
     model gives the best profit ratio on that cluster's unseen rows."""
-    costs = kmeans_costs(train, range(1, k_max + 1), seed)
+    costs = costs or kmeans_costs(train, range(1, k_max + 1), seed)
     k = elbow_k(costs)
     while True:
         km = KMeans(k=k, seed=seed, featuresCol=FEATURES, predictionCol="cluster").fit(train)
