@@ -984,3 +984,20 @@ def q_mahalanobis_2d(spark, sf):
 def q_cooks_distance_2reg(spark, sf):
     d = MV.cooks_distance(_mv(spark, sf), "income", ["recency", "mnt_wines"])
     return d.withColumn("cooks_d", F.round("cooks_d", 6))
+
+
+# ------------------------------------------------------ 2.3 key set filters
+@query("key_anti_filter")
+def q_key_anti_filter(spark, sf):
+    """The prepare step: drop the box-plot outlier keys from the rows."""
+    df = _num(spark, sf)
+    return C.key_anti_filter(df, O.outlier_boxplot(df, NUMERIC))
+
+
+@query("key_semi_filter")
+def q_key_semi_filter(spark, sf):
+    """Keep rows whose duplicate group agrees on the label (group sets equal
+    with and without the label)."""
+    df = _dup_frame(spark, sf, label=True)
+    keys = C.group_intersect(df, DUP_COLS + [LABEL], DUP_COLS)
+    return C.key_semi_filter(base(spark, sf).select("id", "income", "recency", LABEL), keys)

@@ -593,3 +593,11 @@ oracle("cooks_distance_2reg", staged(
     "r2 AS (SELECT id, income - (b1 * recency + b2 * mnt_wines) AS e, (income - (b1 * recency + b2 * mnt_wines)) * "
     "(income - (b1 * recency + b2 * mnt_wines)) AS e2, i11 * recency * recency + 2 * i12 * recency * mnt_wines + "
     "i22 * mnt_wines * mnt_wines AS h FROM mv, coef)"))
+
+
+# ------------------------------------------------------ 2.3 key set filters
+oracle("key_anti_filter", out_sql("SELECT * FROM num WHERE id NOT IN (SELECT id FROM boxids)"))
+oracle("key_semi_filter", with_c360(
+    f"SELECT id, income, recency, response FROM c360 WHERE id IN (SELECT id FROM (SELECT id, "
+    f"count(*) OVER (PARTITION BY {_DUP}, response) AS na, count(*) OVER (PARTITION BY {_DUP}) AS nb "
+    "FROM c360) WHERE na = nb)"))
