@@ -83,14 +83,22 @@ def hash_rank(df: DataFrame, hash_col: str, group_cols=(), bits: int = 8,
             .drop(BUCKET, "__off"))
 
 
+# A group whose distinct-value count is at most this is summarised by one
+# task's value->count map (Spark's ``percentile`` with a frequency column).
+MAX_DISTINCT_IN_TASK = 2_000_000
+
+
 def exact_quantiles(long_df: DataFrame, value_col: str, probs, group_cols=(),
-                    n_buckets: int = 64) -> DataFrame:
+                    n_buckets: int = 64,
+                    max_distinct_in_task: int = MAX_DISTINCT_IN_TASK) -> DataFrame:
     """Exact quantiles with linear interpolation (position p * (n - 1)) per group.
 
     Rows are grouped to (group, value) counts first, so a hot value is one
-    row; a bucketed running sum gives each distinct value its rank range;
-    the values at ranks floor(h) and ceil(h) are found by a range join on
-    the rank range.  No task holds a whole group's value map.
+    row.  If every group has at most ``max_distinct_in_task`` distinct values
+    (checked), one ``percentile(value, p, count)`` aggregation finishes the
+    job.  Otherwise a bucketed running sum gives each distinct value its rank
+    range and the values at ranks floor(h) and ceil(h) are found by a join on
+    the rank range, so no task holds a whole group's value map.
     Returns rows (group..., p, q).
     """
     g = list(group_cols)
@@ -99,7 +107,13 @@ def exact_quantiles(long_df: DataFrame, value_col: str, probs, group_cols=(),
         long_df = long_df.withColumn("__g0", F.lit(0))
         g = ["__g0"]
     counts = long_df.where(F.col(value_col).isNotNull()) \
-        .groupBy(*g, value_col).agg(F.count(F.lit(1)).alias("__c"))
+        .groupBy(*g, value_col).agg(F.count(F.lit(1)).alias("__c")).persist()
+    widest = counts.groupBy(*g).agg(F.count(F.lit(1)).alias("__d")).agg(F.max("__d")).first()[0]
+    if widest is None or widest <= max_distinct_in_task:
+        pl = [float(p) for p in probs]
+        qs = counts.groupBy(*g).agg(F.percentile(value_col, pl, F.col("__c")).alias("__q"))
+        arr = F.arrays_zip(F.array(*[F.lit(p) for p in pl]).alias("p"), F.col("__q").alias("q"))
+        return qs.select(*g, F.explode(arr).alias("__z")).select(*out_g, "__z.p", "__z.q")
     cum = running_sums(counts, value_col, ["__c"], group_cols=g, n_buckets=n_buckets,
                        suffix="_cum")  # rank range of a value: [cum - c, cum)
     tot = counts.groupBy(*g).agg(F.sum("__c").alias("__n"))
@@ -123,15 +137,23 @@ def exact_quantiles(long_df: DataFrame, value_col: str, probs, group_cols=(),
     return piv.select(*out_g, "p", q.alias("q"))
 
 
-def top_n_exact(df: DataFrame, key_col: str, tie_cols, n: int, n_buckets: int = 64) -> DataFrame:
+# A top-n of at most this many rows is a TakeOrderedAndProject (n rows per task).
+MAX_TOP_IN_TASK = 100_000
+
+
+def top_n_exact(df: DataFrame, key_col: str, tie_cols, n: int, n_buckets: int = 64,
+                max_in_task: int = MAX_TOP_IN_TASK) -> DataFrame:
     """The first ``n`` rows ordered by ``key_col`` descending, then ``tie_cols``.
 
-    Exact and without a single-task merge of n rows: distinct key values and
-    their counts give (by a bucketed running sum) the cut value v*; rows above
-    v* are kept by a filter; rows equal to v* (a tie group that may be hot)
-    are ranked by ``tie_cols`` with range buckets on the first tie column."""
+    For n up to ``max_in_task`` a plain ordered limit (each task keeps n rows).
+    Beyond that, without a single-task merge of n rows: distinct key values
+    and their counts give (by a bucketed running sum) the cut value v*; rows
+    above v* are kept by a filter; rows equal to v* (a tie group that may be
+    hot) are ranked by ``tie_cols`` with range buckets on the first tie column."""
     if n <= 0:
         return df.limit(0)
+    if n <= max_in_task:
+        return df.orderBy(F.col(key_col).desc(), *[F.col(c) for c in tie_cols]).limit(n)
     counts = df.groupBy(key_col).agg(F.count(F.lit(1)).alias("__c"))
     cum = running_sums(counts, key_col, ["__c"], descending=True, n_buckets=n_buckets)
     cut = cum.where(F.col("__c_cum") >= n).agg(

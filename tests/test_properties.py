@@ -113,3 +113,21 @@ def test_knn_exact_with_hot_duplicates(spark):
     for i in list(range(0, 240, 7)) + [0, 1, 79, 80]:
         want = sorted(range(240), key=lambda j: (D[i, j], j))[:5]
         assert [got[(i, r + 1)] for r in range(5)] == want, i
+
+
+def test_exact_quantiles_and_top_n_both_paths(spark):
+    from prepforge.plans.prefix import exact_quantiles, top_n_exact
+    rng = np.random.default_rng(0)
+    vals = np.concatenate([rng.normal(size=597), [3.0] * 200]).round(2)   # a hot value
+    df = spark.createDataFrame([(i, float(v), int(i % 3)) for i, v in enumerate(vals)],
+                               "id long, x double, g int")
+    for lim in (0, 10 ** 9):   # distributed path, then the single-task path
+        q = {r.p: r.q for r in exact_quantiles(df, "x", [0.1, 0.5, 0.9], max_distinct_in_task=lim).collect()}
+        for p, v in q.items():
+            assert abs(v - np.percentile(vals, p * 100)) < 1e-12
+        qg = {(r.g, r.p): r.q for r in exact_quantiles(df, "x", [0.5], ["g"], max_distinct_in_task=lim).collect()}
+        for k in range(3):
+            assert abs(qg[(k, 0.5)] - np.percentile(vals[np.arange(len(vals)) % 3 == k], 50)) < 1e-12
+        top = top_n_exact(df, "x", ["id"], 250, max_in_task=0 if lim == 0 else 10 ** 6)
+        want = sorted(range(len(vals)), key=lambda i: (-vals[i], i))[:250]
+        assert sorted(r.id for r in top.collect()) == sorted(want)
