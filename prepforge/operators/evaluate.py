@@ -73,7 +73,7 @@ def _score_counts(df: DataFrame, label_col: str, score_col: str) -> DataFrame:
     return df.groupBy(score_col).agg(F.count_if(y).alias("pos"), F.count_if(~y).alias("neg"))
 
 
-def roc_points(df: DataFrame, label_col: str, score_col: str, n_buckets: int = 64) -> DataFrame:
+def roc_points(df: DataFrame, label_col: str, score_col: str, n_buckets: int | None = None) -> DataFrame:
     """(score, tp, fp, tpr, fpr) for each distinct score, taking ``score >= s`` as positive."""
     g = _score_counts(df, label_col, score_col)
     t = g.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N")).first()  # two numbers
@@ -84,7 +84,7 @@ def roc_points(df: DataFrame, label_col: str, score_col: str, n_buckets: int = 6
                       F.try_divide(F.col("neg_cum").cast("double"), F.lit(N)).alias("fpr"))
 
 
-def auroc(df: DataFrame, label_col: str, score_col: str, n_buckets: int = 64) -> DataFrame:
+def auroc(df: DataFrame, label_col: str, score_col: str, n_buckets: int | None = None) -> DataFrame:
     """Exact area under the ROC curve with ties counted half (Mann-Whitney)."""
     g = _score_counts(df, label_col, score_col)
     cum = running_sums(g, score_col, ["neg"], n_buckets=n_buckets, inclusive=False,

@@ -156,7 +156,7 @@ def _h(p):
     return F.when((p <= 0) | (p >= 1), F.lit(0.0)).otherwise(-p * F.log2(p) - q * F.log2(q))
 
 
-def info_gain_table(df: DataFrame, cols, label_col: str, n_buckets: int = 64) -> DataFrame:
+def info_gain_table(df: DataFrame, cols, label_col: str, n_buckets: int | None = None) -> DataFrame:
     """(var, value, gain) for every split ``x <= value`` of every feature but
     at each feature's largest value.  Rows are grouped to distinct values
     first; left-side counts are a bucketed running sum per feature."""

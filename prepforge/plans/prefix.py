@@ -15,21 +15,48 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BUCKET = "__bucket"
+# Rows per window task that the bucket count aims for, and its limits.
+ROWS_PER_BUCKET = 2_000_000
+MIN_BUCKETS, MAX_BUCKETS = 64, 16384
+
+
+def buckets_for(n_rows: int) -> int:
+    """Bucket count so that a bucket holds about ``ROWS_PER_BUCKET`` rows."""
+    return int(min(MAX_BUCKETS, max(MIN_BUCKETS, -(-n_rows // ROWS_PER_BUCKET))))
 
 
 def range_bucket(df: DataFrame, order_col: str, n_buckets: int = 64,
-                 rel_err: float = 0.001) -> Column:
-    """Monotone bucket index of ``order_col`` from approximate quantiles."""
+                 rel_err: float | None = None) -> Column:
+    """Monotone bucket index of ``order_col`` from approximate quantiles
+    (relative error well below 1 / n_buckets, so buckets are balanced)."""
+    rel_err = rel_err if rel_err is not None else min(0.001, 0.25 / n_buckets)
     probs = [i / n_buckets for i in range(1, n_buckets)]
     splits = sorted(set(v for v in df.approxQuantile(order_col, probs, rel_err) if v is not None))
-    b = F.lit(0)
-    for s in splits:
-        b = b + (F.col(order_col) > F.lit(s)).cast("int")
-    return b
+    if len(splits) <= 64:
+        b = F.lit(0)
+        for s in splits:
+            b = b + (F.col(order_col) > F.lit(s)).cast("int")
+        return b
+    # many split points: a binary search per row (the split array is a literal)
+    arr = F.array(*[F.lit(float(v)) for v in splits])
+    return F.aggregate(arr, F.lit(0), lambda acc, v: acc + (F.col(order_col) > v).cast("int")) \
+        if len(splits) <= 512 else _bsearch(order_col, splits)
+
+
+def _bsearch(order_col: str, splits) -> Column:
+    """Number of split points strictly below the value, by a balanced
+    CASE tree (log2(#splits) comparisons per row)."""
+    def build(lo, hi):
+        if lo >= hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(F.col(order_col) > F.lit(float(splits[mid])), build(mid + 1, hi)) \
+            .otherwise(build(lo, mid))
+    return build(0, len(splits))
 
 
 def running_sums(df: DataFrame, order_col: str, sum_cols, group_cols=(),
-                 descending: bool = False, n_buckets: int = 64,
+                 descending: bool = False, n_buckets: int | None = None,
                  inclusive: bool = True, suffix: str = "_cum") -> DataFrame:
     """Add ``<c><suffix>`` = sum of ``c`` over rows ordered before (and at, if
     ``inclusive``) the current row within ``group_cols``.
@@ -41,7 +68,20 @@ def running_sums(df: DataFrame, order_col: str, sum_cols, group_cols=(),
     sum_cols = list(sum_cols)
     key = "__ord"
     work = df.withColumn(key, -F.col(order_col) if descending else F.col(order_col))
-    work = work.withColumn(BUCKET, range_bucket(work, key, n_buckets))
+    if n_buckets is None:  # size the buckets from the row count (one small job)
+        n_buckets = buckets_for(work.count())
+    if group_cols:
+        # per-group split points (groups on different scales get balanced
+        # buckets each); the split table has groups x n_buckets values
+        n_buckets = min(n_buckets, 1024)
+        probs = [i / n_buckets for i in range(1, n_buckets)]
+        sp = work.groupBy(*group_cols).agg(
+            F.percentile_approx(key, probs, max(10000, 4 * n_buckets)).alias("__sp"))
+        work = work.join(F.broadcast(sp), group_cols).withColumn(
+            BUCKET, F.aggregate("__sp", F.lit(0), lambda acc, v: acc + (F.col(key) > v).cast("int"))) \
+            .drop("__sp")
+    else:
+        work = work.withColumn(BUCKET, range_bucket(work, key, n_buckets))
     totals = work.groupBy(*group_cols, BUCKET).agg(*[F.sum(c).alias(c) for c in sum_cols])
     w_off = (Window.partitionBy(*group_cols) if group_cols else Window.partitionBy(F.lit(0))) \
         .orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
@@ -60,15 +100,20 @@ def running_sums(df: DataFrame, order_col: str, sum_cols, group_cols=(),
     return out.drop(key, BUCKET, *[f"__off_{c}" for c in sum_cols])
 
 
-def hash_rank(df: DataFrame, hash_col: str, group_cols=(), bits: int = 8,
+def hash_rank(df: DataFrame, hash_col: str, group_cols=(), bits: int | None = None,
               tie_col: str | None = None, out: str = "rank") -> DataFrame:
     """0-based rank of rows by a uniform 64-bit hash within ``group_cols``.
 
     The hash is uniform, so its top ``bits`` bits are range buckets already
-    (no quantile job).  Per-(group, bucket) counts form a table of at most
-    ``groups * 2**bits`` rows; its running sum is broadcast as an offset.
+    (no quantile job); by default ``bits`` is sized from the row count so a
+    bucket holds about ``ROWS_PER_BUCKET`` rows.  Per-(group, bucket) counts
+    form a table of at most ``groups * 2**bits`` rows; its running sum is
+    broadcast as an offset.
     """
     group_cols = list(group_cols)
+    if bits is None:
+        n = df.count()
+        bits = max(8, min(14, (buckets_for(n) - 1).bit_length()))
     b = F.shiftright(F.col(hash_col), 64 - bits)
     work = df.withColumn(BUCKET, b)
     counts = work.groupBy(*group_cols, BUCKET).agg(F.count(F.lit(1)).alias("__n"))
@@ -89,7 +134,7 @@ MAX_DISTINCT_IN_TASK = 2_000_000
 
 
 def exact_quantiles(long_df: DataFrame, value_col: str, probs, group_cols=(),
-                    n_buckets: int = 64,
+                    n_buckets: int | None = None,
                     max_distinct_in_task: int = MAX_DISTINCT_IN_TASK) -> DataFrame:
     """Exact quantiles with linear interpolation (position p * (n - 1)) per group.
 
@@ -141,7 +186,7 @@ def exact_quantiles(long_df: DataFrame, value_col: str, probs, group_cols=(),
 MAX_TOP_IN_TASK = 100_000
 
 
-def top_n_exact(df: DataFrame, key_col: str, tie_cols, n: int, n_buckets: int = 64,
+def top_n_exact(df: DataFrame, key_col: str, tie_cols, n: int, n_buckets: int | None = None,
                 max_in_task: int = MAX_TOP_IN_TASK) -> DataFrame:
     """The first ``n`` rows ordered by ``key_col`` descending, then ``tie_cols``.
 
@@ -166,7 +211,7 @@ def top_n_exact(df: DataFrame, key_col: str, tie_cols, n: int, n_buckets: int =
     ties = df.where(F.col(key_col) == F.lit(v))
     need = n - before
     first = tie_cols[0]
-    b = range_bucket(ties, first, n_buckets)
+    b = range_bucket(ties, first, n_buckets or buckets_for(need))
     tb = ties.withColumn(BUCKET, b)
     bc = tb.groupBy(BUCKET).agg(F.count(F.lit(1)).alias("__n"))
     w_off = Window.partitionBy(F.lit(0)).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)

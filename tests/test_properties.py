@@ -131,3 +131,13 @@ def test_exact_quantiles_and_top_n_both_paths(spark):
         top = top_n_exact(df, "x", ["id"], 250, max_in_task=0 if lim == 0 else 10 ** 6)
         want = sorted(range(len(vals)), key=lambda i: (-vals[i], i))[:250]
         assert sorted(r.id for r in top.collect()) == sorted(want)
+
+
+def test_running_sums_many_buckets(spark):
+    from prepforge.plans.prefix import running_sums
+    rng = np.random.default_rng(3)
+    v = rng.permutation(20000).astype(float)
+    df = spark.createDataFrame([(float(x), 1) for x in v], "x double, c int")
+    for nb in (2000, 300):       # binary-search path, then the array-scan path
+        got = {r.x: r.c_cum for r in running_sums(df, "x", ["c"], n_buckets=nb).collect()}
+        assert all(got[float(i)] == i + 1 for i in range(0, 20000, 97))
