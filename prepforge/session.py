@@ -38,12 +38,40 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``prepforge`` importable in executor Python workers (pandas UDFs,
+    ``applyInPandas``, ``mapInPandas``): zip the package once per application
+    and hand it to ``SparkContext.addPyFile``, as ``--py-files`` would."""
+    import zipfile
+
+    import prepforge
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(prepforge.__file__)))
+    zpath = os.path.join(tempfile.mkdtemp(prefix="prepforge-pkg-"), "prepforge.zip")
+    with zipfile.ZipFile(zpath, "w") as z:
+        for dirpath, _, files in os.walk(os.path.join(root, "prepforge")):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(zpath)
+    _SHIPPED.add(sc.applicationId)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
+    """Prepare the session for the library and return the shared checkpoint
+    folder named by ``spark.checkpoint.dir``.
 
     On a cluster that setting names a shared file system and is used as is.
-    Only when it is unset (local tests) a fresh scratch folder is made.
+    Only when it is unset (local tests) a fresh scratch folder is made.  The
+    package is shipped to the executors' Python workers once per application.
     """
+    ship_package(spark)
     sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
