@@ -69,6 +69,30 @@ def _knn_locations(Lq: DataFrame, R: DataFrame, cols, payload, need_w: int, extr
     h, st = cell_side(R.select(*[F.col(f"r_{c}").alias(c) for c in gcols]), gcols, target)
     span = max(max((st[c]["max"] or 0) - (st[c]["min"] or 0), 0.0) for c in gcols)
     m = len(gcols)
+    # Dense regions: a cell with more than max_cell distinct locations would
+    # make every block around it large.  Queries located in such cells start
+    # at a finer side h_f (from the bulk extent, 10-90 % quantiles, of the
+    # densest cell); the other queries join the rounds once the side reaches h.
+    max_cell = max(64, int(8 * target))
+    key_h = [F.floor(F.col(f"r_{c}") / F.lit(h)).alias(f"k{i}") for i, c in enumerate(gcols)]
+    cells = R.groupBy(*key_h).agg(
+        F.count(F.lit(1)).alias("n"),
+        *[F.percentile_approx(f"r_{c}", [0.1, 0.9], 1000).alias(f"p{i}") for i, c in enumerate(gcols)])
+    dense = cells.where(F.col("n") > max_cell).persist()
+    top = dense.orderBy(F.col("n").desc()).limit(1).first()
+    h_f = h
+    if top is not None:
+        ext = max((top[f"p{i}"][1] - top[f"p{i}"][0]) for i in range(m))
+        h_f = max(min(h / 2, ext * (max_cell / top["n"]) ** (1.0 / m)), span * 1e-12, 1e-300)
+    h_normal = h
+    if h_f < h:
+        qk = Lq.withColumns({f"k{i}": F.floor(F.col(f"l_{c}") / F.lit(h)) for i, c in enumerate(gcols)})
+        in_dense = qk.join(dense.select(*[f"k{i}" for i in range(m)]), [f"k{i}" for i in range(m)], "left_semi") \
+            .drop(*[f"k{i}" for i in range(m)])
+        rest = Lq.join(in_dense.select("l_loc"), "l_loc", "left_anti")
+        Lq, late, h = in_dense, rest, h_f
+    else:
+        late = None
     total_w = R.agg(F.sum("r_w")).first()[0] or 0
     need = min(need_w, total_w)
     pending = Lq.persist()
@@ -77,6 +101,9 @@ def _knn_locations(Lq: DataFrame, R: DataFrame, cols, payload, need_w: int, extr
     done = None
     for t in range(max_rounds):
         side = h * (2 ** t)
+        if late is not None and side >= h_normal * (1 - 1e-12):
+            pending = pending.unionByName(late).persist()
+            late = None
         covers_all = side >= span
         Rt = R.withColumns({f"c{i}": F.floor(F.col(f"r_{c}") / F.lit(side)).cast("long")
                             for i, c in enumerate(gcols)})
@@ -116,6 +143,8 @@ def _knn_locations(Lq: DataFrame, R: DataFrame, cols, payload, need_w: int, extr
         # checkpoint (shared folder) cuts the growing lineage between rounds
         nxt = pending.join(ok, "l_loc", "left_anti").checkpoint()
         left_over = 0 if covers_all else nxt.count()
+        if late is not None and left_over == 0:
+            left_over = 1  # the queries outside dense cells have not run yet
         if _DEBUG:
             print(f"knn round {t}: side={side:.4g} unresolved={left_over}", flush=True)
         pending.unpersist()
@@ -130,7 +159,7 @@ def _knn_locations(Lq: DataFrame, R: DataFrame, cols, payload, need_w: int, extr
 
 def knn_join(left: DataFrame, right: DataFrame, cols, k: int, id_col: str = "id",
              exclude_self: bool = True, extra_sqdist=None, target: float = 16.0,
-             max_rounds: int = 40, payload=()) -> DataFrame:
+             max_rounds: int = 80, payload=()) -> DataFrame:
     """Rows (left_id, right_id, dist, rank) with the k nearest right rows of
     every left row (Euclidean over ``cols`` plus optional ``extra_sqdist``,
     a function (lp, rp) -> Column of non-negative squared terms, which may read

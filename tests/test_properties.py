@@ -141,3 +141,17 @@ def test_running_sums_many_buckets(spark):
     for nb in (2000, 300):       # binary-search path, then the array-scan path
         got = {r.x: r.c_cum for r in running_sums(df, "x", ["c"], n_buckets=nb).collect()}
         assert all(got[float(i)] == i + 1 for i in range(0, 20000, 97))
+
+
+def test_knn_exact_with_dense_distinct_cluster(spark):
+    rng = np.random.default_rng(21)
+    X = rng.uniform(0, 10, size=(600, 2))
+    X[:200] = 5.0 + rng.normal(scale=1e-4, size=(200, 2))   # a third: distinct but packed
+    rows = [(i, float(X[i, 0]), float(X[i, 1])) for i in range(600)]
+    df = spark.createDataFrame(rows, "id long, a double, b double")
+    got = {(r.left_id, r.rank): r.right_id for r in knn_join(df, df, ["a", "b"], 4).collect()}
+    D = np.sqrt(((X[:, None, :] - X[None, :, :]) ** 2).sum(-1))
+    np.fill_diagonal(D, np.inf)
+    for i in list(range(0, 600, 13)) + [0, 199, 200]:
+        want = sorted(range(600), key=lambda j: (D[i, j], j))[:4]
+        assert [got[(i, r + 1)] for r in range(4)] == want, i
