@@ -155,3 +155,16 @@ def test_knn_exact_with_dense_distinct_cluster(spark):
     for i in list(range(0, 600, 13)) + [0, 199, 200]:
         want = sorted(range(600), key=lambda j: (D[i, j], j))[:4]
         assert [got[(i, r + 1)] for r in range(4)] == want, i
+
+
+def test_dbscan_noise_with_packed_distinct_cluster(spark):
+    rng = np.random.default_rng(23)
+    X = rng.uniform(0, 1, size=(450, 2))
+    X[:150] = 0.5 + rng.normal(scale=1e-3, size=(150, 2))    # a third, distinct but packed
+    df = spark.createDataFrame([(i, float(X[i, 0]), float(X[i, 1])) for i in range(450)],
+                               "id long, a double, b double")
+    got = sorted(r.id for r in NB.dbscan_noise(df, ["a", "b"], 0.04, 5).collect())
+    D = np.sqrt(((X[:, None, :] - X[None, :, :]) ** 2).sum(-1))
+    core = (D <= 0.04).sum(1) >= 5
+    noise = [i for i in range(450) if not core[i] and not (core & (D[i] <= 0.04)).any()]
+    assert got == noise
