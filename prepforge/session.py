@@ -51,6 +51,9 @@ def ship_package(spark: SparkSession) -> None:
     sc = spark.sparkContext
     if sc.applicationId in _SHIPPED:
         return
+    if "prepforge" in (sc.getConf().get("spark.submit.pyFiles", "") or ""):
+        _SHIPPED.add(sc.applicationId)  # already shipped with --py-files
+        return
     root = os.path.dirname(os.path.dirname(os.path.abspath(prepforge.__file__)))
     zpath = os.path.join(tempfile.mkdtemp(prefix="prepforge-pkg-"), "prepforge.zip")
     with zipfile.ZipFile(zpath, "w") as z:
