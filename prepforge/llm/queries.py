@@ -2,12 +2,21 @@
 
 from __future__ import annotations
 
+from prepforge.llm.embeddings import OP5_SQL, op5_embeddings
 from prepforge.llm.mixing import OP8_SQL, op8_mixing
+from prepforge.llm.packing import op7_packing
+from prepforge.llm.simhash import op6_simhash
+from prepforge.llm.token_files import op2_simple8b
 
 QUERIES = {
+    "op2_simple8b": op2_simple8b,
+    "op7_packing": op7_packing,
+    "op5_embeddings": op5_embeddings,
+    "op6_simhash": op6_simhash,
     "op8_mixing": op8_mixing,
 }
 
 ORACLES = {
+    "op5_embeddings": OP5_SQL,
     "op8_mixing": OP8_SQL,
 }
