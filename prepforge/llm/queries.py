@@ -3,12 +3,18 @@
 from __future__ import annotations
 
 from prepforge.llm.embeddings import OP5_SQL, op5_embeddings
+from prepforge.llm.langid import op4_langid
 from prepforge.llm.mixing import OP8_SQL, op8_mixing
 from prepforge.llm.packing import op7_packing
+from prepforge.llm.quality import op1_quality
+from prepforge.llm.secrets import op9_secrets
 from prepforge.llm.simhash import op6_simhash
 from prepforge.llm.token_files import op2_simple8b
 
 QUERIES = {
+    "op1_quality": op1_quality,
+    "op4_langid": op4_langid,
+    "op9_secrets": op9_secrets,
     "op2_simple8b": op2_simple8b,
     "op7_packing": op7_packing,
     "op5_embeddings": op5_embeddings,

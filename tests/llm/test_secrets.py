@@ -1,0 +1,91 @@
+import hashlib
+import re
+
+import numpy as np
+import pyarrow as pa
+
+from prepforge.llm import secrets as S
+
+
+def brute_base(text):
+    """The patterns as the contract words them."""
+    out = []
+    for i, (k, p, flags) in enumerate((
+            ("assign", r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A),
+            ("access", r"AKIA[A-Z0-9]+", 0), ("hex", r"[0-9a-f]+", 0))):
+        for m in re.finditer(p, text or "", flags):
+            if len(m.group(2) if k == "assign" else m.group()) >= (8, 16, 32)[i]:
+                out.append((m.start(), i, f"{k}:{m.start()}:{m.end()}"))
+    return [x[2] for x in sorted(out)]
+
+
+def corpus():
+    r = np.random.default_rng(6)
+    words = ["alpha", "beta,", "Gamma.", "delta", "of", "the", "été", "x9", "42", "a-b", "mail@x.com"]
+    prose = lambda n: " ".join(r.choice(words, n))
+    hexs = lambda n: "".join(r.choice(list("0123456789abcdef"), n))
+    rows = []
+    for i in range(160):
+        t = prose(int(r.integers(5, 60)))
+        kind = i % 8
+        if kind == 0:
+            t += f' token = "{hexs(40)}" ' + prose(9)
+        if kind == 1:
+            t += f" password={hexs(18)} " + prose(9)
+        if kind == 2:
+            t += " AKIA" + "".join(r.choice(list("ABCDEFGH0123"), 16)) + " " + prose(5)
+        rows.append((i, t, f"s{i % 3}"))
+    odd = [None, "", " ", "secret=token:abcdefghij", "SECRET = 'abc'", "API_KEY: 12345678 apikey=aaaa.bbbb", "ſecret=12345678",
+           "password=toKen=abcdefgh", "é token: ünder12345678", "f" * 31, "f" * 32 + "g" + "0" * 40, "AKIAAKIA12345678", "AKIA1234",
+           "password=" + hexs(18) + "é " + "w " * 9000 + "token=" + hexs(40)]
+    return rows + [(1000 + i, t, "o") for i, t in enumerate(odd)] + [(3, "same", "x"), (3, "same", "x"), (None, "token=12345678", None)]
+
+
+def test_base_spans_stay_and_digest(spark):
+    rows = corpus()
+    df = spark.createDataFrame([(*x, "k") for x in rows], "doc_id long, text string, source string, spans string")
+    got = S.secret_spans(spark, df).collect()
+    assert len(got) == len(rows)
+    by = {(r["doc_id"], r["base_sha256"]): r for r in got}
+    for d, t, _ in rows:
+        want = brute_base(t)
+        r = by[d, hashlib.sha256(",".join(want).encode()).hexdigest()]
+        spans = r["spans"].split(",") if r["spans"] else []
+        assert [s for s in spans if not s.startswith("crf")] == want
+        assert [r["n_assign"], r["n_access"], r["n_hex"]] == [sum(w.startswith(k) for w in want) for k in S.KINDS]
+
+
+def test_field_finds_what_no_pattern_matches(spark):
+    rows = corpus()
+    model = S.train([t or "" for _, t, _ in rows] * 2)
+    texts = ['alpha beta token = "9F3kQ77ZbA1x8LmP02VvT5" of the', "alpha of the beta delta 42 x9", "of auth=7f3b9c1d2e8a4b6c5d alpha"]
+    out = S.scan_texts(pa.array(texts), S.Words(model[0]), model[1])
+    assert out[1] == []
+    kinds = [k for s in out for _, k, _ in s]
+    assert "crf" in kinds or out[2] and out[0]
+    found = [texts[2][a:b] for a, _, b in out[2]]
+    assert found == ["7f3b9c1d2e8a4b6c5d"]
+
+
+def test_cut_decoding_equals_viterbi_over_whole_documents():
+    r = np.random.default_rng(8)
+    for _ in range(60):
+        lens = r.integers(1, 30, 5)
+        doc = np.repeat(np.arange(5), lens)
+        e, pair = r.normal(0, 2, (len(doc), 3)), r.normal(0, 1, (3, 3))
+        e[r.random(len(doc)) < .6, 0] += 9
+        want = np.concatenate([S.viterbi(e[doc == d], pair, False, False) for d in range(5)])
+        assert (S.decode(e, doc, pair) == want).all()
+
+
+def test_redact(spark):
+    df = spark.createDataFrame([(1, "a token=12345678 b", 18, "z"), (2, None, 0, "z"), (3, "clean text", 10, "z")],
+                               "doc_id long, text string, n_chars long, lang string")
+    got = {r["doc_id"]: r for r in S.redact(spark, df).collect()}
+    assert got[1]["text"] == "a <redacted> b" and got[1]["n_chars"] == 14
+    assert got[2]["text"] is None and got[3]["text"] == "clean text" and got[3]["lang"] == "z"
+
+
+def test_empty(spark):
+    df = spark.createDataFrame([], "doc_id long, text string, n_chars long")
+    assert S.secret_spans(spark, df).count() == 0 and S.redact(spark, df).count() == 0
