@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from prepforge.llm.embeddings import OP5_SQL, op5_embeddings
+from prepforge.llm.hpylm import op3_hpylm
 from prepforge.llm.langid import op4_langid
 from prepforge.llm.mixing import OP8_SQL, op8_mixing
 from prepforge.llm.packing import op7_packing
@@ -10,8 +11,11 @@ from prepforge.llm.quality import op1_quality
 from prepforge.llm.secrets import op9_secrets
 from prepforge.llm.simhash import op6_simhash
 from prepforge.llm.token_files import op2_simple8b
+from prepforge.llm.topk import OP10_SQL, op10_topk
 
 QUERIES = {
+    "op3_hpylm": op3_hpylm,
+    "op10_topk": op10_topk,
     "op1_quality": op1_quality,
     "op4_langid": op4_langid,
     "op9_secrets": op9_secrets,
@@ -23,6 +27,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op10_topk": OP10_SQL,
     "op5_embeddings": OP5_SQL,
     "op8_mixing": OP8_SQL,
 }

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from prepforge.llm.common import (
-    connected_components, documents, materialize, prepare, split_words, texts_of)
+    connected_components, documents, materialize, partitions, prepare, split_words, texts_of)
 
 #: Words in a shingle and the most differing bits of a link (fixed values of the task).
 SHINGLE, MAX_BITS = 3, 2
@@ -184,7 +184,7 @@ def simhash_groups(spark: SparkSession, docs: DataFrame, k: int = SHINGLE, t: in
     prepare(spark)
     rows = materialize(spark, fingerprint_rows(docs, k), "simhash")
     nodes = materialize(spark, rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "simnodes")
-    links = near_links(spark, nodes.repartition("fp"), t)
+    links = near_links(spark, nodes.repartition(partitions(spark), "fp"), t)
     parts = connected_components(spark, links)
     named = nodes.join(parts, nodes["fp"] == parts["node"], "left").select(
         "fp", "least", F.coalesce("component", "fp").alias("part"))
