@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -152,6 +153,15 @@ def texts_of(column: pa.Array) -> pa.Array:
     return pc.fill_null(column.cast(pa.string()), "")
 
 
+def strings(column: pa.Array) -> list[str]:
+    return column.to_numpy(zero_copy_only=False).tolist()
+
+
+def numbers(slots: dict[str, int], words: list[str]) -> np.ndarray:
+    """The words' values in ``slots``, -1 where there is none."""
+    return np.fromiter(map(slots.get, words, repeat(-1)), np.int64, len(words))
+
+
 def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     """All words of the texts in one array, and the offsets of each text's words in it."""
     parts = pc.ascii_split_whitespace(texts)

@@ -27,7 +27,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prepforge.llm.common import crc_mod, documents, materialize, partitions, prepare, split_words, texts_of
+from prepforge.llm.common import (
+    crc_mod, documents, materialize, partitions, prepare, split_words, strings, texts_of)
 
 CONTEXTS = 1 << 16
 #: Words of a unit of documents.
@@ -76,7 +77,7 @@ def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(word hash, context, text) of every token, an end after each text's words."""
     words, off = split_words(pc.ascii_lower(texts))
     d = words.dictionary_encode()
-    own = np.array([word_hash(w.encode()) for w in d.dictionary.to_pylist()], np.uint64)
+    own = np.array([word_hash(w.encode()) for w in strings(d.dictionary)], np.uint64)
     ends = off[1:] + np.arange(1, len(off))
     h = np.empty(len(words) + len(off) - 1, np.uint64)
     is_end = np.zeros(len(h), bool)

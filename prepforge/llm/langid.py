@@ -13,7 +13,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prepforge.llm.common import crc_mod, documents, prepare, texts_of
+from prepforge.llm.common import crc_mod, documents, numbers, prepare, strings, texts_of
 
 #: First code points of script ranges (Unicode block bounds) and the script that begins there.
 SCRIPTS = [(0x0041, "latin"), (0x0370, "greek"), (0x0400, "cyrillic"), (0x0530, "armenian"), (0x0590, "hebrew"),
@@ -89,7 +89,7 @@ def learn(spark: SparkSession, docs: DataFrame) -> dict:
         for b in batches:
             words, off = letter_words(texts_of(b.column(0)))
             d = words.dictionary_encode()
-            names = d.dictionary.to_pylist()
+            names = strings(d.dictionary)
             if len(slots) > 300_000:
                 flush()
                 slots, counts = {}, np.zeros((0, 0), np.int64)
@@ -101,7 +101,7 @@ def learn(spark: SparkSession, docs: DataFrame) -> dict:
             grown[:counts.shape[0], :counts.shape[1]] = counts
             counts = grown
             if names:
-                at = np.array([slots[w] for w in names])[d.indices.to_numpy()]
+                at = numbers(slots, names)[d.indices.to_numpy()]
                 who = np.repeat([langs[x] for x in b.column(1).to_pylist()], np.diff(off))
                 np.add.at(counts, (at, who), 1)
         flush()
@@ -144,10 +144,11 @@ class Scorer:
 
     def of(self, words: pa.Array) -> np.ndarray:
         d = words.dictionary_encode()
-        names = d.dictionary.to_pylist()
+        names = strings(d.dictionary)
         if len(self.slots) > self.limit:
             self.slots, self.scores = {}, self.scores[:0]
-        new = [w for w in names if w not in self.slots]
+        slot = numbers(self.slots, names)
+        new = [names[i] for i in np.flatnonzero(slot < 0)]
         for s in range(0, len(new), 20_000):
             part = new[s:s + 20_000]
             feats = [features(w) for w in part]
@@ -166,7 +167,9 @@ class Scorer:
             self.scores = np.concatenate([self.scores, raw])
         if not names:
             return np.zeros((0, self.scores.shape[1]), np.float32)
-        return self.scores[np.array([self.slots[w] for w in names])[d.indices.to_numpy()]]
+        if new:
+            slot = numbers(self.slots, names)
+        return self.scores[slot[d.indices.to_numpy()]]
 
 
 def viterbi(e: np.ndarray, off: np.ndarray, switch: float = SWITCH) -> np.ndarray:

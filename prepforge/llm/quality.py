@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prepforge.llm.common import documents, materialize, prepare, split_words, texts_of
+from prepforge.llm.common import documents, materialize, numbers, prepare, split_words, strings, texts_of
 
 #: Each heuristic: a share measured on the text, and the shares from which it votes bad and up to
 #: which it votes good (the other way round for the share of distinct words).
@@ -107,12 +107,10 @@ def feature_rows(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, n
     share, n, names, at, off = shares(texts)
     if len(_BUCKETS) > 400_000:
         _BUCKETS.clear()
-    table = np.zeros(len(names), np.int64)
-    for i, w in enumerate(names.to_pylist()):
-        b = _BUCKETS.get(w)
-        if b is None:
-            b = _BUCKETS[w] = bucket(w)
-        table[i] = b
+    words = strings(names)
+    table = numbers(_BUCKETS, words)
+    for i in np.flatnonzero(table < 0).tolist():
+        table[i] = _BUCKETS[words[i]] = bucket(words[i])
     doc = np.repeat(np.arange(len(n)), n)
     key, c = np.unique(doc * WORD_BUCKETS + table[at], return_counts=True)
     row, col = key // WORD_BUCKETS, key % WORD_BUCKETS

@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prepforge.llm.common import WORD, documents, prepare, split_words, texts_of
+from prepforge.llm.common import WORD, documents, numbers, prepare, split_words, strings, texts_of
 
 # Fixed values of the task: the patterns, the least lengths of their matches and their order.
 KINDS = ("assign", "access", "hex")
@@ -116,16 +116,17 @@ class Words:
 
     def numbers(self, words: pa.Array) -> np.ndarray:
         d = words.dictionary_encode()
-        names = d.dictionary.to_pylist()
+        names = strings(d.dictionary)
         if len(self.slots) > self.limit:
             self.clear()
-        for w in names:
-            if w not in self.slots:
-                self.slots[w] = len(self.own)
-                own, near = word_features(w)
-                self.own.append(own)
-                self.near.append(near)
-                self.digit.append(len(own) > 2 and any(c.isdigit() for c in w))
+        table = numbers(self.slots, names)
+        for i in np.flatnonzero(table < 0).tolist():
+            w = names[i]
+            table[i] = self.slots[w] = len(self.own)
+            own, near = word_features(w)
+            self.own.append(own)
+            self.near.append(near)
+            self.digit.append(len(own) > 2 and any(c.isdigit() for c in w))
         if self.weights is not None and len(self.scores) < len(self.own):
             s = len(self.scores)
             own, near = self.own[s:], np.array(self.near[s:])
@@ -136,7 +137,6 @@ class Words:
             for k in (1, 2, 3):
                 new[:, k] = self.weights[k * D + near].sum(axis=1)
             self.scores = np.concatenate([self.scores, new])
-        table = np.array([self.slots[w] for w in names], np.int64)
         return table[d.indices.to_numpy()] if len(names) else table
 
 
