@@ -181,71 +181,101 @@ def gather(pool: np.ndarray, starts: np.ndarray, lens: np.ndarray) -> np.ndarray
     return pool[np.arange(total, dtype=np.int64) + shift]
 
 
+#: Words of these letters alone keep their ids beside any mark, and in lower case (A-Z).
+LETTERS = r"^[A-Za-z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{12F}\x{131}-\x{24F}]+$"
+MARKS = ".,;:!?"
+
+
 class Encoder:
     """Ids of whole texts from the tokenizers library, each distinct word encoded once.
 
-    The vocabulary's pre-tokenizer drops white space and never joins across it, so a text's
-    ids are those of its words in turn (the tests hold this against whole texts). Words are
-    joined by a special token of the vocabulary and encoded together; words holding its text
-    are encoded alone. The memory of words is emptied at ``limit`` words.
+    The vocabulary's pre-tokenizer drops white space, never joins across it, and parts letters from
+    marks, so a text's ids are those of its words in turn, and those of letters and the marks after
+    them in turn (the tests hold this against whole texts). Words are joined by a control character
+    that is one id of its own and encoded together; words holding it are encoded alone. The memory
+    of words is emptied at ``limit`` words.
     """
 
-    def __init__(self, name: str, limit: int = 400_000, mark: str = "<|startoftext|>"):
+    def __init__(self, name: str, limit: int = 400_000, mark: str = "\x01"):
         import os
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         import public_tokenizers
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(public_tokenizers.path(name))
-        self.mark, self.mark_id, self.limit = mark, self.tok.token_to_id(mark), limit
+        self.mark, self.limit = mark, limit
+        self.mark_id, = self.tok.encode(mark, add_special_tokens=False).ids
         self.clear()
 
     def clear(self) -> None:
-        self.slots: dict[str, int] = {}
-        self.starts, self.lens = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.slots: dict[str, int] = {"": 0}
+        self.starts, self.lens = np.zeros(1, np.int64), np.zeros(1, np.int64)
         self.pool = np.zeros(0, np.uint32)
 
-    def learn(self, words: list[str]) -> None:
-        plain = [w for w in words if self.mark not in w and len(w) <= 1000]
-        odd = [w for w in words if self.mark in w or len(w) > 1000]
+    def learn(self, plain: list[str], odd: list[str]) -> None:
         pieces, lens = [self.pool], [self.lens]
-        for i in range(0, len(plain), 4000):
-            part = plain[i:i + 4000]
-            enc = self.tok.encode_batch_fast([f" {self.mark} ".join(part)], add_special_tokens=False)[0]
-            ids = np.array(enc.ids, np.uint32)
-            cut = np.flatnonzero(ids == self.mark_id)
-            n = np.diff(np.concatenate([[-1], cut, [len(ids)]])) - 1
-            pieces.append(ids[ids != self.mark_id])
-            lens.append(n)
-        for w in odd:
+        alone = [w for w in odd if self.mark in w or len(w) > 1000]
+        odd = [w for w in odd if self.mark not in w and len(w) <= 1000]
+        for words, glue in ((plain, self.mark), (odd, f" {self.mark} ")):
+            for i in range(0, len(words), 400):
+                part = words[i:i + 400]
+                ids = np.array(self.tok.encode_batch_fast([glue.join(part)], add_special_tokens=False)[0].ids, np.uint32)
+                cut = np.flatnonzero(ids == self.mark_id)
+                assert len(cut) == len(part) - 1
+                pieces.append(ids[ids != self.mark_id])
+                lens.append(np.diff(np.concatenate([[-1], cut, [len(ids)]])) - 1)
+        for w in alone:
             ids = np.array(self.tok.encode(w, add_special_tokens=False).ids, np.uint32)
             pieces.append(ids)
             lens.append(np.array([len(ids)]))
-        for w in [*plain, *odd]:
+        for w in (*plain, *odd, *alone):
             self.slots[w] = len(self.slots)
         self.pool = np.concatenate(pieces)
         self.lens = np.concatenate(lens).astype(np.int64)
         self.starts = np.cumsum(self.lens) - self.lens
 
+    def _numbers(self, words: pa.Array) -> np.ndarray:
+        """Slots of words, new ones learned."""
+        d = words.dictionary_encode()
+        slot = numbers(self.slots, strings(d.dictionary))
+        new = np.flatnonzero(slot < 0)
+        if len(new):
+            fresh = d.dictionary.take(pa.array(new))
+            plain = pc.match_substring_regex(fresh, LETTERS)
+            self.learn(strings(fresh.filter(plain)), strings(fresh.filter(pc.invert(plain))))
+            slot[new] = numbers(self.slots, strings(fresh))
+        return slot[d.indices.to_numpy()]
+
     def ids(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
         """uint32 ids of all texts, each followed by ``end``, and the texts' offsets."""
         words, off = split_words(texts)
-        d = words.dictionary_encode()
-        names = d.dictionary.to_pylist()
         if len(self.slots) > self.limit:
             self.clear()
-        new = [w for w in names if w not in self.slots]
-        if new:
-            self.learn(new)
-        slot = np.array([self.slots[w] for w in names], np.int64)
-        at = slot[d.indices.to_numpy()] if len(names) else slot
-        n = self.lens[at]
+        d = words.dictionary_encode()
+        names = d.dictionary
+        core = pc.utf8_rtrim(names, characters=MARKS)
+        plain = pc.match_substring_regex(core, LETTERS)
+        core = pc.if_else(plain, pc.ascii_lower(core), names)
+        tail = np.flatnonzero(pc.less(pc.binary_length(core), pc.binary_length(names)).to_numpy(zero_copy_only=False))
+        slot = np.zeros((len(names), 2), np.int64)
+        if len(names):
+            slot[:, 0] = self._numbers(core)
+        if len(tail):
+            pairs = zip(strings(names.take(pa.array(tail))), strings(core.take(pa.array(tail))))
+            ends = pa.array([w[len(c):] for w, c in pairs])
+            slot[tail, 1] = self._numbers(ends)
+        # this batch's distinct words, letters and marks side by side
+        pool = gather(self.pool, self.starts[slot.ravel()], self.lens[slot.ravel()])
+        lens = self.lens[slot].sum(axis=1)
+        starts = np.cumsum(lens) - lens
+        at = d.indices.to_numpy()
+        n = lens[at]
         run = np.concatenate([[0], np.cumsum(n)])
         ends = run[off] + np.arange(len(off))  # each text adds one id
         out = np.empty(int(ends[-1]), np.uint32)
         is_end = np.zeros(len(out), bool)
         is_end[ends[1:] - 1] = True
         out[is_end] = end
-        out[~is_end] = gather(self.pool, self.starts[at], n)
+        out[~is_end] = gather(pool, starts[at], n)
         return out, ends
 
 

@@ -10,7 +10,7 @@ from prepforge.llm.common import Encoder
 
 ODD = [None, "", "   ", "Hello, World's 'tis don't we'll x'y", "naïve Élan ß İ ſ K", "a b c　d", "12345 6.7",
        "<|endoftext|> a<|startoftext|>b <|STARTOFTEXT|>", "é ́x a ́", "日本語 текст ελληνικά", "🙂🙃 :-) ...!!!",
-       "x" * 3000, "tab\tnew\nline\x0bvt\x0cff\rcr", "\x1c\x1d\x85 odd spaces", "'S 'T it'S", "\x00 nul"]
+       "x" * 3000, "tab\tnew\nline\x0bvt\x0cff\rcr", "\x1c\x1d\x85 odd spaces", "'S 'T it'S", "\x00 nul", "a\x01b \x01 ,\x01. c", "The. the, THE! the?! İx. ΟΔΟΣ οδος Éa, éA; ...", "word.word, ,word x:y: z;;"]
 
 
 def whole(tok, text, end):
