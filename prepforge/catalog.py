@@ -24,6 +24,7 @@ from prepforge.operators import clean as C
 from prepforge.operators import features as FE
 from prepforge.operators import profile as P
 from prepforge.operators import scale as S
+from prepforge.plans.prefix import written
 from prepforge.session import ensure_checkpoint_dir
 from prepforge.sources import io as IO
 from prepforge.sources.tables import (C360_FLAGS, COUNT_COLS, REF_DATE, SPEND_COLS, c360,
@@ -168,9 +169,8 @@ def q_fill_nonfinite(spark, sf):
 @query("power_features")
 def q_power_features(spark, sf):
     df = cleaned(spark, sf)
-    cols = ["income", "recency", "num_days_customer"]
-    scaled = S.fit_minmax(df, cols).transform(df.select("id", *cols))
-    return FE.power_features(scaled, cols).drop(*cols)
+    scaled = S.fit_minmax(df, NUMERIC).transform(df.select("id", *NUMERIC))
+    return FE.power_features(scaled, NUMERIC).drop(*NUMERIC)
 
 
 # ------------------------------------------------------------- 2.3 filters
@@ -184,16 +184,15 @@ def q_drop_missing(spark, sf):
     return C.drop_missing(base(spark, sf))
 
 
-# The reference's spend bounds are in its own currency units; c360 spend is a
-# sum of extended prices, so the registered query uses the bounds whose units
-# carry over (birth year, income, purchase and visit counts).
-UNIT_FREE_THRESHOLDS = {k: v for k, v in C.THRESHOLDS.items() if not k.startswith("mnt_")}
+# c360 spend is a sum of extended prices: its spend bounds are the reference's
+# times this many units.
+SPEND_UNIT = 4000
+C360_THRESHOLDS = {k: (op, v * SPEND_UNIT if k.startswith("mnt_") else v) for k, (op, v) in C.THRESHOLDS.items()}
 
 
 @query("threshold_filter")
 def q_threshold_filter(spark, sf):
-    return C.threshold_filter(cleaned(spark, sf), UNIT_FREE_THRESHOLDS).select(
-        "id", *UNIT_FREE_THRESHOLDS)
+    return C.threshold_filter(cleaned(spark, sf), C360_THRESHOLDS).select("id", *C360_THRESHOLDS)
 
 
 # ------------------------------------------------------ 2.4 / 2.5 joins, dedupe
@@ -229,6 +228,12 @@ def q_duplicate_groups(spark, sf):
     return C.duplicate_groups(_dup_frame(spark, sf), DUP_COLS)
 
 
+@query("group_membership")
+def q_group_membership(spark, sf):
+    """The duplicate groups as rows (id, group_id, group_size)."""
+    return C.group_membership(_dup_frame(spark, sf), DUP_COLS)
+
+
 @query("drop_label_conflicts")
 def q_drop_label_conflicts(spark, sf):
     return C.drop_label_conflicts(_dup_frame(spark, sf, label=True), LABEL)
@@ -241,15 +246,23 @@ def q_group_intersect(spark, sf):
 
 
 # -------------------------------------------------------------- 2.6 profile
+PROFILE_COLS = ["income", "recency", "year_birth", *SPEND_COLS, *COUNT_COLS]
+
+
 @query("describe_numeric")
 def q_describe_numeric(spark, sf):
-    return P.describe_numeric(base(spark, sf), ["income", "recency", "year_birth", *SPEND_COLS,
-                                                *COUNT_COLS])
+    return P.describe_numeric(base(spark, sf), PROFILE_COLS)
 
 
 @query("describe_by_group")
 def q_describe_by_group(spark, sf):
-    return P.describe_by_group(base(spark, sf), ["income", "mnt_wines", "num_deals"], "education")
+    return P.describe_by_group(base(spark, sf), PROFILE_COLS, "education")
+
+
+@query("describe_by_marital")
+def q_describe_by_marital(spark, sf):
+    """A group column with nulls: null is a group."""
+    return P.describe_by_group(base(spark, sf), PROFILE_COLS, "marital_status")
 
 
 @query("missing_report")
@@ -308,7 +321,25 @@ def q_minimum_slice(spark, sf):
     return S.fit_minmax(df, FEATURED_NUMERIC).transform(df)
 
 
-_ = read_table  # re-exported for query modules that read raw tables
+# ------------------------------------------- numeric operators over lineitem
+LINE_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+def lines(spark, sf) -> DataFrame:
+    """All rows of lineitem: id, the four numeric columns, returned (0/1), shipment year."""
+    return read_table(spark, sf, "lineitem").select(
+        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("id"), *LINE_COLS,
+        (F.col("l_returnflag") == "R").cast("int").alias(LABEL), F.year("l_shipdate").alias("year"))
+
+
+@query("describe_lines")
+def q_describe_lines(spark, sf):
+    return P.describe_numeric(lines(spark, sf), LINE_COLS, digits=4)
+
+
+@query("five_number_lines")
+def q_five_number_lines(spark, sf):
+    return P.five_number_by_label(lines(spark, sf), LINE_COLS, "year")
 
 
 # ------------------------------------------------------------ 2.15 evaluation
@@ -364,6 +395,16 @@ def q_class_report(spark, sf):
     return EV.class_report(df, LABEL, "score", _best_threshold(df))
 
 
+@query("auroc_lines")
+def q_auroc_lines(spark, sf):
+    return EV.auroc(lines(spark, sf), LABEL, "l_extendedprice")
+
+
+@query("roc_lines")
+def q_roc_lines(spark, sf):
+    return EV.roc_points(lines(spark, sf), LABEL, "l_quantity")
+
+
 # ------------------------------------------------- 2.7 / 2.9 outliers, votes
 from prepforge.operators import outliers as O  # noqa: E402
 
@@ -399,15 +440,29 @@ def q_outlier_robust_z(spark, sf):
     return O.outlier_robust_z(_num(spark, sf), NUMERIC, 5.0)
 
 
+@query("boxplot_lines")
+def q_boxplot_lines(spark, sf):
+    """All flags: the columns are nearly even and symmetric, so a top share would cut through
+    ties of either side. No value lies beyond 1.5 ranges, so 0.4."""
+    out = O.outlier_boxplot_all(lines(spark, sf), LINE_COLS, 0.4)
+    return out.select("id", "var", F.round("dist", 4).alias("dist"))
+
+
+@query("robust_z_lines")
+def q_robust_z_lines(spark, sf):
+    return O.outlier_robust_z(lines(spark, sf), LINE_COLS, 1.5)
+
+
 @query("outlier_iqr_scores")
 def q_outlier_iqr_scores(spark, sf):
     return O.outlier_iqr_scores(featured(spark, sf), "total_money_spent")
 
 
 def vote_flags(df):
-    return (O.per_column_flags("zscore", O.outlier_zscore(df, NUMERIC, 3.0))
+    """The detectors' flags, written once: votes, thresholds and smoothing read them again."""
+    return written(O.per_column_flags("zscore", O.outlier_zscore(df, NUMERIC, 3.0))
             .unionByName(O.per_column_flags("robust_z", O.outlier_robust_z(df, NUMERIC, 5.0)))
-            .unionByName(O.whole_row_flags("boxplot", O.outlier_boxplot(df, NUMERIC))))
+            .unionByName(O.whole_row_flags("boxplot", O.outlier_boxplot(df, NUMERIC))), "flags")
 
 
 @query("outlier_votes")
@@ -442,7 +497,7 @@ def q_outlier_smooth(spark, sf):
 
 
 # ---------------------------------------------------- 2.10 impute and scale
-IMPUTE_COLS = ["income", "mnt_wines", "mnt_gold"]
+IMPUTE_COLS = ["income", *SPEND_COLS]  # the nullable numeric columns
 
 
 @query("impute_numeric")
@@ -486,8 +541,7 @@ def q_standard_scale_subset(spark, sf):
 @query("yeo_johnson")
 def q_yeo_johnson(spark, sf):
     df = _num(spark, sf)
-    cols = ["income", "recency", "mnt_wines", "num_deals"]
-    return S.fit_yeo_johnson(df, cols).transform(df.select("id", *cols))
+    return S.fit_yeo_johnson(df, NUMERIC).transform(df)
 
 
 @query("bin_uniform")
@@ -555,6 +609,16 @@ def q_rank_info_gain(spark, sf):
     return SEL.rank_info_gain(_feat(spark, sf), FEATURED_NUMERIC, LABEL)
 
 
+@query("chi2_lines")
+def q_chi2_lines(spark, sf):
+    return SEL.rank_chi2(lines(spark, sf), LINE_COLS, ["year"], LABEL)
+
+
+@query("info_gain_lines")
+def q_info_gain_lines(spark, sf):
+    return SEL.rank_info_gain(lines(spark, sf), LINE_COLS, LABEL)
+
+
 def _selector_picks(df, n=10):
     chi = SEL.rank_chi2(df, FEATURED_NUMERIC, C360_FLAGS, LABEL)
     return (SEL.top_n(chi, "chi2", n, "chi2")
@@ -649,6 +713,21 @@ def q_kfold_stratified(spark, sf):
     return SA.kfold_stratified(cleaned(spark, sf).select("id", LABEL), LABEL, 5, SEED)
 
 
+@query("split_counts")
+def q_split_counts(spark, sf):
+    """Rows of each label in either part of the stratified split."""
+    s = SA.split_stratified(cleaned(spark, sf).select("id", LABEL), LABEL, 0.2, SEED)
+    return s.groupBy(LABEL).agg(F.count_if(F.col("split") == "test").alias("test"),
+                                F.count_if(F.col("split") == "train").alias("train"))
+
+
+@query("fold_counts")
+def q_fold_counts(spark, sf):
+    """Rows of each label in each fold."""
+    return SA.kfold_stratified(cleaned(spark, sf).select("id", LABEL), LABEL, 5, SEED).groupBy(LABEL, "fold").agg(
+        F.count(F.lit(1)).alias("n"))
+
+
 def _n(train):
     return train.count()
 

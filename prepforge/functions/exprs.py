@@ -34,16 +34,18 @@ def numeric_columns(df, exclude=()) -> list[str]:
 
 def minmax_expr(c, lo: float, hi: float) -> Column:
     """(x - min) / (max - min); a constant column gives x - min (as the reference's scaler)."""
-    rng = hi - lo
     x = col(c).cast("double")
+    if lo is None or hi is None:  # no known value: all stays null
+        return F.when(F.lit(False), x)
+    rng = hi - lo
     return (x - F.lit(lo)) / F.lit(rng) if rng != 0 else (x - F.lit(lo))
 
 
 def uniform_bin_expr(c, lo: float, hi: float, n_bins: int = 10) -> Column:
     """Equal-width bin index 0..n_bins-1 over [lo, hi]; max falls in the last bin."""
     x = col(c).cast("double")
-    if hi == lo:
-        return F.lit(0).cast("int")
+    if lo is None or hi is None or hi == lo:
+        return F.when(x.isNotNull(), F.lit(0)).cast("int")
     b = F.floor((x - F.lit(lo)) * F.lit(float(n_bins)) / F.lit(hi - lo))
     return F.least(F.greatest(b, F.lit(0)), F.lit(n_bins - 1)).cast("int")
 

@@ -40,8 +40,7 @@ def column_stats(df: DataFrame, cols, stats) -> dict[str, dict[str, float]]:
     out: dict[str, dict[str, float]] = {c: {} for c in cols}
     qs = [s for s in stats if s in _QUANT]
     if qs and cols:
-        # exact quantiles from grouped counts + bucketed running sums (no
-        # per-column value map in one task); result: cols x quantiles rows
+        # exact, by bracketing; result: cols x quantiles rows
         from prepforge.plans.prefix import exact_quantiles
         long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]) \
             .unpivot([], cols, "__var", "__x")
@@ -153,10 +152,6 @@ def t_sf2(t: float, dof: float) -> float:
     return _betainc_reg(dof / 2.0, 0.5, dof / (dof + t * t))
 
 
-def normal_cdf(x: float) -> float:
-    return 0.5 * math.erfc(-x / math.sqrt(2.0))
-
-
 @F.pandas_udf(T.DoubleType())
 def chi2_pvalue(stat: pd.Series, dof: pd.Series) -> pd.Series:
     return pd.Series([chi2_sf(float(s), float(d)) for s, d in zip(stat, dof)])

@@ -1,20 +1,20 @@
 """Cleaning: projections, block lists, missing rows, encoders, deduplication.
 
-Fitted encoders hold only their level lists (bounded by the category
-cardinality, checked against ``max_levels``) and apply as column
-expressions.  Deduplication never gathers a group's ids into one row: groups
+A fitted one-hot encoder holds its level lists and applies as column
+expressions; label codes are a table that is joined.  Deduplication never gathers a group's ids into one row: groups
 are aggregated with bounded outputs (count, min id) and joined back, which
 AQE splits when one group is hot.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from prepforge.functions.exprs import col
+from prepforge.plans.prefix import null_safe_join, range_rank
 
 # Categories the reference treats as data errors.
 UNUSUAL_CLASSES = {"marital_status": ["YOLO", "Absurd", "Alone"]}
@@ -34,23 +34,6 @@ THRESHOLDS = {
 }
 
 
-class LevelBoundError(ValueError):
-    """A categorical column has more levels than the caller allowed."""
-
-
-@dataclass(frozen=True)
-class ColumnRoles:
-    """Roles the reference derived from pandas dtypes, stated explicitly."""
-    numeric: tuple[str, ...]
-    categorical: tuple[str, ...] = ()
-    label: str | None = "response"
-    id: str = "id"
-    drop: tuple[str, ...] = field(default_factory=tuple)
-
-    def features(self) -> list[str]:
-        return list(self.numeric) + list(self.categorical)
-
-
 def drop_columns(df: DataFrame, cols=METADATA_COLUMNS) -> DataFrame:
     return df.drop(*cols)
 
@@ -74,7 +57,7 @@ def distinct_years(df: DataFrame, c: str) -> DataFrame:
 
 
 def cast_category(df: DataFrame, cols) -> DataFrame:
-    """Declare 0/1 flag columns categorical: integer typed, role kept in ColumnRoles."""
+    """Declare 0/1 flag columns categorical: integer typed."""
     return df.withColumns({c: F.col(c).cast("int") for c in cols})
 
 
@@ -137,50 +120,42 @@ class OneHotModel:
                 for v in (lv[:-1] if self.drop_last else lv)]
 
 
-def _levels(df: DataFrame, c: str, max_levels: int) -> list:
-    rows = (df.select(c).where(F.col(c).isNotNull()).distinct()
-            .orderBy(c).limit(max_levels + 1).collect())
-    if len(rows) > max_levels:
-        raise LevelBoundError(f"{c}: more than {max_levels} levels")
-    return [r[0] for r in rows]
-
-
-def fit_one_hot(df: DataFrame, cols, drop_last: bool = True, max_levels: int = 1000) -> OneHotModel:
+def fit_one_hot(df: DataFrame, cols, drop_last: bool = True) -> OneHotModel:
     """Sorted levels per column; apply gives one 0/1 column per level but the
-    last; an unseen level or null gives all zeros."""
-    return OneHotModel({c: _levels(df, c, max_levels) for c in cols}, drop_last)
+    last; an unseen level or null gives all zeros.  The levels become column
+    names, so they are known to the driver: one per output column."""
+    levels = {c: [r[0] for r in df.select(c).where(F.col(c).isNotNull()).distinct().orderBy(c).collect()]
+              for c in cols}
+    return OneHotModel(levels, drop_last)
 
 
 @dataclass
 class LabelCodes:
-    codes: dict[str, dict]
+    """Per column a code table (value, code), joined on: any number of levels."""
+    codes: dict[str, DataFrame]
+
+    def _mapped(self, df: DataFrame, src: str, dst: str) -> DataFrame:
+        out = df
+        for c, t in self.codes.items():
+            key, val = f"__{c}_k", f"__{c}_v"
+            t = t.select(F.col(src).alias(key), F.col(dst).alias(val))
+            out = out.join(t, out[c] == t[key], "left").withColumn(c, F.col(val)).drop(key, val)
+        return out.select(*df.columns)
 
     def encode(self, df: DataFrame) -> DataFrame:
-        return df.withColumns({c: _map_expr(c, m) for c, m in self.codes.items()})
+        return self._mapped(df, "value", "code")
 
     def decode(self, df: DataFrame) -> DataFrame:
-        return df.withColumns({c: _map_expr(c, {v: k for k, v in m.items()})
-                               for c, m in self.codes.items()})
-
-
-def _map_expr(c: str, mapping: dict):
-    if not mapping:
-        return F.lit(None)
-    kv = []
-    for k, v in mapping.items():
-        kv += [F.lit(k), F.lit(v)]
-    return F.try_element_at(F.create_map(*kv), F.col(c))
+        return self._mapped(df, "code", "value")
 
 
-def fit_label_codes(df: DataFrame, cols, id_col: str = "id", max_levels: int = 10000) -> LabelCodes:
-    """Code = order of first appearance, where appearance order is the key order."""
+def fit_label_codes(df: DataFrame, cols, id_col: str = "id") -> LabelCodes:
+    """Code = order of first appearance, where appearance order is the key order
+    (ties by value); a distributed rank, so a column may have any number of levels."""
     codes = {}
     for c in cols:
-        rows = (df.where(F.col(c).isNotNull()).groupBy(c).agg(F.min(id_col).alias("first"))
-                .orderBy("first").limit(max_levels + 1).collect())
-        if len(rows) > max_levels:
-            raise LevelBoundError(f"{c}: more than {max_levels} levels")
-        codes[c] = {r[0]: i for i, r in enumerate(rows)}
+        first = df.where(F.col(c).isNotNull()).groupBy(F.col(c).alias("value")).agg(F.min(id_col).alias("first"))
+        codes[c] = range_rank(first, ["first", "value"], out="code").select("value", F.col("code").cast("int"))
     return LabelCodes(codes)
 
 
@@ -204,16 +179,6 @@ def dedupe_check(df: DataFrame, id_col: str = "id") -> DataFrame:
         .withColumn("is_unique", F.col("n_rows") == F.col("n_distinct"))
 
 
-def _null_safe_join(left: DataFrame, right: DataFrame, cols, how="inner") -> DataFrame:
-    r = right.select(*[F.col(c).alias(f"__r_{c}") for c in cols],
-                     *[c for c in right.columns if c not in cols])
-    cond = None
-    for c in cols:
-        e = F.col(c).eqNullSafe(F.col(f"__r_{c}"))
-        cond = e if cond is None else cond & e
-    return left.join(r, cond, how).drop(*[f"__r_{c}" for c in cols])
-
-
 def duplicate_groups(df: DataFrame, cols, id_col: str = "id") -> DataFrame:
     """One row per distinct value tuple of ``cols``: size, first and last key."""
     return df.groupBy(*cols).agg(F.count(F.lit(1)).alias("n"),
@@ -225,7 +190,7 @@ def group_membership(df: DataFrame, cols, id_col: str = "id") -> DataFrame:
     """Long form of the groups: (id, group_id = smallest key in the group, group_size)."""
     g = df.groupBy(*cols).agg(F.min(id_col).alias("group_id"),
                               F.count(F.lit(1)).alias("group_size"))
-    return _null_safe_join(df.select(id_col, *cols), g, list(cols)).select(
+    return null_safe_join(df.select(id_col, *cols), g, list(cols)).select(
         id_col, "group_id", "group_size")
 
 
@@ -253,4 +218,4 @@ def drop_label_conflicts(df: DataFrame, label_col: str, id_col: str = "id") -> D
     lab = F.coalesce(F.col(label_col).cast("long"), F.lit(-1))
     ok = (df.groupBy(*feats).agg(F.min(lab).alias("lo"), F.max(lab).alias("hi"))
           .where(F.col("lo") == F.col("hi")).drop("lo", "hi"))
-    return _null_safe_join(df, ok, feats, how="left_semi")
+    return null_safe_join(df, ok, feats, how="left_semi")

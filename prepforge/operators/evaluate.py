@@ -73,25 +73,25 @@ def _score_counts(df: DataFrame, label_col: str, score_col: str) -> DataFrame:
     return df.groupBy(score_col).agg(F.count_if(y).alias("pos"), F.count_if(~y).alias("neg"))
 
 
-def roc_points(df: DataFrame, label_col: str, score_col: str, n_buckets: int | None = None) -> DataFrame:
+def roc_points(df: DataFrame, label_col: str, score_col: str) -> DataFrame:
     """(score, tp, fp, tpr, fpr) for each distinct score, taking ``score >= s`` as positive."""
     g = _score_counts(df, label_col, score_col)
     t = g.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N")).first()  # two numbers
     P, N = float(t["P"] or 0), float(t["N"] or 0)
-    cum = running_sums(g, score_col, ["pos", "neg"], descending=True, n_buckets=n_buckets)
+    cum = running_sums(g, score_col, ["pos", "neg"], descending=True)
     return cum.select(score_col, F.col("pos_cum").alias("tp"), F.col("neg_cum").alias("fp"),
                       F.try_divide(F.col("pos_cum").cast("double"), F.lit(P)).alias("tpr"),
                       F.try_divide(F.col("neg_cum").cast("double"), F.lit(N)).alias("fpr"))
 
 
-def auroc(df: DataFrame, label_col: str, score_col: str, n_buckets: int | None = None) -> DataFrame:
+def auroc(df: DataFrame, label_col: str, score_col: str) -> DataFrame:
     """Exact area under the ROC curve with ties counted half (Mann-Whitney)."""
     g = _score_counts(df, label_col, score_col)
-    cum = running_sums(g, score_col, ["neg"], n_buckets=n_buckets, inclusive=False,
+    cum = running_sums(g, score_col, ["neg"], inclusive=False,
                        suffix="_below")
     return cum.agg(
-        F.try_divide(F.sum(F.col("pos") * (F.col("neg_below") + F.col("neg") * 0.5)),
-                     (F.sum("pos") * F.sum("neg")).cast("double")).alias("auroc"))
+        F.try_divide(F.sum(F.col("pos").cast("double") * (F.col("neg_below") + F.col("neg") * 0.5)),
+                     F.sum("pos").cast("double") * F.sum("neg").cast("double")).alias("auroc"))
 
 
 def _div(a: Column, b: Column) -> Column:

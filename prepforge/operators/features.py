@@ -123,28 +123,6 @@ class PowerChoice:
         return df.withColumns(new)
 
 
-def chi2_scores_long(long_df: DataFrame, key_cols, bin_col: str, label_col: str) -> DataFrame:
-    """Pearson chi-square of (bin x label) per key from long rows.
-
-    Only observed bins enter (as in a crosstab); per-bin label counts come
-    from one aggregation, expected counts from per-key totals.
-    """
-    k = list(key_cols)
-    cells = long_df.groupBy(*k, bin_col).agg(
-        F.count_if(F.col(label_col) == 1).alias("o1"),
-        F.count_if(F.col(label_col) == 0).alias("o0"))
-    tot = cells.groupBy(*k).agg(F.sum("o1").alias("t1"), F.sum("o0").alias("t0"),
-                                F.count(F.lit(1)).alias("nb"))
-    j = cells.join(tot, k)
-    n = F.col("t1") + F.col("t0")
-    rt = F.col("o1") + F.col("o0")
-    e1 = rt * F.col("t1") / n
-    e0 = rt * F.col("t0") / n
-    term = (F.when(e1 > 0, F.pow(F.col("o1") - e1, 2) / e1).otherwise(0.0)
-            + F.when(e0 > 0, F.pow(F.col("o0") - e0, 2) / e0).otherwise(0.0))
-    return j.groupBy(*k).agg(F.sum(term).alias("chi2"), F.first("nb").alias("n_bins"))
-
-
 def fit_best_power(df: DataFrame, cols, label_col: str, n_bins: int = 10,
                    digits: int = 4) -> tuple[PowerChoice, DataFrame]:
     """Min-max each feature, try the seven transforms, bin each in 10 equal

@@ -11,7 +11,6 @@ from __future__ import annotations
 import math
 import random
 
-import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LinearSVC,
                                        LogisticRegression, MultilayerPerceptronClassifier,
@@ -100,9 +99,10 @@ def gbt(max_depth=2, step=0.1, n=100, seed=0):
     return GBTClassifier(maxDepth=max_depth, stepSize=step, maxIter=n, seed=seed)
 
 
-def mlp(n_features: int, hidden=(10,), step=0.03, max_iter=200, seed=0):
-    return MultilayerPerceptronClassifier(layers=[n_features, *hidden, 2], stepSize=step,
-                                          solver="gd", maxIter=max_iter, seed=seed)
+def mlp(n_features: int, hidden=(10,), max_iter=200, seed=0):
+    """L-BFGS: plain gradient steps of the same number leave the network far from fitted."""
+    return MultilayerPerceptronClassifier(layers=[n_features, *hidden, 2], solver="l-bfgs",
+                                          maxIter=max_iter, seed=seed)
 
 
 def linear_svc(reg=0.01, max_iter=100):
@@ -292,5 +292,3 @@ def coef_rank(model, cols, spark) -> DataFrame:
     return spark.createDataFrame([(c, float(v), i + 1) for i, (c, v) in enumerate(rows)],
                                  "var string, coef double, rank int")
 
-
-_ = np  # numpy used by callers through this module's helpers

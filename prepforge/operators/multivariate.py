@@ -111,7 +111,8 @@ def cooks_distance(df: DataFrame, target: str, cols, id_col: str = "id") -> Data
     res = df.select(id_col, (y - fit).alias("e"), lev.alias("h"))
     sse = res.agg(F.sum(F.col("e") * F.col("e"))).first()[0]
     s2 = sse / max(int(r["n"]) - p, 1)
-    d = F.pow(F.col("e"), 2) / F.lit(p * s2) * F.col("h") / F.pow(1 - F.col("h"), 2)
+    # null at leverage 1 or with a perfect fit
+    d = F.try_divide(F.try_divide(F.pow(F.col("e"), 2), F.lit(float(p * s2))) * F.col("h"), F.pow(1 - F.col("h"), 2))
     return res.select(id_col, d.alias("cooks_d"))
 
 

@@ -3,9 +3,9 @@ crosstab shares, group averages, correlations, top-k.
 
 Every report is one aggregation over all requested columns (wide row) that
 is then unpivoted, or a ``groupBy`` over an unpivoted frame; no per-column
-job loops.  Quartiles are exact ``percentile`` (linear interpolation) by
-default; ``approx=True`` switches to ``percentile_approx`` for columns whose
-distinct count makes an exact value map too large.
+job loops.  Quartiles are exact (linear interpolation, by bracketing, see
+:mod:`prepforge.plans.prefix`) by default; ``approx=True`` asks for
+``percentile_approx``.
 """
 
 from __future__ import annotations
@@ -26,11 +26,12 @@ def _with_quantiles(long, keys, base_aggs, qnames, approx):
     if approx:
         return long.groupBy(*keys).agg(*base_aggs, *[_q("x", probs[n], True).alias(qnames[n])
                                                        for n in qnames])
-    from prepforge.plans.prefix import exact_quantiles
+    from prepforge.plans.prefix import exact_quantiles, null_safe_join
     q = exact_quantiles(long, "x", [probs[n] for n in qnames], keys)
+    # null is a group of its own
     piv = q.groupBy(*keys).agg(*[F.max(F.when(F.col("p") == probs[n], F.col("q"))).alias(qnames[n])
                                  for n in qnames])
-    return long.groupBy(*keys).agg(*base_aggs).join(piv, keys, "left")
+    return null_safe_join(long.groupBy(*keys).agg(*base_aggs), piv, keys, "left")
 
 
 def _as_double(df: DataFrame, cols, keep=()):
@@ -109,41 +110,36 @@ def group_average(df: DataFrame, key: str, metrics, digits: int = 6) -> DataFram
     return df.groupBy(key).agg(*[F.round(F.avg(m), digits).alias(m) for m in metrics])
 
 
+def _corr(a: str, b: str) -> F.Column:
+    """Pearson r over the rows where both are known, from centred one-pass moments; null if
+    either is constant on them."""
+    x, y = F.col(a).cast("double"), F.col(b).cast("double")
+    vx, vy = F.var_pop(F.when(y.isNotNull(), x)), F.var_pop(F.when(x.isNotNull(), y))
+    return F.try_divide(F.covar_pop(x, y), F.sqrt(vx) * F.sqrt(vy))
+
+
 def corr_with_label(df: DataFrame, cols, label_col: str, digits: int = 6) -> DataFrame:
-    """|Pearson r| of each feature with the label from one aggregation, ranked."""
-    wide = df.agg(*[F.corr(F.col(c).cast("double"), F.col(label_col).cast("double")).alias(c)
-                    for c in cols])
+    """|Pearson r| of each feature with the label from one aggregation; null for a constant."""
+    wide = df.agg(*[_corr(c, label_col).alias(c) for c in cols])
     long = wide.unpivot([], list(cols), "var", "r")
     return long.select("var", F.round(F.abs("r"), digits).alias("abs_corr"))
 
 
 def corr_matrix(df: DataFrame, cols, digits: int = 6) -> DataFrame:
-    """|r| for every pair i <= j, long form.
-
-    Without nulls: ``pyspark.ml.stat.Correlation`` builds the whole d x d
-    matrix in one tree aggregation over mean-centred vectors (d x d result on
-    the driver, bounded by the feature count).  With nulls: one aggregation
-    of d(d+1)/2 SQL ``corr`` (pairwise deletion, as pandas does)."""
+    """|r| for every pair i <= j, long form: one aggregation of d(d+1)/2 correlations, each over
+    the rows where both columns are known (as pandas does); null if one of them is constant."""
     cols = list(cols)
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    nulls = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols]).first()
-    if sum(nulls) == 0:
-        from pyspark.ml.feature import VectorAssembler
-        from pyspark.ml.stat import Correlation
-        vec = VectorAssembler(inputCols=cols, outputCol="__v").transform(
-            df.select(*[F.col(c).cast("double").alias(c) for c in cols]))
-        m = Correlation.corr(vec, "__v").first()[0].toArray()
-        idx = {c: i for i, c in enumerate(cols)}
-        rows = [(a, b, float(m[idx[a], idx[b]])) for a, b in pairs]
-        out = df.sparkSession.createDataFrame(rows, "var1 string, var2 string, r double")
-        return out.select("var1", "var2", F.round(F.abs("r"), digits).alias("abs_corr"))
-    names = [f"{a}|{b}" for a, b in pairs]
-    wide = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(n)
-                    for (a, b), n in zip(pairs, names)])
-    long = wide.unpivot([], names, "pair", "r")
-    return long.select(F.split("pair", r"\|").getItem(0).alias("var1"),
-                       F.split("pair", r"\|").getItem(1).alias("var2"),
-                       F.round(F.abs("r"), digits).alias("abs_corr"))
+    parts = []
+    for s in range(0, len(pairs), 100):  # keeps the generated code of one aggregation small
+        names = {f"p{s + i}": p for i, p in enumerate(pairs[s:s + 100])}
+        wide = df.agg(*[_corr(a, b).alias(n) for n, (a, b) in names.items()])
+        stack = ", ".join(f"'{a}', '{b}', {n}" for n, (a, b) in names.items())
+        parts.append(wide.selectExpr(f"stack({len(names)}, {stack}) AS (var1, var2, r)"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.select("var1", "var2", F.round(F.abs("r"), digits).alias("abs_corr"))
 
 
 def top_k(df: DataFrame, c: str, k: int, id_col: str = "id", extra=()) -> DataFrame:

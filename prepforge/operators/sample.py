@@ -3,7 +3,8 @@
 Rows are ordered by ``xxhash64(id, seed)`` (stable under any partitioning,
 so the same seed gives the same split on 1 or 1000 executors); the rank in
 that order is computed by :func:`prepforge.plans.prefix.hash_rank`, whose
-hash-prefix buckets keep a label holding most rows spread over many tasks.
+ranges keep a label holding most rows spread over many tasks.  Rows with a null
+label are a class of their own.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from prepforge.plans.prefix import hash_rank
+from prepforge.plans.prefix import hash_rank, null_safe_join
 
 
 def _ranked(df: DataFrame, id_col: str, seed: int, group_cols=()) -> DataFrame:
@@ -24,7 +25,7 @@ def split_stratified(df: DataFrame, label_col: str, test_frac: float = 0.2, seed
     """Adds ``split`` in {train, test}; each label gets round(n_label * frac) test rows."""
     r = _ranked(df, id_col, seed, [label_col])
     n = df.groupBy(label_col).agg(F.count(F.lit(1)).alias("__n"))  # one row per label
-    r = r.join(F.broadcast(n), label_col, "left")
+    r = null_safe_join(r, n, [label_col], "left")
     k = F.floor(F.col("__n") * F.lit(test_frac) + F.lit(0.5))
     return r.withColumn("split", F.when(F.col("__rank") < k, "test").otherwise("train")) \
         .drop("__h", "__rank", "__n")

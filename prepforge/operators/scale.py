@@ -127,34 +127,39 @@ def fit_yeo_johnson(df: DataFrame, cols, grid=None, rounds: int = 3) -> YeoJohns
 
         llf(l) = -n/2 * log(var_pop(y_l)) + (l - 1) * sum(sign(x) * log1p(|x|))
 
-    evaluated for every (column, lambda) of a grid in one aggregation, then
-    refined on a finer grid around the best value ``rounds`` times."""
+    over the column's known values (n of them).  Every (column, lambda) of a grid
+    is one aggregation.  While a column's best value lies at an end of its grid,
+    the grid moves on past that end; then it is refined around the best value
+    ``rounds`` times.  A grid whose every variance is zero or beyond double range
+    (a constant column) leaves lambda at 1."""
     cols = list(cols)
-    grid = list(grid) if grid is not None else list(np.linspace(-3, 3, 25))
-    jac = df.agg(*[F.sum(F.signum(F.col(c)) * F.log1p(F.abs(F.col(c).cast("double")))).alias(c)
-                   for c in cols], F.count(F.lit(1)).alias("__n")).first()
-    n = jac["__n"]
-    cur = {c: grid for c in cols}
-    best = {}
-    for _ in range(rounds + 1):
-        aggs, keys = [], []
-        for c in cols:
-            for i, lam in enumerate(cur[c]):
-                aggs.append(F.var_pop(_yj_expr(c, float(lam))).alias(f"a{len(keys)}"))
-                keys.append((c, float(lam)))
-        row = df.agg(*aggs).first()
-        for j, (c, lam) in enumerate(keys):
-            v = row[j]
-            if v is None or v <= 0:
+    grid = [float(x) for x in (grid if grid is not None else np.linspace(-3, 3, 25))]
+    jac = df.agg(*[F.sum(F.signum(F.col(c)) * F.log1p(F.abs(F.col(c).cast("double")))).alias(c) for c in cols],
+                 *[F.count(c).alias(f"n_{c}") for c in cols]).first()
+    best: dict[str, tuple[float, float]] = {}
+    cur, left = {c: grid for c in cols}, {c: rounds for c in cols}
+    while cur:
+        keys = [(c, lam) for c, g in cur.items() for lam in g]
+        row = df.agg(*[F.var_pop(_yj_expr(c, lam)).alias(f"a{j}") for j, (c, lam) in enumerate(keys)]).first()
+        for (c, lam), v in zip(keys, row):
+            # beyond double range the likelihood has long fallen
+            if v is None or not 0 < v < float("inf"):
                 continue
-            llf = -n / 2.0 * math.log(v) + (lam - 1) * (jac[c] or 0.0)
+            llf = -jac[f"n_{c}"] / 2.0 * math.log(v) + (lam - 1) * (jac[c] or 0.0)
             if c not in best or llf > best[c][1]:
                 best[c] = (lam, llf)
-        for c in cols:
-            g = cur[c]
-            step = (g[1] - g[0]) if len(g) > 1 else 0.25
-            lam = best.get(c, (1.0, 0))[0]
-            cur[c] = list(np.linspace(lam - step, lam + step, 9))
+        nxt = {}
+        for c, g in cur.items():
+            if c not in best:
+                continue
+            lam, step, width = best[c][0], g[1] - g[0] if len(g) > 1 else 0.25, g[-1] - g[0]
+            if lam in (g[0], g[-1]) and width > 0 and abs(lam) < 1e3:
+                s = 1 if lam == g[-1] else -1  # the optimum may lie outside: move on
+                nxt[c] = sorted(lam + s * step * i for i in range(len(g)))
+            elif left[c]:
+                left[c] -= 1
+                nxt[c] = [float(x) for x in np.linspace(lam - step, lam + step, 9)]
+        cur = nxt
     lambdas = {c: best.get(c, (1.0, 0))[0] for c in cols}
     st = df.agg(*[F.avg(_yj_expr(c, lambdas[c])).alias(f"m{i}") for i, c in enumerate(cols)],
                 *[F.stddev_pop(_yj_expr(c, lambdas[c])).alias(f"s{i}") for i, c in enumerate(cols)]

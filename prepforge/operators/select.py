@@ -8,8 +8,6 @@ p-values are evaluated by pandas UDFs on those per-feature rows.
 
 from __future__ import annotations
 
-from collections import Counter
-
 import numpy as np
 from pyspark.ml.classification import (DecisionTreeClassifier, LogisticRegression,
                                        RandomForestClassifier)
@@ -30,11 +28,6 @@ def select_constant(df: DataFrame, cols, min_sd: float = 0.01) -> DataFrame:
         F.coalesce(F.col("sd") < min_sd, F.lit(True)).alias("dropped"))
 
 
-def drop_constant(df: DataFrame, cols, min_sd: float = 0.01) -> DataFrame:
-    gone = [r["var"] for r in select_constant(df, cols, min_sd).where("dropped").collect()]
-    return df.drop(*gone)
-
-
 # ------------------------------------------------------------- chi-square
 def chi2_long(long_df: DataFrame, label_col: str, yates: bool = True) -> DataFrame:
     """Chi-square of (value x label) per ``var`` from rows (var, v, label).
@@ -48,7 +41,7 @@ def chi2_long(long_df: DataFrame, label_col: str, yates: bool = True) -> DataFra
                                    F.count(F.lit(1)).alias("nv"))
     j = cells.join(tot, "var")
     n = F.col("t1") + F.col("t0")
-    rt = F.col("o1") + F.col("o0")
+    rt = (F.col("o1") + F.col("o0")).cast("double")  # a product of two counts passes bigint
     labels_present = (F.col("t1") > 0).cast("int") + (F.col("t0") > 0).cast("int")
     dof = (F.col("nv") - 1) * (labels_present - 1)
 
@@ -140,7 +133,8 @@ def rank_anova_f(df: DataFrame, cols, label_col: str, digits: int = 6,
         F.sum(F.col("nc") * F.pow(F.col("mc") - F.col("mu"), 2)).alias("ssb"),
         F.sum((F.col("nc") - 1) * F.coalesce(F.col("vc"), F.lit(0.0))).alias("ssw"),
         F.first("n").alias("n"), F.first("k").alias("k"))
-    f = F.try_divide(F.col("ssb") / (F.col("k") - 1), F.col("ssw") / (F.col("n") - F.col("k")))
+    # null with one class or as many classes as rows
+    f = F.try_divide(F.try_divide(F.col("ssb"), F.col("k") - 1), F.try_divide(F.col("ssw"), F.col("n") - F.col("k")))
     out = g.withColumn("f", f)
     cols_out = ["var", F.round("f", digits).alias("f")]
     if with_p:
@@ -156,15 +150,15 @@ def _h(p):
     return F.when((p <= 0) | (p >= 1), F.lit(0.0)).otherwise(-p * F.log2(p) - q * F.log2(q))
 
 
-def info_gain_table(df: DataFrame, cols, label_col: str, n_buckets: int | None = None) -> DataFrame:
+def info_gain_table(df: DataFrame, cols, label_col: str) -> DataFrame:
     """(var, value, gain) for every split ``x <= value`` of every feature but
     at each feature's largest value.  Rows are grouped to distinct values
-    first; left-side counts are a bucketed running sum per feature."""
+    first; left-side counts are a range-partitioned running sum per feature."""
     long = df.select(F.col(label_col), *[F.col(c).cast("double").alias(c) for c in cols]) \
         .unpivot([label_col], list(cols), "var", "value")
     g = long.groupBy("var", "value").agg(F.count(F.lit(1)).alias("cnt"),
                                          F.count_if(F.col(label_col) == 1).alias("pos"))
-    cum = running_sums(g, "value", ["cnt", "pos"], group_cols=["var"], n_buckets=n_buckets)
+    cum = running_sums(g, "value", ["cnt", "pos"], group_cols=["var"])
     tot = g.groupBy("var").agg(F.sum("cnt").alias("N"), F.sum("pos").alias("P"),
                                F.max("value").alias("vmax"))
     j = cum.join(F.broadcast(tot), "var")  # one row per feature
@@ -361,7 +355,3 @@ def select_genetic(df: DataFrame, cols, label_col: str, n_pop: int = 12, n_gen:
     chosen = [c for c, b in zip(cols, best) if b]
     return df.sparkSession.createDataFrame([(c, float(max(fits))) for c in chosen],
                                            "var string, fitness double")
-
-
-def vote_counts(lists) -> Counter:
-    return Counter(v for lst in lists for v in lst)

@@ -208,7 +208,7 @@ _fill_cols = ["income", *SPEND, *COUNTS, "recency"]
 oracle("fill_nonfinite", with_c360(
     "SELECT id, " + ", ".join(f"coalesce({c}, 0) AS {c}" for c in _fill_cols)
     + f", {sr('mnt_wines', 'income')} AS wines_per_income FROM c360"))
-_pw = ["income", "recency", "num_days_customer"]
+_pw = NUMERIC
 oracle("power_features", staged(
     "SELECT id, " + ", ".join(x for c in _pw for x in power_sql(c, c)) + " FROM scaled",
     "scaled AS (" + minmax_cols(_pw, "cleaned", ["id"]) + ")"))
@@ -217,7 +217,8 @@ oracle("power_features", staged(
 oracle("drop_unusual_classes", with_c360(
     "SELECT id, marital_status FROM c360 WHERE NOT coalesce(marital_status IN ('YOLO', 'Absurd', 'Alone'), false)"))
 oracle("drop_missing", with_c360("SELECT * FROM c360 WHERE " + " AND ".join(f"{c} IS NOT NULL" for c in C360_COLS)))
-_TH = [("year_birth", ">", 1920), ("income", "<", 153920), ("num_deals", "<", 14), ("num_web", "<", 23), ("num_catalog", "<", 21),
+_TH = [("year_birth", ">", 1920), ("income", "<", 153920), ("mnt_meat", "<", 1500 * 4000), ("mnt_sweet", "<", 250 * 4000),
+       ("mnt_gold", "<", 290 * 4000), ("num_deals", "<", 14), ("num_web", "<", 23), ("num_catalog", "<", 21),
        ("num_web_visits", "<", 13)]
 oracle("threshold_filter", staged(
     "SELECT id, " + ", ".join(c for c, _, _ in _TH) + " FROM cleaned WHERE "
@@ -263,7 +264,11 @@ def _describe(cols, src, group=None):
 
 
 oracle("describe_numeric", with_c360(_describe(["income", "recency", "year_birth", *SPEND, *COUNTS], "c360")))
-oracle("describe_by_group", with_c360(_describe(["income", "mnt_wines", "num_deals"], "c360", "education")))
+_PROFILE = ["income", "recency", "year_birth", *SPEND, *COUNTS]
+oracle("describe_by_group", with_c360(_describe(_PROFILE, "c360", "education")))
+oracle("describe_by_marital", with_c360(_describe(_PROFILE, "c360", "marital_status")))
+oracle("group_membership", with_c360(
+    f"SELECT id, min(id) OVER (PARTITION BY {_DUP}) AS group_id, count(*) OVER (PARTITION BY {_DUP}) AS group_size FROM c360"))
 oracle("missing_report", with_c360(" UNION ALL ".join(
     f"SELECT '{c}' AS var, count(*) FILTER (WHERE {c} IS NULL) AS n_missing, "
     f"round(count(*) FILTER (WHERE {c} IS NULL) / count(*), 6) AS p_missing FROM c360 "
@@ -429,7 +434,7 @@ oracle("outlier_smooth", out_sql(
     _FLAGS, _VOTES, _SM_ST, _SM_FL))
 
 # ---------------------------------------------------- 2.10 impute and scale
-_IMP = ["income", "mnt_wines", "mnt_gold"]
+_IMP = ["income", *SPEND]
 oracle("impute_mean", with_c360("SELECT id, " + ", ".join(
     f"round(coalesce({c}, (SELECT avg({c}) FROM c360)), 6) AS {c}" for c in _IMP) + " FROM c360"))
 oracle("impute_median", with_c360("SELECT id, " + ", ".join(
@@ -601,3 +606,67 @@ oracle("key_semi_filter", with_c360(
     f"SELECT id, income, recency, response FROM c360 WHERE id IN (SELECT id FROM (SELECT id, "
     f"count(*) OVER (PARTITION BY {_DUP}, response) AS na, count(*) OVER (PARTITION BY {_DUP}) AS nb "
     "FROM c360) WHERE na = nb)"))
+
+
+# ------------------------------------------- numeric operators over lineitem
+LINE = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+LINES = ("WITH lines AS (SELECT l_orderkey * 8 + l_linenumber AS id, " + ", ".join(LINE)
+         + ", CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS response, CAST(year(l_shipdate) AS INTEGER) AS year FROM lineitem)")
+
+
+def lines_sql(body: str, *ctes: str) -> str:
+    return ", ".join([LINES, *ctes]) + " " + body
+
+
+oracle("describe_lines", lines_sql(_describe(LINE, "lines").replace(", 6)", ", 4)")))
+oracle("five_number_lines", lines_sql(" UNION ALL ".join(
+    f"SELECT '{c}' AS var, year, round(min({c}), 6) AS min, round(quantile_cont({c}, 0.25), 6) AS q1, "
+    f"round(quantile_cont({c}, 0.5), 6) AS median, round(quantile_cont({c}, 0.75), 6) AS q3, round(max({c}), 6) AS max "
+    f"FROM lines GROUP BY year" for c in LINE)))
+
+
+def _line_counts(c):
+    return (f"g AS (SELECT {c} AS score, count(*) FILTER (WHERE response = 1) AS pos, count(*) FILTER (WHERE response <> 1) AS neg "
+            f"FROM lines GROUP BY {c})")
+
+
+oracle("auroc_lines", lines_sql(
+    "SELECT sum(pos * (coalesce(neg_below, 0) + neg * 0.5)) / CAST(sum(pos) * sum(neg) AS DOUBLE) AS auroc FROM "
+    "(SELECT *, sum(neg) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS neg_below FROM g) c",
+    _line_counts("l_extendedprice")))
+oracle("roc_lines", lines_sql(
+    "SELECT score AS l_quantity, sum(pos) OVER (ORDER BY score DESC) AS tp, sum(neg) OVER (ORDER BY score DESC) AS fp, "
+    "CAST(sum(pos) OVER (ORDER BY score DESC) AS DOUBLE) / (SELECT sum(pos) FROM g) AS tpr, "
+    "CAST(sum(neg) OVER (ORDER BY score DESC) AS DOUBLE) / (SELECT sum(neg) FROM g) AS fpr FROM g", _line_counts("l_quantity")))
+oracle("robust_z_lines", lines_sql(
+    " UNION ALL ".join(
+        f"SELECT id, '{c}' AS var FROM lines, med, mad WHERE CASE WHEN mad_{c} = 0 THEN {c} - md_{c} <> 0 "
+        f"ELSE abs(0.6745 * ({c} - md_{c}) / mad_{c}) > 1.5 END" for c in LINE),
+    "med AS (SELECT " + ", ".join(f"quantile_cont({c}, 0.5) AS md_{c}" for c in LINE) + " FROM lines)",
+    "mad AS (SELECT " + ", ".join(f"quantile_cont(abs({c} - md_{c}), 0.5) AS mad_{c}" for c in LINE) + " FROM lines, med)"))
+_LZ = ("lz AS (SELECT id, " + ", ".join(f"({c} - m_{c}) / s_{c} AS {c}" for c in LINE) + " FROM lines, (SELECT "
+       + ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in LINE) + " FROM lines) st)")
+_LQ = "lq AS (SELECT " + ", ".join(f"quantile_cont({c}, 0.25) AS a_{c}, quantile_cont({c}, 0.75) AS b_{c}" for c in LINE) + " FROM lz)"
+oracle("boxplot_lines", lines_sql(
+    "SELECT id, var, round(dist, 4) AS dist FROM box WHERE dist IS NOT NULL",
+    _LZ, _LQ, "box AS (" + " UNION ALL ".join(
+        f"SELECT id, '{c}' AS var, CASE WHEN {c} > b_{c} + 0.4 * (b_{c} - a_{c}) THEN {c} - (b_{c} + 0.4 * (b_{c} - a_{c})) "
+        f"WHEN {c} < a_{c} - 0.4 * (b_{c} - a_{c}) THEN (a_{c} - 0.4 * (b_{c} - a_{c})) - {c} END AS dist FROM lz, lq" for c in LINE) + ")"))
+oracle("chi2_lines", lines_sql(
+    "SELECT var, chi2, CAST(dof AS BIGINT) AS dof, CAST(row_number() OVER (ORDER BY chi2 DESC, var) AS INTEGER) AS rank "
+    "FROM (SELECT var, round(chi2, 6) AS chi2, dof FROM chi)",
+    "chl AS (" + " UNION ALL ".join(
+        [f"SELECT '{c}' AS var, CAST({_BIN.format(c=c)} AS DOUBLE) AS v, response FROM lines, "
+         f"(SELECT min({c}) AS lo_{c}, max({c}) AS hi_{c} FROM lines) b" for c in LINE]
+        + ["SELECT 'year' AS var, CAST(year AS DOUBLE) AS v, response FROM lines"]) + ")", *chi2_ctes("chl")))
+oracle("info_gain_lines", lines_sql(
+    "SELECT var, value AS best_value, round(gain, 6) AS gain FROM (SELECT *, row_number() OVER "
+    "(PARTITION BY var ORDER BY gain DESC, value) AS rn FROM gains) WHERE rn = 1", _gain_sql(LINE).replace("FROM featured", "FROM lines")))
+
+# ------------------------------------------------------ splits and folds, counted
+oracle("split_counts", staged(
+    "SELECT response, CAST(floor(n * 0.2 + 0.5) AS BIGINT) AS test, n - CAST(floor(n * 0.2 + 0.5) AS BIGINT) AS train FROM "
+    "(SELECT response, count(*) AS n FROM cleaned GROUP BY response)"))
+oracle("fold_counts", staged(
+    "SELECT response, CAST(k AS INTEGER) AS fold, n // 5 + CASE WHEN k < n % 5 THEN 1 ELSE 0 END AS n FROM "
+    "(SELECT response, count(*) AS n FROM cleaned GROUP BY response), (SELECT unnest(range(5)) AS k) f"))

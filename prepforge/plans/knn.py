@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from prepforge.functions.stats import column_stats
+from prepforge.plans.prefix import null_safe_join
 
 _DEBUG = bool(__import__("os").environ.get("PREPFORGE_DEBUG_KNN"))
 
@@ -46,18 +47,13 @@ def cell_side(df: DataFrame, gcols, target: float = 16.0) -> tuple[float, dict]:
     return h, st
 
 
-def _cells(df, gcols, h, prefix="g"):
-    return df.withColumns({f"{prefix}{i}": F.floor(F.col(c) / F.lit(h)).cast("long")
-                           for i, c in enumerate(gcols)})
-
-
 def _sqdist(cols, lp="l_", rp="r_"):
     return sum((F.pow(F.col(f"{lp}{c}") - F.col(f"{rp}{c}"), 2) for c in cols[1:]),
                F.pow(F.col(f"{lp}{cols[0]}") - F.col(f"{rp}{cols[0]}"), 2))
 
 
 def _knn_locations(Lq: DataFrame, R: DataFrame, cols, payload, need_w: int, extra_sqdist,
-                   target: float, max_rounds: int) -> DataFrame:
+                   target: float) -> DataFrame:
     """Weighted k-NN over distinct locations.
 
     ``Lq``: (l_loc, l_<cols>, l_<payload>) query locations; ``R``: (r_loc, r_w,
@@ -99,8 +95,8 @@ def _knn_locations(Lq: DataFrame, R: DataFrame, cols, payload, need_w: int, extr
     offs = list(itertools.product(range(-1, 2), repeat=m))
     arr = F.array(*[F.struct(*[F.lit(o[i]).alias(f"o{i}") for i in range(m)]) for o in offs])
     done = None
-    for t in range(max_rounds):
-        side = h * (2 ** t)
+    for t in itertools.count():  # ends at the latest when a block covers the cloud
+        side = h * (2.0 ** t)
         if late is not None and side >= h_normal * (1 - 1e-12):
             pending = pending.unionByName(late).persist()
             late = None
@@ -151,15 +147,13 @@ def _knn_locations(Lq: DataFrame, R: DataFrame, cols, payload, need_w: int, extr
         pending = nxt
         if left_over == 0:
             break
-    else:
-        raise RuntimeError("knn_join did not resolve every query; raise max_rounds")
     pending.unpersist()
     return done
 
 
 def knn_join(left: DataFrame, right: DataFrame, cols, k: int, id_col: str = "id",
              exclude_self: bool = True, extra_sqdist=None, target: float = 16.0,
-             max_rounds: int = 80, payload=()) -> DataFrame:
+             payload=()) -> DataFrame:
     """Rows (left_id, right_id, dist, rank) with the k nearest right rows of
     every left row (Euclidean over ``cols`` plus optional ``extra_sqdist``,
     a function (lp, rp) -> Column of non-negative squared terms, which may read
@@ -176,17 +170,16 @@ def knn_join(left: DataFrame, right: DataFrame, cols, k: int, id_col: str = "id"
     need_w = k + (1 if exclude_self else 0)
     rl = right.groupBy(*key).agg(F.count(F.lit(1)).alias("r_w"), F.min(id_col).alias("r_loc"))
     R = rl.select("r_loc", "r_w", *[F.col(c).alias(f"r_{c}") for c in key]).persist()
-    Lq = left.select(*key).distinct().withColumn("l_loc", F.xxhash64(*key)) \
-        .select("l_loc", *[F.col(c).alias(f"l_{c}") for c in key])
-    # a 64-bit hash names the query location; a collision would only merge two
-    # query locations' candidate lists (both still get exact distances below)
-    near = _knn_locations(Lq, R, cols, payload, need_w, extra_sqdist, target, max_rounds).checkpoint()
+    ll = left.groupBy(*key).agg(F.min(id_col).alias("l_loc"))
+    Lq = ll.select("l_loc", *[F.col(c).alias(f"l_{c}") for c in key])
+    # a query location is named by its least id
+    near = _knn_locations(Lq, R, cols, payload, need_w, extra_sqdist, target).checkpoint()
     # k + 1 smallest ids of every right location (partial limit before the shuffle)
     rid_rank = Window.partitionBy(*key).orderBy(id_col)
     top_ids = (right.select(id_col, *key).withColumn("__r", F.row_number().over(rid_rank))
                .where(F.col("__r") <= k + 1)
                .join(rl.select("r_loc", *key), key).select("r_loc", F.col(id_col).alias("right_id")))
-    lp = left.select(F.col(id_col).alias("left_id"), *key).withColumn("l_loc", F.xxhash64(*key))
+    lp = null_safe_join(left.select(F.col(id_col).alias("left_id"), *key), ll, key)
     cand = lp.select("left_id", "l_loc").join(near, "l_loc").join(top_ids, "r_loc")
     if exclude_self:
         cand = cand.where(F.col("left_id") != F.col("right_id"))
@@ -196,25 +189,3 @@ def knn_join(left: DataFrame, right: DataFrame, cols, k: int, id_col: str = "id"
     R.unpersist()
     # the neighbour lists feed several self-joins downstream: write them once
     return out.checkpoint()
-
-
-def range_pairs(df: DataFrame, cols, eps: float, id_col: str = "id") -> DataFrame:
-    """All (left_id, right_id) with distance <= eps (self pairs included), from
-    an equi-join of each point's cell with the neighbouring cells; cells of
-    side eps over up to three coordinates give a superset that the exact
-    distance filter then cuts."""
-    cols = list(cols)
-    gcols = grid_coords(df, cols)
-    m = len(gcols)
-    base = _cells(df.select(id_col, *cols), gcols, eps)
-    R = base.select(*[F.col(c).alias(f"r_{c}") for c in [id_col, *cols]],
-                    *[F.col(f"g{i}").alias(f"c{i}") for i in range(m)])
-    offs = list(itertools.product(range(-1, 2), repeat=m))
-    arr = F.array(*[F.struct(*[F.lit(o[i]).alias(f"o{i}") for i in range(m)]) for o in offs])
-    L = base.select(*[F.col(c).alias(f"l_{c}") for c in [id_col, *cols]],
-                    *[F.col(f"g{i}").alias(f"q{i}") for i in range(m)]) \
-        .withColumn("__o", F.explode(arr)) \
-        .withColumns({f"c{i}": F.col(f"q{i}") + F.col(f"__o.o{i}") for i in range(m)})
-    pairs = L.join(R, [f"c{i}" for i in range(m)])
-    return pairs.where(F.sqrt(_sqdist(cols)) <= F.lit(eps)).select(
-        F.col(f"l_{id_col}").alias("left_id"), F.col(f"r_{id_col}").alias("right_id"))

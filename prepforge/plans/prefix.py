@@ -1,222 +1,217 @@
-"""P3: distributed running sums and ranks without a single-partition window.
-
-``Window.orderBy`` with no ``partitionBy`` moves all rows to one task.  Here
-the ordered values are first cut into range buckets (split points from
-``approxQuantile``, held as literals so a value always falls in the same
-bucket); bucket totals form a tiny table (at most ``n_buckets`` rows per
-group) whose running sum gives each bucket's offset; the offset table is
-broadcast (its size is bounded by ``n_buckets`` x groups) and added to a
-window that is partitioned by (group, bucket).  The result is exact.
+"""P3: distributed running sums, ranks and exact quantiles, one way for every size.
+
+``Window.orderBy`` with no ``partitionBy`` moves all rows to one task.  Running
+sums and ranks here range-partition the rows by (group, order key), so a hot
+group is spread over many tasks, write them once to the checkpoint folder
+(range bounds are sampled, so the partition numbers must not be computed
+twice), add the totals of the partitions before, and finish with a window per
+partition.  The offset table has at most partitions + groups rows per group and
+is joined null-safe, without a broadcast hint.
+
+Exact quantiles bracket each wanted rank by a sketch (one scan), count what lies
+below the bracket and keep only the values inside it (a second scan), and select
+the rank among those.  Nothing is shuffled but sketches and bracket contents.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKET = "__bucket"
-# Rows per window task that the bucket count aims for, and its limits.
-ROWS_PER_BUCKET = 2_000_000
-MIN_BUCKETS, MAX_BUCKETS = 64, 16384
-
-
-def buckets_for(n_rows: int) -> int:
-    """Bucket count so that a bucket holds about ``ROWS_PER_BUCKET`` rows."""
-    return int(min(MAX_BUCKETS, max(MIN_BUCKETS, -(-n_rows // ROWS_PER_BUCKET))))
-
-
-def range_bucket(df: DataFrame, order_col: str, n_buckets: int = 64,
-                 rel_err: float | None = None) -> Column:
-    """Monotone bucket index of ``order_col`` from approximate quantiles
-    (relative error well below 1 / n_buckets, so buckets are balanced)."""
-    rel_err = rel_err if rel_err is not None else min(0.001, 0.25 / n_buckets)
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    splits = sorted(set(v for v in df.approxQuantile(order_col, probs, rel_err) if v is not None))
-    if len(splits) <= 64:
-        b = F.lit(0)
-        for s in splits:
-            b = b + (F.col(order_col) > F.lit(s)).cast("int")
-        return b
-    # many split points: a binary search per row (the split array is a literal)
-    arr = F.array(*[F.lit(float(v)) for v in splits])
-    return F.aggregate(arr, F.lit(0), lambda acc, v: acc + (F.col(order_col) > v).cast("int")) \
-        if len(splits) <= 512 else _bsearch(order_col, splits)
-
-
-def _bsearch(order_col: str, splits) -> Column:
-    """Number of split points strictly below the value, by a balanced
-    CASE tree (log2(#splits) comparisons per row)."""
-    def build(lo, hi):
-        if lo >= hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(F.col(order_col) > F.lit(float(splits[mid])), build(mid + 1, hi)) \
-            .otherwise(build(lo, mid))
-    return build(0, len(splits))
-
-
-def running_sums(df: DataFrame, order_col: str, sum_cols, group_cols=(),
-                 descending: bool = False, n_buckets: int | None = None,
+PID = "__pid"
+# Accuracy of the sketches: a rank is known to within n / ACCURACY.
+ACCURACY = 10_000
+# Rows of a table that may become a local relation (and so be broadcast).
+MAX_LOCAL = 10_000
+# Values inside a bracket that one window task is meant to see; wider brackets are
+# narrowed by another sketch of their contents.
+BRACKET_ROWS = 2_000_000
+
+
+def written(df: DataFrame, tag: str) -> DataFrame:
+    """``df`` as written once below the checkpoint folder."""
+    from prepforge.session import ensure_checkpoint_dir
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/prepforge-plans/{tag}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _n_partitions(df: DataFrame) -> int:
+    return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+def null_safe_join(left: DataFrame, right: DataFrame, cols, how: str = "inner") -> DataFrame:
+    """Join on ``cols`` where null equals null; the right key columns are dropped."""
+    r = right.withColumnsRenamed({c: f"__r_{c}" for c in cols})
+    if not cols:
+        return left.crossJoin(r)  # ``right`` is one row
+    cond = None
+    for c in cols:
+        e = F.col(c).eqNullSafe(F.col(f"__r_{c}"))
+        cond = e if cond is None else cond & e
+    return left.join(r, cond, how).drop(*[f"__r_{c}" for c in cols])
+
+
+def _ranged(df: DataFrame, group_cols, order: list[Column], tag: str) -> DataFrame:
+    """``df`` range-partitioned by (group, order), with its partition number, written."""
+    return written(df.repartitionByRange(_n_partitions(df), *[F.col(c) for c in group_cols], *order)
+                   .withColumn(PID, F.spark_partition_id()), tag)
+
+
+def _offsets(work: DataFrame, group_cols, aggs: dict[str, Column]) -> DataFrame:
+    totals = work.groupBy(*group_cols, PID).agg(*[v.alias(k) for k, v in aggs.items()])
+    w = Window.partitionBy(*(group_cols or [F.lit(0)])).orderBy(PID).rowsBetween(Window.unboundedPreceding, -1)
+    return totals.select(*group_cols, PID, *[F.coalesce(F.sum(k).over(w), F.lit(0)).alias(f"__off_{k}") for k in aggs])
+
+
+def running_sums(df: DataFrame, order_col: str, sum_cols, group_cols=(), descending: bool = False,
                  inclusive: bool = True, suffix: str = "_cum") -> DataFrame:
     """Add ``<c><suffix>`` = sum of ``c`` over rows ordered before (and at, if
-    ``inclusive``) the current row within ``group_cols``.
-
-    ``df`` should hold one row per (group, order value); ties would share the
-    RANGE frame and so get the same running sum, which is what ranking needs.
-    """
-    group_cols = list(group_cols)
-    sum_cols = list(sum_cols)
-    key = "__ord"
-    work = df.withColumn(key, -F.col(order_col) if descending else F.col(order_col))
-    if n_buckets is None:  # size the buckets from the row count (one small job)
-        n_buckets = buckets_for(work.count())
-    if group_cols:
-        # per-group split points (groups on different scales get balanced
-        # buckets each); the split table has groups x n_buckets values
-        n_buckets = min(n_buckets, 1024)
-        probs = [i / n_buckets for i in range(1, n_buckets)]
-        sp = work.groupBy(*group_cols).agg(
-            F.percentile_approx(key, probs, max(10000, 4 * n_buckets)).alias("__sp"))
-        work = work.join(F.broadcast(sp), group_cols).withColumn(
-            BUCKET, F.aggregate("__sp", F.lit(0), lambda acc, v: acc + (F.col(key) > v).cast("int"))) \
-            .drop("__sp")
-    else:
-        work = work.withColumn(BUCKET, range_bucket(work, key, n_buckets))
-    totals = work.groupBy(*group_cols, BUCKET).agg(*[F.sum(c).alias(c) for c in sum_cols])
-    w_off = (Window.partitionBy(*group_cols) if group_cols else Window.partitionBy(F.lit(0))) \
-        .orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*group_cols, BUCKET,
-                            *[F.coalesce(F.sum(c).over(w_off), F.lit(0)).alias(f"__off_{c}")
-                              for c in sum_cols])
-    work = work.join(F.broadcast(offsets), on=group_cols + [BUCKET], how="left")
-    w = (Window.partitionBy(*group_cols, BUCKET).orderBy(key)
-         .rangeBetween(Window.unboundedPreceding, Window.currentRow))
-    out = work
+    ``inclusive``) the current row within ``group_cols`` (null is a group).
+
+    ``df`` should hold one row per (group, order value); ties share the RANGE
+    frame and get the same running sum, which is what ranking needs."""
+    g, sum_cols = list(group_cols), list(sum_cols)
+    key = F.col(order_col).desc() if descending else F.col(order_col).asc()
+    work = _ranged(df, g, [key], "sums")
+    off = _offsets(work, g, {c: F.sum(c) for c in sum_cols})
+    w = Window.partitionBy(*g, PID).orderBy(key).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    out = null_safe_join(work, off, g + [PID], "left")
     for c in sum_cols:
         s = F.coalesce(F.sum(c).over(w), F.lit(0))
         if not inclusive:
             s = s - F.col(c)
         out = out.withColumn(f"{c}{suffix}", s + F.col(f"__off_{c}"))
-    return out.drop(key, BUCKET, *[f"__off_{c}" for c in sum_cols])
-
-
-def hash_rank(df: DataFrame, hash_col: str, group_cols=(), bits: int | None = None,
-              tie_col: str | None = None, out: str = "rank") -> DataFrame:
-    """0-based rank of rows by a uniform 64-bit hash within ``group_cols``.
-
-    The hash is uniform, so its top ``bits`` bits are range buckets already
-    (no quantile job); by default ``bits`` is sized from the row count so a
-    bucket holds about ``ROWS_PER_BUCKET`` rows.  Per-(group, bucket) counts
-    form a table of at most ``groups * 2**bits`` rows; its running sum is
-    broadcast as an offset.
-    """
-    group_cols = list(group_cols)
-    if bits is None:
-        n = df.count()
-        bits = max(8, min(14, (buckets_for(n) - 1).bit_length()))
-    b = F.shiftright(F.col(hash_col), 64 - bits)
-    work = df.withColumn(BUCKET, b)
-    counts = work.groupBy(*group_cols, BUCKET).agg(F.count(F.lit(1)).alias("__n"))
-    w_off = (Window.partitionBy(*group_cols) if group_cols else Window.partitionBy(F.lit(0))) \
-        .orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*group_cols, BUCKET,
-                            F.coalesce(F.sum("__n").over(w_off), F.lit(0)).alias("__off"))
-    order = [F.col(hash_col)] + ([F.col(tie_col)] if tie_col else [])
-    w = Window.partitionBy(*group_cols, BUCKET).orderBy(*order)
-    return (work.join(F.broadcast(offsets), on=group_cols + [BUCKET], how="left")
-            .withColumn(out, (F.row_number().over(w) - 1 + F.col("__off")).cast("long"))
-            .drop(BUCKET, "__off"))
-
-
-# A group whose distinct-value count is at most this is summarised by one
-# task's value->count map (Spark's ``percentile`` with a frequency column).
-MAX_DISTINCT_IN_TASK = 2_000_000
-
-
-def exact_quantiles(long_df: DataFrame, value_col: str, probs, group_cols=(),
-                    n_buckets: int | None = None,
-                    max_distinct_in_task: int = MAX_DISTINCT_IN_TASK) -> DataFrame:
-    """Exact quantiles with linear interpolation (position p * (n - 1)) per group.
-
-    Rows are grouped to (group, value) counts first, so a hot value is one
-    row.  If every group has at most ``max_distinct_in_task`` distinct values
-    (checked), one ``percentile(value, p, count)`` aggregation finishes the
-    job.  Otherwise a bucketed running sum gives each distinct value its rank
-    range and the values at ranks floor(h) and ceil(h) are found by a join on
-    the rank range, so no task holds a whole group's value map.
-    Returns rows (group..., p, q).
-    """
+    return out.drop(PID, *[f"__off_{c}" for c in sum_cols])
+
+
+def range_rank(df: DataFrame, order: list, group_cols=(), out: str = "rank") -> DataFrame:
+    """0-based rank of each row in ``order`` (columns of any sortable type) within
+    ``group_cols`` (null is a group)."""
     g = list(group_cols)
-    out_g = list(g)
-    if not g:  # a constant key keeps every join below an equi-join
-        long_df = long_df.withColumn("__g0", F.lit(0))
-        g = ["__g0"]
-    counts = long_df.where(F.col(value_col).isNotNull()) \
-        .groupBy(*g, value_col).agg(F.count(F.lit(1)).alias("__c")).persist()
-    widest = counts.groupBy(*g).agg(F.count(F.lit(1)).alias("__d")).agg(F.max("__d")).first()[0]
-    if widest is None or widest <= max_distinct_in_task:
-        pl = [float(p) for p in probs]
-        qs = counts.groupBy(*g).agg(F.percentile(value_col, pl, F.col("__c")).alias("__q"))
-        arr = F.arrays_zip(F.array(*[F.lit(p) for p in pl]).alias("p"), F.col("__q").alias("q"))
-        return qs.select(*g, F.explode(arr).alias("__z")).select(*out_g, "__z.p", "__z.q")
-    cum = running_sums(counts, value_col, ["__c"], group_cols=g, n_buckets=n_buckets,
-                       suffix="_cum")  # rank range of a value: [cum - c, cum)
-    tot = counts.groupBy(*g).agg(F.sum("__c").alias("__n"))
-    # positions per (group, p): bounded by groups x len(probs) rows
-    arr = F.array(*[F.struct(F.lit(float(p)).alias("p"), F.lit(i).alias("__pi"))
-                    for i, p in enumerate(probs)])
-    pos = tot.withColumn("__ps", F.explode(arr)).select(*g, "__n", "__ps.p", "__ps.__pi")
-    pos = pos.withColumn("__h", F.col("p") * (F.col("__n") - 1)) \
-        .withColumn("__lo", F.floor("__h")).withColumn("__hi", F.ceil("__h"))
-    ends = pos.select(*g, "p", "__pi", "__h", F.col("__lo").alias("__r"), F.lit(0).alias("__side")) \
-        .unionByName(pos.select(*g, "p", "__pi", "__h", F.col("__hi").alias("__r"), F.lit(1).alias("__side")))
-    # ends has groups x 2 x len(probs) rows: broadcast it, so the (group,
-    # value) counts are never shuffled onto one task per group
-    hit = cum.join(F.broadcast(ends), g).where((F.col("__r") >= F.col("__c_cum") - F.col("__c"))
-                                     & (F.col("__r") < F.col("__c_cum")))
-    piv = hit.groupBy(*g, "p", "__pi", "__h").agg(
-        F.max(F.when(F.col("__side") == 0, F.col(value_col))).alias("__vlo"),
-        F.max(F.when(F.col("__side") == 1, F.col(value_col))).alias("__vhi"))
+    keys = [F.col(c) if isinstance(c, str) else c for c in order]
+    work = _ranged(df, g, keys, "rank")
+    off = _offsets(work, g, {"n": F.count(F.lit(1))})
+    w = Window.partitionBy(*g, PID).orderBy(*keys)
+    return (null_safe_join(work, off, g + [PID], "left")
+            .withColumn(out, (F.row_number().over(w) - 1 + F.col("__off_n")).cast("long"))
+            .drop(PID, "__off_n"))
+
+
+def hash_rank(df: DataFrame, hash_col: str, group_cols=(), tie_col: str | None = None,
+              out: str = "rank") -> DataFrame:
+    """0-based rank of rows by a hash, ties by ``tie_col``, within ``group_cols``."""
+    return range_rank(df, [hash_col] + ([tie_col] if tie_col else []), group_cols, out)
+
+
+def _local_if_small(df: DataFrame) -> DataFrame:
+    """``df`` as a local relation if it has at most ``MAX_LOCAL`` rows (so that joins with it
+    need no shuffle), else written to the checkpoint folder."""
+    rows = df.limit(MAX_LOCAL + 1).collect()
+    if len(rows) <= MAX_LOCAL:
+        return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema)) if rows else df.limit(0)
+    return written(df, "small")
+
+
+def _select_ranks(rows: DataFrame, g: list[str], wanted: DataFrame, n_max: int) -> DataFrame:
+    """The values at 0-based ranks ``__lo`` and ``__hi`` (at most one apart) of ``__x`` within
+    ``g``, for each row of ``wanted`` (g..., __pi, __lo, __hi, __a, __b): [__a, __b] is a bracket
+    of values that holds both.  Adds ``__vlo`` and ``__vhi``."""
+    wanted = _local_if_small(wanted)
+    size = n_max
+    grid = [i / 1000 for i in range(1001)]
+    while size * 4 / ACCURACY > BRACKET_ROWS:
+        # narrow: the ranks' places among the bracket's own values, on a grid of their sketch
+        j = null_safe_join(rows, wanted, g).where(F.col("__x") <= F.col("__b"))
+        inside = F.when(F.col("__x") >= F.col("__a"), F.col("__x"))
+        keys = [*g, "__pi", "__lo", "__hi", "__a", "__b"]
+        s = j.groupBy(*keys).agg(F.count_if(F.col("__x") < F.col("__a")).alias("__below"), F.count(inside).alias("__in"),
+                                 F.percentile_approx(inside, grid, ACCURACY).alias("__g"))
+        place = lambda r: F.try_divide(F.col(r) - F.col("__below"), F.col("__in")) * 1000
+        # steps of the grid that the sketch's error and two ranks may take
+        slack = F.lit(2 + 2000 // ACCURACY) + F.ceil(F.try_divide(F.lit(2000), F.col("__in")))
+        lo = F.element_at("__g", F.greatest(F.floor(place("__lo")) - slack, F.lit(0)).cast("int") + 1)
+        hi = F.element_at("__g", F.least(F.ceil(place("__hi")) + slack, F.lit(1000)).cast("int") + 1)
+        wanted = _local_if_small(s.select(*g, "__pi", "__lo", "__hi", lo.alias("__a"), hi.alias("__b")))
+        size = size * 4 // 1000
+    j = null_safe_join(rows, wanted, g).where(F.col("__x") <= F.col("__b"))
+    # one row for all values below the bracket (null), one per distinct value inside it
+    cell = F.when(F.col("__x") >= F.col("__a"), F.col("__x"))
+    cells = j.groupBy(*g, "__pi", "__lo", "__hi", cell.alias("__v")).agg(F.count(F.lit(1)).alias("__c"))
+    w = Window.partitionBy(*g, "__pi").orderBy(F.col("__v").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
+    cells = cells.withColumn("__e", F.sum("__c").over(w))
+    at = lambda r: F.max(F.when((F.col(r) >= F.col("__e") - F.col("__c")) & (F.col(r) < F.col("__e")), F.col("__v")))
+    return cells.groupBy(*g, "__pi").agg(at("__lo").alias("__vlo"), at("__hi").alias("__vhi"))
+
+
+def _brackets(rows: DataFrame, g: list[str], probs) -> tuple[DataFrame, int]:
+    """(one row per group and probability with the group's size ``__n`` and a bracket of
+    its ranks, the largest group's size)."""
+    d = 2.0 / ACCURACY
+    lows, highs = [max(p - d, 0.0) for p in probs], [min(p + d, 1.0) for p in probs]
+    x = F.col("__x")
+    head = rows.groupBy(*g).agg(F.count(x).alias("__n"), F.min(x).alias("__min"), F.max(x).alias("__max"),
+                                F.percentile_approx(x, lows, ACCURACY).alias("__as"),
+                                F.percentile_approx(x, highs, ACCURACY).alias("__bs")).where("__n > 0")
+    head = _local_if_small(head)
+    n_max = head.agg(F.max("__n")).first()[0] or 0
+    arr = F.array(*[F.struct(F.lit(i).alias("__pi"), F.lit(float(p)).alias("p")) for i, p in enumerate(probs)])
+    # a group no larger than the sketch is taken whole
+    whole = F.col("__n") <= ACCURACY
+    t = head.withColumn("__z", F.explode(arr)).select(
+        *g, "__n", "__z.__pi", "__z.p",
+        F.when(whole, F.col("__min")).otherwise(F.element_at("__as", F.col("__z.__pi") + 1)).alias("__a"),
+        F.when(whole, F.col("__max")).otherwise(F.element_at("__bs", F.col("__z.__pi") + 1)).alias("__b"))
+    return t, n_max
+
+
+def exact_quantiles(long_df: DataFrame, value_col: str, probs, group_cols=()) -> DataFrame:
+    """Exact quantiles with linear interpolation (position p * (n - 1)) per group; null is a
+    group, null values don't count.  Returns rows (group..., p, q)."""
+    out_g = list(group_cols)
+    g = [f"__g{i}" for i in range(len(out_g))] or ["__g0"]
+    keys = [F.col(c).alias(k) for c, k in zip(out_g, g)] or [F.lit(0).alias("__g0")]
+    rows = long_df.where(F.col(value_col).isNotNull()).select(*keys, F.col(value_col).cast("double").alias("__x"))
+    t, n_max = _brackets(rows, g, [float(p) for p in probs])
+    if not n_max:
+        return long_df.limit(0).select(*out_g, F.lit(0.0).alias("p"), F.lit(0.0).alias("q"))
+    t = t.withColumn("__h", F.col("p") * (F.col("__n") - 1))
+    t = t.withColumn("__lo", F.floor("__h")).withColumn("__hi", F.ceil("__h"))
+    got = _select_ranks(rows, g, t.select(*g, "__pi", "__lo", "__hi", "__a", "__b"), n_max)
+    back = null_safe_join(got, t.select(*g, "__pi", "p", "__h"), g + ["__pi"])
     frac = F.col("__h") - F.floor("__h")
-    q = F.col("__vlo") + frac * (F.col("__vhi") - F.col("__vlo"))
-    return piv.select(*out_g, "p", q.alias("q"))
+    q = F.when(frac == 0, F.col("__vlo")).otherwise(F.col("__vlo") + frac * (F.col("__vhi") - F.col("__vlo")))
+    return back.select(*[F.col(k).alias(c) for k, c in zip(g, out_g)], "p", q.alias("q"))
 
 
-# A top-n of at most this many rows is a TakeOrderedAndProject (n rows per task).
-MAX_TOP_IN_TASK = 100_000
+def value_at_rank(df: DataFrame, value_col: str, rank: int) -> float | None:
+    """The value at a 0-based ascending rank among the non-null values."""
+    rows = df.where(F.col(value_col).isNotNull()).select(F.lit(0).alias("__g0"), F.col(value_col).cast("double").alias("__x"))
+    n = rows.count()
+    if not 0 <= rank < n:
+        return None
+    t, n_max = _brackets(rows, ["__g0"], [rank / max(n - 1, 1)])
+    t = t.withColumn("__lo", F.lit(rank).cast("long")).withColumn("__hi", F.lit(rank).cast("long"))
+    return _select_ranks(rows, ["__g0"], t.select("__g0", "__pi", "__lo", "__hi", "__a", "__b"), n_max).first()["__vlo"]
 
 
-def top_n_exact(df: DataFrame, key_col: str, tie_cols, n: int, n_buckets: int | None = None,
-                max_in_task: int = MAX_TOP_IN_TASK) -> DataFrame:
-    """The first ``n`` rows ordered by ``key_col`` descending, then ``tie_cols``.
-
-    For n up to ``max_in_task`` a plain ordered limit (each task keeps n rows).
-    Beyond that, without a single-task merge of n rows: distinct key values
-    and their counts give (by a bucketed running sum) the cut value v*; rows
-    above v* are kept by a filter; rows equal to v* (a tie group that may be
-    hot) are ranked by ``tie_cols`` with range buckets on the first tie column."""
+def top_n_exact(df: DataFrame, key_col: str, tie_cols, n: int) -> DataFrame:
+    """The first ``n`` rows ordered by the numeric ``key_col`` descending (nulls last), then by
+    ``tie_cols`` of any sortable type: the cut value, a filter above it, and a distributed rank
+    of the rows that tie with it."""
     if n <= 0:
         return df.limit(0)
-    if n <= max_in_task:
-        return df.orderBy(F.col(key_col).desc(), *[F.col(c) for c in tie_cols]).limit(n)
-    counts = df.groupBy(key_col).agg(F.count(F.lit(1)).alias("__c"))
-    cum = running_sums(counts, key_col, ["__c"], descending=True, n_buckets=n_buckets)
-    cut = cum.where(F.col("__c_cum") >= n).agg(
-        F.max(key_col).alias("v"), F.max_by(F.col("__c_cum") - F.col("__c"), F.col(key_col)).alias("before")
-    ).first()
-    if cut["v"] is None:  # fewer than n rows
+    known = df.agg(F.count(key_col), F.count(F.lit(1))).first()
+    if n >= known[1]:
         return df
-    v, before = cut["v"], int(cut["before"])
-    above = df.where(F.col(key_col) > F.lit(v))
-    ties = df.where(F.col(key_col) == F.lit(v))
-    need = n - before
-    first = tie_cols[0]
-    b = range_bucket(ties, first, n_buckets or buckets_for(need))
-    tb = ties.withColumn(BUCKET, b)
-    bc = tb.groupBy(BUCKET).agg(F.count(F.lit(1)).alias("__n"))
-    w_off = Window.partitionBy(F.lit(0)).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    off = bc.select(BUCKET, F.coalesce(F.sum("__n").over(w_off), F.lit(0)).alias("__off"))
-    w = Window.partitionBy(BUCKET).orderBy(*[F.col(c) for c in tie_cols])
-    ranked = tb.join(F.broadcast(off), BUCKET).withColumn(
-        "__rk", F.row_number().over(w) - 1 + F.col("__off"))
-    return above.unionByName(ranked.where(F.col("__rk") < need).drop(BUCKET, "__off", "__rk"))
+    key = F.col(key_col)
+    if n >= known[0]:
+        above, ties, need = df.where(key.isNotNull()), df.where(key.isNull()), n - known[0]
+    else:
+        v = value_at_rank(df, key_col, known[0] - n)
+        above, ties = df.where(key > F.lit(v)), df.where(key == F.lit(v))
+        need = n - above.count()
+    ranked = range_rank(ties, list(tie_cols), out="__rk")
+    return above.unionByName(ranked.where(F.col("__rk") < need).drop("__rk"))

@@ -37,11 +37,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def register_tables(spark: SparkSession, sf_dir: str) -> None:
-    for t in TABLES:
-        read_table(spark, sf_dir, t).createOrReplaceTempView(t)
-
-
 def _marital(nationkey):
     expr = None
     for i, v in enumerate(MARITAL_BY_NATION_MOD9):

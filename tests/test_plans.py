@@ -9,11 +9,16 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_no_cartesian_in_neighbour_and_eval_plans(spark):
-    from prepforge.catalog import low_d, LOW_D
-    from prepforge.plans.knn import range_pairs
-    p = _plan(range_pairs(low_d(spark, SF_SMALL), LOW_D, 0.1))
-    assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
+def test_no_cartesian_in_neighbour_plans(spark):
+    """The range join of DBSCAN, which is written to files, and the joins that read the pairs."""
+    from pyspark.sql import functions as F
+
+    from prepforge.catalog import LOW_D, low_d
+    from prepforge.operators.neighbors import _range_pairs_between, dbscan_noise
+    df = low_d(spark, SF_SMALL)
+    loc = df.select(F.col("id").alias("__loc"), *LOW_D)
+    for p in (_plan(_range_pairs_between(loc, loc, LOW_D, 0.1)), _plan(dbscan_noise(df, LOW_D, 0.1, 5))):
+        assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
 
 
 def test_filter_pushed_to_scan(spark):
@@ -29,9 +34,9 @@ def test_c360_reads_only_needed_columns(spark):
     assert "l_shipdate" not in p and "l_tax" not in p and "c_name" not in p
 
 
-def test_roc_window_is_bucketed(spark):
+def test_roc_window_is_partitioned(spark):
     from prepforge.catalog import scored
     from prepforge.operators import evaluate as EV
     p = _plan(EV.roc_points(scored(spark, SF_SMALL), "response", "score"))
-    # the only windows are partitioned by the range bucket (or over the tiny bucket table)
-    assert "__bucket" in p
+    # the windows are partitioned by the range partition, or run over the table of partition totals
+    assert p.count("SinglePartition") == 1 and "hashpartitioning(__pid" in p

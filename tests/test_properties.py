@@ -1,6 +1,7 @@
 """Properties of the randomised and iterative operators (FIXTURES.md §D)."""
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from prepforge.operators import neighbors as NB
@@ -115,32 +116,53 @@ def test_knn_exact_with_hot_duplicates(spark):
         assert [got[(i, r + 1)] for r in range(5)] == want, i
 
 
-def test_exact_quantiles_and_top_n_both_paths(spark):
-    from prepforge.plans.prefix import exact_quantiles, top_n_exact
+@pytest.mark.parametrize("accuracy,bracket", [(10_000, 2_000_000), (100, 2_000_000), (100, 4)])
+def test_exact_quantiles_and_top_n(spark, monkeypatch, accuracy, bracket):
+    """Groups taken whole, brackets from a coarse sketch, and brackets narrowed again."""
+    from prepforge.plans import prefix as P
+    monkeypatch.setattr(P, "ACCURACY", accuracy)
+    monkeypatch.setattr(P, "BRACKET_ROWS", bracket)
     rng = np.random.default_rng(0)
-    vals = np.concatenate([rng.normal(size=597), [3.0] * 200]).round(2)   # a hot value
-    df = spark.createDataFrame([(i, float(v), int(i % 3)) for i, v in enumerate(vals)],
-                               "id long, x double, g int")
-    for lim in (0, 10 ** 9):   # distributed path, then the single-task path
-        q = {r.p: r.q for r in exact_quantiles(df, "x", [0.1, 0.5, 0.9], max_distinct_in_task=lim).collect()}
-        for p, v in q.items():
-            assert abs(v - np.percentile(vals, p * 100)) < 1e-12
-        qg = {(r.g, r.p): r.q for r in exact_quantiles(df, "x", [0.5], ["g"], max_distinct_in_task=lim).collect()}
-        for k in range(3):
-            assert abs(qg[(k, 0.5)] - np.percentile(vals[np.arange(len(vals)) % 3 == k], 50)) < 1e-12
-        top = top_n_exact(df, "x", ["id"], 250, max_in_task=0 if lim == 0 else 10 ** 6)
-        want = sorted(range(len(vals)), key=lambda i: (-vals[i], i))[:250]
-        assert sorted(r.id for r in top.collect()) == sorted(want)
-
-
-def test_running_sums_many_buckets(spark):
-    from prepforge.plans.prefix import running_sums
+    vals = np.concatenate([rng.normal(size=2597), [3.0] * 800]).round(3)   # a hot value
+    rows = [(f"k{i:05d}", float(v), int(i % 3) if i % 3 else None) for i, v in enumerate(vals)]
+    df = spark.createDataFrame(rows + [("null", None, 1)], "id string, x double, g int")
+    q = {r.p: r.q for r in P.exact_quantiles(df, "x", [0.0, 0.1, 0.5, 0.9, 1.0]).collect()}
+    assert len(q) == 5
+    for p, v in q.items():
+        assert abs(v - np.percentile(vals, p * 100)) < 1e-12
+    qg = {(r.g, r.p): r.q for r in P.exact_quantiles(df, "x", [0.25, 0.5], ["g"]).collect()}
+    assert len(qg) == 6
+    for k in (None, 1, 2):
+        own = vals[np.arange(len(vals)) % 3 == (k or 0)]
+        assert abs(qg[(k, 0.25)] - np.percentile(own, 25)) < 1e-12 and abs(qg[(k, 0.5)] - np.percentile(own, 50)) < 1e-12
+    for n in (0, 1, 700, 1000, 3396, 3397, 3398, 5000):   # string keys break the ties
+        want = [f"k{i:05d}" for i in sorted(range(len(vals)), key=lambda i: (-vals[i], i))] + ["null"]
+        assert sorted(r.id for r in P.top_n_exact(df, "x", ["id"], n).collect()) == sorted(want[:n])
+    assert P.exact_quantiles(df.where("id = 'null'"), "x", [0.5]).count() == 0
+
+
+def test_quantiles_of_many_groups_need_no_local_table(spark, monkeypatch):
+    from prepforge.plans import prefix as P
+    monkeypatch.setattr(P, "MAX_LOCAL", 20)
+    df = spark.range(3000).selectExpr("id", "cast(id % 100 as string) g", "cast(id * 7 % 3000 as double) x")
+    pdf = df.toPandas()
+    got = {(r.g, r.p): r.q for r in P.exact_quantiles(df, "x", [0.25, 0.5], ["g"]).collect()}
+    assert len(got) == 200
+    for g, own in pdf.groupby("g"):
+        assert got[(g, 0.25)] == own.x.quantile(0.25) and got[(g, 0.5)] == own.x.quantile(0.5)
+
+
+def test_running_sums_and_ranks(spark):
+    from prepforge.plans.prefix import range_rank, running_sums
     rng = np.random.default_rng(3)
     v = rng.permutation(20000).astype(float)
-    df = spark.createDataFrame([(float(x), 1) for x in v], "x double, c int")
-    for nb in (2000, 300):       # binary-search path, then the array-scan path
-        got = {r.x: r.c_cum for r in running_sums(df, "x", ["c"], n_buckets=nb).collect()}
-        assert all(got[float(i)] == i + 1 for i in range(0, 20000, 97))
+    df = spark.createDataFrame([(float(x), 1, None if x % 2 else "a") for x in v], "x double, c int, g string")
+    got = {r.x: r.c_cum for r in running_sums(df, "x", ["c"]).collect()}
+    assert all(got[float(i)] == i + 1 for i in range(0, 20000, 97))
+    got = {r.x: r.c_cum for r in running_sums(df, "x", ["c"], group_cols=["g"], descending=True, inclusive=False).collect()}
+    assert all(got[float(i)] == (19999 - i) // 2 for i in range(0, 20000, 97))
+    got = {r.x: r["rank"] for r in range_rank(df, ["x"], ["g"]).collect()}
+    assert all(got[float(i)] == i // 2 for i in range(0, 20000, 97))
 
 
 def test_knn_exact_with_dense_distinct_cluster(spark):
