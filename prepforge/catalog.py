@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import functions as F
 
-from prepforge.functions.exprs import minmax_expr, safe_ratio
+from prepforge.functions.exprs import is_numeric, minmax_expr, safe_ratio
 from prepforge.operators import clean as C
 from prepforge.operators import features as FE
 from prepforge.operators import profile as P
@@ -658,6 +658,7 @@ def q_best_power_apply(spark, sf):
 from prepforge.operators import models as M  # noqa: E402
 from prepforge.operators import runner as RUN  # noqa: E402
 from prepforge.operators import sample as SA  # noqa: E402
+from prepforge.plans import prepare as PR  # noqa: E402
 
 MODEL_COLS = NUMERIC + C360_FLAGS
 SEED = 0
@@ -765,7 +766,7 @@ def q_fit_gbt(spark, sf):
 @query("fit_mlp")
 def q_fit_mlp(spark, sf):
     train, test = model_data(spark, sf)
-    return _scores(M.mlp(len(MODEL_COLS), (10,), 0.03, 100).fit(train), test)
+    return _scores(M.mlp(len(MODEL_COLS), (10,), 100).fit(train), test)
 
 
 @query("fit_linear_svc")
@@ -836,11 +837,12 @@ def q_kmeans_elbow(spark, sf):
 
 @query("predict_new")
 def q_predict_new(spark, sf):
-    df = SA.split_stratified(cleaned(spark, sf), LABEL, 0.2, SEED)
-    train = df.where(F.col("split") == "train")
-    mm = S.fit_minmax(train, NUMERIC)
-    model = M.fit_final(mm.transform(train), MODEL_COLS, LABEL)
-    new = mm.transform(df.where(F.col("split") == "test").drop(LABEL))
+    """The whole preparation fitted on the labelled part, the final model, new rows scored."""
+    df = SA.split_stratified(prepare_raw(spark, sf), LABEL, 0.2, SEED)
+    prepared = run_preparation(1).fit(df.where(F.col("split") == "train").drop("split"))
+    cols = [c for c, t in prepared.train.dtypes if c not in ("id", LABEL) and is_numeric(t)]
+    model = M.fit_final(prepared.train, cols, LABEL)
+    new = prepared.transform(df.where(F.col("split") == "test").drop("split", LABEL))
     return model.transform(new).select("id", M.positive_prob().alias("score"), "prediction")
 
 
@@ -850,37 +852,56 @@ def q_coef_rank(spark, sf):
     return M.coef_rank(M.logistic(1e4, "l2", _n(train)).fit(train), MODEL_COLS, spark)
 
 
-def _cv_log(spark, sf):
+def prepare_raw(spark, sf) -> DataFrame:
+    """c360 with the day count and known labels, before any fitted step."""
+    df = C.days_since(C.drop_unusual_classes(C.drop_columns(base(spark, sf))), "dt_customer", REF_DATE)
+    return C.rename_column(df, "dt_customer", "num_days_customer").where(F.col(LABEL).isNotNull())
+
+
+def run_preparation(seed: int) -> PR.Preparation:
+    """The steps of the recorded run 0."""
+    return PR.Preparation(
+        [PR.drop_missing(), PR.boxplot_outliers(NUMERIC), PR.normalize(NUMERIC)],
+        [PR.business(REF_YEAR), PR.smote_nc([*C360_FLAGS, "education", "marital_status"], LABEL, seed)])
+
+
+CV_MODELS = {
+    "logistic": lambda cols, n: M.logistic(1e4, "l2", n),
+    "tree": lambda cols, n: M.decision_tree("entropy", 5, 10),
+    "boosted": lambda cols, n: M.gbt(3, 0.1, 20),
+    "network": lambda cols, n: M.mlp(len(cols), (6,), 100),
+}
+
+
+def _cv(spark, sf):
     def build():
-        train, _ = model_data(spark, sf)
-        return RUN.cv_report(_folded(train), {"logistic": M.logistic(1e4, "l2", _n(train))}) \
-            .checkpoint()
-    return memo(spark, sf, "cv_log", build)
+        log, steps = RUN.cv_report(prepare_raw(spark, sf), LABEL, run_preparation, CV_MODELS, seeds=(2,))
+        return log.checkpoint(), steps
+    return memo(spark, sf, "cv", build)
 
 
 @query("cv_report")
 def q_cv_report(spark, sf):
-    return RUN.averages(_cv_log(spark, sf))
+    return RUN.averages(_cv(spark, sf)[0])
 
 
 @query("sink_run_log")
 def q_sink_run_log(spark, sf):
     path = scratch_path(spark, "runlog")
-    IO.sink_run_log(_cv_log(spark, sf), path)
+    IO.sink_run_log(_cv(spark, sf)[0], path)
     return spark.read.parquet(path).where(F.col("run") == 0)
 
 
 @query("sink_pipeline_json")
 def q_sink_pipeline_json(spark, sf):
-    steps = {"preprocessing": ["drop_missing", "outlier_boxplot", "minmax_scale"],
-             "feature_engineering": ["business_features", "rank_tree_importance", "smote_nc"]}
-    return IO.sink_steps_json(spark, steps, scratch_path(spark, "steps"))
+    """The steps that the cross-validated run fitted."""
+    return IO.sink_steps_json(spark, _cv(spark, sf)[1], scratch_path(spark, "steps"))
 
 
 @query("rank_tree_importance")
 def q_rank_tree_importance(spark, sf):
     df = featured(spark, sf)
-    return SEL.rank_tree_importance(df, FEATURED_NUMERIC + C360_FLAGS, LABEL, n=20, num_trees=50)
+    return SEL.rank_tree_importance(df, FEATURED_NUMERIC + C360_FLAGS, LABEL, n=20)
 
 
 @query("select_rfe")
