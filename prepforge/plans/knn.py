@@ -62,6 +62,9 @@ def _knn_locations(Lq: DataFrame, R: DataFrame, cols, payload, need_w: int, extr
     cumulative multiplicity reaches ``need_w`` (ties at that distance kept).
     Returns (l_loc, r_loc, dist)."""
     gcols = grid_coords(R.select(*[F.col(f"r_{c}").alias(c) for c in cols]), cols)
+    # columns beyond the grid's keep neighbours apart that share a cell: larger cells then
+    # save rounds that could not settle a query
+    target *= 4.0 ** (len(cols) - len(gcols))
     h, st = cell_side(R.select(*[F.col(f"r_{c}").alias(c) for c in gcols]), gcols, target)
     span = max(max((st[c]["max"] or 0) - (st[c]["min"] or 0), 0.0) for c in gcols)
     m = len(gcols)
