@@ -37,13 +37,38 @@ def script(word: str) -> int:
     return NAMES.index(SCRIPTS[i][1]) if i >= 0 else NAMES.index("other")
 
 
-def features(word: str) -> list[int]:
-    """Buckets of the word itself and of its 2- to 4-grams, edges marked."""
-    w = f"^{word}$"
-    out = [zlib.crc32(b"w" + w.encode("utf-8", "surrogatepass")) % D]
-    for n in (2, 3, 4):
-        out += [zlib.crc32(w[i:i + n].encode("utf-8", "surrogatepass")) % D for i in range(len(w) - n + 1)]
-    return out
+#: Odd multipliers of the hashes.
+_MULT = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
+
+
+def _bucket(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(31))) * _MULT[1]
+    return (h >> np.uint64(40)).astype(np.int64) % D
+
+
+def features(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(bucket of each whole word, buckets of all words' 2- to 4-grams, the words they are of);
+    a word's edges are marked."""
+    if not words:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    cp = np.frombuffer(("^" + "$^".join(words) + "$").encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    n = np.fromiter(map(len, words), np.int64, len(words)) + 2
+    start = np.cumsum(n) - n
+    word = np.repeat(np.arange(len(words)), n)
+    pos = np.arange(len(cp))
+    left = (start + n)[word] - pos  # characters up to the word's end
+    power = np.cumprod(np.full(int(n.max()), _MULT[0]))
+    whole = _bucket(np.add.reduceat(cp * power[pos - start[word]], start) + np.uint64(1))
+    out, of = [], []
+    for k in (2, 3, 4):
+        i = pos[left >= k]
+        h = np.full(len(i), k, np.uint64)
+        for j in range(k):
+            h = (h + cp[i + j]) * _MULT[j]
+            h ^= h >> np.uint64(29)
+        out.append(_bucket(h))
+        of.append(word[i])
+    return whole, np.concatenate(out), np.concatenate(of)
 
 
 def letter_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
@@ -74,10 +99,8 @@ def learn(spark: SparkSession, docs: DataFrame) -> dict:
         def flush():
             if not slots:
                 return
-            feats = [features(w) for w in slots]
-            n = np.array([len(f) for f in feats])
-            flat = np.array([x for f in feats for x in f])
-            row = np.repeat(np.arange(len(feats)), n)
+            whole, grams, of = features(list(slots))
+            flat, row = np.concatenate([whole, grams]), np.concatenate([np.arange(len(whole)), of])
             s = np.array([script(w) for w in slots])
             for lang, j in langs.items():
                 c = counts[:len(slots), j]
@@ -103,7 +126,7 @@ def learn(spark: SparkSession, docs: DataFrame) -> dict:
             if names:
                 at = numbers(slots, names)[d.indices.to_numpy()]
                 who = np.repeat([langs[x] for x in b.column(1).to_pylist()], np.diff(off))
-                np.add.at(counts, (at, who), 1)
+                counts += np.bincount(at * len(langs) + who, minlength=counts.size).reshape(counts.shape)
         flush()
         for lang, t in total.items():
             pieces = [(-1, kinds[lang])] + [(i, t[i * CHUNK:(i + 1) * CHUNK]) for i in range(D // CHUNK)]
@@ -151,11 +174,9 @@ class Scorer:
         new = [names[i] for i in np.flatnonzero(slot < 0)]
         for s in range(0, len(new), 20_000):
             part = new[s:s + 20_000]
-            feats = [features(w) for w in part]
-            n = np.array([len(f) for f in feats])
-            lp = self.model["logp"][np.array([x for f in feats for x in f])]
-            first = np.cumsum(n) - n
-            raw = 0.5 * (np.add.reduceat(lp, first, axis=0) + lp[first])
+            whole, grams, of = features(part)
+            lp = self.model["logp"]
+            raw = lp[whole] + 0.5 * np.stack([np.bincount(of, lp[grams, j], len(part)) for j in range(lp.shape[1])], axis=1)
             ok = self.model["candidate"][[script(w) for w in part]]
             none = ~ok.any(axis=1)
             raw = np.where(ok, raw, -np.inf)
@@ -214,10 +235,8 @@ def label_texts(texts: pa.Array, scorer: Scorer) -> list[tuple[str, float, str]]
     e = scorer.of(words)
     tags = viterbi(e, off)
     doc = np.repeat(np.arange(len(n)), n)
-    share = np.zeros((len(n), len(langs)))
-    np.add.at(share, (doc, tags), 1)
-    total = np.zeros((len(n), len(langs)))
-    np.add.at(total, doc, e)
+    share = np.bincount(doc * len(langs) + tags, minlength=len(n) * len(langs)).reshape(len(n), -1).astype(float)
+    total = np.stack([np.bincount(doc, e[:, j], len(n)) for j in range(len(langs))], axis=1)
     # most words; on a tie the better score, then the first name
     pick = np.lexsort((-np.arange(len(langs))[None, :].repeat(len(n), 0), total, share), axis=1)[:, -1]
     edge = np.flatnonzero(np.concatenate([[True], (tags[1:] != tags[:-1]) | (doc[1:] != doc[:-1])])) if len(tags) else []

@@ -21,7 +21,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prepforge.llm.common import WORD, documents, numbers, prepare, split_words, strings, texts_of
+from prepforge.llm.common import (
+    WORD, documents, materialize, numbers, prepare, split_words, strings, texts_of)
 
 # Fixed values of the task: the patterns, the least lengths of their matches and their order.
 KINDS = ("assign", "access", "hex")
@@ -36,7 +37,10 @@ LEAST = {"assign": 8, "access": 16, "hex": 32}
 HINTS = {"assign": r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]""", "access": "AKIA[A-Z0-9]{12}",
          "hex": "[0-9a-f]{32}"}
 #: Documents with and without matches that the field is trained on, at most so many each.
-TRAIN_DOCS = 250
+TRAIN_DOCS = 200
+#: What a tag other than outside must lead by (log odds): the field adds to patterns that stay, so
+#: it should speak only when it is sure.
+MARGIN = 3.0
 #: Hashed features of each family: the word, one before, two before, one after.
 D = 4096
 FILE = 4 * D
@@ -70,29 +74,47 @@ def _shape(w: str) -> str:
     return "".join(out[:12])
 
 
-_PLAIN: dict[tuple, tuple[int, ...]] = {}
+#: Features of a word as itself, at most (unused places hold N_FEATURES, whose weight is zero).
+OWN = 8
+MARKS = ".,;:!?\"'()|"
+_LOW = zlib.crc32(b"w|")
+_PLAIN: dict[int, tuple[int, int]] = {}
 
 
-def word_features(w: str) -> tuple[tuple[int, ...], tuple[int, int]]:
-    """Feature numbers of a word as itself and as a neighbour."""
-    core = w.strip(".,;:!?\"'()|")
-    low = _h("w", core.lower()[:40])
-    if core.isalpha() or not core:
-        key = (len(core).bit_length(), core[:1].isupper(), core.isupper(), len(w) - len(core) > 0)
-        if key not in _PLAIN:
-            _PLAIN[key] = (_h("plain", str(key)), _h("plain", "any"))
-        own = _PLAIN[key]
-        return own, (low, own[0])
-    shape = _h("shape", _shape(w))
-    digits = sum(c.isdigit() for c in w)
+def odd_features(w: str) -> list[int]:
+    """Feature numbers of a word that is not letters alone; the first is its shape."""
     runs = max((len(r) for r in re.findall(r"[0-9a-f]+", w)), default=0)
-    own = [shape, _h("len", str(len(w).bit_length())), _h("digits", str(digits.bit_length())),
+    own = [_h("shape", _shape(w)), _h("len", str(len(w).bit_length())), _h("digits", str(sum(c.isdigit() for c in w).bit_length())),
            _h("hex", str(runs.bit_length())), _h("upper", str(sum(c.isupper() for c in w).bit_length())),
            _h("varied", str(len(set(w)) * 4 // max(len(w), 4)))]
     m = re.match(r"([A-Za-z_.-]{1,40})[\"']?[=:]", w)
     if m:
         own.append(_h("key", m.group(1).lower()))
-    return tuple(own), (low, shape)
+    return own
+
+
+def word_features(words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(features as itself [n, OWN], features as a neighbour [n, 2], whether it is odd and holds a digit)."""
+    core = pc.utf8_trim(words, characters=MARKS)
+    flag = lambda a, r: pc.match_substring_regex(a, r).to_numpy(zero_copy_only=False)
+    low = core if not len(core) else pc.utf8_lower(core)
+    near = np.empty((len(words), 2), np.int64)
+    near[:, 0] = [zlib.crc32(x, _LOW) % D for x in low.cast(pa.binary()).to_numpy(zero_copy_only=False)]
+    plain = flag(core, r"^\p{L}*$")
+    size = np.frexp(pc.utf8_length(core).to_numpy(zero_copy_only=False).astype(float))[1]
+    marks = pc.binary_length(words).to_numpy(zero_copy_only=False) > pc.binary_length(core).to_numpy(zero_copy_only=False)
+    key = size * 8 + flag(core, r"^\p{Lu}") * 4 + flag(core, r"^\p{Lu}+$") * 2 + marks
+    own = np.full((len(words), OWN), N_FEATURES, np.int64)
+    for k in np.unique(key[plain]).tolist():
+        if k not in _PLAIN:
+            _PLAIN[k] = (_h("plain", str(k)), _h("plain", "any"))
+        own[plain & (key == k), :2] = _PLAIN[k]
+    odd = np.flatnonzero(~plain)
+    for i, w in zip(odd.tolist(), strings(words.take(pa.array(odd)))):
+        f = odd_features(w)
+        own[i, :len(f)] = f
+    near[:, 1] = own[:, 0]
+    return own, near, ~plain & flag(words, r"[0-9]")
 
 
 def file_features(n_words: np.ndarray, n_digit: np.ndarray) -> np.ndarray:
@@ -103,15 +125,18 @@ def file_features(n_words: np.ndarray, n_digit: np.ndarray) -> np.ndarray:
 
 
 class Words:
-    """Numbers of distinct words and, given weights, their scores in each position."""
+    """Numbers of distinct words (0 is a text's edge) and, given weights, their scores in each position."""
 
     def __init__(self, weights: np.ndarray | None, limit: int = 400_000):
         self.weights, self.limit = weights, limit
+        if weights is not None:
+            self.padded = np.concatenate([weights, np.zeros((1, TAGS), weights.dtype)])
         self.clear()
 
     def clear(self):
         self.slots: dict[str, int] = {}
-        self.own, self.near, self.digit = [()], [(_h("w", "\n"), _h("edge", ""))], [False]
+        self.own, self.near = np.full((1, OWN), N_FEATURES), np.array([[_h("edge", "w"), _h("edge", "s")]])
+        self.digit = np.zeros(1, bool)
         self.scores = np.zeros((0, 4, TAGS), np.float32)
 
     def numbers(self, words: pa.Array) -> np.ndarray:
@@ -120,23 +145,17 @@ class Words:
         if len(self.slots) > self.limit:
             self.clear()
         table = numbers(self.slots, names)
-        for i in np.flatnonzero(table < 0).tolist():
-            w = names[i]
-            table[i] = self.slots[w] = len(self.own)
-            own, near = word_features(w)
-            self.own.append(own)
-            self.near.append(near)
-            self.digit.append(len(own) > 2 and any(c.isdigit() for c in w))
+        new = np.flatnonzero(table < 0)
+        if len(new):
+            own, near, digit = word_features(d.dictionary.take(pa.array(new)))
+            table[new] = len(self.own) + np.arange(len(new))
+            self.slots.update(zip((names[i] for i in new.tolist()), table[new].tolist()))
+            self.own, self.near = np.concatenate([self.own, own]), np.concatenate([self.near, near])
+            self.digit = np.concatenate([self.digit, digit])
         if self.weights is not None and len(self.scores) < len(self.own):
-            s = len(self.scores)
-            own, near = self.own[s:], np.array(self.near[s:])
-            n = np.array([len(o) for o in own])
-            flat = np.array([f for o in own for f in o], np.int64)
-            new = np.zeros((len(own), 4, TAGS), np.float32)
-            np.add.at(new[:, 0], np.repeat(np.arange(len(own)), n), self.weights[flat])
-            for k in (1, 2, 3):
-                new[:, k] = self.weights[k * D + near].sum(axis=1)
-            self.scores = np.concatenate([self.scores, new])
+            own, near = self.own[len(self.scores):], self.near[len(self.scores):]
+            fresh = np.stack([self.padded[own].sum(axis=1), *[self.padded[k * D + near].sum(axis=1) for k in (1, 2, 3)]], axis=1)
+            self.scores = np.concatenate([self.scores, fresh])
         return table[d.indices.to_numpy()] if len(names) else table
 
 
@@ -166,7 +185,7 @@ def word_tags(text: str) -> tuple[list[str], list[int]]:
     return words, tags
 
 
-def train(texts: list[str], steps: int = 60, window: int = 64, l2: float = 1e-4, rate: float = 0.15):
+def train(texts: list[str], steps: int = 40, window: int = 64, l2: float = 1e-4, rate: float = 0.15):
     """(weights [features, tags], pair weights [tags, tags]) by gradient ascent (Adam) on the
     conditional likelihood of the patterns' tags, over all ``window``-word pieces of the texts."""
     words = Words(None)
@@ -180,14 +199,10 @@ def train(texts: list[str], steps: int = 60, window: int = 64, l2: float = 1e-4,
     t = words.numbers(pa.array([x for ws, _ in tagged for x in ws]))
     y = np.array([k for _, ks in tagged for k in ks])
     doc, p1, p2, n1 = neighbours(t, off)
-    digit = np.array(words.digit)[t]
+    digit = words.digit[t]
     files = file_features(np.diff(off), np.add.reduceat(digit.astype(int), off[:-1]))
-    near = np.array(words.near)
+    near, own = words.near, words.own
     cols = [D + near[p1], 2 * D + near[p2], 3 * D + near[n1], files[doc]]
-    most = max(len(o) for o in words.own)
-    own = np.full((len(words.own), most), N_FEATURES)  # one feature more that stays zero
-    for i, o in enumerate(words.own):
-        own[i, :len(o)] = o
     feats = np.concatenate([own[t], *cols], axis=1)
     pos = np.arange(len(t)) - off[:-1][doc]
     piece = np.cumsum((pos % window == 0)) - 1
@@ -200,8 +215,8 @@ def train(texts: list[str], steps: int = 60, window: int = 64, l2: float = 1e-4,
     wide = np.zeros((N_FEATURES + 1, TAGS))
     moments = [np.zeros_like(wide), np.zeros_like(wide), np.zeros_like(pair), np.zeros_like(pair)]
     flat = feats.ravel()
-    # rare tags count more, else the few secrets are drowned
-    weight = np.where((gold > 0).any(axis=1), 10.0, 1.0)
+    # pieces with a secret count more, else the few are drowned
+    weight = np.where((gold > 0).any(axis=1), 3.0, 1.0)
     seen = np.zeros((TAGS, TAGS))
     np.add.at(seen, (gold[:, :-1][both], gold[:, 1:][both]), np.broadcast_to(weight[:, None], both.shape)[both])
     for step in range(1, steps + 1):
@@ -304,9 +319,10 @@ def scan_texts(texts: pa.Array, words: Words, pair: np.ndarray) -> list[list[tup
     doc, p1, p2, n1 = neighbours(t, off)
     s = words.scores
     e = s[t, 0] + s[p1, 1] + s[p2, 2] + s[n1, 3] if len(t) else np.zeros((0, TAGS), np.float32)
-    run = np.concatenate([[0], np.cumsum(np.array(words.digit)[t])])
+    run = np.concatenate([[0], np.cumsum(words.digit[t])])
     files = file_features(np.diff(off), run[off[1:]] - run[off[:-1]])
     e = e + words.weights[files].sum(axis=1)[doc]
+    e[:, 1:] -= MARGIN
     tags = decode(e, doc, pair)
     out = []
     extra = set(doc[np.flatnonzero(tags)].tolist())
@@ -326,12 +342,15 @@ def scan_texts(texts: pa.Array, words: Words, pair: np.ndarray) -> list[list[tup
 def fit(spark: SparkSession, docs: DataFrame, n: int = TRAIN_DOCS):
     """The field's weights, trained on at most ``n`` documents that hold a match of the patterns
     and ``n`` that hold none, those with the least hashes of doc_id and text."""
+    prepare(spark)
     hint = "|".join(h if h[0] != "(" else f"({h})" for h in HINTS.values())
-    t = docs.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), F.xxhash64("doc_id").alias("h"))
-    t = t.withColumn("hit", F.col("text").rlike(hint))
+    t = docs.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), F.xxhash64("doc_id", "text").alias("h"))
+    light = materialize(spark, t.select("h", F.col("text").rlike(hint).alias("hit")), "hits")
     texts = []
     for hit in (True, False):
-        texts += [r["text"] for r in t.where(F.col("hit") == hit).orderBy("h", "text").limit(n).collect()]
+        # hashes first: only the chosen rows' texts travel
+        pick = light.where(F.col("hit") == hit).select("h").distinct().orderBy("h").limit(n)
+        texts += [r["text"] for r in t.join(F.broadcast(pick), "h").dropDuplicates(["h"]).orderBy("h").collect()]
     return train(texts)
 
 
