@@ -2,11 +2,13 @@
 
 Vectors are quantised to integers. Within each block of rows and each dimension, a row's value is
 taken as a non-negative rise over the block's least value (for queries with a negative weight: a
-fall from its largest), so that every posting can only add to a score. Postings are grouped by
-quantised rise into segments. A query processes segments by descending impact, weight x level, over
-all dimensions, adding the quantised impacts to accumulators. What a row may still gain is bounded
-by the next level of every dimension; when no row outside a few can reach the k-th best lower bound
-any more, those few (ties included) are rescored exactly.
+fall from its largest), so that every posting can only add to a score. A dimension's rises fall
+into levels; a segment is the rows of one level, its impact weight x step x level. Queries of a
+block go together: a first pass adds the quantised impacts of the segments of high impact to the
+accumulators, a second those of the rest. What a row may still gain is bounded by the next level
+of every dimension. A query whose k-th best lower bound is out of reach for all but a few rows
+after the first pass is done; after the second every row that can still reach the bound is left.
+The rows left (ties included) are rescored exactly.
 """
 
 from __future__ import annotations
@@ -24,86 +26,64 @@ from prepforge.llm.common import arrow_map, materialize, prepare
 #: Fixed by the task: the scale of the integers, the answers per query and the queries' divisor.
 SCALE, TOP, QUERY_EVERY = 256, 5, 50
 #: Rows of an index block, rows of a query block and quantisation levels of a dimension.
-BLOCK, QUERY_BLOCK, LEVELS = 4096, 2048, 32
-#: Rows left in question at which a query stops processing segments and rescores.
-FEW = 48
+BLOCK, QUERY_BLOCK, LEVELS = 8192, 2048, 64
+#: Rows left in question at which a query stops after the first pass, and queries that go together.
+FEW, TOGETHER = 64, 128
 
 
 class Block:
-    """The index of one block of integer vectors: per dimension the rows by falling value and the
-    first row of each level, the same by rising value, both from the block's own bounds."""
+    """The index of one block of integer vectors: the level of each row's rise and fall in each
+    dimension (the segments), and those levels that count as high for the two classes of weight."""
 
     def __init__(self, ids: np.ndarray, x: np.ndarray, levels: int = LEVELS):
         self.ids, self.x, self.levels = ids, x, levels
         self.low, self.high = x.min(axis=0), x.max(axis=0)
         self.step = np.maximum(-(-(self.high - self.low + 1) // levels), 1)
-        self.order, self.first = [], []
-        for rise in (x - self.low, self.high - x):
-            level = rise // self.step
-            order = np.argsort(-level, axis=0, kind="stable")
-            n = np.zeros((levels + 1, x.shape[1]), np.int64)
-            for d in range(x.shape[1]):
-                # rows whose level is at least l: the prefix that ends at first[l]
-                n[:levels, d] = len(x) - np.searchsorted(np.sort(level[:, d]), np.arange(levels))
-            self.order.append(np.ascontiguousarray(order.T.astype(np.int32)))
-            self.first.append(n)
-
-    def search(self, q: np.ndarray, own: int, top: int, floor: int | None) -> tuple[np.ndarray, np.ndarray, int]:
-        """(rows, scores, segments) of the block's ``top`` best for one query, row ``own`` (a
-        vec_id) left out; rows that can't reach ``floor``, the k-th score known so far, may be
-        missing."""
-        live = np.flatnonzero(q)
-        w = np.abs(q[live])
-        sign = (q[live] < 0).astype(int)
-        base = int((q[live] * np.where(sign, self.high[live], self.low[live])).sum())
-        step = self.step[live]
-        n = len(self.x)
-        gains = np.zeros(n)
-        # segments (dimension, level) by falling impact; level 0 adds nothing to an accumulator
-        lev = np.arange(self.levels - 1, 0, -1)
-        impact = (w * step)[:, None] * lev[None, :]
-        dims = np.repeat(np.arange(len(live)), len(lev))
-        order = np.argsort(-impact.ravel(), kind="stable")
-        order = order[impact.ravel()[order] > 0]
-        seg_dim, seg_lev = dims[order], np.tile(lev, len(live))[order]
-        size = np.array([self.first[s][seg_lev, live[d]] - self.first[s][seg_lev + 1, live[d]]
-                         for s, d in ((0, seg_dim), (1, seg_dim))])
-        size = np.where(sign[seg_dim], size[1], size[0])
-        some = size > 0
-        seg_dim, seg_lev, size = seg_dim[some], seg_lev[some], size[some]
-        reached = np.cumsum(size)
-        nxt = np.full(len(live), self.levels)  # levels from here up are processed
-        done, used = 0, 0
-        others = self.ids != own
-        # looks at the bounds after half, three quarters, ... of the postings
-        for part in (0.5, 0.75, 0.875, 1.0):
-            upto = len(seg_dim) if part == 1.0 else int(np.searchsorted(reached, part * (reached[-1] if len(reached) else 0)))
-            if upto > done:
-                d, lv = seg_dim[done:upto], seg_lev[done:upto]
-                for i in np.unique(d):
-                    lo, hi, s = int(lv[d == i].min()), int(nxt[i]), sign[i]
-                    a, b = self.first[s][hi, live[i]] if hi <= self.levels else 0, self.first[s][lo, live[i]]
-                    rows = self.order[s][live[i], a:b]
-                    per = np.diff(self.first[s][lo:hi + 1, live[i]][::-1])
-                    gains[rows] += np.repeat((w[i] * step[i] * np.arange(hi - 1, lo - 1, -1)).astype(float), per)
-                    nxt[i] = lo
-                used += upto - done
-                done = upto
-            # a row that a dimension has not shown yet lies below its next level; one that it
-            # has shown may exceed its level by less than a step
-            slack = float((w * (np.maximum(nxt, 1) * step - 1)).sum()) if done < len(seg_dim) else float((w * (step - 1)).sum())
-            low = gains[others]
-            if len(low) <= top:
-                kth = -np.inf
-            else:
-                kth = float(np.partition(low, len(low) - top)[len(low) - top])
-            bar = max(kth, float(floor - base) if floor is not None else -np.inf)
-            left = np.flatnonzero(others & (gains + slack >= bar))
-            if len(left) <= FEW:
+        level = np.concatenate([(x - self.low) // self.step, (self.high - x) // self.step], axis=1).T.astype(float)
+        # weights of at least half the largest count from this level up, those of a quarter from twice it
+        self.cuts = (max(levels // 4, 1), max(levels // 2, 1))
+        self.parts = [np.ascontiguousarray(np.where(level >= c, level, 0.0)) for c in self.cuts]
+        self.level = np.ascontiguousarray(level)
+
+    def search(self, q: np.ndarray, own: np.ndarray, top: int, floor: list) -> list[tuple[np.ndarray, np.ndarray, int]]:
+        """(ids, scores, passes) of the block's ``top`` best for each query of ``q``, rows ``own``
+        (vec_ids) left out; rows that can't reach ``floor``, the k-th score known so far (or None),
+        may be missing."""
+        weight = np.concatenate([np.maximum(q, 0), np.maximum(-q, 0)], axis=1)
+        step = np.concatenate([self.step, self.step])
+        base = np.maximum(q, 0) @ self.low - np.maximum(-q, 0) @ self.high
+        impact = (weight * step).astype(float)
+        most = impact.max(axis=1, keepdims=True)
+        kind = [impact * (impact * 2 > most), impact * ((impact * 2 <= most) & (impact * 4 > most))]
+        gains = kind[0] @ self.parts[0] + kind[1] @ self.parts[1]
+        # a row that a dimension has not shown yet lies below its next level; one that it has shown
+        # may exceed its level by less than a step
+        nxt = np.where(kind[0] > 0, self.cuts[0], np.where(kind[1] > 0, self.cuts[1], self.levels))
+        slack = (weight * (nxt * step - 1)).sum(axis=1)
+        out: list = [None] * len(q)
+        todo = np.arange(len(q))
+        for passes in (1, 2):
+            if passes == 2:
+                gains = impact[todo] @ self.level
+                slack = (weight[todo] * (step - 1)).sum(axis=1)
+            again = []
+            for row, i in enumerate(todo):
+                g = gains[row]
+                others = self.ids != own[i]
+                low = g[others]
+                kth = float(np.partition(low, len(low) - top)[len(low) - top]) if len(low) > top else -np.inf
+                bar = max(kth, float(floor[i] - base[i]) if floor[i] is not None else -np.inf)
+                left = np.flatnonzero(others & (g + slack[row] >= bar))
+                if passes == 1 and len(left) > FEW:
+                    again.append(row)
+                    continue
+                score = self.x[left] @ q[i]
+                pick = np.lexsort((self.ids[left], -score))[:top]
+                out[i] = (self.ids[left][pick], score[pick], passes)
+            todo = todo[again]
+            if not len(todo):
                 break
-        score = self.x[left] @ q
-        pick = np.lexsort((self.ids[left], -score))[:top]
-        return self.ids[left][pick], score[pick], used
+        return out
 
 
 def quantise(v: list | None) -> np.ndarray | None:
@@ -172,12 +152,16 @@ def top_inner(spark: SparkSession, queries: DataFrame, vectors: DataFrame, top:
             if matrix is None or matrix.shape[1] != width:
                 matrix = _stack(qv, width)
             block = Block(np.array(hold[0], np.int64), _stack(hold[1], width))
-            for i, who in enumerate(qid):
-                ids, score = best.get(who, (np.zeros(0, np.int64), np.zeros(0, np.int64)))
-                a, s, _ = block.search(matrix[i], who, top, int(score[-1]) if len(score) == top else None)
-                ids, score = np.concatenate([ids, a]), np.concatenate([score, s])
-                pick = np.lexsort((ids, -score))[:top]
-                best[who] = ids[pick], score[pick]
+            none = np.zeros(0, np.int64)
+            for at_q in range(0, len(qid), TOGETHER):
+                own = qid[at_q:at_q + TOGETHER]
+                known = [best.get(who, (none, none)) for who in own]
+                found = block.search(matrix[at_q:at_q + TOGETHER], np.array(own), top,
+                                     [int(score[-1]) if len(score) == top else None for _, score in known])
+                for who, (ids, score), (a, s, _) in zip(own, known, found):
+                    ids, score = np.concatenate([ids, a]), np.concatenate([score, s])
+                    pick = np.lexsort((ids, -score))[:top]
+                    best[who] = ids[pick], score[pick]
             hold[0].clear()
             hold[1].clear()
 

@@ -37,23 +37,29 @@ def test_equal_brute_force(spark, monkeypatch):
         assert got == brute(queries, rows)
 
 
-def test_block_search_stops_on_proof_only():
+def test_block_search_stops_on_proof_only(monkeypatch):
     r = np.random.default_rng(3)
+    seen = set()
     for t in range(60):
+        monkeypatch.setattr(K, "FEW", (0, 5, 64, 1000)[t % 4])
         x = r.integers(-140, 140, (int(r.integers(1, 400)), 8))
         ids = r.permutation(1000)[:len(x)]
-        b = K.Block(ids, x, int(r.integers(1, 20)))
-        q = r.integers(-140, 140, 8) * (r.random(8) < .8)
-        s = x @ q
-        want = sorted(zip((-s).tolist(), ids.tolist()))
-        want = [w for w in want if w[1] != ids[0]][:5]
-        got, score, _ = b.search(q, int(ids[0]), 5, None)
-        assert list(zip((-score).tolist(), got.tolist())) == want
-        if len(want) == 5:
-            floor = -want[2][0]
-            got, score, _ = b.search(q, int(ids[0]), 5, floor)
-            keep = [(a, i) for a, i in zip((-score).tolist(), got.tolist()) if -a >= floor]
-            assert keep == [w for w in want if -w[0] >= floor]
+        b = K.Block(ids, x, int(r.integers(1, 70)))
+        q = r.integers(-140, 140, (7, 8)) * (r.random((7, 8)) < .8)
+        own = r.choice(ids, 7)
+        plain = b.search(q, own, 5, [None] * 7)
+        for i in range(7):
+            want = sorted(zip((-(x @ q[i])).tolist(), ids.tolist()))
+            want = [w for w in want if w[1] != own[i]][:5]
+            got, score, passes = plain[i]
+            seen.add(passes)
+            assert list(zip((-score).tolist(), got.tolist())) == want
+            if len(want) == 5:
+                floor = -want[2][0]
+                got, score, _ = b.search(q[i:i + 1], own[i:i + 1], 5, [floor])[0]
+                keep = [(a, j) for a, j in zip((-score).tolist(), got.tolist()) if -a >= floor]
+                assert keep == [w for w in want if -w[0] >= floor]
+    assert seen == {1, 2}
 
 
 def test_few_and_empty(spark):
