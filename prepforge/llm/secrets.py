@@ -37,7 +37,7 @@ LEAST = {"assign": 8, "access": 16, "hex": 32}
 HINTS = {"assign": r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]""", "access": "AKIA[A-Z0-9]{12}",
          "hex": "[0-9a-f]{32}"}
 #: Documents with and without matches that the field is trained on, at most so many each.
-TRAIN_DOCS = 200
+TRAIN_DOCS = 150
 #: What a tag other than outside must lead by (log odds): the field adds to patterns that stay, so
 #: it should speak only when it is sure.
 MARGIN = 3.0
@@ -203,7 +203,7 @@ def train(texts: list[str], steps: int = 40, window: int = 64, l2: float = 1e-4,
     files = file_features(np.diff(off), np.add.reduceat(digit.astype(int), off[:-1]))
     near, own = words.near, words.own
     cols = [D + near[p1], 2 * D + near[p2], 3 * D + near[n1], files[doc]]
-    feats = np.concatenate([own[t], *cols], axis=1)
+    feats = np.concatenate([own[t], *cols], axis=1).T.astype(np.int32)  # one row per place
     pos = np.arange(len(t)) - off[:-1][doc]
     piece = np.cumsum((pos % window == 0)) - 1
     col, n = pos % window, piece[-1] + 1
@@ -214,14 +214,13 @@ def train(texts: list[str], steps: int = 40, window: int = 64, l2: float = 1e-4,
     np.add.at(seen, (gold[:, :-1][both], gold[:, 1:][both]), 1)
     wide = np.zeros((N_FEATURES + 1, TAGS))
     moments = [np.zeros_like(wide), np.zeros_like(wide), np.zeros_like(pair), np.zeros_like(pair)]
-    flat = feats.ravel()
     # pieces with a secret count more, else the few are drowned
     weight = np.where((gold > 0).any(axis=1), 3.0, 1.0)
     seen = np.zeros((TAGS, TAGS))
     np.add.at(seen, (gold[:, :-1][both], gold[:, 1:][both]), np.broadcast_to(weight[:, None], both.shape)[both])
     for step in range(1, steps + 1):
         e = np.zeros((n, window, TAGS))
-        e[piece, col] = wide[feats].sum(axis=1)
+        e[piece, col] = sum(wide[f] for f in feats)
         a = np.zeros((n, window, TAGS))
         b = np.zeros((n, window, TAGS))
         a[:, 0] = e[:, 0]
@@ -242,8 +241,10 @@ def train(texts: list[str], steps: int = 40, window: int = 64, l2: float = 1e-4,
         diff = -prob[piece, col]
         diff[np.arange(len(y)), y] += 1
         diff *= weight[piece][:, None]
-        each = np.repeat(diff, feats.shape[1], axis=0)
-        g = np.stack([np.bincount(flat, each[:, k], N_FEATURES + 1) for k in range(TAGS)], axis=1)
+        g = np.zeros_like(wide)
+        for f in feats:
+            for k in range(TAGS):
+                g[:, k] += np.bincount(f, diff[:, k], N_FEATURES + 1)
         gp = seen - (pp * (both * weight[:, None])[..., None, None]).sum(axis=(0, 1))
         scale = 1 / len(y)
         for theta, grad, m, v in ((wide, g * scale - l2 * wide, *moments[:2]), (pair, gp * scale - l2 * pair, *moments[2:])):
