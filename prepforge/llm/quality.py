@@ -129,8 +129,8 @@ def train(texts: pa.Array, target: np.ndarray, steps: int = 300, rate: float = 0
     w, m, v = np.zeros(N_FEATURES + 1), np.zeros(N_FEATURES + 1), np.zeros(N_FEATURES + 1)
     weight = np.where(target >= 0.5, 0.5 / max((target >= 0.5).sum(), 1), 0.5 / max((target < 0.5).sum(), 1))
     for step in range(1, steps + 1):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        g = x.T @ (weight * (p - target)) + l2 * np.append(w[:-1], 0)
+        p = 1 / (1 + np.exp(-np.clip(x @ w.astype(np.float32), -30, 30)))
+        g = (weight * (p - target)).astype(np.float32) @ x + l2 * np.append(w[:-1], 0)
         m += 0.1 * (g - m)
         v += 0.01 * (g * g - v)
         w -= rate * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.99 ** step)) + 1e-9)
