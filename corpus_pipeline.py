@@ -1,7 +1,7 @@
 """Training-corpus pipeline: each stage reads what the one before kept.
 
 1. quality classifier: documents that the scorer rejects go;
-2. SimHash near-dedup: of each group of near copies the least doc_id stays;
+2. SimHash near-dedup: of each group of near copies the row of the least doc_id stays (nulls last);
 3. secret scans: spans found are replaced in the texts, n_chars is counted anew;
 4. mixing: each source's documents are repeated or left out to meet its target;
 5. packing: every document that came through is cut into sequences; returns the pieces.
@@ -26,7 +26,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return simhash.drop_near_copies(spark, docs)
+    return simhash.one_of_each_group(spark, docs)
 
 
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -72,14 +72,15 @@ def fingerprints(texts: pa.Array, k: int = SHINGLE) -> np.ndarray:
     return out
 
 
-def fingerprint_rows(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp: long) of every row; a null text counts as empty."""
+def fingerprint_rows(docs: DataFrame, k: int = SHINGLE, keys: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, fp: long) and the long columns ``keys`` of every row; a null text counts as empty."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(fingerprints(texts_of(b.column(1)), k).view(np.int64))], names=["doc_id", "fp"])
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")) \
-        .mapInArrow(run, "doc_id long, fp long")
+                [b.column(0), pa.array(fingerprints(texts_of(b.column(1)), k).view(np.int64)), *b.columns[2:]],
+                names=["doc_id", "fp", *keys])
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), *keys) \
+        .mapInArrow(run, "doc_id long, fp long" + "".join(f", {c} long" for c in keys))
 
 
 def _syndromes(v: np.ndarray) -> np.ndarray:
@@ -171,6 +172,16 @@ def near_links(spark: SparkSession, fps: DataFrame, t: int = MAX_BITS) -> DataFr
                   & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= t)).select("a", "b").distinct()
 
 
+def fingerprint_parts(spark: SparkSession, rows: DataFrame, t: int) -> DataFrame:
+    """(fp, least doc_id, part) of the distinct fingerprints of ``rows``; ``part`` is the least
+    fingerprint of the component, unlike its least doc_id never shared by two components."""
+    nodes = materialize(spark, rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "simnodes")
+    links = near_links(spark, nodes.repartition(partitions(spark), "fp"), t)
+    parts = connected_components(spark, links)
+    return nodes.join(parts, nodes["fp"] == parts["node"], "left").select(
+        "fp", "least", F.coalesce("component", "fp").alias("part"))
+
+
 def simhash_groups(spark: SparkSession, docs: DataFrame, k: int = SHINGLE, t: int = MAX_BITS) -> DataFrame:
     """(doc_id, fp, fingerprint, component_id) of every row of ``docs``.
 
@@ -183,23 +194,36 @@ def simhash_groups(spark: SparkSession, docs: DataFrame, k: int = SHINGLE, t: in
     """
     prepare(spark)
     rows = materialize(spark, fingerprint_rows(docs, k), "simhash")
-    nodes = materialize(spark, rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "simnodes")
-    links = near_links(spark, nodes.repartition(partitions(spark), "fp"), t)
-    parts = connected_components(spark, links)
-    named = nodes.join(parts, nodes["fp"] == parts["node"], "left").select(
-        "fp", "least", F.coalesce("component", "fp").alias("part"))
+    named = fingerprint_parts(spark, rows, t)
     ids = named.groupBy("part").agg(F.min("least").alias("component_id"))
     named = named.join(ids, "part").select("fp", "component_id")
     return rows.join(named, "fp").select(
         "doc_id", "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def one_of_each_group(spark: SparkSession, docs: DataFrame, k: int = SHINGLE, t: int = MAX_BITS,
+                      one_per_id: bool = False) -> DataFrame:
+    """One row of ``docs`` for each component: the one of the least doc_id (nulls last), on a tie
+    of the least row key. The key is a 128-bit hash of the whole row, so that rows with one doc_id
+    and different texts are told apart and rows that share a key are equal in every column.
+    ``one_per_id``: of the rows kept that share a doc_id (not null) only the least key's stays."""
+    prepare(spark)
+    whole = [x for c in docs.columns for x in (F.col(c).isNull(), F.col(c))]
+    keyed = docs.withColumn("_k1", F.xxhash64(F.lit(1), *whole)).withColumn("_k2", F.xxhash64(F.lit(2), *whole))
+    rows = materialize(spark, fingerprint_rows(keyed, k, ("_k1", "_k2")), "simhash")
+    parts = fingerprint_parts(spark, rows, t).select("fp", "part")
+    keep = rows.join(parts, "fp").groupBy("part").agg(F.min(F.struct(
+        F.col("doc_id").isNull().alias("none"), "doc_id", "_k1", "_k2")).alias("x")).select("x.*")
+    if one_per_id:
+        first = keep.where("not none").groupBy("doc_id").agg(F.min(F.struct("_k1", "_k2")).alias("x")).select("x.*")
+        keep = first.unionByName(keep.where("none").select("_k1", "_k2"))
+    return keyed.join(keep.select("_k1", "_k2"), ["_k1", "_k2"], "left_semi").dropDuplicates(["_k1", "_k2"]).drop("_k1", "_k2")
+
+
 def drop_near_copies(spark: SparkSession, docs: DataFrame, k: int = SHINGLE, t: int = MAX_BITS) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is their component's least: one row for each group
-    (repeated rows of one doc_id are one; rows with a null doc_id go)."""
-    keep = simhash_groups(spark, docs, k, t).where("doc_id = component_id").select(
-        F.col("doc_id").alias("_keep")).distinct()
-    return docs.join(keep, docs["doc_id"] == keep["_keep"], "left_semi").dropDuplicates(["doc_id"])
+    """As :func:`one_of_each_group`, for tables whose doc_id names a document: no two rows of the
+    result share one (nulls apart)."""
+    return one_of_each_group(spark, docs, k, t, one_per_id=True)
 
 
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,7 +3,7 @@ import pyarrow as pa
 import pytest
 import xxhash
 
-from prepforge.llm.simhash import Anchors, drop_near_copies, fingerprints, simhash_groups
+from prepforge.llm.simhash import Anchors, drop_near_copies, fingerprints, one_of_each_group, simhash_groups
 
 
 def slow(text, k=3):
@@ -84,3 +84,15 @@ def test_empty_and_null_ids(spark):
     df = spark.createDataFrame([(None, "only one here"), (3, None)], "doc_id long, text string")
     got = {r["doc_id"]: r["component_id"] for r in simhash_groups(spark, df).collect()}
     assert got == {None: None, 3: 3}
+
+
+def test_each_group_keeps_one_row_whatever_its_ids(spark):
+    a, b, c, d = ("a b c d e f g", "one two three four five", "red green blue cyan", "sun moon star sky")
+    rows = [(3, a, None), (5, a, "x"), (5, b, "x"), (None, c, "x"), (None, c, None), (None, d, "y"), (9, d, "y"), (9, d, "y")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    got = [tuple(r) for r in one_of_each_group(spark, df).collect()]
+    assert sorted((t, i) for i, t, _ in got if i is not None) == sorted([(a, 3), (b, 5), (d, 9)])
+    assert [t for i, t, _ in got if i is None] == [c]
+    assert sorted(map(str, map(tuple, drop_near_copies(spark, df).collect()))) == sorted(map(str, got))
+    twice = spark.createDataFrame([(5, a), (5, b)], "doc_id long, text string")
+    assert sorted(r["text"] for r in one_of_each_group(spark, twice).collect()) == sorted([a, b])
