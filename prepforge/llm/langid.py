@@ -203,17 +203,18 @@ def viterbi(e: np.ndarray, off: np.ndarray, switch: float = SWITCH) -> np.ndarra
     order = np.argsort(-n, kind="stable")
     start, lens = off[:-1][order], n[order]
     running = np.searchsorted(-lens, -np.arange(lens[0]), side="left")  # texts longer than t
-    back = np.empty((len(e), k), np.int8)
+    # a word's tag comes from the same language or, by a change, from the one best language of the
+    # word before: a flag each and one number a word, whatever the number of languages
+    stays, source = np.empty((len(e), k), bool), np.empty(len(e), np.int64)
     score = np.zeros((len(n), k))
     score[:running[0]] = e[start[:running[0]]]
-    states = np.arange(k)
     for t in range(1, lens[0]):
         r = running[t]
         prev, at = score[:r], start[:r] + t
         best = prev.argmax(axis=1)
         jump = prev[np.arange(r), best] - switch
         stay = prev >= jump[:, None]
-        back[at] = np.where(stay, states, best[:, None])
+        stays[at], source[at] = stay, best
         score[:r] = np.where(stay, prev, jump[:, None]) + e[at]
     state = score.argmax(axis=1)
     for t in range(lens[0] - 1, -1, -1):
@@ -221,7 +222,7 @@ def viterbi(e: np.ndarray, off: np.ndarray, switch: float = SWITCH) -> np.ndarra
         at = start[:r] + t
         out[at] = state[:r]
         if t:
-            state[:r] = back[at, state[:r]]
+            state[:r] = np.where(stays[at, state[:r]], state[:r], source[at])
     return out
 
 

@@ -61,3 +61,26 @@ def test_nothing_to_learn(spark):
 def test_words_are_whole():
     w, off = L.letter_words(pa.array(["Été 12 l'eau", "", "y" * 150]))
     assert w.to_pylist()[:3] == ["été", "l", "eau"] and sum(len(x) for x in w.to_pylist()[3:]) == 150 and off.tolist()[:3] == [0, 3, 3]
+
+
+def test_two_hundred_languages():
+    r = np.random.default_rng(5)
+    off = np.array([0, 40, 40, 100, 103])
+    want = np.concatenate([np.repeat([199, 3], 20), np.repeat([128, 127, 150], 20), [180] * 3])
+    e = r.normal(0, 1, (103, 200))
+    e[np.arange(103), want] += 30
+    assert L.viterbi(e, off).tolist() == want.tolist()
+    langs = [f"l{i:03d}" for i in range(200)]
+    words = ["".join(chr(97 + (i // 26 ** j + 7 * j) % 26) for j in range(6)) for i in range(200)]
+
+    class Known:
+        model = {"langs": langs}
+
+        def of(self, flat):
+            out = np.full((len(flat), 200), -8.0, np.float32)
+            out[np.arange(len(flat)), [words.index(w) for w in flat.to_pylist()]] = 0
+            return out
+
+    texts = pa.array([" ".join([words[i]] * 9) for i in range(200)])
+    got = L.label_texts(texts, Known())
+    assert got == [(langs[i], 1.0, f"{langs[i]}:0:9") for i in range(200)]
