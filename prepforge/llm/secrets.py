@@ -309,8 +309,17 @@ def crf_spans(text: str, tags: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
+def covered(a: int, b: int, base: list[tuple[int, int, int]]) -> bool:
+    """Whether the sorted patterns' matches leave nothing of [a, b) uncovered."""
+    for x, _, y in base:
+        if x > a:
+            break
+        a = max(a, y)
+    return a >= b
+
+
 def scan_texts(texts: pa.Array, words: Words, pair: np.ndarray) -> list[list[tuple[int, str, int]]]:
-    """Per text the spans (start, kind, end): the patterns', and the field's that touch none of them."""
+    """Per text the spans (start, kind, end): the patterns', and the field's that reach beyond them."""
     found: list[list] = [[] for _ in range(len(texts))]
     for k in KINDS:
         for i in np.flatnonzero(pc.match_substring_regex(texts, HINTS[k]).to_numpy(zero_copy_only=False)):
@@ -332,7 +341,7 @@ def scan_texts(texts: pa.Array, words: Words, pair: np.ndarray) -> list[list[tup
         spans = [(a, KINDS[k], b) for a, k, b in base]
         if i in extra:
             for a, b in crf_spans(texts[i].as_py(), tags[off[i]:off[i + 1]]):
-                if not any(a < y and b > x for x, _, y in base):
+                if not covered(a, b, base):
                     spans.append((a, "crf", b))
             order = {k: n for n, k in enumerate((*KINDS, "crf"))}
             spans.sort(key=lambda x: (x[0], order[x[1]]))
@@ -370,8 +379,8 @@ def words_of(weights: np.ndarray) -> Words:
 def secret_spans(spark: SparkSession, docs: DataFrame, model=None) -> DataFrame:
     """doc_id, n_assign, n_access, n_hex, base_sha256, spans of every row of ``docs``.
 
-    The patterns' matches always stay; the field's spans (kind ``crf``) are added where they touch
-    none. Null and empty texts have no spans; repeated rows and null ids are returned as they come;
+    The patterns' matches always stay; the field's spans (kind ``crf``) are added, whole, where they
+    reach beyond the matches. Null and empty texts have no spans; repeated rows and null ids are returned as they come;
     other columns are not looked at. Without any match in the table the field adds nothing.
     """
     prepare(spark)

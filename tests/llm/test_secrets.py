@@ -89,3 +89,20 @@ def test_redact(spark):
 def test_empty(spark):
     df = spark.createDataFrame([], "doc_id long, text string, n_chars long")
     assert S.secret_spans(spark, df).count() == 0 and S.redact(spark, df).count() == 0
+
+
+def test_field_spans_that_reach_beyond_a_match_stay(spark, monkeypatch):
+    rest = "abcd1234!x$yzQ7"
+    texts = [f"of password={rest} beta", "of token=12345678 beta"]
+    monkeypatch.setattr(S, "decode", lambda e, doc, pair: np.array([0, 1, 0, 0, 1, 0], np.int8))
+    model = S.train([t or "" for _, t, _ in corpus()])
+    out = S.scan_texts(pa.array(texts), S.Words(model[0]), model[1])
+    assert [(k, texts[0][a:b]) for a, k, b in out[0]] == [("assign", "password=abcd1234"), ("crf", rest)]
+    assert [k for _, k, _ in out[1]] == ["assign"]  # nothing beyond the match
+
+
+def test_redact_leaves_nothing_of_a_value_beside_its_match(spark):
+    rows = corpus()
+    model = S.train([t or "" for _, t, _ in rows] * 2)
+    df = spark.createDataFrame([(1, "alpha of password=abcd1234!9f3c$77ab1c2d of the beta")], "doc_id long, text string")
+    assert S.redact(spark, df, model=model).first()["text"] == "alpha of <redacted> of the beta"
