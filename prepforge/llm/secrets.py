@@ -5,7 +5,9 @@ secret or as outside (O). The score of a tag adds weights of hashed features: th
 and characters, the two words before and the one after (identity and shape), and two features of
 the file (its length and its share of words with digits); tag pairs have weights too. The patterns'
 matches label the training words, so the field learns what stands around secrets and how they look,
-and finds those that no pattern matches.
+and finds those that no pattern matches. No pattern's value holds white space, so secrets of several
+words are labelled by patterns of their own (quoted after a key, wrapped over lines, key blocks) and
+written into passages of the training texts; from them the field learns what continues a secret.
 """
 
 from __future__ import annotations
@@ -38,9 +40,19 @@ HINTS = {"assign": r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]
          "hex": "[0-9a-f]{32}"}
 #: Documents with and without matches that the field is trained on, at most so many each.
 TRAIN_DOCS = 150
-#: What a tag other than outside must lead by (log odds): the field adds to patterns that stay, so
-#: it should speak only when it is sure.
+#: What a span must lead by (log odds), taken once where it begins and not again at its further
+#: words: the field adds to patterns that stay, so it should speak only when it is sure.
 MARGIN = 3.0
+#: Secrets of several words: labels for training alone, never reported as the patterns' matches.
+_KEY = r"""(?:password|passwd|passphrase|secret|token|api_?key)["']?\x20*[:=]\x20*"""
+LONG = (
+    re.compile(_KEY + r"""(["'])(?P<value>[^"'\r\n]{8,200})\1""", re.IGNORECASE | re.ASCII),
+    re.compile(_KEY + r"""["']?(?P<value>[A-Za-z0-9+/_=-]{16,}(?:[\x20\\]*\r?\n\x20*(?=[A-Za-z+/_=-]*[0-9])[A-Za-z0-9+/_=-]{8,}(?![^\s"']))+)""",
+               re.IGNORECASE | re.ASCII),
+    re.compile(r"(?P<value>-----BEGIN [A-Z ]*PRIVATE KEY-----.{1,20000}?-----END [A-Z ]*PRIVATE KEY-----)", re.DOTALL),
+)
+#: Words beside a written secret, and the seed of what is written.
+BESIDE, SEED = 25, 9
 #: Hashed features of each family: the word, one before, two before, one after.
 D = 4096
 FILE = 4 * D
@@ -77,6 +89,7 @@ def _shape(w: str) -> str:
 #: Features of a word as itself, at most (unused places hold N_FEATURES, whose weight is zero).
 OWN = 8
 MARKS = ".,;:!?\"'()|"
+QUOTED = r"^[A-Za-z_.-]{0,40}[=:]?[\"']"
 _LOW = zlib.crc32(b"w|")
 _PLAIN: dict[int, tuple[int, int]] = {}
 
@@ -94,11 +107,11 @@ def odd_features(w: str) -> list[int]:
 
 
 def word_features(words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(features as itself [n, OWN], features as a neighbour [n, 2], whether it is odd and holds a digit)."""
+    """(features as itself [n, OWN], features as a neighbour [n, 3], whether it is odd and holds a digit)."""
     core = pc.utf8_trim(words, characters=MARKS)
     flag = lambda a, r: pc.match_substring_regex(a, r).to_numpy(zero_copy_only=False)
     low = core if not len(core) else pc.utf8_lower(core)
-    near = np.empty((len(words), 2), np.int64)
+    near = np.empty((len(words), 3), np.int64)
     near[:, 0] = [zlib.crc32(x, _LOW) % D for x in low.cast(pa.binary()).to_numpy(zero_copy_only=False)]
     plain = flag(core, r"^\p{L}*$")
     size = np.frexp(pc.utf8_length(core).to_numpy(zero_copy_only=False).astype(float))[1]
@@ -114,6 +127,8 @@ def word_features(words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         f = odd_features(w)
         own[i, :len(f)] = f
     near[:, 1] = own[:, 0]
+    quote = flag(words, QUOTED) * 2 + flag(words, r"[\"'][.,;:)\]}]*$")
+    near[:, 2] = own[:, OWN - 1] = np.array([_h("quote", str(k)) for k in range(4)])[quote]
     return own, near, ~plain & flag(words, r"[0-9]")
 
 
@@ -135,7 +150,7 @@ class Words:
 
     def clear(self):
         self.slots: dict[str, int] = {}
-        self.own, self.near = np.full((1, OWN), N_FEATURES), np.array([[_h("edge", "w"), _h("edge", "s")]])
+        self.own, self.near = np.full((1, OWN), N_FEATURES), np.array([[_h("edge", "w"), _h("edge", "s"), _h("edge", "q")]])
         self.digit = np.zeros(1, bool)
         self.scores = np.zeros((0, 4, TAGS), np.float32)
 
@@ -168,28 +183,74 @@ def neighbours(t: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return doc, at(-1, pos >= 1), at(-2, pos >= 2), at(1, pos < n[doc] - 1)
 
 
+def secret_values(text: str) -> list[tuple[int, int]]:
+    """Parts of the text that training takes for secrets, without keys and separators, in order:
+    the values of the patterns' matches and of ``LONG``, overlapping ones as one."""
+    found = []
+    for s, k, e in base_spans(text):
+        value = PATTERNS["assign"].match(text, s) if k == 0 else None
+        found.append((value.start(2) if value else s, e))
+    found += [m.span("value") for p in LONG for m in p.finditer(text)]
+    out: list[tuple[int, int]] = []
+    for s, e in sorted(found):
+        if out and s < out[-1][1]:
+            out[-1] = (out[-1][0], max(e, out[-1][1]))
+        else:
+            out.append((s, e))
+    return out
+
+
 def word_tags(text: str) -> tuple[list[str], list[int]]:
-    """A text's words and the tags that the patterns give them."""
-    found, words, tags, last = base_spans(text), [], [], None
+    """A text's words and their tags: B at the first word of a secret, I at its further words."""
+    found, words, tags, last, i = secret_values(text), [], [], None, 0
     for m in _WORD.finditer(text):
-        hit = next((i for i, (s, _, e) in enumerate(found) if s < m.end() and e > m.start()), None)
-        if hit is not None:
-            # a key and its separators are not part of the secret
-            s, k, e = found[hit]
-            value = PATTERNS["assign"].match(text, s) if k == 0 else None
-            if value and m.end() <= value.start(2):
-                hit = None
+        while i < len(found) and found[i][1] <= m.start():
+            i += 1
+        hit = i if i < len(found) and found[i][0] < m.end() else None
         words.append(m.group())
         tags.append(0 if hit is None else 1 if hit != last else 2)
         last = hit
     return words, tags
 
 
+def long_examples(texts: list[str]) -> list[str]:
+    """Passages of the texts that hold a secret, with one of several words written in: a quoted
+    phrase after a key, a value wrapped over lines and a key block; and quoted words that are none."""
+    rng = np.random.default_rng(SEED)
+    letters = list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/")
+    code = lambda n: "".join(rng.choice(letters, n))
+    pick = lambda *x: x[int(rng.integers(len(x)))]
+    out = []
+    for text in texts:
+        values = secret_values(text)
+        if not values:
+            continue
+        words = text.split()
+        plain = [w for w in (w.strip(MARKS) for w in words[:400]) if w.isalpha()] or ["key", "word"]
+        at = len(text[:values[0][0]].split())
+        free = [w for w in words[max(at - 3 * BESIDE, 0):at + 3 * BESIDE] if word_tags(w)[1] == [0] and not re.search(_KEY, w, re.I)]
+        key = lambda: pick("password", "passwd", "passphrase", "secret", "token", "api_key", "PASSWORD", "Token") + pick("=", ":", " = ", ": ")
+        phrase = lambda: " ".join(str(w) for w in rng.choice(plain, int(rng.integers(2, 12))))
+        q, head = pick('"', '"', "'"), pick("RSA ", "EC ", "", "OPENSSH ")
+        size = int(rng.integers(20, 65))
+        lines = lambda n: pick("\n", "\n", "\n  ").join([*(code(size) for _ in range(n)), code(int(rng.integers(8, size))) + "1="])
+        none = lambda: f"{q}{phrase()}{q}"
+        for x in (f"{key()}{q}{phrase()}{q}", f"{key()}{lines(int(rng.integers(1, 6)))}",
+                  f"-----BEGIN {head}PRIVATE KEY-----\n{lines(int(rng.integers(2, 12)))}\n-----END {head}PRIVATE KEY-----", none()):
+            k, n = int(rng.integers(0, len(free) + 1)), int(rng.integers(3, BESIDE))
+            # the quoted words that are none stand in the same passage, before or after
+            cut = int(rng.integers(0, n))
+            before, after = free[max(k - n, 0):k], free[k:k + n]
+            out.append(" ".join([*before[:cut], none(), *before[cut:], x, *after[:cut], none(), *after[cut:]]))
+    return out
+
+
 def train(texts: list[str], steps: int = 40, window: int = 64, l2: float = 1e-4, rate: float = 0.15):
     """(weights [features, tags], pair weights [tags, tags]) by gradient ascent (Adam) on the
-    conditional likelihood of the patterns' tags, over all ``window``-word pieces of the texts."""
+    conditional likelihood of the tags of :func:`word_tags`, over all ``window``-word pieces of the
+    texts and of :func:`long_examples`."""
     words = Words(None)
-    tagged = [word_tags(t) for t in texts]
+    tagged = [word_tags(t) for t in [*texts, *long_examples(texts)]]
     tagged = [x for x in tagged if x[0]]
     w, pair = np.zeros((N_FEATURES, TAGS)), np.zeros((TAGS, TAGS))
     if not any(any(t) for _, t in tagged):
@@ -274,14 +335,19 @@ def viterbi(e: np.ndarray, pair: np.ndarray, before: bool, after: bool) -> np.nd
 def decode(e: np.ndarray, doc: np.ndarray, pair: np.ndarray) -> np.ndarray:
     """Best tags of all documents' words, as Viterbi over each whole document gives them.
 
-    Putting O in a word's place changes the pair weights beside it by at most ``slack``; a word
-    whose O leads by more is O in every best path. The rest is decoded run by run between such
-    words, with O fixed on both sides, which is the same path.
+    Were a run of other tags replaced by O, the path would lose at most the sum of ``gain`` over
+    the run plus ``edge`` (what the pairs at its ends give); so a word in no stretch whose sum
+    reaches -``edge`` is O in every best path. The rest is decoded run by run between such words,
+    with O fixed on both sides, which is the same path.
     """
-    put = pair[:, :, None] + pair[None, :, :]  # [a, s, b]
-    slack = max(0.0, (put[:, 1:, :] - put[:, :1, :]).max(), (pair[1:, :] - pair[:1, :]).max(), (pair[:, 1:] - pair[:, :1]).max())
+    step = pair[1:, 1:].max(axis=0) - pair[0, 0]
+    edge = (np.maximum(pair[0, 1:] - pair[0, 0], 0) - step).max() + max(pair[1:, 0].max() - pair[0, 0], 0)
+    # e's rows are summed as doubles; texts are not parted, which only keeps more words
+    gain = (e[:, 1:].astype(float) - e[:, :1] + step).max(axis=1)
+    run = np.concatenate([[0], np.cumsum(gain)])
+    through = np.maximum.accumulate(run[:0:-1])[::-1] - np.minimum.accumulate(run[:-1])
     tags = np.zeros(len(e), np.int8)
-    open_ = np.flatnonzero(e[:, 0] - e[:, 1:].max(axis=1) <= slack) if len(e) else np.zeros(0, int)
+    open_ = np.flatnonzero(through >= -edge - 1e-3)
     if not len(open_):
         return tags
     cut = np.flatnonzero((np.diff(open_) > 1) | (doc[open_[1:]] != doc[open_[:-1]])) + 1
@@ -332,8 +398,12 @@ def scan_texts(texts: pa.Array, words: Words, pair: np.ndarray) -> list[list[tup
     run = np.concatenate([[0], np.cumsum(words.digit[t])])
     files = file_features(np.diff(off), run[off[1:]] - run[off[:-1]])
     e = e + words.weights[files].sum(axis=1)[doc]
-    e[:, 1:] -= MARGIN
-    tags = decode(e, doc, pair)
+    # a span begins with B, or with I after O or at a text's edge
+    e[:, 1] -= MARGIN
+    e[off[:-1][np.diff(off) > 0], 2] -= MARGIN
+    begin = np.zeros((TAGS, TAGS))
+    begin[0, 2] = MARGIN
+    tags = decode(e, doc, pair - begin)
     out = []
     extra = set(doc[np.flatnonzero(tags)].tolist())
     for i, base in enumerate(found):
