@@ -967,8 +967,7 @@ def q_adasyn(spark, sf):
 # ------------------------------------------- 2.8 / 2.11 matrix methods, forests
 from prepforge.operators import multivariate as MV  # noqa: E402
 
-MV_COLS = ["income", "recency", "mnt_wines", "mnt_meat", "num_deals", "num_web", "num_store",
-           "num_days_customer"]
+MV_COLS = NUMERIC
 
 
 def _mv(spark, sf):
@@ -1057,9 +1056,8 @@ def q_factor_analysis(spark, sf):
 @query("fast_ica")
 def q_fast_ica(spark, sf):
     df = _mv(spark, sf)
-    cols = MV_COLS[:4]
-    mu, unmix = MV.fit_fast_ica(df, cols, n_components=4)
-    return df.select("id", *[MV.lin_form(cols, mu, unmix[j]).alias(f"s_{j}")
+    mu, unmix = MV.fit_fast_ica(df, MV_COLS, n_components=4)
+    return df.select("id", *[MV.lin_form(MV_COLS, mu, unmix[j]).alias(f"s_{j}")
                              for j in range(unmix.shape[0])])
 
 
