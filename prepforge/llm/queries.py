@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from prepforge.llm.embeddings import OP5_SQL, op5_embeddings
 from prepforge.llm.hpylm import op3_hpylm
+from prepforge.llm.imatch import OP11_SQL, op11_imatch
 from prepforge.llm.langid import op4_langid
 from prepforge.llm.mixing import OP8_SQL, op8_mixing
 from prepforge.llm.packing import op7_packing
@@ -24,10 +25,12 @@ QUERIES = {
     "op5_embeddings": op5_embeddings,
     "op6_simhash": op6_simhash,
     "op8_mixing": op8_mixing,
+    "op11_imatch": op11_imatch,
 }
 
 ORACLES = {
     "op10_topk": OP10_SQL,
     "op5_embeddings": OP5_SQL,
     "op8_mixing": OP8_SQL,
+    "op11_imatch": OP11_SQL,
 }
