@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from prepforge.llm.embeddings import OP5_SQL, op5_embeddings
+from prepforge.llm.filter_audit import OP12_SQL, op12_filter_audit
 from prepforge.llm.hpylm import op3_hpylm
 from prepforge.llm.imatch import OP11_SQL, op11_imatch
 from prepforge.llm.langid import op4_langid
@@ -26,6 +27,7 @@ QUERIES = {
     "op6_simhash": op6_simhash,
     "op8_mixing": op8_mixing,
     "op11_imatch": op11_imatch,
+    "op12_filter_audit": op12_filter_audit,
 }
 
 ORACLES = {
@@ -33,4 +35,5 @@ ORACLES = {
     "op5_embeddings": OP5_SQL,
     "op8_mixing": OP8_SQL,
     "op11_imatch": OP11_SQL,
+    "op12_filter_audit": OP12_SQL,
 }
