@@ -12,6 +12,7 @@ from prepforge.llm.packing import op7_packing
 from prepforge.llm.quality import op1_quality
 from prepforge.llm.secrets import op9_secrets
 from prepforge.llm.simhash import op6_simhash
+from prepforge.llm.spelling import OP13_SQL, op13_spelling
 from prepforge.llm.token_files import op2_simple8b
 from prepforge.llm.topk import OP10_SQL, op10_topk
 
@@ -28,6 +29,7 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op11_imatch": op11_imatch,
     "op12_filter_audit": op12_filter_audit,
+    "op13_spelling": op13_spelling,
 }
 
 ORACLES = {
@@ -36,4 +38,5 @@ ORACLES = {
     "op8_mixing": OP8_SQL,
     "op11_imatch": OP11_SQL,
     "op12_filter_audit": OP12_SQL,
+    "op13_spelling": OP13_SQL,
 }
