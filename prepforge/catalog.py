@@ -927,41 +927,36 @@ def q_select_genetic(spark, sf):
 # ------------------------------------------- 2.8 / 2.13 neighbour operators
 from prepforge.operators import neighbors as NB  # noqa: E402
 
-LOW_D = ["income", "recency", "mnt_wines"]
-SMOTE_COLS = ["income", "recency", "mnt_wines", "mnt_meat", "num_deals", "num_store"]
-
-
-def low_d(spark, sf, cols=LOW_D):
-    """cleaned rows with a few min-max scaled continuous columns (fitted on all rows)."""
+def scaled(spark, sf) -> DataFrame:
+    """cleaned rows, every numeric column min-max scaled (fitted on all rows), the categorical ones as they are."""
     df = cleaned(spark, sf)
-    return S.fit_minmax(df, cols).transform(df.select("id", LABEL, "education", "marital_status", *cols))
+    return S.fit_minmax(df, NUMERIC).transform(df.select("id", LABEL, "education", "marital_status", *NUMERIC, *C360_FLAGS))
 
 
 @query("local_outlier_factor")
 def q_local_outlier_factor(spark, sf):
-    out = NB.local_outlier_factor(low_d(spark, sf), LOW_D, k=20, contamination=0.05)
+    out = NB.local_outlier_factor(scaled(spark, sf), NUMERIC, k=20, contamination=0.05)
     return out.select("id", F.round("lof", 6).alias("lof"), "flagged")
 
 
 @query("dbscan_noise")
 def q_dbscan_noise(spark, sf):
-    return NB.dbscan_noise(low_d(spark, sf), LOW_D, eps=0.1, min_pts=5)
+    return NB.dbscan_noise(scaled(spark, sf), NUMERIC, eps=0.8, min_pts=5)
 
 
 @query("smote")
 def q_smote(spark, sf):
-    return NB.smote(low_d(spark, sf, SMOTE_COLS), SMOTE_COLS, LABEL, k=5, seed=SEED)
+    return NB.smote(scaled(spark, sf), NUMERIC, LABEL, k=5, seed=SEED)
 
 
 @query("smote_nc")
 def q_smote_nc(spark, sf):
-    return NB.smote_nc(low_d(spark, sf, SMOTE_COLS), SMOTE_COLS, ["education", "marital_status"],
-                       LABEL, k=5, seed=SEED)
+    return NB.smote_nc(scaled(spark, sf), NUMERIC, ["education", "marital_status", *C360_FLAGS], LABEL, k=5, seed=SEED)
 
 
 @query("adasyn")
 def q_adasyn(spark, sf):
-    return NB.adasyn(low_d(spark, sf, SMOTE_COLS), SMOTE_COLS, LABEL, k=5, seed=SEED)
+    return NB.adasyn(scaled(spark, sf), NUMERIC, LABEL, k=5, seed=SEED)
 
 
 # ------------------------------------------- 2.8 / 2.11 matrix methods, forests

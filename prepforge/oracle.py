@@ -559,22 +559,21 @@ oracle("best_power_transform", staged(
 
 
 # ------------------------------------------- 2.8 neighbour operators (brute force)
-_LOWD = ["income", "recency", "mnt_wines"]
-_LOWD_CTE = "lowd AS (" + minmax_cols(_LOWD, "cleaned", ["id"]) + ")"
-_DIST = "sqrt(" + " + ".join(f"pow(a.{c} - b.{c}, 2)" for c in _LOWD) + ")"
+_SCALED_CTE = "scaled AS (" + minmax_cols(NUMERIC, "cleaned", ["id"]) + ")"
+_DIST = "sqrt(" + " + ".join(f"pow(a.{c} - b.{c}, 2)" for c in NUMERIC) + ")"
 oracle("local_outlier_factor", staged(
     "SELECT id, round(lof, 6) AS lof, lof > (SELECT quantile_cont(lof, 0.95) FROM lofs) AS flagged FROM lofs",
-    _LOWD_CTE,
-    f"d AS (SELECT a.id AS lid, b.id AS rid, {_DIST} AS dist FROM lowd a JOIN lowd b ON a.id <> b.id)",
+    _SCALED_CTE,
+    f"d AS (SELECT a.id AS lid, b.id AS rid, {_DIST} AS dist FROM scaled a JOIN scaled b ON a.id <> b.id)",
     "nn AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lid ORDER BY dist, rid) AS rk FROM d) WHERE rk <= 20)",
     "kd AS (SELECT lid AS id, max(dist) AS kdist FROM nn GROUP BY lid)",
     "lrd AS (SELECT nn.lid AS id, 1.0 / avg(greatest(kd.kdist, nn.dist)) AS lrd FROM nn JOIN kd ON nn.rid = kd.id GROUP BY nn.lid)",
     "lofs AS (SELECT nn.lid AS id, avg(o.lrd) / p.lrd AS lof FROM nn JOIN lrd o ON nn.rid = o.id "
     "JOIN lrd p ON nn.lid = p.id GROUP BY nn.lid, p.lrd)"))
 oracle("dbscan_noise", staged(
-    "SELECT id FROM lowd WHERE id NOT IN (SELECT p.lid FROM pairs p JOIN core c ON p.rid = c.id)",
-    _LOWD_CTE,
-    f"pairs AS (SELECT a.id AS lid, b.id AS rid FROM lowd a JOIN lowd b ON {_DIST} <= 0.1)",
+    "SELECT id FROM scaled WHERE id NOT IN (SELECT p.lid FROM pairs p JOIN core c ON p.rid = c.id)",
+    _SCALED_CTE,
+    f"pairs AS (SELECT a.id AS lid, b.id AS rid FROM scaled a JOIN scaled b ON {_DIST} <= 0.8)",
     "core AS (SELECT lid AS id FROM pairs GROUP BY lid HAVING count(*) >= 5)"))
 
 

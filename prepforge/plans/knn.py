@@ -1,194 +1,347 @@
-"""P4: exact k-nearest-neighbour and epsilon-range joins on a grid.
-
-No cross join and no all-pairs step: points are placed in grid cells over at
-most three coordinates (the highest-variance ones; dropping coordinates can
-only shrink distances, so cell distance is a lower bound on true distance).
-Each query row is joined, by equi-join on the cell key, with the cells of a
-ring around its own cell; the true distance is computed as a column
-expression and only the k best candidates per query survive (a
-``row_number`` window that Catalyst plans with a partial per-partition
-limit before the shuffle).  A query is *resolved* when its k-th candidate
-distance is within the distance from the query to the ring's outer edge; the
-rest go to the next round, whose cells are twice as wide.  The answer is exact.
-
-The cell side is chosen so that a cell holds about ``target`` points on
-average; the work per query is the occupancy of its block.  Identical rows
-are collapsed to weighted locations first (see :func:`knn_join`).
+"""P4: exact nearest-neighbour and range joins over any number of columns, by a pivot index.
+
+Locations go to the block of their nearest pivot. A block's pivots come from a bounded sample of it,
+three in four farthest first (one in each cluster before any cluster gets a second), one at random;
+blocks that stay too large are cut again by pivots of their own. A block knows its pivot and the least
+and largest distance to it, so by the triangle inequality a query at distance d from the pivot is
+no nearer to any of its locations than ``d - largest``, ``least - d`` and (pivots of one set share
+out the space) ``(d - d') / 2`` for the distance d' to any other pivot of the set.
+
+A search starts in the query's own block, which bounds the distance of its k-th neighbour. The
+blocks are then walked from the root, level by level; a block goes on only if its lower bound is
+within that distance. The blocks that are left are compared in three rounds, nearest bound first: 2 of
+them a query, 16 more, the rest; each round tightens the distance and drops blocks. The answer is exact.
+
+Every step is one primitive, :func:`_meet`: rows keyed by a block meet that block's locations, pivots
+or children, of which there is a bounded number, in one task; a block that many rows come to is
+salted, its own side copied to each salt. No cross join and nothing data-sized on the driver. On
+data without structure in many columns no exact index prunes much, and a query meets most blocks; on
+clustered data the pairs a query stay flat as rows grow (``pairs`` of :class:`PivotIndex`).
 """
 
 from __future__ import annotations
 
-import itertools
 import math
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from prepforge.plans.prefix import null_safe_join, written
+
+#: Locations a block is meant to hold; it is cut again above ``AGAIN`` times that. Most pivots of a set
+#: and locations they are picked from. Rows of a block that one task takes.
+LEAF, AGAIN, MAX_PIVOTS, SAMPLE, SALT = 32, 4, 1024, 8192, 50_000
+#: Where a location is on average farther from its pivot than ``LOOSE`` times the distance of any two, blocks
+#: do not prune, and larger ones (``COARSE`` times) cost less to meet.
+LOOSE, COARSE = 0.5, 8
+#: Blocks a query has compared after each round, nearest bound first.
+ROUNDS = (2, 18, 1 << 62)
+#: Bounds are loosened by this share against rounding.
+SLACK = 1e-9
+#: Numbers in a matrix of distances.
+CELLS = 1 << 21
+
+
+def distances(q: np.ndarray, qc: np.ndarray, r: np.ndarray, rc: np.ndarray, penalty: float) -> np.ndarray:
+    """Distances of all rows of ``q`` to all rows of ``r``: Euclidean, with ``penalty`` added to the
+    square for each code that differs."""
+    d2 = np.zeros((len(q), len(r)))
+    for j in range(q.shape[1]):
+        x = q[:, j, None] - r[None, :, j]
+        d2 += x * x
+    for j in range(qc.shape[1]):
+        d2 += penalty * (qc[:, j, None] != rc[None, :, j])
+    return np.sqrt(d2)
+
+
+def pick_pivots(x: np.ndarray, c: np.ndarray, m: int, penalty: float) -> list[int]:
+    """Row numbers of at most ``m`` distinct pivots: three in four farthest first, the rest the first rows."""
+    chosen, least = [0], distances(x, c, x[:1], c[:1], penalty)[:, 0]
+    while len(chosen) < max(1, 3 * m // 4) and least.max() > 0:
+        i = int(np.argmax(least))
+        chosen.append(i)
+        least = np.minimum(least, distances(x, c, x[i:i + 1], c[i:i + 1], penalty)[:, 0])
+    taken = set(chosen)
+    return chosen + [i for i in range(len(x)) if i not in taken][:m - len(chosen)]
+
+
+def _matrix(col: pa.Array, dtype) -> np.ndarray:
+    flat = col.flatten().to_numpy(zero_copy_only=False).astype(dtype, copy=False)
+    return flat.reshape(len(col), -1) if len(flat) else np.zeros((len(col), 0), dtype)
+
 
-from prepforge.functions.stats import column_stats
-from prepforge.plans.prefix import null_safe_join
-
-_DEBUG = bool(__import__("os").environ.get("PREPFORGE_DEBUG_KNN"))
-
-
-def grid_coords(df: DataFrame, cols, max_dims: int = 3) -> list[str]:
-    st = column_stats(df, cols, ["var_pop"])
-    ranked = sorted(cols, key=lambda c: (-(st[c]["var_pop"] or 0.0), c))
-    return ranked[:min(max_dims, len(cols))]
-
-
-def cell_side(df: DataFrame, gcols, target: float = 16.0) -> tuple[float, dict]:
-    st = column_stats(df, gcols, ["min", "max", "count"])
-    n = max(st[gcols[0]]["count"] or 1, 1)
-    spans = [max((st[c]["max"] or 0) - (st[c]["min"] or 0), 0.0) for c in gcols]
-    pos = [s for s in spans if s > 0] or [1.0]
-    vol = math.prod(pos)
-    h = (vol * target / n) ** (1.0 / len(pos))
-    h = max(h, max(pos) / 1e6)
-    return h, st
-
-
-def _sqdist(cols, lp="l_", rp="r_"):
-    return sum((F.pow(F.col(f"{lp}{c}") - F.col(f"{rp}{c}"), 2) for c in cols[1:]),
-               F.pow(F.col(f"{lp}{cols[0]}") - F.col(f"{rp}{cols[0]}"), 2))
-
-
-def _knn_locations(Lq: DataFrame, R: DataFrame, cols, payload, need_w: int, extra_sqdist,
-                   target: float) -> DataFrame:
-    """Weighted k-NN over distinct locations.
-
-    ``Lq``: (l_loc, l_<cols>, l_<payload>) query locations; ``R``: (r_loc, r_w,
-    r_<cols>, r_<payload>) right locations with multiplicity ``r_w``.  For each
-    query keeps every right location closer than the distance at which the
-    cumulative multiplicity reaches ``need_w`` (ties at that distance kept).
-    Returns (l_loc, r_loc, dist)."""
-    gcols = grid_coords(R.select(*[F.col(f"r_{c}").alias(c) for c in cols]), cols)
-    # columns beyond the grid's keep neighbours apart that share a cell: larger cells then
-    # save rounds that could not settle a query
-    target *= 4.0 ** (len(cols) - len(gcols))
-    h, st = cell_side(R.select(*[F.col(f"r_{c}").alias(c) for c in gcols]), gcols, target)
-    span = max(max((st[c]["max"] or 0) - (st[c]["min"] or 0), 0.0) for c in gcols)
-    m = len(gcols)
-    # Dense regions: a cell with more than max_cell distinct locations would
-    # make every block around it large.  Queries located in such cells start
-    # at a finer side h_f (from the bulk extent, 10-90 % quantiles, of the
-    # densest cell); the other queries join the rounds once the side reaches h.
-    max_cell = max(64, int(8 * target))
-    key_h = [F.floor(F.col(f"r_{c}") / F.lit(h)).alias(f"k{i}") for i, c in enumerate(gcols)]
-    cells = R.groupBy(*key_h).agg(
-        F.count(F.lit(1)).alias("n"),
-        *[F.percentile_approx(f"r_{c}", [0.1, 0.9], 1000).alias(f"p{i}") for i, c in enumerate(gcols)])
-    dense = cells.where(F.col("n") > max_cell).persist()
-    top = dense.orderBy(F.col("n").desc()).limit(1).first()
-    h_f = h
-    if top is not None:
-        ext = max((top[f"p{i}"][1] - top[f"p{i}"][0]) for i in range(m))
-        h_f = max(min(h / 2, ext * (max_cell / top["n"]) ** (1.0 / m)), span * 1e-12, 1e-300)
-    h_normal = h
-    if h_f < h:
-        qk = Lq.withColumns({f"k{i}": F.floor(F.col(f"l_{c}") / F.lit(h)) for i, c in enumerate(gcols)})
-        in_dense = qk.join(dense.select(*[f"k{i}" for i in range(m)]), [f"k{i}" for i in range(m)], "left_semi") \
-            .drop(*[f"k{i}" for i in range(m)])
-        rest = Lq.join(in_dense.select("l_loc"), "l_loc", "left_anti")
-        Lq, late, h = in_dense, rest, h_f
+_SIDE = ["loc", "name", "w", "x", "c", "lo", "hi"]
+
+
+def _meet(side: DataFrame, many: DataFrame, step: Callable, schema: T.StructType) -> DataFrame:
+    """For each ``blk`` the rows of ``many`` (blk, loc, w, x, c, t) with those of ``side`` (blk and ``_SIDE``).
+
+    ``step(side, many)`` gets dicts of arrays, ``side`` whole and ``many`` in chunks, and returns the
+    arrays of the output's columns. Rows of ``many`` without a side are left out."""
+    spark = side.sparkSession
+    loc_type = many.schema["loc"].dataType
+    n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    hot = many.groupBy("blk").count().where(F.col("count") > SALT) \
+        .select("blk", F.ceil(F.col("count") / SALT).cast("int").alias("parts"))
+    if hot.isEmpty():
+        side, many = (df.withColumn("parts", F.lit(1)) for df in (side, many))
     else:
-        late = None
-    total_w = R.agg(F.sum("r_w")).first()[0] or 0
-    need = min(need_w, total_w)
-    pending = Lq.persist()
-    offs = list(itertools.product(range(-1, 2), repeat=m))
-    arr = F.array(*[F.struct(*[F.lit(o[i]).alias(f"o{i}") for i in range(m)]) for o in offs])
-    done = None
-    for t in itertools.count():  # ends at the latest when a block covers the cloud
-        side = h * (2.0 ** t)
-        if late is not None and side >= h_normal * (1 - 1e-12):
-            pending = pending.unionByName(late).persist()
-            late = None
-        covers_all = side >= span
-        Rt = R.withColumns({f"c{i}": F.floor(F.col(f"r_{c}") / F.lit(side)).cast("long")
-                            for i, c in enumerate(gcols)})
-        q = pending.withColumns({f"q{i}": F.floor(F.col(f"l_{c}") / F.lit(side)).cast("long")
-                                 for i, c in enumerate(gcols)})
-        qx = q.withColumn("__o", F.explode(arr)).withColumns(
-            {f"c{i}": F.col(f"q{i}") + F.col(f"__o.o{i}") for i in range(m)}).drop("__o")
-        pairs = qx.join(Rt, [f"c{i}" for i in range(m)])
-        d2 = _sqdist(cols)
-        if extra_sqdist is not None:
-            d2 = d2 + extra_sqdist("l_", "r_")
-        pairs = pairs.withColumn("dist", F.sqrt(d2))
-        # every location weighs >= 1, so the weighted answer lies inside
-        # rank() <= need (ties kept); that filter gets a partial per-partition
-        # limit before the shuffle, and the weighted windows run on what is left
-        pairs = pairs.withColumn("__rk", F.rank().over(Window.partitionBy("l_loc").orderBy("dist"))) \
-            .where(F.col("__rk") <= need)
-        w_inc = Window.partitionBy("l_loc").orderBy("dist") \
-            .rangeBetween(Window.unboundedPreceding, Window.currentRow)
-        pairs = pairs.withColumn("__cum", F.sum("r_w").over(w_inc))
-        pairs = pairs.withColumn("__tie", F.sum("r_w").over(Window.partitionBy("l_loc", "dist")))
-        kept = pairs.where(F.col("__cum") - F.col("__tie") < need) \
-            .select("l_loc", "r_loc", "dist", "__cum", *[f"q{i}" for i in range(m)],
-                    *[f"l_{c}" for c in gcols]).persist()
-        edge = None
-        for i, c in enumerate(gcols):
-            x = F.col(f"l_{c}")
-            e = F.least(x - (F.col(f"q{i}") - 1) * F.lit(side), (F.col(f"q{i}") + 2) * F.lit(side) - x)
-            edge = e if edge is None else F.least(edge, e)
-        stat = kept.groupBy("l_loc").agg(F.max("__cum").alias("cw"), F.max("dist").alias("kd"),
-                                         F.first(edge).alias("edge"))
-        ok_cond = F.lit(True) if covers_all else \
-            ((F.col("cw") >= need) & (F.col("kd") <= F.col("edge")))
-        ok = stat.where(ok_cond).select("l_loc")
-        res = kept.join(ok, "l_loc", "left_semi").select("l_loc", "r_loc", "dist")
-        done = res if done is None else done.unionByName(res)
-        # checkpoint (shared folder) cuts the growing lineage between rounds
-        nxt = pending.join(ok, "l_loc", "left_anti").checkpoint()
-        left_over = 0 if covers_all else nxt.count()
-        if late is not None and left_over == 0:
-            left_over = 1  # the queries outside dense cells have not run yet
-        if _DEBUG:
-            print(f"knn round {t}: side={side:.4g} unresolved={left_over}", flush=True)
-        pending.unpersist()
-        pending = nxt
-        if left_over == 0:
-            break
-    pending.unpersist()
-    return done
-
-
-def knn_join(left: DataFrame, right: DataFrame, cols, k: int, id_col: str = "id",
-             exclude_self: bool = True, extra_sqdist=None, target: float = 16.0,
-             payload=()) -> DataFrame:
-    """Rows (left_id, right_id, dist, rank) with the k nearest right rows of
-    every left row (Euclidean over ``cols`` plus optional ``extra_sqdist``,
-    a function (lp, rp) -> Column of non-negative squared terms, which may read
-    the ``payload`` columns carried on both sides; ties by id).
-
-    Identical rows (same ``cols`` and ``payload``) are collapsed to one
-    location with a multiplicity on each side, so a hot group of equal rows
-    costs O(rows x k), not O(rows^2).  The location search is the grid search
-    described above; then each left row takes, from the kept locations, the
-    k + 1 smallest ids per location (a bounded per-location top list) and
-    keeps its k best by (distance, id), excluding itself."""
+        side, many = (df.join(hot, "blk", "left").withColumn("parts", F.coalesce("parts", F.lit(1))) for df in (side, many))
+    a = side.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))) \
+        .select("blk", "salt", F.lit(0).alias("kind"), *_SIDE, F.lit(None).cast("double").alias("t"))
+    b = many.select(
+        "blk", F.pmod(F.xxhash64("loc"), F.col("parts")).cast("int").alias("salt"), F.lit(1).alias("kind"), "loc",
+        F.lit(None).cast("string").alias("name"), "w", "x", "c", F.lit(None).cast("double").alias("lo"), F.lit(None).cast("double").alias("hi"), "t")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, own, ready = None, [], None
+
+        def arrays(t: pa.RecordBatch) -> dict:
+            col = lambda n: t.column(t.schema.get_field_index(n))
+            num = lambda n: col(n).to_numpy(zero_copy_only=False)
+            return {"loc": col("loc"), "name": np.array(col("name").to_pylist(), object), "w": num("w"), "x": _matrix(col("x"), float),
+                    "c": _matrix(col("c"), np.int64), "lo": num("lo"), "hi": num("hi"), "t": num("t")}
+        for b in batches:
+            if not b.num_rows:
+                continue
+            blk, salt, kind = np.array(b.column(0).to_pylist(), object), b.column(1).to_numpy(), b.column(2).to_numpy()
+            cut = np.flatnonzero(np.concatenate([[True], (blk[1:] != blk[:-1]) | (salt[1:] != salt[:-1]) | (kind[1:] != kind[:-1]), [True]]))
+            for s, e in zip(cut[:-1].tolist(), cut[1:].tolist()):
+                key = (blk[s], salt[s])
+                if key != now:
+                    now, own, ready = key, [], None
+                if kind[s] == 0:
+                    own.append(b.slice(s, e - s))
+                    continue
+                if not own and ready is None:
+                    continue
+                if ready is None:
+                    ready, own = arrays(pa.Table.from_batches(own).combine_chunks().to_batches()[0]), []
+                chunk = max(1, CELLS // len(ready["x"]))
+                for i in range(s, e, chunk):
+                    out = step(ready, arrays(b.slice(i, min(chunk, e - i))), key[0])
+                    yield pa.RecordBatch.from_arrays([pa.array(v, type=f) if not isinstance(v, pa.Array) else v
+                                                      for v, f in zip(out, arrow)], names=names)
+
+    from pyspark.sql.pandas.types import to_arrow_type
+    arrow, names = [to_arrow_type(f.dataType) for f in schema.fields], schema.names
+    return a.withColumn("loc", F.col("loc").cast(loc_type)).unionByName(b).repartition(n, "blk", "salt") \
+        .sortWithinPartitions("blk", "salt", "kind").mapInArrow(run, schema)
+
+
+class PivotIndex:
+    """Index of distinct locations: ``points`` has ``loc`` (a unique key), ``w`` (its weight), ``x`` (an array of
+    doubles, no null or NaN) and ``c`` (an array of longs, of which each that differs adds ``penalty``
+    to the squared distance)."""
+
+    def __init__(self, points: DataFrame, penalty: float = 0.0, leaf: int = LEAF):
+        self.penalty, self.spark = float(penalty), points.sparkSession
+        self.pairs = 0  # compared so far, as sums of the sizes of the blocks that queries met
+        self.id_type = points.schema["loc"].dataType
+        self.levels: list[DataFrame] = []  # children (blk the parent, name, pivot x and c, lo, hi, w: 1 for a block of rows, n)
+        self._build(points, leaf)
+
+    def _build(self, points: DataFrame, leaf: int) -> None:
+        penalty = self.penalty
+
+        def pivots(pdf: pd.DataFrame) -> pd.DataFrame:
+            x = np.array(pdf["x"].tolist(), float).reshape(len(pdf), -1)
+            c = np.array(pdf["c"].tolist(), np.int64).reshape(len(pdf), -1)
+            n, room, blk = int(pdf["n"].iloc[0]), leaf, pdf["blk"].iloc[0]
+            own = pick_pivots(x, c, min(MAX_PIVOTS, max(2, math.ceil(n / leaf))), penalty)
+            some = slice(0, 200)
+            d = distances(x[some], c[some], x[own], c[own], penalty)
+            if d.min(axis=1).mean() > LOOSE * distances(x[some], c[some], x[some], c[some], penalty).mean():
+                room = COARSE * leaf
+                own = pick_pivots(x, c, min(MAX_PIVOTS, max(2, math.ceil(n / room))), penalty)
+            return pd.DataFrame({"blk": blk, "name": [f"{blk}.{i}" for i in range(len(own))], "room": room,
+                                 "x": [x[i].tolist() for i in own], "c": [c[i].tolist() for i in own]})
+
+        def nearest(side, many, _):
+            d = distances(many["x"], many["c"], side["x"], side["c"], penalty)
+            i = d.argmin(axis=1)
+            return (pa.array(side["name"][i], pa.string()), many["loc"], pa.array(many["w"].astype(np.int64)), many["x"].tolist(), many["c"].tolist(),
+                    d[np.arange(len(i)), i])
+
+        rows = written(points.select(F.lit("").alias("blk"), "loc", F.col("w").cast("long").alias("w"), "x", "c"), "knnrows")
+        schema = T.StructType([*rows.schema.fields, T.StructField("d", T.DoubleType())])
+        done, n = None, rows.count()
+        big = self.spark.createDataFrame([("", n)] if n > 2 * leaf else [], "blk string, n long")
+        while not big.isEmpty():
+            w = Window.partitionBy("blk").orderBy(F.xxhash64("loc"), "loc")
+            some = rows.join(big, "blk").withColumn("k", F.row_number().over(w)).where(F.col("k") <= SAMPLE).drop("k", "loc", "w")
+            at = written(some.groupBy("blk").applyInPandas(
+                pivots, "blk string, name string, room long, x array<double>, c array<bigint>"), "knnpivots")
+            rest = rows.join(big.select("blk"), "blk", "left_anti")
+            moved = written(_meet(self._side(at), rows.join(big.select("blk"), "blk", "left_semi").withColumn("t", F.lit(None).cast("double")),
+                                  nearest, schema), "knnrows")
+            stats = moved.groupBy(F.col("blk").alias("name")).agg(
+                F.count(F.lit(1)).alias("n"), F.min("d").alias("lo"), F.max("d").alias("hi"), F.sum("w").alias("sum_w"))
+            fits = F.col("n") <= AGAIN * F.col("room")
+            level = written(at.join(stats, "name").withColumn("w", fits.cast("long")), "knnlevel")
+            self.levels.append(level)
+            done = rest if done is None else done.unionByName(rest)
+            rows, big = moved.drop("d"), level.where("w = 0").select(F.col("name").alias("blk"), "n")
+        self.rows = rows if done is None else done.unionByName(rows)
+        self.sizes = written(self.rows.groupBy("blk").agg(F.count(F.lit(1)).alias("n"), F.sum("w").alias("sum_w")), "knnsizes")
+
+    def _side(self, df: DataFrame) -> DataFrame:
+        """``df`` with the columns of a side that it has not."""
+        kinds = {"loc": self.id_type.simpleString(), "name": "string", "w": "long", "lo": "double", "hi": "double"}
+        return df.select("blk", *[F.col(c) if c in df.columns else F.lit(None).cast(kinds[c]).alias(c) for c in _SIDE])
+
+    def _walk(self, states: DataFrame, own: bool) -> DataFrame:
+        """(loc, blk, lb, ub) of the blocks of rows that a query (loc, w, x, c, t) meets: its own one, by the
+        nearest pivot of each level, or all whose lower bound is within ``t``."""
+        penalty = self.penalty
+        schema = T.StructType([T.StructField("loc", self.id_type), T.StructField("blk", T.StringType()), T.StructField("leaf", T.BooleanType()),
+                               T.StructField("lb", T.DoubleType()), T.StructField("ub", T.DoubleType())])
+
+        def step(side, many, _):
+            d = distances(many["x"], many["c"], side["x"], side["c"], penalty)
+            first = d.argmin(axis=1)
+            least = d[np.arange(len(d)), first]
+            lb = np.maximum(np.maximum(d - side["hi"], side["lo"] - d), np.maximum((d - least[:, None]) / 2, 0)) * (1 - SLACK) - 1e-12
+            if own:
+                q, j = np.arange(len(d)), first
+            else:
+                q, j = np.nonzero(lb <= many["t"][:, None])
+            return (many["loc"].take(pa.array(q)), pa.array(side["name"][j], pa.string()), pa.array(side["w"][j] > 0), lb[q, j],
+                    ((d + side["hi"]) * (1 + SLACK) + 1e-12)[q, j])
+
+        found = None
+        at = states.withColumn("blk", F.lit(""))
+        for level in self.levels:
+            met = written(_meet(self._side(level), at, step, schema), "knnwalk")
+            hit = met.where("leaf").drop("leaf")
+            found = hit if found is None else found.unionByName(hit)
+            at = met.where("not leaf").select("loc", "blk").join(states, "loc")
+        if found is None:
+            found = at.select("loc", "blk", F.lit(0.0).alias("lb"), F.lit(float("inf")).alias("ub"))
+        return found
+
+    def _count(self, visits: DataFrame) -> None:
+        self.pairs += visits.join(self.sizes, "blk").agg(F.sum("n")).first()[0] or 0
+
+    def _pairs(self, visits: DataFrame, need: int | None) -> DataFrame:
+        """(l_loc, r_loc, r_w, dist) of the visits (loc, w, x, c, t, blk) with the locations of their block
+        within ``t``; with ``need`` only the nearest so many of the block and those that tie."""
+        penalty = self.penalty
+        schema = T.StructType([T.StructField("l_loc", self.id_type), T.StructField("r_loc", self.id_type),
+                               T.StructField("r_w", T.LongType()), T.StructField("dist", T.DoubleType())])
+
+        def step(side, many, _):
+            d = distances(many["x"], many["c"], side["x"], side["c"], penalty)
+            cut = many["t"][:, None]
+            if need is not None and need < d.shape[1]:
+                cut = np.minimum(cut, np.partition(d, need - 1, axis=1)[:, need - 1:need])
+            q, j = np.nonzero(d <= cut)
+            return many["loc"].take(pa.array(q)), side["loc"].take(pa.array(j)), side["w"][j].astype(np.int64), d[q, j]
+        return _meet(self._side(self.rows), visits, step, schema)
+
+    def nearest(self, queries: DataFrame, need: int) -> DataFrame:
+        """(l_loc, r_loc, dist): for each query (loc, w, x, c) the locations nearer than the distance at
+        which the weights add up to ``need``, ties at that distance kept."""
+        q = written(queries.select("loc", F.lit(None).cast("long").alias("w"), "x", "c", F.lit(float("inf")).alias("t")), "knnqueries")
+
+        def top(pairs: DataFrame) -> DataFrame:
+            # each location weighs 1 at least: the weighted answer is among the first by rank, and that
+            # filter gets a partial limit before the shuffle
+            near = pairs.withColumn("rk", F.rank().over(Window.partitionBy("l_loc").orderBy("dist"))).where(F.col("rk") <= need)
+            upto = Window.partitionBy("l_loc").orderBy("dist").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+            near = near.withColumn("cum", F.sum("r_w").over(upto)).withColumn("tie", F.sum("r_w").over(Window.partitionBy("l_loc", "dist")))
+            return written(near.where(F.col("cum") - F.col("tie") < need).select("l_loc", "r_loc", "r_w", "dist", "cum"), "knnbest")
+
+        def bounded(best: DataFrame) -> DataFrame:
+            """The queries with the distance that their neighbours are known to lie within."""
+            b = best.groupBy(F.col("l_loc").alias("loc")).agg(F.max("cum").alias("cw"), F.max("dist").alias("kd"))
+            t = F.coalesce(F.when(F.col("cw") >= need, F.col("kd")), F.lit(float("inf"))).alias("t")
+            return q.drop("t").join(b, "loc", "left").select("loc", "w", "x", "c", t)
+
+        own = written(self._walk(q, own=True).select("loc", "blk"), "knnown")
+        self._count(own)
+        best = top(self._pairs(own.join(q, "loc"), need))
+        if not self.levels:
+            return best.select("l_loc", "r_loc", "dist")
+        order = Window.partitionBy("loc").orderBy("lb", "blk")
+        visits = self._walk(written(bounded(best), "knnbounds"), own=False).join(own, ["loc", "blk"], "left_anti")
+        visits = written(visits.select("loc", "blk", "lb", F.row_number().over(order).alias("rk")), "knnvisits")
+        most = visits.agg(F.max("rk")).first()[0] or 0
+        for lo, hi in zip((0, *ROUNDS), ROUNDS):
+            if lo >= most:
+                break
+            near = written(visits.where((F.col("rk") > lo) & (F.col("rk") <= hi)).join(bounded(best), "loc").where("lb <= t").drop("lb", "rk"), "knnround")
+            self._count(near)
+            best = top(best.select("l_loc", "r_loc", "r_w", "dist").unionByName(self._pairs(near, need)))
+        return best.select("l_loc", "r_loc", "dist")
+
+    def within(self, queries: DataFrame, eps: float) -> tuple[DataFrame, DataFrame]:
+        """(pairs (l_loc, r_loc, r_w), whole (l_loc, blk)): locations within ``eps`` of each query (loc, x, c) one
+        by one, and blocks that lie within ``eps`` altogether and so take no pair work."""
+        q = written(queries.select("loc", F.lit(None).cast("long").alias("w"), "x", "c", F.lit(float(eps)).alias("t")), "knnqueries")
+        seen = written(self._walk(q, own=False), "knnrange")
+        part = seen.where(F.col("ub") > eps).select("loc", "blk")
+        self._count(part)
+        pairs = written(self._pairs(part.join(q, "loc"), None).drop("dist"), "knnpairs")
+        return pairs, seen.where(F.col("ub") <= eps).select(F.col("loc").alias("l_loc"), "blk")
+
+
+def known(df: DataFrame, cols) -> DataFrame:
+    """Rows whose ``cols`` are neither null nor NaN: the others have no distance to anything."""
+    cond = F.lit(True)
+    for c in cols:
+        cond = cond & F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double"))
+    return df.where(cond)
+
+
+def keyed(df: DataFrame, cols, payload, id_col: str) -> tuple[DataFrame, list[str]]:
+    """(id, key columns under names of their own), and those names."""
+    names = [f"__k{i}" for i in range(len(cols) + len(payload))]
+    return df.select(F.col(id_col).alias("__id"), *[F.col(c).cast("double").alias(n) for c, n in zip(cols, names)],
+                     *[F.col(c).alias(n) for c, n in zip(payload, names[len(cols):])]), names
+
+
+def locations(rows: DataFrame, names: list[str], n_cols: int) -> DataFrame:
+    """Distinct keys of :func:`keyed` rows with ``loc`` (the least id), ``w`` (how many share it), ``x`` and
+    ``c`` (codes of the payload; a null is a code of its own)."""
+    codes = [F.xxhash64(F.col(n).isNull(), F.col(n)) for n in names[n_cols:]]
+    return written(rows.groupBy(*names).agg(F.count(F.lit(1)).alias("w"), F.min("__id").alias("loc"))
+                   .withColumn("x", F.array(*names[:n_cols]))
+                   .withColumn("c", F.array(*codes) if codes else F.array().cast("array<bigint>")), "knnlocations")
+
+
+def knn_join(left: DataFrame, right: DataFrame, cols, k: int, id_col: str = "id", exclude_self: bool = True,
+             payload=(), penalty: float = 0.0, leaf: int | None = None, stats: dict | None = None) -> DataFrame:
+    """Rows (left_id, right_id, dist, rank) with the k nearest right rows of every left row: Euclidean
+    over ``cols``, plus ``penalty`` on the squared distance for each ``payload`` column that differs; ties
+    by id. Rows with a null or NaN coordinate have no neighbours and are none.
+
+    Identical rows (same ``cols`` and ``payload``) are one location with a weight on each side, so a
+    hot group of equal rows costs O(rows x k), not O(rows^2): the index finds near locations, then
+    each left row takes from them the k + 1 smallest ids per location (a bounded list) and keeps its
+    k best by (distance, id), excluding itself. ``stats`` receives the number of pairs compared."""
     cols, payload = list(cols), list(payload)
-    key = cols + payload
-    need_w = k + (1 if exclude_self else 0)
-    rl = right.groupBy(*key).agg(F.count(F.lit(1)).alias("r_w"), F.min(id_col).alias("r_loc"))
-    R = rl.select("r_loc", "r_w", *[F.col(c).alias(f"r_{c}") for c in key]).persist()
-    ll = left.groupBy(*key).agg(F.min(id_col).alias("l_loc"))
-    Lq = ll.select("l_loc", *[F.col(c).alias(f"l_{c}") for c in key])
-    # a query location is named by its least id
-    near = _knn_locations(Lq, R, cols, payload, need_w, extra_sqdist, target).checkpoint()
+    need = k + (1 if exclude_self else 0)
+    (left, names), (right, _) = (keyed(known(df, cols), cols, payload, id_col) for df in (left, right))
+    rl, ll = (locations(df, names, len(cols)) for df in (right, left))
+    index = PivotIndex(rl, penalty, leaf or max(LEAF, 2 * need))
+    near = index.nearest(ll, need)
+    if stats is not None:
+        stats["pairs"], stats["blocks"] = index.pairs, index.sizes.count()
     # k + 1 smallest ids of every right location (partial limit before the shuffle)
-    rid_rank = Window.partitionBy(*key).orderBy(id_col)
-    top_ids = (right.select(id_col, *key).withColumn("__r", F.row_number().over(rid_rank))
-               .where(F.col("__r") <= k + 1)
-               .join(rl.select("r_loc", *key), key).select("r_loc", F.col(id_col).alias("right_id")))
-    lp = null_safe_join(left.select(F.col(id_col).alias("left_id"), *key), ll, key)
-    cand = lp.select("left_id", "l_loc").join(near, "l_loc").join(top_ids, "r_loc")
+    by_id = Window.partitionBy("r_loc").orderBy("__id")
+    rid = null_safe_join(right, rl.select(F.col("loc").alias("r_loc"), *names), names)
+    top_ids = rid.withColumn("__r", F.row_number().over(by_id)).where(F.col("__r") <= k + 1).select("r_loc", F.col("__id").alias("right_id"))
+    lp = null_safe_join(left, ll.select(F.col("loc").alias("l_loc"), *names), names).select(F.col("__id").alias("left_id"), "l_loc")
+    cand = lp.join(near, "l_loc").join(top_ids, "r_loc")
     if exclude_self:
         cand = cand.where(F.col("left_id") != F.col("right_id"))
     w = Window.partitionBy("left_id").orderBy("dist", "right_id")
-    out = cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k) \
-        .select("left_id", "right_id", "dist", "rank")
-    R.unpersist()
-    # the neighbour lists feed several self-joins downstream: write them once
-    return out.checkpoint()
+    # the neighbour lists feed several joins downstream: written once
+    return written(cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+                   .select("left_id", "right_id", "dist", "rank"), "knn")

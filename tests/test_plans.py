@@ -9,15 +9,22 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_no_cartesian_in_neighbour_plans(spark):
-    """The range join of DBSCAN, which is written to files, and the joins that read the pairs."""
-    from pyspark.sql import functions as F
-
-    from prepforge.catalog import LOW_D, low_d
-    from prepforge.operators.neighbors import _range_pairs_between, dbscan_noise
-    df = low_d(spark, SF_SMALL)
-    loc = df.select(F.col("id").alias("__loc"), *LOW_D)
-    for p in (_plan(_range_pairs_between(loc, loc, LOW_D, 0.1)), _plan(dbscan_noise(df, LOW_D, 0.1, 5))):
+def test_no_cartesian_in_neighbour_plans(spark, monkeypatch):
+    """Every table that the neighbour searches write, and the joins that read them."""
+    from prepforge import catalog as CAT
+    from prepforge.operators import neighbors as NB
+    from prepforge.plans import knn
+    plans = []
+
+    def spy(df, tag, real=knn.written):
+        plans.append(_plan(df))
+        return real(df, tag)
+    monkeypatch.setattr(knn, "written", spy)
+    monkeypatch.setattr(NB, "written", spy)
+    df = CAT.scaled(spark, SF_SMALL)
+    plans += [_plan(NB.dbscan_noise(df, CAT.NUMERIC, 0.8, 5)), _plan(NB.local_outlier_factor(df, CAT.NUMERIC, 5))]
+    assert len(plans) > 15
+    for p in plans:
         assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
 
 
