@@ -147,7 +147,8 @@ def flagged(spark: SparkSession, docs: DataFrame, counters: int = COUNTERS) -> D
     rows = materialize(spark, d.select("doc_id", "part", "h", "text").mapInArrow(
         run, "doc_id long, part string, mask int, h long, text string"), "audit")
     repeats = rows.where("text is not null")
-    least = repeats.groupBy("h", "text").agg(F.min("doc_id").alias("least")).where("least is not null")
+    # written, so that the join below deals out both sides itself and a hot text can be split
+    least = materialize(spark, repeats.groupBy("h", "text").agg(F.min("doc_id").alias("least")).where("least is not null"), "auditleast")
     e = F.when(F.col("doc_id") > F.col("least"), 1 << FILTERS.index("E")).otherwise(0)
     named = repeats.join(least, ["h", "text"], "left").select("doc_id", "part", (F.col("mask") + e).alias("mask"))
     return rows.where("text is null").select("doc_id", "part", "mask").unionByName(named)
