@@ -1,4 +1,4 @@
-"""Shared pieces of the ten operators: scratch tables in the shared folder, running
+"""Shared pieces of the operators: scratch tables in the shared folder, running
 sums over range partitions, connected components, word splitting and token ids."""
 
 from __future__ import annotations
@@ -114,18 +114,19 @@ def running_sums(spark: SparkSession, df: DataFrame, order: list[str], value: st
             .drop("part", "local", "_base", *[f"_k{i}" for i in range(len(keys))]))
 
 
-def connected_components(spark: SparkSession, links: DataFrame, max_rounds: int = 60) -> DataFrame:
+def connected_components(spark: SparkSession, links: DataFrame) -> DataFrame:
     """(node, component) for every end of ``links`` (a, b: long), component the least node.
 
     Alternates the large-star and small-star steps (Kiveris et al. 2014): each round sends
     every node's neighbours to its least one. A node of any degree is only reduced to a
     minimum and joined back, never collected. Links shrink to stars in a logarithmic number
-    of rounds; each round is written to the shared folder and the one before deleted.
+    of rounds; each round is written to the shared folder and the one before deleted. Every round
+    but the last lowers some node's neighbour, so the loop ends.
     """
     e = materialize(spark, links.where("a <> b").select(
         F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "cc")
     mark = None
-    for _ in range(max_rounds):
+    while True:
         both = e.select("a", "b").unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
         large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")) \
@@ -141,8 +142,6 @@ def connected_components(spark: SparkSession, links: DataFrame, max_rounds: int
         if tuple(now) == mark:
             break
         mark = tuple(now)
-    else:
-        raise RuntimeError(f"links did not settle in {max_rounds} rounds")
     return e.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
         e.select(F.col("b").alias("node"), F.col("b").alias("component"))).distinct()
 
@@ -192,17 +191,18 @@ class Encoder:
     The vocabulary's pre-tokenizer drops white space, never joins across it, and parts letters from
     marks, so a text's ids are those of its words in turn, and those of letters and the marks after
     them in turn (the tests hold this against whole texts). Words are joined by a control character
-    that is one id of its own and encoded together; words holding it are encoded alone. The memory
-    of words is emptied at ``limit`` words.
+    that is one id of its own and encoded together; words holding it are encoded alone. At ``limit``
+    words, or ``most`` characters of them, those that came up in one batch alone are forgotten (all of
+    them if that leaves over half).
     """
 
-    def __init__(self, name: str, limit: int = 400_000, mark: str = "\x01"):
+    def __init__(self, name: str, limit: int = 400_000, most: int = 16_000_000, mark: str = "\x01"):
         import os
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         import public_tokenizers
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(public_tokenizers.path(name))
-        self.mark, self.limit = mark, limit
+        self.mark, self.limit, self.most = mark, limit, most
         self.mark_id, = self.tok.encode(mark, add_special_tokens=False).ids
         self.clear()
 
@@ -210,6 +210,23 @@ class Encoder:
         self.slots: dict[str, int] = {"": 0}
         self.starts, self.lens = np.zeros(1, np.int64), np.zeros(1, np.int64)
         self.pool = np.zeros(0, np.uint32)
+        self.again = np.zeros(1, bool)  # came up again after the batch that taught it
+        self.chars = 0
+
+    def forget(self) -> None:
+        """Keep the words that came up again."""
+        keep = np.flatnonzero(self.again)
+        if 2 * len(keep) > min(self.limit, len(self.slots)):
+            return self.clear()
+        names = list(self.slots)
+        words = [names[i] for i in keep.tolist()]
+        pool = gather(self.pool, self.starts[keep], self.lens[keep])
+        lens = np.concatenate([[0], self.lens[keep]])
+        self.clear()
+        self.slots.update(zip(words, range(1, len(words) + 1)))
+        self.pool, self.lens, self.starts = pool, lens, np.cumsum(lens) - lens
+        self.again = np.zeros(len(lens), bool)
+        self.chars = sum(map(len, words))
 
     def learn(self, plain: list[str], odd: list[str]) -> None:
         pieces, lens = [self.pool], [self.lens]
@@ -229,15 +246,18 @@ class Encoder:
             lens.append(np.array([len(ids)]))
         for w in (*plain, *odd, *alone):
             self.slots[w] = len(self.slots)
+        self.chars += sum(map(len, plain)) + sum(map(len, odd)) + sum(map(len, alone))
         self.pool = np.concatenate(pieces)
         self.lens = np.concatenate(lens).astype(np.int64)
         self.starts = np.cumsum(self.lens) - self.lens
+        self.again = np.concatenate([self.again, np.zeros(len(self.lens) - len(self.again), bool)])
 
     def _numbers(self, words: pa.Array) -> np.ndarray:
         """Slots of words, new ones learned."""
         d = words.dictionary_encode()
         slot = numbers(self.slots, strings(d.dictionary))
         new = np.flatnonzero(slot < 0)
+        self.again[slot[slot > 0]] = True
         if len(new):
             fresh = d.dictionary.take(pa.array(new))
             plain = pc.match_substring_regex(fresh, LETTERS)
@@ -248,8 +268,8 @@ class Encoder:
     def ids(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
         """uint32 ids of all texts, each followed by ``end``, and the texts' offsets."""
         words, off = split_words(texts)
-        if len(self.slots) > self.limit:
-            self.clear()
+        if len(self.slots) > self.limit or self.chars > self.most:
+            self.forget()
         d = words.dictionary_encode()
         names = d.dictionary
         core = pc.utf8_rtrim(names, characters=MARKS)
@@ -279,14 +299,27 @@ class Encoder:
         return out, ends
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_KEPT: dict = {}
+
+
+def kept(owner: tuple, make: Callable):
+    """What ``make()`` returns, kept between a Python worker's tasks until another ``owner`` asks: a
+    worker that Spark reuses holds one operator's memory at a time."""
+    if owner not in _KEPT:
+        _KEPT.clear()
+        pa.default_memory_pool().release_unused()
+        _KEPT[owner] = make()
+    return _KEPT[owner]
 
 
 def encoder(name: str) -> Encoder:
-    """One per Python worker, kept between its tasks."""
-    if name not in _ENCODERS:
-        _ENCODERS[name] = Encoder(name)
-    return _ENCODERS[name]
+    return kept(("encoder", name), lambda: Encoder(name))
+
+
+def packed(docs: DataFrame, **more: F.Column) -> DataFrame:
+    """Each row of ``docs`` whole in one struct column ``row``, and the columns of ``more``: whatever
+    names ``docs`` has, they clash with none of the operator's own."""
+    return docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), *[v.alias(k) for k, v in more.items()])
 
 
 def arrow_map(df: DataFrame, fn: Callable, schema: str | T.StructType) -> DataFrame:

@@ -51,7 +51,11 @@ def encode(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     pad = np.zeros((rows, SPAN + 240), np.uint64)
     pad[:, :SPAN] = flat.reshape(rows, SPAN)
     width = np.zeros((rows, SPAN + 240), np.uint8)
-    width[:, :SPAN] = np.searchsorted(_POWERS, pad[:, :SPAN], side="right")
+    # bit lengths: the exponent as a double, exact below 2^53
+    bits = np.frexp(flat.astype(np.float64))[1]
+    big = np.flatnonzero(flat >= 1 << 53)
+    bits[big] = np.searchsorted(_POWERS, flat[big], side="right")
+    width[:, :SPAN] = bits.reshape(rows, SPAN)
     # widest of the next c ids, for rising c, from two windows that are known already
     most, have = {1: width}, [1]
     for c in COUNTS[::-1][1:].tolist():
@@ -62,7 +66,7 @@ def encode(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         have.append(c)
     sel = np.full((rows, SPAN), 15, np.uint8)
     for s in range(14, -1, -1):
-        sel[most[int(COUNTS[s])][:, :SPAN] <= WIDTHS[s]] = s
+        np.copyto(sel, s, where=most[int(COUNTS[s])][:, :SPAN] <= WIDTHS[s])
     # walk all spans at once, from word to word
     length = np.full(rows, SPAN)
     length[-1] = n - SPAN * (rows - 1)

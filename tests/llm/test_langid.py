@@ -84,3 +84,8 @@ def test_two_hundred_languages():
     texts = pa.array([" ".join([words[i]] * 9) for i in range(200)])
     got = L.label_texts(texts, Known())
     assert got == [(langs[i], 1.0, f"{langs[i]}:0:9") for i in range(200)]
+
+
+def test_empty_table(spark):
+    empty = spark.createDataFrame([], "doc_id long, text string, lang string, source string")
+    assert L.identify(spark, empty, L.learn(spark, empty.select("text", "lang"))).collect() == []
