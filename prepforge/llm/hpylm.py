@@ -404,7 +404,7 @@ def score_texts(spark: SparkSession, docs: DataFrame) -> DataFrame:
                     sums = [np.bincount(doc, tf * v[p], n_docs) for v in (lp, base, known)]
                     some = np.flatnonzero(np.bincount(doc, minlength=n_docs))
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([x["unit"]]), pa.array([pack(some, sums[0][some].astype(np.float32), sums[1][some].astype(np.float32),
+                        [pa.array([x["unit"]]), pa.array([pack(some, sums[0][some], sums[1][some],
                                                                sums[2][some].astype(np.int64))], pa.binary())], names=["unit", "data"])
 
     def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from prepforge.llm.common import WORD, documents, materialize, prepare, running_sums
+from prepforge.llm.common import WORD, documents, materialize, packed, prepare, running_sums
 
 #: Weights of the sources in code-point order, repeated (fixed values of the task).
 WEIGHTS = (5, 2, 1)
@@ -38,6 +38,11 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, most: int = MOST) -> DataF
         F.least(F.col("bound").cast("double"), F.col("w") * F.col("level")).alias("target"))
 
 
+def text_key(col: str) -> F.Column:
+    """A hash of the text that tells a null from an empty one."""
+    return F.xxhash64(F.col(col).isNull(), F.col(col))
+
+
 def systematic_copies(spark: SparkSession, docs: DataFrame, weights=WEIGHTS, most: int = MOST) -> DataFrame:
     """One row per document: doc_id, source, text_hash, size, source_size, target, copies, taken.
 
@@ -54,7 +59,7 @@ def systematic_copies(spark: SparkSession, docs: DataFrame, weights=WEIGHTS, mos
     sized = materialize(spark, docs.select(
         F.col("doc_id").cast("long"), F.col("source").cast("string"),
         F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-        F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash")), "mix")
+        text_key("text").alias("text_hash")), "mix")
     ranked = running_sums(spark, sized.withColumn("one", F.lit(1).cast("long")),
                           ["source", "size", "doc_id", "text_hash"], "one", "source", "mixrank")
     t = source_targets(sized, weights, most).withColumnRenamed("source", "_source")
@@ -70,16 +75,14 @@ def systematic_copies(spark: SparkSession, docs: DataFrame, weights=WEIGHTS, mos
 
 def mix(spark: SparkSession, docs: DataFrame, weights=WEIGHTS, most: int = MOST) -> DataFrame:
     """The rows of ``docs``, each as often as :func:`systematic_copies` says. Rows that agree
-    on doc_id, source and text are one row with the sum of their copies."""
+    on doc_id, source and text (a null is no empty text) are one row with the sum of their copies. All
+    columns come through, whatever their names."""
     keys = ["doc_id", "source", "text_hash"]
     n = systematic_copies(spark, docs, weights, most).groupBy(*keys).agg(F.sum("copies").alias("_n")) \
         .where("_n > 0").select("_n", *[F.col(k).alias(f"_{k}") for k in keys])
-    d = docs.withColumn("_h", F.xxhash64(F.coalesce("text", F.lit(""))))
-    d = d.dropDuplicates(["doc_id", "source", "_h"])
-    cond = (d["doc_id"].eqNullSafe(n["_doc_id"]) & d["source"].eqNullSafe(n["_source"])
-            & d["_h"].eqNullSafe(n["_text_hash"]))
-    return d.join(n, cond).withColumn("_i", F.explode(F.sequence(F.lit(1), F.col("_n").cast("int")))) \
-        .select(*[d[c] for c in docs.columns])
+    d = packed(docs, id=F.col("doc_id").cast("long"), src=F.col("source").cast("string"), h=text_key("text")).dropDuplicates(["id", "src", "h"])
+    cond = d["id"].eqNullSafe(n["_doc_id"]) & d["src"].eqNullSafe(n["_source"]) & d["h"].eqNullSafe(n["_text_hash"])
+    return d.join(n, cond).select("row", F.explode(F.sequence(F.lit(1), F.col("_n").cast("int")))).select("row.*")
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prepforge.llm.common import documents, materialize, numbers, prepare, split_words, strings, texts_of
+from prepforge.llm.common import documents, kept, materialize, numbers, prepare, split_words, strings, texts_of
 
 #: Each heuristic: a share measured on the text, and the shares from which it votes bad and up to
 #: which it votes good (the other way round for the share of distinct words).
@@ -25,6 +25,8 @@ HEURISTICS = (("marks", 0.10, 0.02), ("capitals", 0.35, 0.10), ("echoes", 0.15,
               ("distinct", 0.25, 0.50), ("separators", 0.08, 0.02), ("lines", 0.40, 0.34))
 #: Documents of either likely class that the scorer is trained on, at most so many each.
 TRAIN_DOCS = 1500
+#: Bytes of a text that the scorer may be trained on (what reaches the driver is bounded), words remembered.
+TRAIN_BYTES, MEMORY = 1 << 15, 200_000
 WORD_BUCKETS, LEVELS = 1 << 12, 16
 N_FEATURES = WORD_BUCKETS + LEVELS * len(HEURISTICS)
 _MARKS = r"&&|##|\*\*|%%|\$\$|!!|@@|~~|\^\^|\+\+|<<|>>|\|\||\?\?"
@@ -88,9 +90,6 @@ def label_model(patterns: np.ndarray, counts: np.ndarray, steps: int = 200) -> t
     return post, table, prior
 
 
-_BUCKETS: dict[str, int] = {}
-
-
 def bucket(word: str) -> int:
     """Hash of a word's form: letters by case and digits in runs, other marks as they are."""
     out = []
@@ -105,12 +104,15 @@ def feature_rows(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, n
     """(text, feature, value) triples and the word counts: a text's words by bucket as shares, and
     each heuristic's share as one of ``LEVELS`` levels."""
     share, n, names, at, off = shares(texts)
-    if len(_BUCKETS) > 400_000:
-        _BUCKETS.clear()
+    known = kept(("quality",), dict)
+    if len(known) > MEMORY:
+        known.clear()
     words = strings(names)
-    table = numbers(_BUCKETS, words)
+    table = numbers(known, words)
     for i in np.flatnonzero(table < 0).tolist():
-        table[i] = _BUCKETS[words[i]] = bucket(words[i])
+        table[i] = bucket(words[i])
+        if len(words[i]) <= 100:
+            known[words[i]] = int(table[i])
     doc = np.repeat(np.arange(len(n)), n)
     key, c = np.unique(doc * WORD_BUCKETS + table[at], return_counts=True)
     row, col = key // WORD_BUCKETS, key % WORD_BUCKETS
@@ -145,7 +147,8 @@ def scores(texts: pa.Array, weights: np.ndarray) -> np.ndarray:
 
 
 def vote_patterns(docs: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """(doc_id, h, pattern) of every row with words; a pattern has one letter (b, n, g) a voter."""
+    """(doc_id, h, pattern, short) of every row with words; a pattern has one letter (b, n, g) a voter,
+    ``short`` texts have at most ``TRAIN_BYTES``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             share, n, *_ = shares(texts_of(b.column(2)))
@@ -153,21 +156,23 @@ def vote_patterns(docs: DataFrame, labels: DataFrame | None) -> DataFrame:
             keep = np.flatnonzero(n)
             yield pa.RecordBatch.from_arrays(
                 [b.column(0).take(pa.array(keep)), b.column(1).take(pa.array(keep)),
-                 pa.array(["".join(letters[i]) for i in keep], pa.string())], names=["doc_id", "h", "pattern"])
+                 pa.array(["".join(letters[i]) for i in keep], pa.string()), b.column(3).take(pa.array(keep))],
+                names=["doc_id", "h", "pattern", "short"])
 
-    rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64("doc_id", "text").alias("h"), F.col("text").cast("string")) \
-        .mapInArrow(run, "doc_id long, h long, pattern string")
+    rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64("doc_id", "text").alias("h"), F.col("text").cast("string"),
+                       (F.octet_length("text") <= TRAIN_BYTES).alias("short")).mapInArrow(run, "doc_id long, h long, pattern string, short boolean")
     if labels is None:
         return rows
     own = labels.groupBy(F.col("doc_id").alias("_id")).agg(F.min("quality").alias("q"))
     vote = F.when(F.col("q") == 1, "g").when(F.col("q") == 0, "b").otherwise("n")
-    return rows.join(own, rows["doc_id"] == own["_id"], "left").select("doc_id", "h", F.concat("pattern", vote).alias("pattern"))
+    return rows.join(own, rows["doc_id"] == own["_id"], "left").select("doc_id", "h", F.concat("pattern", vote).alias("pattern"), "short")
 
 
 def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame | None, n: int = TRAIN_DOCS) -> tuple[np.ndarray, dict]:
     """(scorer's weights, posterior of good by pattern). The vote patterns of all rows are counted
     (3 ^ voters patterns at most reach the driver); the scorer sees the ``n`` rows with the least
-    hashes of doc_id and text on either side of an even posterior."""
+    hashes of doc_id and text on either side of an even posterior, among those whose text has at most
+    ``TRAIN_BYTES``. Of several labels of one doc_id the least counts; a label with a null doc_id is nobody's."""
     prepare(spark)
     rows = materialize(spark, vote_patterns(docs, labels), "votes")
     seen = rows.groupBy("pattern").count().orderBy("pattern").collect()
@@ -180,7 +185,7 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame | None, n: int =
     rows = rows.join(F.broadcast(table), "pattern")
     texts, target = [], []
     for good in (True, False):
-        pick = rows.where((F.col("p") >= 0.5) == good).orderBy("h", "doc_id").limit(n).select(
+        pick = rows.where(F.col("short") & ((F.col("p") >= 0.5) == good)).orderBy("h", "doc_id").limit(n).select(
             F.col("doc_id").alias("_d"), F.col("h").alias("_h"), "p").dropDuplicates(["_d", "_h"])
         own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
                           F.xxhash64("doc_id", "text").alias("h"))

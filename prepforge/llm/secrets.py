@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from prepforge.llm.common import (
-    WORD, documents, materialize, numbers, prepare, split_words, strings, texts_of)
+    WORD, documents, kept, materialize, numbers, prepare, split_words, strings, texts_of)
 
 # Fixed values of the task: the patterns, the least lengths of their matches and their order.
 KINDS = ("assign", "access", "hex")
@@ -40,6 +40,8 @@ HINTS = {"assign": r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]
          "hex": "[0-9a-f]{32}"}
 #: Documents with and without matches that the field is trained on, at most so many each.
 TRAIN_DOCS = 150
+#: Bytes of a text that the field may be trained on.
+TRAIN_BYTES = 1 << 16
 #: What a span must lead by (log odds), taken once where it begins and not again at its further
 #: words: the field adds to patterns that stay, so it should speak only when it is sure.
 MARGIN = 3.0
@@ -142,7 +144,7 @@ def file_features(n_words: np.ndarray, n_digit: np.ndarray) -> np.ndarray:
 class Words:
     """Numbers of distinct words (0 is a text's edge) and, given weights, their scores in each position."""
 
-    def __init__(self, weights: np.ndarray | None, limit: int = 400_000):
+    def __init__(self, weights: np.ndarray | None, limit: int = 200_000):
         self.weights, self.limit = weights, limit
         if weights is not None:
             self.padded = np.concatenate([weights, np.zeros((1, TAGS), weights.dtype)])
@@ -421,10 +423,12 @@ def scan_texts(texts: pa.Array, words: Words, pair: np.ndarray) -> list[list[tup
 
 def fit(spark: SparkSession, docs: DataFrame, n: int = TRAIN_DOCS):
     """The field's weights, trained on at most ``n`` documents that hold a match of the patterns
-    and ``n`` that hold none, those with the least hashes of doc_id and text."""
+    and ``n`` that hold none, those with the least hashes of doc_id and text among those of at most
+    ``TRAIN_BYTES`` (so that what reaches the driver is bounded)."""
     prepare(spark)
     hint = "|".join(h if h[0] != "(" else f"({h})" for h in HINTS.values())
     t = docs.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), F.xxhash64("doc_id", "text").alias("h"))
+    t = t.where(F.octet_length("text") <= TRAIN_BYTES)
     light = materialize(spark, t.select("h", F.col("text").rlike(hint).alias("hit")), "hits")
     texts = []
     for hit in (True, False):
@@ -434,16 +438,9 @@ def fit(spark: SparkSession, docs: DataFrame, n: int = TRAIN_DOCS):
     return train(texts)
 
 
-_WORDS: dict[int, Words] = {}
-
-
 def words_of(weights: np.ndarray) -> Words:
     """One per Python worker and model, kept between tasks."""
-    key = zlib.crc32(weights.tobytes())
-    if key not in _WORDS:
-        _WORDS.clear()
-        _WORDS[key] = Words(weights)
-    return _WORDS[key]
+    return kept(("secrets", zlib.crc32(weights.tobytes())), lambda: Words(weights))
 
 
 def secret_spans(spark: SparkSession, docs: DataFrame, model=None) -> DataFrame:

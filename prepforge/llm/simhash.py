@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from prepforge.llm.common import (
-    connected_components, documents, materialize, partitions, prepare, split_words, texts_of)
+    connected_components, documents, materialize, packed, partitions, prepare, split_words, texts_of)
 
 #: Words in a shingle and the most differing bits of a link (fixed values of the task).
 SHINGLE, MAX_BITS = 3, 2
@@ -205,11 +205,12 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, k: int = SHINGLE, t:
                       one_per_id: bool = False) -> DataFrame:
     """One row of ``docs`` for each component: the one of the least doc_id (nulls last), on a tie
     of the least row key. The key is a 128-bit hash of the whole row, so that rows with one doc_id
-    and different texts are told apart and rows that share a key are equal in every column.
+    and different texts are told apart and rows that share a key are equal in every column. All
+    columns come through, whatever their names.
     ``one_per_id``: of the rows kept that share a doc_id (not null) only the least key's stays."""
     prepare(spark)
     whole = [x for c in docs.columns for x in (F.col(c).isNull(), F.col(c))]
-    keyed = docs.withColumn("_k1", F.xxhash64(F.lit(1), *whole)).withColumn("_k2", F.xxhash64(F.lit(2), *whole))
+    keyed = packed(docs, doc_id=docs["doc_id"], text=docs["text"], _k1=F.xxhash64(F.lit(1), *whole), _k2=F.xxhash64(F.lit(2), *whole))
     rows = materialize(spark, fingerprint_rows(keyed, k, ("_k1", "_k2")), "simhash")
     parts = fingerprint_parts(spark, rows, t).select("fp", "part")
     keep = rows.join(parts, "fp").groupBy("part").agg(F.min(F.struct(
@@ -217,7 +218,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, k: int = SHINGLE, t:
     if one_per_id:
         first = keep.where("not none").groupBy("doc_id").agg(F.min(F.struct("_k1", "_k2")).alias("x")).select("x.*")
         keep = first.unionByName(keep.where("none").select("_k1", "_k2"))
-    return keyed.join(keep.select("_k1", "_k2"), ["_k1", "_k2"], "left_semi").dropDuplicates(["_k1", "_k2"]).drop("_k1", "_k2")
+    return keyed.select("row", "_k1", "_k2").join(keep.select("_k1", "_k2"), ["_k1", "_k2"], "left_semi").dropDuplicates(["_k1", "_k2"]).select("row.*")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, k: int = SHINGLE, t: int = MAX_BITS) -> DataFrame:

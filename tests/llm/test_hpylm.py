@@ -45,7 +45,7 @@ def test_counts_equal_brute_force_and_score_beats_base(spark):
         w = split(texts[r["doc_id"]])
         assert r["held_out"] == held(r["doc_id"]) and r["n_tokens"] == len(w) and r["train_tokens"] == n
         assert r["n_known"] == sum(c[x] > 0 for x in w)
-        assert math.isclose(r["base_score"], sum(math.log10((c[x] + .5) / (n + .5 * (v + 1))) for x in w), rel_tol=1e-6)
+        assert math.isclose(r["base_score"], sum(math.log10((c[x] + .5) / (n + .5 * (v + 1))) for x in w), rel_tol=1e-9)
         assert r["score"] < 0
     held_rows = [r for r in got if r["held_out"]]
     per = lambda k: sum(r[k] for r in held_rows) / sum(r["n_tokens"] for r in held_rows)

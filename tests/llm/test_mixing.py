@@ -59,3 +59,21 @@ def test_mix_emits_the_copies(spark):
 def test_empty(spark):
     df = spark.createDataFrame([], "doc_id long, text string, source string")
     assert systematic_copies(spark, df).count() == 0 and mix(spark, df).count() == 0
+
+
+def test_mix_keeps_clashing_columns_and_tells_null_from_empty(spark):
+    rows = [(1, None, "a", 1), (1, "", "a", 2)] + [(10 + i, "w " * 20, "a", i) for i in range(20)] + [(50 + i, "v " * 5, "b", i) for i in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, _i int") \
+        .selectExpr("*", "_i as _h", "_i as _n", "'r' as row", "_i + 7 as id", "'x' as src", "9 as h", "_i as size", "_i as text_hash", "_i as _doc_id")
+    out = mix(spark, df)
+    assert out.columns == df.columns
+    own = {r["doc_id"]: r for r in df.where("doc_id > 1").collect()}
+    got = out.collect()
+    assert got and all(r == own[r["doc_id"]] for r in got if r["doc_id"] > 1)
+    n = {(r["doc_id"], r["text_hash"]): r["copies"] for r in systematic_copies(spark, df.drop("size", "text_hash")).where("doc_id = 1").collect()}
+    assert len(n) == 2
+    for text, i in ((None, 1), ("", 2)):
+        same = [r for r in got if r["doc_id"] == 1 and r["text"] == text]
+        assert {r["_i"] for r in same} <= {i}
+    assert sum(r["doc_id"] == 1 for r in got) == sum(n.values())
+    assert mix(spark, df.limit(0)).collect() == []

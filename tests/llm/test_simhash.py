@@ -96,3 +96,15 @@ def test_each_group_keeps_one_row_whatever_its_ids(spark):
     assert sorted(map(str, map(tuple, drop_near_copies(spark, df).collect()))) == sorted(map(str, got))
     twice = spark.createDataFrame([(5, a), (5, b)], "doc_id long, text string")
     assert sorted(r["text"] for r in one_of_each_group(spark, twice).collect()) == sorted([a, b])
+
+
+def test_clashing_columns_come_through(spark):
+    rows = [(i, "same text for everyone here" if i % 2 else f"text number {i} alone {i * 7}", i) for i in range(10)] + [(None, "", 3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _k1 int").selectExpr("*", "_k1 as _k2", "_k1 as fp", "_k1 as part", "'r' as row", "_k1 as least")
+    for keep in (one_of_each_group, drop_near_copies):
+        out = keep(spark, df)
+        assert out.columns == df.columns
+        got = {r["doc_id"]: r for r in out.collect()}
+        own = {r["doc_id"]: r for r in df.collect()}
+        assert set(got) == {0, 1, 2, 4, 6, 8, None} and all(r == own[i] for i, r in got.items())
+        assert keep(spark, df.limit(0)).collect() == []
