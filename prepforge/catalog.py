@@ -16,7 +16,6 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import functions as F
 
 from prepforge.functions.exprs import is_numeric, minmax_expr, safe_ratio
@@ -658,7 +657,10 @@ def q_best_power_apply(spark, sf):
 from prepforge.operators import models as M  # noqa: E402
 from prepforge.operators import runner as RUN  # noqa: E402
 from prepforge.operators import sample as SA  # noqa: E402
+from prepforge.operators import tuning as TU  # noqa: E402
 from prepforge.plans import prepare as PR  # noqa: E402
+from prepforge.plans import shared as SH  # noqa: E402
+from prepforge.plans import trees as TR  # noqa: E402
 
 MODEL_COLS = NUMERIC + C360_FLAGS
 SEED = 0
@@ -733,16 +735,47 @@ def _n(train):
     return train.count()
 
 
+def shared_rows(spark, sf):
+    """(training rows with folds, test rows) as arrays, the columns and bounds of :func:`model_data`."""
+    def build():
+        df = SA.split_stratified(cleaned(spark, sf), LABEL, 0.2, SEED)
+        train, test = (df.where(F.col("split") == v).drop("split") for v in ("train", "test"))
+        mm = S.fit_minmax(train, NUMERIC)
+        return (TU.folded(mm.transform(train), MODEL_COLS, LABEL, 5, SEED),
+                SH.training_rows(mm.transform(test), MODEL_COLS, LABEL, id_col="id"))
+    return memo(spark, sf, "shared_rows", build)
+
+
+def _tuned(spark, sf, what):
+    """The reference's grid of one kind of model on the training rows, searched once per application."""
+    return memo(spark, sf, f"tuned_{what.__name__}", lambda: what(shared_rows(spark, sf)[0], len(MODEL_COLS)))
+
+
+def _array_scores(test, trees, edges):
+    out = TR.forest_scores(test, trees, edges, keep=["id", "y"])
+    return out.select("id", F.col("y").alias("response"), "score", (F.col("score") > 0.5).cast("double").alias("prediction"))
+
+
 @query("fit_logistic")
 def q_fit_logistic(spark, sf):
-    train, test = model_data(spark, sf)
-    return _scores(M.logistic(1e4, "l2", _n(train)).fit(train), test)
+    _, w = _tuned(spark, sf, TU.tune_logistic)
+    return SH.logistic_scores(shared_rows(spark, sf)[1], w, ["id", F.col("y").alias("response")])
 
 
 @query("fit_tree")
 def q_fit_tree(spark, sf):
-    train, test = model_data(spark, sf)
-    return _scores(M.decision_tree("entropy", 5, 10).fit(train), test)
+    _, tree, edges = _tuned(spark, sf, TU.tune_tree)
+    return _array_scores(shared_rows(spark, sf)[1], [tree], edges)
+
+
+@query("tune_tree")
+def q_tune_tree(spark, sf):
+    return TU.report(spark, _tuned(spark, sf, TU.tune_tree)[0])
+
+
+@query("tune_extra_trees")
+def q_tune_extra_trees(spark, sf):
+    return TU.report(spark, _tuned(spark, sf, TU.tune_extra_trees)[0])
 
 
 @query("fit_complement_nb")
@@ -753,8 +786,8 @@ def q_fit_complement_nb(spark, sf):
 
 @query("fit_random_trees")
 def q_fit_random_trees(spark, sf):
-    train, test = model_data(spark, sf)
-    return _scores(M.random_trees(50, 5).fit(train), test)
+    _, trees, edges = _tuned(spark, sf, TU.tune_extra_trees)
+    return _array_scores(shared_rows(spark, sf)[1], trees, edges)
 
 
 @query("fit_gbt")
@@ -765,8 +798,14 @@ def q_fit_gbt(spark, sf):
 
 @query("fit_mlp")
 def q_fit_mlp(spark, sf):
-    train, test = model_data(spark, sf)
-    return _scores(M.mlp(len(MODEL_COLS), (10,), 100).fit(train), test)
+    _, spec, w = _tuned(spark, sf, TU.tune_network)
+    out = SH.network_scores(shared_rows(spark, sf)[1], spec, w, ["id", "y"])
+    return out.select("id", F.col("y").alias("response"), "score", (F.col("score") > 0.5).cast("double").alias("prediction"))
+
+
+@query("tune_network")
+def q_tune_network(spark, sf):
+    return TU.report(spark, _tuned(spark, sf, TU.tune_network)[0])
 
 
 @query("fit_linear_svc")
@@ -788,29 +827,23 @@ def _folded(train, k=5):
 
 @query("tune_grid")
 def q_tune_grid(spark, sf):
-    train, _ = model_data(spark, sf)
-    n = _n(train)
-    lr = M.logistic(1e4, "l2", n)
-    # the reference's three C values for runs 0, 2 and 3, as regParam = 1 / (C n)
-    grid = ParamGridBuilder().addGrid(lr.regParam, [1.0 / (c * n) for c in (1e4, 78.476, 206.914)]).build()
-    cvm = M.tune_grid(_folded(train), lr, grid, "fold")
-    return M.cv_summary(cvm, spark)
+    """All 80 settings of the reference's logistic regression."""
+    return TU.report(spark, _tuned(spark, sf, TU.tune_logistic)[0])
 
 
 @query("tune_random")
 def q_tune_random(spark, sf):
-    train, _ = model_data(spark, sf)
-    tree = M.decision_tree()
-    maps = M.random_param_maps(tree, {"maxDepth": (2, 10), "minInstancesPerNode": (1, 20)}, 6, SEED)
-    cvm = M.tune_grid(_folded(train), tree, maps, "fold")
-    return M.cv_summary(cvm, spark)
+    """50 draws inside the bounds and 100 around the best, the whole preparation refitted per fold."""
+    found = TU.tune_random(prepare_raw(spark, sf), LABEL, lambda: run_preparation(SEED), {"C": (1e-4, 1e4), "max_iter": (100, 300)}, seed=SEED)
+    return TU.report(spark, found)
 
 
 @query("vote_soft")
 def q_vote_soft(spark, sf):
     train, test = model_data(spark, sf)
-    models = [M.logistic(1e4, "l2", _n(train)).fit(train), M.decision_tree().fit(train),
-              M.random_trees(50, 5).fit(train)]
+    best, _ = _tuned(spark, sf, TU.tune_logistic)
+    models = [M.logistic(best[0][0]["C"], best[0][0]["penalty"], _n(train), best[0][0]["max_iter"]).fit(train),
+              M.gbt(3, 0.1, 50).fit(train), M.mlp(len(MODEL_COLS), (6,), 100).fit(train)]
     return M.vote_soft(models, test, keep=["id", F.col(M.LABEL).alias("response")])
 
 
@@ -819,14 +852,22 @@ def _kmeans_costs(spark, sf):
     return memo(spark, sf, "kmeans_costs", lambda: M.kmeans_costs(train, range(1, 15), SEED))
 
 
+def _cluster_model(spark, sf):
+    train, test = shared_rows(spark, sf)
+    return memo(spark, sf, "cluster_model", lambda: M.cluster_then_model(train, test, len(MODEL_COLS), seed=SEED, costs=_kmeans_costs(spark, sf)))
+
+
 @query("cluster_then_model")
 def q_cluster_then_model(spark, sf):
-    train, test = model_data(spark, sf)
-    k, _, chosen = M.cluster_then_model(train, test, {
-        "logistic": M.logistic(1e4, "l2", _n(train)), "tree": M.decision_tree()},
-        costs=_kmeans_costs(spark, sf))
-    return spark.createDataFrame([(c, m, float(r)) for c, m, r in chosen],
-                                 "cluster int, model string, best_profit_ratio double")
+    chosen = _cluster_model(spark, sf).chosen
+    return spark.createDataFrame([(c, kind, ", ".join(f"{k}={v}" for k, v in sorted(g.items())), float(r)) for c, (kind, g, r, _) in enumerate(chosen)],
+                                 "cluster int, model string, params string, best_profit_ratio double")
+
+
+@query("cluster_scores")
+def q_cluster_scores(spark, sf):
+    """The test rows, each scored by its cluster's model."""
+    return _cluster_model(spark, sf).transform(shared_rows(spark, sf)[1], ["id", "y"]).withColumnRenamed("y", "response")
 
 
 @query("kmeans_elbow")
@@ -865,17 +906,9 @@ def run_preparation(seed: int) -> PR.Preparation:
         [PR.business(REF_YEAR), PR.smote_nc([*C360_FLAGS, "education", "marital_status"], LABEL, seed)])
 
 
-CV_MODELS = {
-    "logistic": lambda cols, n: M.logistic(1e4, "l2", n),
-    "tree": lambda cols, n: M.decision_tree("entropy", 5, 10),
-    "boosted": lambda cols, n: M.gbt(3, 0.1, 20),
-    "network": lambda cols, n: M.mlp(len(cols), (6,), 100),
-}
-
-
 def _cv(spark, sf):
     def build():
-        log, steps = RUN.cv_report(prepare_raw(spark, sf), LABEL, run_preparation, CV_MODELS, seeds=(2,))
+        log, steps = RUN.cv_report(prepare_raw(spark, sf), LABEL, run_preparation)
         return log.checkpoint(), steps
     return memo(spark, sf, "cv", build)
 
@@ -914,14 +947,14 @@ def q_select_rfe(spark, sf):
 @query("select_forward_tree")
 def q_select_forward_tree(spark, sf):
     df = cleaned(spark, sf)
-    return SEL.select_forward_tree(df, NUMERIC, LABEL, n_select=2, folds=10)
+    return SEL.select_forward_tree(df, NUMERIC, LABEL, n_select=8, folds=10)
 
 
 @query("select_genetic")
 def q_select_genetic(spark, sf):
     df = cleaned(spark, sf)
     mm = S.fit_minmax(df, NUMERIC).transform(df)
-    return SEL.select_genetic(mm, NUMERIC, LABEL, n_pop=8, n_gen=2)
+    return SEL.select_genetic(mm, NUMERIC, LABEL, n_pop=50, n_gen=4)
 
 
 # ------------------------------------------- 2.8 / 2.13 neighbour operators

@@ -40,12 +40,9 @@ def column_stats(df: DataFrame, cols, stats) -> dict[str, dict[str, float]]:
     out: dict[str, dict[str, float]] = {c: {} for c in cols}
     qs = [s for s in stats if s in _QUANT]
     if qs and cols:
-        # exact, by bracketing; result: cols x quantiles rows
-        from prepforge.plans.prefix import exact_quantiles
-        long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]) \
-            .unpivot([], cols, "__var", "__x")
-        got = {(r["__var"], r["p"]): r["q"] for r in
-               exact_quantiles(long, "__x", [_QUANT[s] for s in qs], ["__var"]).collect()}
+        # exact, by bracketing
+        from prepforge.plans.prefix import wide_quantiles
+        got = wide_quantiles(df, cols, [_QUANT[s] for s in qs])
         for c in cols:
             for s_ in qs:
                 v = got.get((c, _QUANT[s_]))
@@ -177,7 +174,6 @@ def pinv(m: np.ndarray) -> np.ndarray:
 
 def quantile(df: DataFrame, col: str, p: float) -> float | None:
     """Exact linear-interpolation quantile of one column (distributed, see
-    :func:`prepforge.plans.prefix.exact_quantiles`)."""
-    from prepforge.plans.prefix import exact_quantiles
-    r = exact_quantiles(df.select(F.col(col).cast("double").alias("__x")), "__x", [p]).first()
-    return None if r is None else r["q"]
+    :func:`prepforge.plans.prefix.wide_quantiles`)."""
+    from prepforge.plans.prefix import wide_quantiles
+    return wide_quantiles(df, [col], [p])[col, float(p)]

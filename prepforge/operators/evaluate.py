@@ -122,3 +122,28 @@ def class_report(df: DataFrame, label_col: str, score_col: str, t: float) -> Dat
     avg["macro_support"] = n
     avg["weighted_support"] = n
     return out.withColumns(avg).drop("tn", "fp", "fn", "tp")
+
+
+def grouped_metrics(scored: DataFrame, keys, label_col: str = "y", score_col: str = "s", revenue: int = REVENUE, cost: int = COST,
+                    n: int = N_THRESHOLDS, step: float = STEP) -> list[dict]:
+    """For each group of ``keys`` what profit curve, class report at the best threshold and AUROC say, in two
+    passes for all groups. One row a group reaches the driver."""
+    keys, y, s = list(keys), F.col(label_col) == 1, F.col(score_col)
+    aggs = [F.count_if((s >= F.lit(t)) & c).alias(f"{k}{i}") for i, t in enumerate(thresholds(n, step)) for k, c in (("tp", y), ("fp", ~y))]
+    wide = scored.groupBy(*keys).agg(*aggs, F.count_if(y).alias("pos"), F.count_if(~y).alias("neg")).collect()
+    cells = scored.groupBy(*keys, score_col).agg(F.count_if(y).alias("pos"), F.count_if(~y).alias("neg"))
+    cum = running_sums(cells, score_col, ["neg"], group_cols=keys, inclusive=False, suffix="_below")
+    area = {tuple(r[k] for k in keys): r["auroc"] for r in cum.groupBy(*keys).agg(
+        F.try_divide(F.sum(F.col("pos").cast("double") * (F.col("neg_below") + F.col("neg") * 0.5)),
+                     F.sum("pos").cast("double") * F.sum("neg").cast("double")).alias("auroc")).collect()}
+    share = lambda a, b: a / b if b else 0.0
+    out = []
+    for r in wide:
+        profit = [revenue * r[f"tp{i}"] - cost * (r[f"tp{i}"] + r[f"fp{i}"]) for i in range(n)]
+        i = profit.index(max(profit))
+        tp, fp = r[f"tp{i}"], r[f"fp{i}"]
+        p, c = share(tp, tp + fp), share(tp, r["pos"])
+        out.append({**{k: r[k] for k in keys}, "auroc": area[tuple(r[k] for k in keys)], "best_threshold": i * step, "best_profit": float(profit[i]),
+                    "best_profit_ratio": share(profit[i], r["pos"] * (revenue - cost)) if r["pos"] else None,
+                    "precision": p, "recall": c, "f1_score": share(2 * p * c, p + c)})
+    return out

@@ -9,7 +9,11 @@ coefficients and per-fold metrics (a few numbers) reach the driver.
 from __future__ import annotations
 
 import math
-import random
+from collections.abc import Callable
+from dataclasses import dataclass
+
+import numpy as np
+import pyarrow as pa
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LinearSVC,
@@ -18,13 +22,15 @@ from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, Li
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from prepforge.operators import evaluate as EV
+from prepforge.plans.prefix import written
 
 FEATURES = "features"
 LABEL = "label"
@@ -86,7 +92,6 @@ def complement_nb(smoothing=1.0):
 
 def clip_features(df: DataFrame, lo: float = 0.0) -> DataFrame:
     """Features clipped below at ``lo`` (unseen rows can fall under a train minimum)."""
-    from pyspark.ml.functions import array_to_vector
     arr = vector_to_array(F.col(FEATURES))
     return df.withColumn(FEATURES, array_to_vector(F.transform(arr, lambda x: F.greatest(x, F.lit(lo)))))
 
@@ -119,23 +124,6 @@ def tune_grid(data: DataFrame, estimator, grid, fold_col: str | None = "fold",
     return cv.fit(data)
 
 
-def random_param_maps(estimator, bounds: dict, n: int, seed: int = 0, log_scale=()):
-    """``n`` seeded draws inside ``bounds`` {param_name: (lo, hi)} (ints stay ints)."""
-    rng = random.Random(seed)
-    maps = []
-    for _ in range(n):
-        pm = {}
-        for name, (lo, hi) in bounds.items():
-            p = estimator.getParam(name)
-            if name in log_scale:
-                v = math.exp(rng.uniform(math.log(lo), math.log(hi)))
-            else:
-                v = rng.uniform(lo, hi)
-            pm[p] = int(round(v)) if isinstance(lo, int) and isinstance(hi, int) else v
-        maps.append(pm)
-    return maps
-
-
 def cv_summary(cv_model, spark) -> DataFrame:
     rows = []
     for pm, m in zip(cv_model.getEstimatorParamMaps(), cv_model.avgMetrics):
@@ -240,37 +228,100 @@ def elbow_k(costs: list[tuple[int, float]]) -> int:
     return best_k
 
 
-def cluster_then_model(train: DataFrame, unseen: DataFrame, candidates: dict, k_max: int = 14,
-                       min_rows: int = 10, seed: int = 0, costs=None):
-    """Choose k by the elbow, shrink k until every cluster has ``min_rows``
-    training rows, then per cluster keep the candidate estimator whose fitted
-    model gives the best profit ratio on that cluster's unseen rows."""
-    costs = costs or kmeans_costs(train, range(1, k_max + 1), seed)
+@dataclass
+class ClusterModel:
+    """k-means centres and one fitted model a cluster: (kind, settings, best profit ratio on the unseen rows,
+    logistic weights or a tree), and the bin edges that the trees read."""
+    centres: np.ndarray
+    chosen: list[tuple]
+    edges: list[np.ndarray]
+    costs: list[tuple[int, float]]
+
+    def clusters(self, x: np.ndarray) -> np.ndarray:
+        return ((x[:, None, :] - self.centres[None]) ** 2).sum(axis=2).argmin(axis=1)
+
+    def transform(self, df: DataFrame, keep=("id",)) -> DataFrame:
+        """``keep``, ``cluster`` and ``score`` of rows with ``x``: each row goes to its cluster's model, in one pass."""
+        from prepforge.plans import shared as SH
+        from prepforge.plans import trees as TR
+
+        def run(batches):
+            for b in batches:
+                x = SH.matrix(b.column(b.schema.get_field_index("x")))
+                at = self.clusters(x)
+                codes = np.column_stack([np.searchsorted(e, x[:, j], side="left").astype(np.uint8) for j, e in enumerate(self.edges)])
+                p = np.zeros(len(x))
+                for c, (kind, _, _, m) in enumerate(self.chosen):
+                    rows = np.flatnonzero(at == c)
+                    p[rows] = TR.leaf_scores(m)[TR.positions(codes[rows], m)] if kind == "tree" else \
+                        1 / (1 + np.exp(-np.clip(x[rows] @ m[:-1] + m[-1], -500, 500)))
+                yield pa.RecordBatch.from_arrays([*[b.column(b.schema.get_field_index(c)) for c in keep], pa.array(at.astype(np.int32)), pa.array(p)],
+                                                 names=[*keep, "cluster", "score"])
+        schema = T.StructType([*[df.schema[c] for c in keep], T.StructField("cluster", T.IntegerType()), T.StructField("score", T.DoubleType())])
+        return df.select(*dict.fromkeys([*keep, "x"])).mapInArrow(run, schema)
+
+
+def cluster_then_model(train: DataFrame, unseen: DataFrame, n_features: int, k_max: int = 14, min_rows: int = 10, folds: int = 5,
+                       seed: int = 0, costs=None, logistic=None, tree=None) -> ClusterModel:
+    """Choose k by the elbow, shrink k until every cluster has ``min_rows`` training rows; then in each cluster
+    tune every kind of model over the folds of its training rows and keep the kind whose best
+    setting, refitted, gives the best profit ratio on the cluster's unseen rows (the first on ties).
+
+    ``train`` and ``unseen`` are :func:`prepforge.plans.shared.training_rows`, ``train`` with folds. The settings (``logistic``,
+    ``tree``; the reference's grids if None) of all clusters and folds are fitted by the same passes."""
+    from prepforge.operators import tuning as TU
+    from prepforge.plans import shared as SH
+    from prepforge.plans import trees as TR
+    vec = train.select(array_to_vector("x").alias(FEATURES))
+    costs = costs or kmeans_costs(vec, range(1, k_max + 1), seed)
     k = elbow_k(costs)
     while True:
-        km = KMeans(k=k, seed=seed, featuresCol=FEATURES, predictionCol="cluster").fit(train)
-        sizes = km.transform(train).groupBy("cluster").count().collect()
+        km = KMeans(k=k, seed=seed, featuresCol=FEATURES, predictionCol="cluster").fit(vec)
+        sizes = km.transform(vec).groupBy("cluster").count().collect()  # k rows
         if k == 1 or (len(sizes) == k and min(r["count"] for r in sizes) >= min_rows):
             break
         k -= 1
-    tr, un = km.transform(train).persist(), km.transform(unseen).persist()
-    chosen = []
-    try:
-        for c in range(k):
-            best = (None, -float("inf"))
-            for name, est in candidates.items():
-                m = est.fit(tr.where(F.col("cluster") == c))
-                part = m.transform(un.where(F.col("cluster") == c)) \
-                    .select(F.col(LABEL).alias("y"), positive_prob().alias("s"))
-                r = EV.best_profit(EV.profit_curve(part, "y", "s")).first()
-                ratio = float((r["best_profit_ratio"] if r else None) or 0.0)
-                if ratio > best[1]:
-                    best = (name, ratio)
-            chosen.append((c, best[0], best[1]))
-    finally:
-        tr.unpersist()
-        un.unpersist()
-    return k, costs, chosen
+    model = ClusterModel(np.array(km.clusterCenters()), [], [], costs)
+
+    def coded(df: DataFrame, code: Callable) -> DataFrame:
+        """``df`` with ``fold`` replaced by a code of the row's cluster (and fold)."""
+        def run(batches):
+            for b in batches:
+                c = model.clusters(SH.matrix(b.column(0)))
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(code(c, b.column(2).to_numpy()).astype(np.int32))], names=["x", "y", "fold"])
+        return written(df.select("x", "y", "fold").mapInArrow(run, "x array<double>, y double, fold int"), "clusters")
+
+    rows, new = coded(train, lambda c, f: c * folds + f), coded(unseen, lambda c, f: c)
+    logistic, tree = logistic or TU.settings({**TU.LOGISTIC_GRID, "max_iter": [100]}), tree or TU.settings(TU.TREE_GRID)
+    whole = lambda c: (c * folds, (c + 1) * folds)
+    cells = [(c, f) for c in range(k) for f in [*range(folds), None]]
+    held = lambda c, f: None if f is None else c * folds + f
+    # logistic regressions
+    specs = [SH.Logistic(g["C"], g["penalty"], g["max_iter"], held(c, f), whole(c)) for g in logistic for c, f in cells]
+    w = SH.fit_logistic(rows, specs, n_features, tol=1e-9)
+    scored = [i for i, s in enumerate(specs) if s.held is not None]
+    ratio = SH.hard_profit_ratio(SH.score_logistic(rows, [specs[i] for i in scored], w[scored])).reshape(len(logistic), k, folds).mean(axis=2)
+    best_l = ratio.argmax(axis=0)
+    w = w.reshape(len(logistic), k, folds + 1, -1)[best_l, np.arange(k), folds]
+    # trees
+    model.edges = TR.bin_edges(rows, n_features)
+    codes, new_codes = TR.binned(rows, model.edges), TR.binned(new, model.edges)
+    deep, least = max(g["max_depth"] for g in tree), min(g["min_samples_split"] for g in tree)
+    kinds = list(dict.fromkeys(g["criterion"] for g in tree))
+    keys = [(v, c, f) for v in kinds for c, f in cells]
+    grown = dict(zip(keys, TR.grow(codes, [TR.TreeSpec(v, deep, least, held=held(c, f), only=whole(c)) for v, c, f in keys], n_features)))
+    cut = lambda g, c, f: grown[g["criterion"], c, f].pruned(g["max_depth"], g["min_samples_split"])
+    tried = [(g, c, f) for g in tree for c in range(k) for f in range(folds)]
+    ratio = SH.hard_profit_ratio(TR.score_trees(codes, [[cut(*t)] for t in tried], [held(c, f) for _, c, f in tried], n_features))
+    best_t = ratio.reshape(len(tree), k, folds).mean(axis=2).argmax(axis=0)
+    own = [cut(tree[best_t[c]], c, None) for c in range(k)]
+    # the kinds against each other, on the unseen rows of each cluster
+    by_l = SH.best_profit_ratio(SH.score_logistic(new, [SH.Logistic(held=c) for c in range(k)], w))
+    by_t = SH.best_profit_ratio(TR.score_trees(new_codes, [[t] for t in own], list(range(k)), n_features))
+    for c in range(k):
+        model.chosen.append(("logistic", logistic[best_l[c]], float(by_l[c]), w[c]) if by_l[c] >= by_t[c] else
+                            ("tree", tree[best_t[c]], float(by_t[c]), own[c]))
+    return model
 
 
 # ------------------------------------------------------------- final scoring

@@ -23,25 +23,31 @@ from pyspark.sql import functions as F
 
 from prepforge.functions.stats import column_stats, pinv, quantile
 from prepforge.operators.outliers import outlier_iqr_scores
+from prepforge.plans.knn import known
+from prepforge.plans.prefix import written
+from prepforge.plans.shared import matrix, scan_sums
 
 
 # ------------------------------------------------------------------ moments
-def moments(df: DataFrame, cols) -> tuple[int, np.ndarray, np.ndarray]:
-    """(n, mean vector, sample covariance) from one aggregation."""
-    cols = list(cols)
+def _moment_aggs(cols) -> list:
     d = len(cols)
-    aggs = [F.count(F.lit(1)).alias("n")] + [F.avg(c).alias(f"m{i}") for i, c in enumerate(cols)]
-    for i in range(d):
-        for j in range(i, d):
-            aggs.append(F.covar_samp(F.col(cols[i]).cast("double"), F.col(cols[j]).cast("double"))
-                        .alias(f"c{i}_{j}"))
-    r = df.agg(*aggs).first()
-    mu = np.array([r[f"m{i}"] for i in range(d)], dtype=float)
+    x = [F.col(c).cast("double") for c in cols]
+    return [F.count(F.lit(1)).alias("n")] + [F.avg(v).alias(f"m{i}") for i, v in enumerate(x)] + [
+        F.covar_samp(x[i], x[j]).alias(f"c{i}_{j}") for i in range(d) for j in range(i, d)]
+
+
+def _moments_of(r, d: int) -> tuple[int, np.ndarray, np.ndarray]:
     cov = np.zeros((d, d))
     for i in range(d):
         for j in range(i, d):
             cov[i, j] = cov[j, i] = r[f"c{i}_{j}"] or 0.0
-    return int(r["n"]), mu, cov
+    return int(r["n"]), np.array([r[f"m{i}"] for i in range(d)], dtype=float), cov
+
+
+def moments(df: DataFrame, cols) -> tuple[int, np.ndarray, np.ndarray]:
+    """(n, mean vector, sample covariance) from one aggregation."""
+    cols = list(cols)
+    return _moments_of(df.agg(*_moment_aggs(cols)).first(), len(cols))
 
 
 def quad_form(cols, mu, A):
@@ -74,7 +80,7 @@ def mahalanobis(df: DataFrame, cols, percent: float = 0.03, t: float = 3.0,
                 id_col: str = "id") -> DataFrame:
     """Keys of the top ``int(n * percent)`` distances beyond mean +/- t*sd of the
     distances (sd with ddof 0), ranked by distance to the crossed bound."""
-    md = mahalanobis_scores(df, cols, id_col).persist()
+    md = written(mahalanobis_scores(df, cols, id_col), "md")
     st = md.agg(F.avg("md").alias("m"), F.stddev_pop("md").alias("s"), F.count(F.lit(1)).alias("n")).first()
     hi, lo = st["m"] + t * st["s"], st["m"] - t * st["s"]
     dist = F.when(F.col("md") >= hi, F.col("md") - hi).when(F.col("md") <= lo, lo - F.col("md"))
@@ -121,32 +127,94 @@ def cooks_outliers(df: DataFrame, target: str, cols, id_col: str = "id") -> Data
 
 
 # --------------------------------------------------------- elliptic envelope
+#: Random starts, how many go on to convergence after two steps each, rows that starts are drawn from, and
+#: bins of the histogram that cuts each start's distances.
+MCD_STARTS, MCD_KEPT, MCD_SAMPLE, MCD_BINS = 100, 10, 2000, 4096
+
+
+def _c_steps(rows: DataFrame, fits: list, share: float, n: int) -> list:
+    """One concentration step of every (mean, covariance, log determinant) of ``fits`` side by side: a pass cuts each
+    one's squared distances by a histogram at ``share`` of the rows, another takes the moments of the
+    rows within the cut."""
+    d = len(fits[0][0])
+    at = np.triu_indices(d)
+    lo, hi = -20.0, 60.0  # log2 of squared distances
+    white = [(mu, np.linalg.cholesky(pinv(cov) + 1e-12 * np.eye(d))) for mu, cov, _ in fits]
+
+    def far(x: np.ndarray, i: int) -> np.ndarray:
+        mu, root = white[i]
+        return (((x - mu) @ root) ** 2).sum(axis=1)
+
+    def bins(d2: np.ndarray) -> np.ndarray:
+        return np.clip(((np.log2(np.maximum(d2, 1e-300)) - lo) / (hi - lo) * MCD_BINS).astype(int), 0, MCD_BINS - 1)
+
+    def count(b) -> np.ndarray:
+        x = matrix(b.column(0))
+        return np.concatenate([np.bincount(bins(far(x, i)), minlength=MCD_BINS) for i in range(len(fits))]).astype(float)
+
+    below = np.cumsum(scan_sums(rows, count, len(fits) * MCD_BINS).reshape(len(fits), MCD_BINS), axis=1)
+    cut = [int(np.searchsorted(c, share * n)) for c in below]
+    size = 1 + d + len(at[0])
+
+    def add(b) -> np.ndarray:
+        x = matrix(b.column(0))
+        out = np.zeros((len(fits), size))
+        for i in range(len(fits)):
+            own = x[bins(far(x, i)) <= cut[i]]
+            out[i, 0], out[i, 1:1 + d], out[i, 1 + d:] = len(own), own.sum(axis=0), (own.T @ own)[at]
+        return out.ravel()
+
+    out = []
+    for r in scan_sums(rows, add, len(fits) * size).reshape(len(fits), size):
+        mu, second = r[1:1 + d] / r[0], np.zeros((d, d))
+        second[at] = second[at[::-1]] = r[1 + d:]
+        cov = (second - r[0] * np.outer(mu, mu)) / max(r[0] - 1, 1)
+        out.append((mu, cov, float(np.linalg.slogdet(cov + 1e-12 * np.eye(d))[1])))
+    return out
+
+
+def fit_mcd(df: DataFrame, cols, support: float | None = None, starts: int = MCD_STARTS, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """(mean, covariance) of minimum determinant over ``support`` of the rows ((n + d + 1) / 2n by default).
+
+    ``starts`` random sets of d + 1 rows, drawn from the ``MCD_SAMPLE`` rows of least hash, and the classical
+    moments take two concentration steps each, all in the same passes over the rows; the best ``MCD_KEPT`` go on until
+    none lowers its determinant any more. Rows with a null or NaN are left out."""
+    cols = list(cols)
+    d = len(cols)
+    whole = known(df, cols)
+    n, mu0, cov0 = moments(whole, cols)
+    sd = np.sqrt(np.where(np.diag(cov0) > 0, np.diag(cov0), 1.0))
+    x = F.array(*[(F.col(c).cast("double") - F.lit(float(m))) / F.lit(float(v)) for c, m, v in zip(cols, mu0, sd)])
+    rows = written(whole.select(x.alias("x")), "mcd")
+    share = support or min(1.0, (n + d + 1) / 2.0 / n)
+    some = np.array([r["x"] for r in rows.orderBy(F.xxhash64("x"), "x").limit(MCD_SAMPLE).collect()], float).reshape(-1, d)
+    rng = np.random.default_rng(seed)
+    fits = [(np.zeros(d), cov0 / np.outer(sd, sd), 0.0)]
+    for _ in range(starts):
+        own = some[rng.choice(len(some), min(d + 1, len(some)), replace=False)]
+        cov = np.cov(own, rowvar=False).reshape(d, d) if len(own) > 1 else np.zeros((d, d))
+        fits.append((own.mean(axis=0), cov + 1e-3 * np.eye(d), 0.0))
+    for _ in range(2):
+        fits = _c_steps(rows, fits, share, n)
+    fits = sorted(fits, key=lambda f: f[2])[:MCD_KEPT]
+    best, live = [], fits
+    while live:
+        after = _c_steps(rows, live, share, n)
+        best += [a for a, b in zip(live, after) if b[2] >= a[2] - 1e-10]
+        live = [b for a, b in zip(live, after) if b[2] < a[2] - 1e-10]
+    mu, cov, _ = min(best, key=lambda f: f[2])
+    return mu0 + mu * sd, cov * np.outer(sd, sd)
+
+
 def elliptic_envelope(df: DataFrame, cols, contamination: float = 0.1, id_col: str = "id",
-                      max_steps: int = 15, support: float | None = None) -> DataFrame:
-    """Minimum covariance determinant by C-steps: score every row by its
-    Mahalanobis distance under the current (mean, covariance), keep the h
-    smallest (h = (n + d + 1) / 2 by default; cut by an exact percentile),
-    re-estimate, until the kept set stops changing.  Rows whose robust
-    distance is above its (1 - contamination) quantile are flagged."""
+                      support: float | None = None, starts: int = MCD_STARTS, seed: int = 0) -> DataFrame:
+    """(id, md2, flagged): squared robust distances under :func:`fit_mcd`; the rows above their
+    (1 - contamination) quantile are flagged. Rows with a null or NaN are left out."""
     cols = list(cols)
-    data = df.select(id_col, *[F.col(c).cast("double").alias(c) for c in cols]).persist()
-    n, mu, cov = moments(data, cols)
-    frac = support or min(1.0, (n + len(cols) + 1) / 2.0 / n)
-    prev = None
-    for _ in range(max_steps):
-        md2 = data.withColumn("__md2", quad_form(cols, mu, pinv(cov)))
-        cut = quantile(md2, "__md2", frac)
-        sub = md2.where(F.col("__md2") <= cut)
-        _, mu2, cov2 = moments(sub, cols)
-        det = float(np.linalg.slogdet(cov2)[1]) if np.all(np.isfinite(cov2)) else float("inf")
-        mu, cov = mu2, cov2
-        if prev is not None and abs(prev - det) < 1e-10:
-            break
-        prev = det
-    scored = data.select(id_col, quad_form(cols, mu, pinv(cov)).alias("md2"))
+    mu, cov = fit_mcd(df, cols, support, starts, seed)
+    scored = written(known(df, cols).select(id_col, quad_form(cols, mu, pinv(cov)).alias("md2")), "envelope")
     thr = quantile(scored, "md2", 1.0 - contamination)
-    out = scored.withColumn("flagged", F.col("md2") > F.lit(thr))
-    return out
+    return scored.withColumn("flagged", F.col("md2") > F.lit(thr))
 
 
 # --------------------------------------------------------------------- PCA
@@ -183,17 +251,20 @@ def explained_variance(train: DataFrame, cols) -> DataFrame:
 
 
 # --------------------------------------------------------------------- LDA
+#: Classes whose moments reach the driver at most.
+MAX_CLASSES = 1000
+
+
 def fit_lda(df: DataFrame, cols, label_col: str):
     """Fisher discriminant directions: eigenvectors of Sw^-1 Sb from per-class
-    moments (one grouped aggregation).  Returns (overall mean, directions,
-    explained ratio)."""
+    moments (one grouped aggregation, at most ``MAX_CLASSES`` classes; rows with a null label are left out).  Returns
+    (overall mean, directions, explained ratio); the largest loading of a direction is positive."""
     cols = list(cols)
     d = len(cols)
-    classes = []
-    for row in df.select(label_col).distinct().collect():
-        sub = df.where(F.col(label_col) == row[0])
-        n, mu, cov = moments(sub, cols)
-        classes.append((n, mu, cov))
+    rows = df.where(F.col(label_col).isNotNull()).groupBy(label_col).agg(*_moment_aggs(cols)).limit(MAX_CLASSES + 1).collect()
+    if len(rows) > MAX_CLASSES:
+        raise ValueError(f"{label_col} has over {MAX_CLASSES} classes")
+    classes = [_moments_of(r, d) for r in sorted(rows, key=lambda r: r[label_col])]
     N = sum(c[0] for c in classes)
     mu_all = sum(c[0] * c[1] for c in classes) / N
     sw = sum((c[0] - 1) * c[2] for c in classes)
@@ -201,6 +272,7 @@ def fit_lda(df: DataFrame, cols, label_col: str):
     vals, vecs = np.linalg.eig(pinv(sw) @ sb)
     order = np.argsort(vals.real)[::-1]
     vals, vecs = vals.real[order], vecs.real[:, order]
+    vecs = vecs * np.where(vecs[np.abs(vecs).argmax(axis=0), np.arange(vecs.shape[1])] < 0, -1.0, 1.0)
     k = max(1, min(len(classes) - 1, d))
     ratio = vals[:k] / vals[:k].sum() if vals[:k].sum() else np.ones(k) / k
     return mu_all, vecs[:, :k], ratio
@@ -427,7 +499,7 @@ def isolation_forest(df: DataFrame, cols, contamination: float = 0.1, n_trees: i
                      sample: int = 100, seed: int = 0, id_col: str = "id") -> DataFrame:
     """Keys whose isolation score is above its (1 - contamination) quantile."""
     forest, s = fit_isolation_forest(df, cols, n_trees, sample, -1, seed, id_col)
-    sc = isolation_scores(df, cols, forest.collect(), s, id_col).persist()
+    sc = written(isolation_scores(df, cols, forest.collect(), s, id_col), "isolation")
     thr = quantile(sc, "score", 1.0 - contamination)
     return sc.where(F.col("score") > F.lit(thr)).select(id_col)
 
@@ -445,8 +517,7 @@ def kmeans_loo_gain(df: DataFrame, cols, ks, seed: int = 0, id_col: str = "id")
     """Drop in inertia when one row leaves its cluster, for each k: with the
     assignment fixed it is n_c / (n_c - 1) * |x - centre|^2 (closed form,
     one KMeans fit per k instead of one per row)."""
-    data = VectorAssembler(inputCols=list(cols), outputCol="features") \
-        .transform(df.select(id_col, *cols)).persist()
+    data = written(VectorAssembler(inputCols=list(cols), outputCol="features").transform(df.select(id_col, *cols)), "kmeans")
     out = None
     for k in ks:
         m = KMeans(k=k, seed=seed).fit(data)

@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from prepforge.functions.stats import column_stats
+
 
 def _q(c, p, approx):
     return F.percentile_approx(c, p, 10000) if approx else F.percentile(c, p)
@@ -40,7 +42,14 @@ def _as_double(df: DataFrame, cols, keep=()):
 
 def describe_numeric(df: DataFrame, cols, approx: bool = False, group_col: str | None = None,
                      digits: int | None = 6) -> DataFrame:
-    """count, mean, std (ddof 1), min, 25/50/75 % and max per column."""
+    """count, mean, std (ddof 1), min, 25/50/75 % and max per column. Without groups the columns are aggregated
+    side by side, in one scan and two for the quantiles; the result has one row a column."""
+    if not group_col and not approx:
+        names = {"count": "count", "mean": "mean", "std": "std", "min": "min", "p25": "q1", "p50": "median", "p75": "q3", "max": "max"}
+        st = column_stats(_as_double(df, cols), cols, list(names.values()))
+        rows = [(c, int(st[c]["count"] or 0), *[st[c][v] for k, v in names.items() if k != "count"]) for c in cols]
+        out = df.sparkSession.createDataFrame(rows, "var string, count long, " + ", ".join(f"{k} double" for k in names if k != "count"))
+        return out if digits is None else out.withColumns({k: F.round(k, digits) for k in names if k != "count"})
     keep = [group_col] if group_col else []
     long = _as_double(df, cols, keep).unpivot(keep, list(cols), "var", "x")
     g = ["var"] + keep

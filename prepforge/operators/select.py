@@ -9,8 +9,7 @@ p-values are evaluated by pandas UDFs on those per-feature rows.
 from __future__ import annotations
 
 import numpy as np
-from pyspark.ml.classification import (DecisionTreeClassifier, LogisticRegression,
-                                       RandomForestClassifier)
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -214,26 +213,22 @@ def select_uncorrelated(relevance: DataFrame, corr_long: DataFrame, limit: float
 
 
 # ------------------------------------------------------------- wrappers (R)
-def _assemble(df, cols, label_col, out="features"):
-    return VectorAssembler(inputCols=list(cols), outputCol=out, handleInvalid="keep") \
-        .transform(df.select(*cols, F.col(label_col).cast("double").alias("label")))
-
-
 def rank_tree_importance(df: DataFrame, cols, label_col: str, n: int | None = None,
                          seed: int = 0, max_depth: int = 18, min_split: int = 15,
                          num_trees: int = 100) -> DataFrame:
-    """Forest importances; ``bootstrap=False`` with per-node feature sampling is
-    Spark's closest form of an extremely randomised forest."""
-    data = _assemble(df, cols, label_col)
-    rf = RandomForestClassifier(numTrees=num_trees, maxDepth=min(max_depth, 30), bootstrap=False,
-                                minInstancesPerNode=max(1, min_split // 2), seed=seed,
-                                featureSubsetStrategy="sqrt")
-    imp = rf.fit(data).featureImportances.toArray()
-    rows = sorted(zip(cols, imp.tolist()), key=lambda t: (-t[1], t[0]))
-    if n:
-        rows = rows[:n]
-    return df.sparkSession.createDataFrame([(c, float(v), i + 1) for i, (c, v) in enumerate(rows)],
-                                           "var string, importance double, rank int")
+    """Importances of an extremely randomised forest: at each node the square root of the features is
+    drawn, with one random cut each, and the best of those cuts is taken. Rows with a null label or
+    a null or NaN feature are left out; ties go to the name."""
+    from prepforge.operators.tuning import extra_specs
+    from prepforge.plans import shared as SH
+    from prepforge.plans import trees as TR
+    cols = list(cols)
+    rows = SH.training_rows(df, cols, label_col)
+    codes = TR.binned(rows, TR.bin_edges(rows, len(cols)))
+    grown = TR.grow(codes, extra_specs(num_trees, len(cols), "gini", min_split, 1, max_depth, seed), len(cols))
+    imp = sum(t.importance(len(cols)) for t in grown) / num_trees
+    out = sorted(zip(cols, imp.tolist()), key=lambda t: (-t[1], t[0]))[:n]
+    return df.sparkSession.createDataFrame([(c, float(v), i + 1) for i, (c, v) in enumerate(out)], "var string, importance double, rank int")
 
 
 def select_rfe(df: DataFrame, cols, label_col: str, n: int, max_iter: int = 100) -> DataFrame:
@@ -252,106 +247,73 @@ def select_rfe(df: DataFrame, cols, label_col: str, n: int, max_iter: int = 100)
     return df.sparkSession.createDataFrame([(c,) for c in keep], "var string")
 
 
-def _fold_accuracy(vec, k, max_depth, seed):
-    tr, te = vec.where(F.col("fold") != k), vec.where(F.col("fold") == k)
-    m = DecisionTreeClassifier(maxDepth=max_depth, seed=seed).fit(tr)
-    return m.transform(te).agg(F.avg((F.col("prediction") == F.col("label")).cast("double"))).first()[0] or 0.0
-
-
 def select_forward_tree(df: DataFrame, cols, label_col: str, n_select: int, folds: int = 10,
-                        seed: int = 0, max_depth: int = 5, parallelism: int = 8) -> DataFrame:
-    """Greedy forward selection by mean k-fold accuracy of a decision tree.
-
-    Folds come from a key hash and the frame is cached once; in each step the
-    (candidate, fold) fits are independent distributed jobs submitted from a
-    thread pool of ``parallelism`` threads."""
-    from concurrent.futures import ThreadPoolExecutor
-    data = df.select(*cols, F.col(label_col).cast("double").alias("label")) \
-        .withColumn("fold", F.pmod(F.xxhash64(*cols, F.lit(seed)), F.lit(folds))).persist()
-    chosen: list[str] = []
-    try:
-        with ThreadPoolExecutor(parallelism) as pool:
-            while len(chosen) < n_select:
-                cands = [c for c in cols if c not in chosen]
-                vecs = {c: VectorAssembler(inputCols=chosen + [c], outputCol="features").transform(data)
-                        for c in cands}
-                futs = {(c, k): pool.submit(_fold_accuracy, vecs[c], k, max_depth, seed)
-                        for c in cands for k in range(folds)}
-                acc = {c: sum(futs[(c, k)].result() for k in range(folds)) / folds for c in cands}
-                chosen.append(max(cands, key=lambda c: (acc[c], -cands.index(c))))
-    finally:
-        data.unpersist()
-    return df.sparkSession.createDataFrame([(c, i + 1) for i, c in enumerate(chosen)],
-                                           "var string, step int")
-
-
-def select_genetic(df: DataFrame, cols, label_col: str, n_pop: int = 12, n_gen: int = 3,
+                        seed: int = 0, max_depth: int = 5, id_col: str = "id") -> DataFrame:
+    """Greedy forward selection by mean k-fold accuracy of a decision tree; ties go to the first column.
+
+    Folds are stratified on the label by the key. In each step the trees of all candidates and folds
+    grow together, one pass over binned rows a level, and one more pass counts their hits."""
+    from prepforge.operators.tuning import folded
+    from prepforge.plans import shared as SH
+    from prepforge.plans import trees as TR
+    cols = list(cols)
+    rows = folded(df, cols, label_col, folds, seed, id_col)
+    codes = TR.binned(rows, TR.bin_edges(rows, len(cols)))
+    chosen, accuracy = [], []
+    while len(chosen) < min(n_select, len(cols)):
+        cands = [j for j in range(len(cols)) if j not in chosen]
+        specs = [TR.TreeSpec("gini", max_depth, held=f, features=(*chosen, j)) for j in cands for f in range(folds)]
+        counts = TR.score_trees(codes, [[t] for t in TR.grow(codes, specs, len(cols))], [s.held for s in specs], len(cols))
+        tn, fp, fn, tp = np.moveaxis(SH.confusions(counts), -1, 0)
+        hit = np.divide(tn + tp, tn + fp + fn + tp, out=np.zeros_like(tn), where=tn + fp + fn + tp > 0).reshape(len(cands), folds).mean(axis=1)
+        best = int(hit.argmax())
+        chosen.append(cands[best])
+        accuracy.append(float(hit[best]))
+    return df.sparkSession.createDataFrame([(cols[j], i + 1, a) for i, (j, a) in enumerate(zip(chosen, accuracy))],
+                                           "var string, step int, accuracy double")
+
+
+def select_genetic(df: DataFrame, cols, label_col: str, n_pop: int = 50, n_gen: int = 4,
                    folds: int = 5, seed: int = 0, cx_prob: float = 0.5, mut_prob: float = 0.2,
-                   flip_prob: float = 0.1, tournament: int = 3, parallelism: int = 8) -> DataFrame:
-    """Genetic search over 0/1 feature masks.  Fitness is the F1 of
-    out-of-fold predictions of a logistic regression over ``folds`` hash folds.
-    The driver holds only masks; each fitness is ``folds`` Spark ML fits on the
-    cached frame, memoised by mask, and a generation's new masks are scored
-    concurrently from a thread pool."""
-    from concurrent.futures import ThreadPoolExecutor
+                   flip_prob: float = 0.1, tournament: int = 3, id_col: str = "id") -> DataFrame:
+    """Genetic search over 0/1 feature masks.  Fitness is the F1 of the out-of-fold predictions of a
+    logistic regression, folds stratified on the label by the key. All new masks of a generation
+    and their folds are fitted by the same passes over the rows; the driver holds masks, weights and counts."""
+    from prepforge.operators.tuning import folded
+    from prepforge.plans import shared as SH
     rng = np.random.default_rng(seed)
+    cols = list(cols)
     d = len(cols)
-    data = df.select(*cols, F.col(label_col).cast("double").alias("label")) \
-        .withColumn("fold", F.pmod(F.xxhash64(*cols, F.lit(seed)), F.lit(folds))).persist()
-    memo: dict[tuple, float] = {}
-
-    def fitness(mask):
-        key = tuple(int(b) for b in mask)
-        if key in memo:
-            return memo[key]
-        feats = [c for c, b in zip(cols, key) if b]
-        if not feats:
-            memo[key] = 0.0
-            return 0.0
-        vec = VectorAssembler(inputCols=feats, outputCol="features").transform(data)
-        tp = fp = fn = 0
-        for k in range(folds):
-            m = LogisticRegression(maxIter=50).fit(vec.where(F.col("fold") != k))
-            r = m.transform(vec.where(F.col("fold") == k)).agg(
-                F.count_if((F.col("prediction") == 1) & (F.col("label") == 1)).alias("tp"),
-                F.count_if((F.col("prediction") == 1) & (F.col("label") == 0)).alias("fp"),
-                F.count_if((F.col("prediction") == 0) & (F.col("label") == 1)).alias("fn")).first()
-            tp, fp, fn = tp + r["tp"], fp + r["fp"], fn + r["fn"]
-        f1 = 2 * tp / (2 * tp + fp + fn) if (2 * tp + fp + fn) else 0.0
-        memo[key] = f1
-        return f1
-
-    pool = ThreadPoolExecutor(parallelism)
+    rows = folded(df, cols, label_col, folds, seed, id_col)
+    memo: dict[tuple, float] = {(0,) * d: -1.0}  # no columns: worse than any
 
     def score_all(pop):
-        new = {tuple(int(b) for b in p) for p in pop} - set(memo)
-        for key, f in [(k, pool.submit(fitness, np.array(k))) for k in new]:
-            f.result()
-        return [fitness(p) for p in pop]
-
-    try:
-        pop = [rng.integers(0, 2, d) for _ in range(n_pop)]
-        for _ in range(n_gen):
-            fits = score_all(pop)
-            nxt = []
-            while len(nxt) < n_pop:
-                a = max(rng.choice(n_pop, tournament, replace=False), key=lambda i: fits[i])
-                b = max(rng.choice(n_pop, tournament, replace=False), key=lambda i: fits[i])
-                x, y = pop[a].copy(), pop[b].copy()
-                if rng.random() < cx_prob and d > 2:
-                    i, j = sorted(rng.choice(np.arange(1, d), 2, replace=False))
-                    x[i:j], y[i:j] = y[i:j].copy(), x[i:j].copy()
-                for z in (x, y):
-                    if rng.random() < mut_prob:
-                        flips = rng.random(d) < flip_prob
-                        z[flips] = 1 - z[flips]
-                nxt += [x, y]
-            pop = nxt[:n_pop]
+        new = [m for m in dict.fromkeys(tuple(int(b) for b in p) for p in pop) if m not in memo]
+        if new:
+            specs = [SH.Logistic(1.0, "l2", 100, held=f, mask=m) for m in new for f in range(folds)]
+            counts = SH.score_logistic(rows, specs, SH.fit_logistic(rows, specs, d, tol=1e-9))
+            # out-of-fold predictions of all folds together
+            memo.update(zip(new, SH.f1(counts.reshape(len(new), folds, *counts.shape[1:]).sum(axis=1)).tolist()))
+        return [memo[tuple(int(b) for b in p)] for p in pop]
+
+    pop = [rng.integers(0, 2, d) for _ in range(n_pop)]
+    for _ in range(n_gen):
         fits = score_all(pop)
-        best = pop[int(np.argmax(fits))]
-    finally:
-        pool.shutdown()
-        data.unpersist()
-    chosen = [c for c, b in zip(cols, best) if b]
-    return df.sparkSession.createDataFrame([(c, float(max(fits))) for c in chosen],
-                                           "var string, fitness double")
+        nxt = []
+        while len(nxt) < n_pop:
+            a = max(rng.choice(n_pop, min(tournament, n_pop), replace=False), key=lambda i: fits[i])
+            b = max(rng.choice(n_pop, min(tournament, n_pop), replace=False), key=lambda i: fits[i])
+            x, y = pop[a].copy(), pop[b].copy()
+            if rng.random() < cx_prob and d > 2:
+                i, j = sorted(rng.choice(np.arange(1, d), 2, replace=False))
+                x[i:j], y[i:j] = y[i:j].copy(), x[i:j].copy()
+            for z in (x, y):
+                if rng.random() < mut_prob:
+                    flips = rng.random(d) < flip_prob
+                    z[flips] = 1 - z[flips]
+            nxt += [x, y]
+        pop = nxt[:n_pop]
+    score_all(pop)
+    # the fittest mask of all generations; ties go to fewer columns, then to the earlier ones
+    best = max(memo, key=lambda m: (memo[m], -sum(m), m))
+    return df.sparkSession.createDataFrame([(c, float(memo[best])) for c, b in zip(cols, best) if b], "var string, fitness double")

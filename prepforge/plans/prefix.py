@@ -186,6 +186,64 @@ def exact_quantiles(long_df: DataFrame, value_col: str, probs, group_cols=()) ->
     return back.select(*[F.col(k).alias(c) for k, c in zip(g, out_g)], "p", q.alias("q"))
 
 
+def wide_quantiles(df: DataFrame, cols, probs) -> dict[tuple[str, float], float | None]:
+    """Exact quantiles (linear interpolation) of whole columns: {(column, p): value}, None without values.
+
+    Two wide scans, nothing unpivoted: the first sketches all columns and brackets each wanted rank, the
+    second counts what lies below the brackets and keeps the few values inside them, brackets being
+    literals. A column no larger than the sketch is taken whole. Where a bracket would hold over
+    ``BRACKET_ROWS`` values :func:`exact_quantiles` narrows it."""
+    cols, probs = list(cols), [float(p) for p in probs]
+    out: dict[tuple[str, float], float | None] = {}
+    if len(cols) > 50:  # keeps generated code below the JVM's method limit
+        for i in range(0, len(cols), 50):
+            out.update(wide_quantiles(df, cols[i:i + 50], probs))
+        return out
+    if not cols or not probs:
+        return out
+    x = [F.col(c).cast("double") for c in cols]
+    d = 2.0 / ACCURACY
+    marks = [max(p - d, 0.0) for p in probs] + [min(p + d, 1.0) for p in probs]
+    head = df.agg(*[e.alias(f"{n}{i}") for i, v in enumerate(x) for n, e in (
+        ("n", F.count(v)), ("a", F.min(v)), ("b", F.max(v)), ("s", F.percentile_approx(v, marks, ACCURACY)))]).first()
+    brackets: dict[tuple, int] = {}
+    wanted = []  # column, p, bracket, lower rank, share of the upper
+    for i, c in enumerate(cols):
+        n = head[f"n{i}"]
+        if n * 2 * d > BRACKET_ROWS:
+            long = df.select(x[i].alias("__x"))
+            out.update({(c, r["p"]): r["q"] for r in exact_quantiles(long, "__x", probs).collect()})
+            continue
+        for j, p in enumerate(probs):
+            if not n:
+                out[c, p] = None
+                continue
+            key = (i, head[f"a{i}"], head[f"b{i}"]) if n <= ACCURACY else (i, head[f"s{i}"][j], head[f"s{i}"][len(probs) + j])
+            h = p * (n - 1)
+            wanted.append((c, p, brackets.setdefault(key, len(brackets)), int(h), h - int(h)))
+    if not wanted:
+        return out
+    below = dict.fromkeys(range(len(brackets)), 0)
+    part = {k: (i, a) for (i, a, _), k in brackets.items() if head[f"n{i}"] > ACCURACY}
+    if part:
+        r = df.agg(*[F.count_if(x[i] < F.lit(a)).alias(f"k{k}") for k, (i, a) in part.items()]).first()
+        below.update({k: r[f"k{k}"] for k in part})
+    inside = F.array(*[F.when((x[i] >= F.lit(a)) & (x[i] <= F.lit(b)), F.struct(F.lit(k).alias("k"), x[i].alias("v")))
+                       for (i, a, b), k in brackets.items()])
+    cells = df.select(F.explode(F.array_compact(inside)).alias("z")).groupBy("z.k", "z.v").agg(F.count(F.lit(1)).alias("c"))
+    upto = Window.partitionBy("k").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    cells = cells.withColumn("e", F.sum("c").over(upto))
+    ranks = list(dict.fromkeys((k, r) for _, _, k, lo, frac in wanted for r in ((lo, lo + 1) if frac else (lo,))))
+    # one row for each rank that is asked for
+    at = F.array(*[F.when((F.col("k") == k) & (F.col("e") - F.col("c") <= r - below[k]) & (F.col("e") > r - below[k]), F.lit(q))
+                   for q, (k, r) in enumerate(ranks)])
+    got = {ranks[r["q"]]: r["v"] for r in cells.select("v", F.explode(F.array_compact(at)).alias("q")).collect()}
+    for c, p, k, lo, frac in wanted:
+        v = got[k, lo]
+        out[c, p] = v if not frac else v + frac * (got[k, lo + 1] - v)
+    return out
+
+
 def value_at_rank(df: DataFrame, value_col: str, rank: int) -> float | None:
     """The value at a 0-based ascending rank among the non-null values."""
     rows = df.where(F.col(value_col).isNotNull()).select(F.lit(0).alias("__g0"), F.col(value_col).cast("double").alias("__x"))

@@ -87,3 +87,46 @@ def test_label_codes_of_many_levels(spark):
     assert out[0] == 0 and out[12999] == 12999 and out[20000] == out[12994] and out[20001] is None
     back = {r["id"]: r["c"] for r in codes.decode(codes.encode(df)).collect()}
     assert back[77] == "v12922" and back[20001] is None
+
+
+def test_envelope_finds_outliers_that_mask_one_another(spark):
+    r = np.random.default_rng(3)
+    x = r.normal(size=(800, 5)) @ np.diag([1, 2, 1, 0.5, 3])
+    x[:240] = r.normal(size=(240, 5)) * 0.3 + np.array([9, -9, 9, 4, 12])
+    df = spark.createDataFrame([(i, *map(float, v)) for i, v in enumerate(x)] + [(9999, None, 0.0, 0.0, 0.0, 0.0)], "id long, a double, b double, c double, d double, e double")
+    out = multivariate.elliptic_envelope(df, list("abcde"), contamination=0.3).collect()
+    assert {r["id"] for r in out if r["flagged"]} == set(range(240)) and len(out) == 800
+    # the classical moments are pulled towards them and miss most
+    from prepforge.functions.stats import pinv
+    _, mu, cov = multivariate.moments(df.where("id < 800"), list("abcde"))
+    d = np.einsum("ij,jk,ik->i", x - mu, pinv(cov), x - mu)
+    assert len(set(np.argsort(-d)[:240]) & set(range(240))) < 200
+    mean, _ = multivariate.fit_mcd(df, list("abcde"))
+    assert np.abs(mean - x[240:].mean(axis=0)).max() < 0.6
+
+
+def test_discriminant_has_one_sign(spark):
+    r = np.random.default_rng(5)
+    rows = [(i, *map(float, r.normal(size=3) + (i % 2) * np.array([2, -1, 0])), i % 2) for i in range(200)] + [(999, 0.0, 0.0, 0.0, None)]
+    df = spark.createDataFrame(rows, "id long, x double, y double, z double, label int")
+    for part in (df, df.repartition(7)):
+        _, dirs, ratio = multivariate.fit_lda(part, ["x", "y", "z"], "label")
+        assert dirs.shape == (3, 1) and dirs[0, 0] > 0 > dirs[1, 0] and abs(dirs[0, 0]) == np.abs(dirs).max() and ratio[0] == 1
+
+
+def test_wide_quantiles_equal_numpy(spark, monkeypatch):
+    from prepforge.plans import prefix
+    r = np.random.default_rng(0)
+    x = np.column_stack([r.normal(size=4000).round(2), np.where(r.random(4000) < 0.6, 3.0, r.random(4000)), r.integers(0, 5, 4000)]).astype(float)
+    df = spark.createDataFrame([(*map(float, v), None) for v in x] + [(None, None, None, None)], "a double, b double, c double, none double")
+    probs = [0.0, 0.01, 0.25, 0.5, 0.975, 1.0]
+    for accuracy in (10_000, 100):
+        monkeypatch.setattr(prefix, "ACCURACY", accuracy)
+        got = prefix.wide_quantiles(df, ["a", "b", "c", "none"], probs)
+        for j, c in enumerate("abc"):
+            for p in probs:
+                assert np.isclose(got[c, p], np.percentile(x[:, j], 100 * p), atol=1e-12), (c, p)
+            assert got["none", 0.5] is None
+    monkeypatch.setattr(prefix, "BRACKET_ROWS", 10)
+    assert np.isclose(prefix.wide_quantiles(df, ["a"], [0.3])["a", 0.3], np.percentile(x[:, 0], 30))
+    assert prefix.wide_quantiles(df.limit(0), ["a"], [0.5]) == {("a", 0.5): None}
