@@ -76,9 +76,9 @@ def outlier_boxplot(df: DataFrame, cols, percent: float = 0.03, threshold: float
     :func:`prepforge.plans.prefix.top_n_exact` (a cut value from a bucketed
     running sum, then a bucketed rank inside the tie group), never by a
     single-task ``limit`` of millions of rows."""
-    from prepforge.plans.prefix import top_n_exact
+    from prepforge.plans.prefix import top_n_exact, written
     n = int(df.count() * percent)
-    flags = _box_flags(df, cols, threshold, id_col)
+    flags = written(_box_flags(df, cols, threshold, id_col), "boxflags")  # read by the cut, the filter and the ties
     return top_n_exact(flags, "dist", [id_col, "var"], n).select(id_col).distinct()
 
 

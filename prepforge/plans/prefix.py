@@ -186,13 +186,14 @@ def exact_quantiles(long_df: DataFrame, value_col: str, probs, group_cols=()) ->
     return back.select(*[F.col(k).alias(c) for k, c in zip(g, out_g)], "p", q.alias("q"))
 
 
-def wide_quantiles(df: DataFrame, cols, probs) -> dict[tuple[str, float], float | None]:
+def wide_quantiles(df: DataFrame, cols, probs, rank: int | None = None) -> dict[tuple[str, float], float | None]:
     """Exact quantiles (linear interpolation) of whole columns: {(column, p): value}, None without values.
 
     Two wide scans, nothing unpivoted: the first sketches all columns and brackets each wanted rank, the
     second counts what lies below the brackets and keeps the few values inside them, brackets being
     literals. A column no larger than the sketch is taken whole. Where a bracket would hold over
-    ``BRACKET_ROWS`` values :func:`exact_quantiles` narrows it."""
+    ``BRACKET_ROWS`` values :func:`exact_quantiles` narrows it. ``rank`` asks for the value at that 0-based rank, of
+    which the one probability is the share, instead of interpolating."""
     cols, probs = list(cols), [float(p) for p in probs]
     out: dict[tuple[str, float], float | None] = {}
     if len(cols) > 50:  # keeps generated code below the JVM's method limit
@@ -219,7 +220,7 @@ def wide_quantiles(df: DataFrame, cols, probs) -> dict[tuple[str, float], float
                 out[c, p] = None
                 continue
             key = (i, head[f"a{i}"], head[f"b{i}"]) if n <= ACCURACY else (i, head[f"s{i}"][j], head[f"s{i}"][len(probs) + j])
-            h = p * (n - 1)
+            h = p * (n - 1) if rank is None else rank
             wanted.append((c, p, brackets.setdefault(key, len(brackets)), int(h), h - int(h)))
     if not wanted:
         return out
@@ -246,10 +247,13 @@ def wide_quantiles(df: DataFrame, cols, probs) -> dict[tuple[str, float], float
 
 def value_at_rank(df: DataFrame, value_col: str, rank: int) -> float | None:
     """The value at a 0-based ascending rank among the non-null values."""
-    rows = df.where(F.col(value_col).isNotNull()).select(F.lit(0).alias("__g0"), F.col(value_col).cast("double").alias("__x"))
-    n = rows.count()
+    n = df.agg(F.count(value_col)).first()[0]
     if not 0 <= rank < n:
         return None
+    if n * 4 / ACCURACY <= BRACKET_ROWS:
+        p = rank / max(n - 1, 1)
+        return wide_quantiles(df, [value_col], [p], rank)[value_col, p]
+    rows = df.where(F.col(value_col).isNotNull()).select(F.lit(0).alias("__g0"), F.col(value_col).cast("double").alias("__x"))
     t, n_max = _brackets(rows, ["__g0"], [rank / max(n - 1, 1)])
     t = t.withColumn("__lo", F.lit(rank).cast("long")).withColumn("__hi", F.lit(rank).cast("long"))
     return _select_ranks(rows, ["__g0"], t.select("__g0", "__pi", "__lo", "__hi", "__a", "__b"), n_max).first()["__vlo"]
