@@ -132,6 +132,13 @@ def cooks_outliers(df: DataFrame, target: str, cols, id_col: str = "id") -> Data
 MCD_STARTS, MCD_KEPT, MCD_SAMPLE, MCD_BINS = 100, 10, 2000, 4096
 
 
+def _root(cov: np.ndarray) -> tuple[np.ndarray, float]:
+    """(W with W W' the inverse of ``cov``, its log determinant); directions without spread count as nearly flat."""
+    vals, vecs = np.linalg.eigh((cov + cov.T) / 2)
+    vals = np.maximum(vals, 1e-8)
+    return vecs / np.sqrt(vals), float(np.log(vals).sum())
+
+
 def _c_steps(rows: DataFrame, fits: list, share: float, n: int) -> list:
     """One concentration step of every (mean, covariance, log determinant) of ``fits`` side by side: a pass cuts each
     one's squared distances by a histogram at ``share`` of the rows, another takes the moments of the
@@ -139,7 +146,7 @@ def _c_steps(rows: DataFrame, fits: list, share: float, n: int) -> list:
     d = len(fits[0][0])
     at = np.triu_indices(d)
     lo, hi = -20.0, 60.0  # log2 of squared distances
-    white = [(mu, np.linalg.cholesky(pinv(cov) + 1e-12 * np.eye(d))) for mu, cov, _ in fits]
+    white = [(mu, _root(cov)[0]) for mu, cov, _ in fits]
 
     def far(x: np.ndarray, i: int) -> np.ndarray:
         mu, root = white[i]
@@ -169,7 +176,7 @@ def _c_steps(rows: DataFrame, fits: list, share: float, n: int) -> list:
         mu, second = r[1:1 + d] / r[0], np.zeros((d, d))
         second[at] = second[at[::-1]] = r[1 + d:]
         cov = (second - r[0] * np.outer(mu, mu)) / max(r[0] - 1, 1)
-        out.append((mu, cov, float(np.linalg.slogdet(cov + 1e-12 * np.eye(d))[1])))
+        out.append((mu, cov, _root(cov)[1]))
     return out
 
 
