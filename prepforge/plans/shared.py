@@ -141,7 +141,7 @@ def fit_logistic(data: DataFrame, specs: list[Logistic], n_features: int, tol: f
     """Weights (features, then intercept) of every spec, all fitted together on ``data`` (:func:`training_rows`).
 
     Newton steps, halved while the objective rises; a model leaves the passes once a step lowers its
-    objective by no more than ``tol`` of it, or after ``max_iter`` steps."""
+    objective by no more than ``tol`` of it (of 1 where it is less, as on separable rows), or after ``max_iter`` steps."""
     k = n_features + 1
     out, w = np.zeros((len(specs), k)), np.zeros((len(specs), k))
     alpha, l1 = np.array([1.0 / s.C for s in specs]), np.array([s.penalty == "l1" for s in specs])
@@ -153,7 +153,7 @@ def fit_logistic(data: DataFrame, specs: list[Logistic], n_features: int, tol: f
         feat = w[live][:, :-1]
         value = loss + alpha[live] * np.where(l1[live], np.abs(feat).sum(axis=1), (feat ** 2).sum(axis=1) / 2)
         worse = (value > best[live] * (1 + 1e-14)) & (np.abs(delta[live]).max(axis=1) > 1e-13)
-        done = ~worse & (best[live] - value <= tol * np.abs(value)) | (steps[live] >= [specs[i].max_iter for i in live]) & ~worse
+        done = ~worse & (best[live] - value <= tol * np.maximum(np.abs(value), 1.0)) | (steps[live] >= [specs[i].max_iter for i in live]) & ~worse
         for i in live[worse]:  # back half way
             delta[i] /= 2
             w[i] = out[i] + delta[i]
