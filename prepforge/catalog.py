@@ -658,6 +658,7 @@ from prepforge.operators import models as M  # noqa: E402
 from prepforge.operators import runner as RUN  # noqa: E402
 from prepforge.operators import sample as SA  # noqa: E402
 from prepforge.operators import tuning as TU  # noqa: E402
+from prepforge.plans import boost as BO  # noqa: E402
 from prepforge.plans import prepare as PR  # noqa: E402
 from prepforge.plans import shared as SH  # noqa: E402
 from prepforge.plans import trees as TR  # noqa: E402
@@ -796,6 +797,19 @@ def q_fit_gbt(spark, sf):
     return _scores(M.gbt(2, 0.1, 50).fit(train), test)
 
 
+@query("tune_boosted")
+def q_tune_boosted(spark, sf):
+    """All 12 settings of the reference's second-order boosted trees."""
+    return TU.report(spark, _tuned(spark, sf, TU.tune_boosted)[0])
+
+
+@query("fit_boosted")
+def q_fit_boosted(spark, sf):
+    _, spec, trees, edges = _tuned(spark, sf, TU.tune_boosted)
+    out = BO.boosted_scores(shared_rows(spark, sf)[1], spec, trees, edges, ["id", "y"])
+    return out.select("id", F.col("y").alias("response"), "score", (F.col("score") > 0.5).cast("double").alias("prediction"))
+
+
 @query("fit_mlp")
 def q_fit_mlp(spark, sf):
     _, spec, w = _tuned(spark, sf, TU.tune_network)

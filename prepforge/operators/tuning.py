@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from prepforge.functions.exprs import is_numeric
 from prepforge.operators.sample import kfold_stratified
+from prepforge.plans import boost as BO
 from prepforge.plans import shared as SH
 from prepforge.plans import trees as TR
 from prepforge.plans.knn import known
@@ -26,6 +27,7 @@ LOGISTIC_GRID = {"penalty": ["l1", "l2"], "C": [float(c) for c in np.logspace(-4
 TREE_GRID = {"criterion": ["entropy", "gini"], "max_depth": [3, 4, 5, 6], "min_samples_split": [30, 50, 70]}
 EXTRA_GRID = {"min_samples_split": [2, 5, 10], "min_samples_leaf": [1, 3, 6], "criterion": ["gini", "entropy"]}
 NETWORK_GRID = {"hidden": [(3,), (6,), (3, 3), (5, 5)]}
+BOOSTED_GRID = {"learning_rate": [0.1, 0.5, 1.0], "max_depth": [3, 5], "n_estimators": [100, 200]}
 #: Extremely randomised trees have no depth limit of their own; this one is out of reach of any table
 #: that halves its nodes now and then.
 UNLIMITED = 64
@@ -112,6 +114,28 @@ def tune_extra_trees(rows: DataFrame, n_features: int, grid: list[dict] | None =
     return out, grown, edges
 
 
+def tune_boosted(rows: DataFrame, n_features: int, grid: list[dict] | None = None, k: int = 5):
+    """(settings with their ratio, spec and trees of the best on all rows, bin edges) of second-order boosted trees. One
+    booster a rate, depth and fold grows to the grid's most rounds; the settings with fewer are its first trees."""
+    grid = grid or settings(BOOSTED_GRID)
+    edges = TR.bin_edges(rows, n_features)
+    codes = TR.binned(rows, edges)
+    kinds = list(dict.fromkeys((g["learning_rate"], g["max_depth"]) for g in grid))
+    rounds = {v: sorted({g["n_estimators"] for g in grid if (g["learning_rate"], g["max_depth"]) == v}) for v in kinds}
+    keys = [(v, f) for v in kinds for f in [*range(k), None]]
+    specs = {(v, f): BO.BoostSpec(v[0], v[1], rounds[v][-1], held=f) for v, f in keys}
+    grown = dict(zip(keys, BO.boost(codes, list(specs.values()), n_features)))
+    tried = [(v, f) for v, f in keys if f is not None]
+    counts = BO.score_boosted(codes, [(specs[x], grown[x], rounds[x[0]]) for x in tried], n_features)
+    by = {}
+    for (v, r), ratio in zip([(v, r) for v, _ in tried for r in rounds[v]], SH.hard_profit_ratio(counts)):
+        by.setdefault((*v, r), []).append(ratio)
+    out = ranked(grid, np.array([np.mean(by[g["learning_rate"], g["max_depth"], g["n_estimators"]]) for g in grid]))
+    best = out[0][0]
+    whole = ((best["learning_rate"], best["max_depth"]), None)
+    return out, specs[whole], grown[whole][:best["n_estimators"]], edges
+
+
 def tune_random(df: DataFrame, label_col: str, preparation, bounds: dict, init: int = 50, more: int = 100, seed: int = 0, k: int = 5,
                 id_col: str = "id", threads: int = 4) -> list[tuple[dict, float]]:
     """Random search whose unit is the preparation and the model: ``preparation`` (a function that returns a

@@ -38,6 +38,16 @@ def written(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def remove_written(df: DataFrame) -> None:
+    """Delete the table behind a frame of :func:`written` that nothing reads any more; other frames are left alone."""
+    files = df.inputFiles()
+    if not files or "/prepforge-plans/" not in files[0]:
+        return
+    sc = df.sparkSession.sparkContext
+    path = sc._jvm.org.apache.hadoop.fs.Path(files[0].rsplit("/", 1)[0])
+    path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def _n_partitions(df: DataFrame) -> int:
     return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 

@@ -43,9 +43,10 @@ def matrix(col: pa.Array) -> np.ndarray:
     return col.flatten().to_numpy(zero_copy_only=False).reshape(len(col), -1)
 
 
-def scan_sums(data: DataFrame, step: Callable, size: int, add_up=np.add, start: float = 0.0) -> np.ndarray:
+def scan_sums(data: DataFrame, step: Callable, size: int, add_up=np.add, start: float = 0.0, tasks: int | None = None) -> np.ndarray:
     """The sum (or what ``add_up`` makes, from ``start``) over all rows of ``step(batch)``, an array of ``size`` doubles for an Arrow batch of ``data``.
-    Each task adds up its rows; above ``MERGE_ABOVE`` tasks their sums are merged by tasks first."""
+    Each task adds up its rows; above ``MERGE_ABOVE`` tasks their sums are merged by tasks first. ``tasks``: their
+    number, where the caller knows it (asking plans ``data`` once more)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
         total = np.full(size, start)
@@ -64,7 +65,7 @@ def scan_sums(data: DataFrame, step: Callable, size: int, add_up=np.add, start:
             yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([total.tobytes()], pa.binary())], names=["part", "data"])
 
     rows = data.mapInArrow(run, "part int, data binary")
-    tasks = data.rdd.getNumPartitions()
+    tasks = data.rdd.getNumPartitions() if tasks is None else tasks
     if tasks > MERGE_ABOVE:
         k = math.isqrt(tasks)
         rows = rows.repartitionById(k, F.col("part") % k).sortWithinPartitions("part").mapInArrow(add, "part int, data binary")
