@@ -164,12 +164,15 @@ def fit_logistic(data: DataFrame, specs: list[Logistic], n_features: int, tol: f
         i = live[go]
         if len(i):
             gi, hi = np.where(free[i], g[go], 0), h[go] * free[i][:, :, None] * free[i][:, None, :]
-            hi = hi + np.eye(k)[None] * np.where(free[i], 1e-10 * (1 + np.trace(hi, axis1=1, axis2=2)[:, None] / k), 1.0)[:, :, None]
+            # each feature by its own scale: a share of the trace would hold the small ones back beside a large one
+            hi = hi + np.eye(k)[None] * np.where(free[i], 1e-10 * (1 + np.einsum("ijj->ij", hi)), 1.0)[:, :, None]
             d = np.zeros((len(i), k))
             sq = ~l1[i]
             if sq.any():
                 reg = alpha[i][sq][:, None] * free[i][sq] * np.append(np.ones(k - 1), 0)
-                d[sq] = -np.linalg.solve(hi[sq] + np.eye(k)[None] * reg[:, :, None], (gi[sq] + reg * w[i][sq])[:, :, None])[:, :, 0]
+                a = hi[sq] + np.eye(k)[None] * reg[:, :, None]
+                unit = 1 / np.sqrt(np.einsum("ijj->ij", a))
+                d[sq] = -unit * np.linalg.solve(a * unit[:, :, None] * unit[:, None, :], ((gi[sq] + reg * w[i][sq]) * unit)[:, :, None])[:, :, 0]
             if l1[i].any():
                 d[l1[i]] = _l1_step(w[i][l1[i]], gi[l1[i]], hi[l1[i]], alpha[i][l1[i]], free[i][l1[i]])
             delta[i] = d

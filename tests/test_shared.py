@@ -54,6 +54,20 @@ def test_logistic_equals_one_by_one_fits(planted, rows):
         assert np.allclose(own, [*m.coefficients.toArray(), m.intercept], atol=1e-5), s
 
 
+def test_a_column_of_large_scale_does_not_hold_the_others_back(rows, monkeypatch):
+    passes, sums = [0], SH._loss_sums
+
+    def counted(*a):
+        passes[0] += 1
+        return sums(*a)
+    monkeypatch.setattr(SH, "_loss_sums", counted)
+    scale = np.array([1e6, 1, 1, 1, 1e3, 1])
+    wide = rows.withColumn("x", F.zip_with("x", F.array(*[F.lit(float(v)) for v in scale]), lambda a, b: a * b))
+    w, = SH.fit_logistic(wide, [SH.Logistic(1e4)], D)
+    assert passes[0] < 20
+    assert np.allclose(w[:-1] * scale, SH.fit_logistic(rows, [SH.Logistic(1e4)], D)[0][:-1], atol=1e-2)
+
+
 def test_masks_and_training_sets_of_their_own(rows):
     only = SH.fit_logistic(rows, [SH.Logistic(1.0, only=3), SH.Logistic(1.0, mask=(0, 1, 0, 1, 0, 0))], D)
     assert np.allclose(only[0], SH.fit_logistic(rows.where("fold = 3"), [SH.Logistic(1.0)], D)[0], atol=1e-7)
