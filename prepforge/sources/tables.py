@@ -7,6 +7,8 @@ every operator reads data whose size grows with the scale factor.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,6 +25,8 @@ MARITAL_BY_NATION_MOD9 = ["Married", "Together", "Single", "Divorced", "Widow",
 CHANNEL_PRIORITY = [("num_web", "1-URGENT"), ("num_catalog", "2-HIGH"),
                     ("num_store", "3-MEDIUM")]
 CAMPAIGN_YEAR = 1996
+#: Line items whose orders one task adds up.
+TASK_ROWS = 500_000
 DEAL_DISCOUNT = 0.08
 
 SPEND_COLS = [c for c, _ in SPEND_TYPES]
@@ -64,10 +68,11 @@ def c360_materialized(spark: SparkSession, sf_dir: str) -> DataFrame:
 def c360(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per customer with the reference's customer-table columns.
 
-    Plan shape: lineitem is pre-aggregated per order (partial aggregation on
-    the map side), joined to orders on the same key, re-aggregated per
-    customer, and the three per-customer frames are joined on one key.  The
-    part lookup is a plain join; AQE broadcasts it only when its measured size
+    Plan shape: lineitem and orders are dealt by the order key over a number of
+    tasks that follows the rows of lineitem (an order has a few lines only, so
+    adding up before the shuffle would hold a scan task's orders in memory and
+    save little), joined there, re-aggregated per customer, and the three
+    per-customer frames are joined on one key.  The part lookup is a plain join; AQE broadcasts it only when its measured size
     is below ``spark.sql.autoBroadcastJoinThreshold`` and sort-merges it else.
     """
     cust = read_table(spark, sf_dir, "customer").select(
@@ -80,8 +85,10 @@ def c360(spark: SparkSession, sf_dir: str) -> DataFrame:
         "p_partkey", F.substring_index("p_type", " ", 1).alias("p_kind"))
     events = read_table(spark, sf_dir, "events").select("user_id", "event_type")
 
+    n = max(spark.sparkContext.defaultParallelism, math.ceil(li.count() / TASK_ROWS))
     money = F.col("l_extendedprice").cast("decimal(18,2)")
     per_order = (li.join(part, li.l_partkey == part.p_partkey, "left")
+                 .drop("l_partkey", "p_partkey").repartition(n, "l_orderkey")
                  .groupBy("l_orderkey")
                  .agg(*[F.sum(F.when(F.col("p_kind") == t, money)).alias(c)
                         for c, t in SPEND_TYPES],
@@ -90,7 +97,7 @@ def c360(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.count_if(F.col("l_returnflag") == "R").alias("n_returns")))
 
     od = F.col("o_orderdate")
-    per_cust = (orders.join(per_order, orders.o_orderkey == per_order.l_orderkey, "left")
+    per_cust = (orders.repartition(n, "o_orderkey").join(per_order, orders.o_orderkey == per_order.l_orderkey, "left")
                 .groupBy("o_custkey")
                 .agg(F.min(od).alias("first_order"), F.max(od).alias("last_order"),
                      *[F.sum(c).alias(c) for c in SPEND_COLS],

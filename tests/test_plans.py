@@ -47,3 +47,24 @@ def test_roc_window_is_partitioned(spark):
     p = _plan(EV.roc_points(scored(spark, SF_SMALL), "response", "score"))
     # the windows are partitioned by the range partition, or run over the table of partition totals
     assert p.count("SinglePartition") == 1 and "hashpartitioning(__pid" in p
+
+
+def test_orders_are_dealt_over_tasks_that_follow_the_rows(spark, tmp_path, monkeypatch):
+    """c360 adds up no orders in the tasks that scan line items: it deals them by key, over more tasks for more rows."""
+    from prepforge.sources import tables
+    rows = {"customer": "id c_custkey, id % 5 c_nationkey, double(id) c_acctbal, 'A' c_mktsegment",
+            "part": "id p_partkey, 'LARGE X' p_type",
+            "orders": "id o_orderkey, id % 7 o_custkey, date'1996-01-01' + int(id) o_orderdate, '1-URGENT' o_orderpriority",
+            "lineitem": "id % 40 l_orderkey, id % 40 l_partkey, double(id) l_extendedprice, 0.1D l_discount, 'R' l_returnflag",
+            "events": "id % 7 user_id, 'view' event_type"}
+    for name, cols in rows.items():
+        spark.range(120 if name == "lineitem" else 40).selectExpr(*cols.split(", ")).write.parquet(f"{tmp_path}/{name}.parquet")
+    few = sorted(map(str, tables.c360(spark, str(tmp_path)).collect()))
+    monkeypatch.setattr(tables, "TASK_ROWS", 2)
+    many = tables.c360(spark, str(tmp_path))
+    p = _plan(many)
+    for key in ("l_orderkey", "o_orderkey"):
+        assert [line for line in p.splitlines() if f"hashpartitioning({key}" in line and ", 60)" in line]
+    scan = p[p.index("hashpartitioning(l_orderkey"):]
+    assert "keys=[l_orderkey" not in scan and "keys=[l_orderkey" in p
+    assert sorted(map(str, many.collect())) == few
