@@ -23,55 +23,80 @@ from pyspark.sql import types as T
 
 from prepforge.operators.evaluate import COST, N_THRESHOLDS, REVENUE, STEP
 from prepforge.plans.knn import known
-from prepforge.plans.prefix import written
+from prepforge.plans.prefix import remove_written, written
 
-#: Rows that a step of a pass takes, partial sums that reach the driver unmerged.
-CHUNK, MERGE_ABOVE = 2048, 64
+#: Rows that a step of a pass takes; partial sums, and numbers in all of them, that reach the driver unmerged.
+CHUNK, MERGE_ABOVE, DIRECT = 2048, 64, 1 << 17
+#: Numbers of one piece of all partial sums, which one task adds up.
+PIECES = 1 << 21
 THRESHOLDS = np.array([i * STEP for i in range(N_THRESHOLDS)])
 
 
 def training_rows(df: DataFrame, cols, label_col: str, fold_col: str | None = None, id_col: str | None = None) -> DataFrame:
     """(x: array of doubles, y, fold[, id]) of the rows with a label and all of ``cols``; written, since
-    every pass reads it. Without folds, or where it is null, ``fold`` is -1."""
+    every pass reads it, over as many tasks as run at once. Without folds, or where it is null, ``fold`` is -1."""
     fold = F.coalesce(F.col(fold_col).cast("int"), F.lit(-1)) if fold_col else F.lit(-1)
-    return written(known(df, cols).where(F.col(label_col).isNotNull()).select(
+    rows = written(known(df, cols).where(F.col(label_col).isNotNull()).select(
         F.array(*[F.col(c).cast("double") for c in cols]).alias("x"), F.col(label_col).cast("double").alias("y"), fold.alias("fold"),
         *([F.col(id_col).alias("id")] if id_col else [])), "shared")
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    if rows.rdd.getNumPartitions() >= cores:
+        return rows
+    # a small table comes in a few files, and each pass would keep the other cores idle
+    few = rows
+    rows = written(few.repartition(cores), "shared")
+    remove_written(few)
+    return rows
 
 
 def matrix(col: pa.Array) -> np.ndarray:
     return col.flatten().to_numpy(zero_copy_only=False).reshape(len(col), -1)
 
 
-def scan_sums(data: DataFrame, step: Callable, size: int, add_up=np.add, start: float = 0.0, tasks: int | None = None) -> np.ndarray:
-    """The sum (or what ``add_up`` makes, from ``start``) over all rows of ``step(batch)``, an array of ``size`` doubles for an Arrow batch of ``data``.
-    Each task adds up its rows; above ``MERGE_ABOVE`` tasks their sums are merged by tasks first. ``tasks``: their
-    number, where the caller knows it (asking plans ``data`` once more)."""
+def scan_sums(data: DataFrame, step: Callable, size: int, add_up=np.add, start: float = 0.0, tasks: int | None = None, chunk: int = CHUNK) -> np.ndarray:
+    """The sum (or what ``add_up`` makes, from ``start``) over all rows of ``step(batch)``, an array of ``size`` doubles for an Arrow batch of at
+    most ``chunk`` rows of ``data``. Each task adds up its rows. Above ``MERGE_ABOVE`` tasks or ``DIRECT`` numbers of all of
+    them, the tasks' sums are cut into pieces and added up piece by piece in a shuffle, so that one sum
+    reaches the driver. ``tasks``: their number, where the caller knows it (asking plans ``data`` once more)."""
+    tasks = data.rdd.getNumPartitions() if tasks is None else tasks
+    most = 2 * data.sparkSession.sparkContext.defaultParallelism
+    if tasks > most:
+        data, tasks = data.coalesce(most), most
+    merge = tasks > 1 and (tasks > MERGE_ABOVE or tasks * size > DIRECT)
+    piece = max(512, PIECES // tasks) if merge else max(size, 1)
+    pieces = math.ceil(size / piece) or 1
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
         total = np.full(size, start)
         for b in batches:
-            for i in range(0, b.num_rows, CHUNK):
-                total = add_up(total, step(b.slice(i, CHUNK)))
-        yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([total.tobytes()], pa.binary())],
-                                         names=["part", "data"])
+            for i in range(0, b.num_rows, chunk):
+                total = add_up(total, step(b.slice(i, chunk)))
+        for i in range(pieces):
+            yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([TaskContext.get().partitionId()], pa.int32()),
+                                              pa.array([total[i * piece:(i + 1) * piece].tobytes()], pa.binary())], names=["piece", "part", "data"])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, part = np.full(size, start), None
+        now, total = None, None
+        row = lambda: pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([0], pa.int32()), pa.array([total.tobytes()], pa.binary())],
+                                                 names=["piece", "part", "data"])
         for b in batches:
-            for p, d in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                total, part = add_up(total, np.frombuffer(d)), p if part is None else part
-        if part is not None:
-            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([total.tobytes()], pa.binary())], names=["part", "data"])
-
-    rows = data.mapInArrow(run, "part int, data binary")
-    tasks = data.rdd.getNumPartitions() if tasks is None else tasks
-    if tasks > MERGE_ABOVE:
-        k = math.isqrt(tasks)
-        rows = rows.repartitionById(k, F.col("part") % k).sortWithinPartitions("part").mapInArrow(add, "part int, data binary")
+            for i, d in zip(b.column(0).to_pylist(), b.column(2)):
+                if i != now:
+                    if now is not None:
+                        yield row()
+                    now, total = i, np.full(min(piece, size - i * piece), start)
+                total = add_up(total, np.frombuffer(d.as_buffer()))
+        if now is not None:
+            yield row()
+
+    rows = data.mapInArrow(run, "piece int, part int, data binary")
+    if merge:
+        rows = rows.repartitionById(pieces, F.col("piece")).sortWithinPartitions("piece", "part").mapInArrow(add, "piece int, part int, data binary")
     total = np.full(size, start)
-    for r in sorted(rows.collect(), key=lambda r: r["part"]):
-        total = add_up(total, np.frombuffer(r["data"]))
+    for r in sorted(rows.collect(), key=lambda r: (r["piece"], r["part"])):
+        own = slice(r["piece"] * piece, (r["piece"] + 1) * piece)
+        total[own] = add_up(total[own], np.frombuffer(r["data"]))
     return total
 
 
@@ -101,17 +126,29 @@ def _loss_sums(data: DataFrame, w: np.ndarray, specs: list[Logistic]) -> tuple[n
     m, k = w.shape
     at = np.triu_indices(k)
 
+    groups: dict = {}  # the models that learn from the same folds alone meet no other rows
+    for i, s in enumerate(specs):
+        groups.setdefault(s.only, []).append(i)
+    groups = [([specs[i] for i in own], np.array(own)) for own in groups.values()]
+
     def step(b: pa.RecordBatch) -> np.ndarray:
-        x = matrix(b.column(0))
-        x = np.column_stack([x, np.ones(len(x))])
-        y, fold = b.column(1).to_numpy(), b.column(2).to_numpy()
-        z = x @ w.T
-        on = learns(specs, fold)
-        p = 1 / (1 + np.exp(-np.clip(z, -500, 500)))
-        # log(1 + e^z) - y z
-        loss = (np.logaddexp(0, z) - y[:, None] * z) * on
-        r = (p - y[:, None]) * on
-        return np.concatenate([loss.sum(axis=0), (r.T @ x).ravel(), ((p * (1 - p) * on).T @ (x[:, at[0]] * x[:, at[1]])).ravel()])
+        whole = matrix(b.column(0))
+        whole = np.column_stack([whole, np.ones(len(whole))])
+        labels, folds = b.column(1).to_numpy(), b.column(2).to_numpy()
+        losses, grads, hess = np.zeros(m), np.zeros((m, k)), np.zeros((m, len(at[0])))
+        for some, own in groups:
+            on = learns(some, folds)
+            rows = np.flatnonzero(on.any(axis=1))
+            if not len(rows):
+                continue
+            x, y, on = whole[rows], labels[rows], on[rows]
+            z = x @ w[own].T
+            p = 1 / (1 + np.exp(-np.clip(z, -500, 500)))
+            # log(1 + e^z) - y z
+            losses[own] = ((np.logaddexp(0, z) - y[:, None] * z) * on).sum(axis=0)
+            grads[own] = ((p - y[:, None]) * on).T @ x
+            hess[own] = (p * (1 - p) * on).T @ (x[:, at[0]] * x[:, at[1]])
+        return np.concatenate([losses, grads.ravel(), hess.ravel()])
 
     total = scan_sums(data, step, m + m * k + m * len(at[0]))
     h = np.zeros((m, k, k))
