@@ -244,3 +244,47 @@ def test_tuned_cross_validation(spark, planted):
     assert {r["params"] for r in rows if r["model_type"] == "logistic"} == {"C=10, max_iter=50, penalty=l2"}
     assert steps == {"preprocessing": ["_drop_missing_values"], "feature_engineering": ["_normalize"]}
     assert RUN.averages(log).count() == 5
+
+
+def test_sums_of_many_numbers_reach_the_driver_once(spark, monkeypatch):
+    """Above the limit the tasks' sums are added up piece by piece in a shuffle, and one sum reaches the driver."""
+    data = spark.range(0, 4000, 1, 7).selectExpr("array(double(id), 1.0D) x", "0.0D y", "int(id % 3) fold")
+    step = lambda b: np.outer(SH.matrix(b.column(0)).sum(axis=0), np.arange(1500)).ravel()
+    plain = SH.scan_sums(data, step, 3000)
+    monkeypatch.setattr(SH, "DIRECT", 0)
+    monkeypatch.setattr(SH, "PIECES", 4096)
+    seen, real = [], type(data).collect
+
+    def collect(self):
+        seen.append(real(self))
+        return seen[-1]
+    monkeypatch.setattr(type(data), "collect", collect)
+    assert (SH.scan_sums(data, step, 3000) == plain).all() and plain[1500 + 1] == 4000
+    assert sum(len(r["data"]) for r in seen[-1]) == 8 * 3000  # not 7 tasks' worth
+
+
+def test_a_small_table_is_spread_over_all_cores(spark):
+    one = spark.range(0, 500, 1, 1).selectExpr("double(id) a", "id % 2 y")
+    rows = SH.training_rows(one, ["a"], "y")
+    assert rows.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism and rows.count() == 500
+
+
+def test_models_of_one_fold_learn_from_it_alone(rows):
+    specs = [SH.Logistic(10.0, "l2", 100, only=f) for f in (1, (2, 4))]
+    w = SH.fit_logistic(rows, specs, D)
+    for i, part in enumerate(("fold = 1", "fold in (2, 3)")):
+        alone = SH.fit_logistic(rows.where(part), [SH.Logistic(10.0, "l2", 100)], D)
+        assert np.allclose(w[i], alone[0], atol=1e-6)
+
+
+def test_a_wide_level_grows_the_same_trees_in_several_passes(rows, monkeypatch):
+    codes = TR.binned(rows, TR.bin_edges(rows, D))
+    specs = [*TU.extra_specs(6, D, min_split=5, max_depth=6), TR.TreeSpec("gini", 4), TR.TreeSpec("entropy", 4, held=1)]
+    at_once = TR.grow(codes, specs, D)
+    monkeypatch.setattr(TR, "CELLS", 1)  # a tree a pass
+    widths, real = [], TR.scan_sums
+    monkeypatch.setattr(TR, "scan_sums", lambda data, step, size, *a, **k: widths.append(size) or real(data, step, size, *a, **k))
+    some = TR.grow(codes, specs, D)
+    assert [(list(t.feature), list(t.cut), list(map(tuple, t.counts))) for t in some] == \
+        [(list(t.feature), list(t.cut), list(map(tuple, t.counts))) for t in at_once]
+    assert len(widths) > 30
