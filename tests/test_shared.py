@@ -265,8 +265,8 @@ def test_sums_of_many_numbers_reach_the_driver_once(spark, monkeypatch):
 
 def test_a_small_table_is_spread_over_all_cores(spark):
     one = spark.range(0, 500, 1, 1).selectExpr("double(id) a", "id % 2 y")
-    rows = SH.training_rows(one, ["a"], "y")
-    assert rows.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism and rows.count() == 500
+    codes = TR.binned(SH.training_rows(one, ["a"], "y"), [np.array([100.0])])
+    assert codes.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism and codes.count() == 500
 
 
 def test_models_of_one_fold_learn_from_it_alone(rows):
