@@ -181,3 +181,25 @@ def test_labels_that_leave_nothing_to_balance(spark):
     for d in (df, tie, df.withColumn("y", F.lit(1)), df.limit(0)):
         for f in (NB.smote, NB.adasyn, lambda a, b, c: NB.smote_nc(a, b, [], c)):
             assert f(d, cols, "y").where("synthetic").count() == 0
+
+
+@pytest.mark.parametrize("what", ["knn", "dbscan"])
+def test_no_table_holds_a_row_for_each_block_that_a_query_meets(spark, monkeypatch, what):
+    """Rows without structure meet nearly all blocks; what is written follows the rows all the same, and is exact."""
+    n, sizes, real = 1500, {}, K.written
+
+    def spy(df, tag):
+        out = real(df, tag)
+        sizes[tag] = max(sizes.get(tag, 0), out.count())
+        return out
+    monkeypatch.setattr(K, "written", spy)
+    monkeypatch.setattr(K, "LEAF", 8)
+    monkeypatch.setattr(K, "FEW", 64)
+    x = np.random.default_rng(11).random((n, 17))
+    df, cols = frame(spark, x)
+    if what == "knn":
+        got = {(r.left_id, r["rank"]): r.right_id for r in K.knn_join(df, df, cols, 2, leaf=8).collect()}
+        assert_nearest(x, got, 2, range(0, n, 50))
+    else:
+        assert sorted(r["id"] for r in NB.dbscan_noise(df, cols, 1.0, 4).collect()) == dbscan(x, 1.0, 4)
+    assert max(sizes.values()) <= 4 * n, sizes
