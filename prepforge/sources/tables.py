@@ -72,8 +72,9 @@ def c360(spark: SparkSession, sf_dir: str) -> DataFrame:
     tasks that follows the rows of lineitem (an order has a few lines only, so
     adding up before the shuffle would hold a scan task's orders in memory and
     save little), joined there, re-aggregated per customer, and the three
-    per-customer frames are joined on one key.  The part lookup is a plain join; AQE broadcasts it only when its measured size
-    is below ``spark.sql.autoBroadcastJoinThreshold`` and sort-merges it else.
+    per-customer frames are joined on one key.  The part lookup is hashed by its key share, so line items stream by and are
+    not sorted; customers' orders are dealt by customer over as many tasks, so no task's memory follows the
+    input, whatever ``spark.sql.shuffle.partitions`` is.
     """
     cust = read_table(spark, sf_dir, "customer").select(
         "c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
@@ -87,7 +88,7 @@ def c360(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     n = max(spark.sparkContext.defaultParallelism, math.ceil(li.count() / TASK_ROWS))
     money = F.col("l_extendedprice").cast("decimal(18,2)")
-    per_order = (li.join(part, li.l_partkey == part.p_partkey, "left")
+    per_order = (li.join(part.hint("shuffle_hash"), li.l_partkey == part.p_partkey, "left")
                  .drop("l_partkey", "p_partkey").repartition(n, "l_orderkey")
                  .groupBy("l_orderkey")
                  .agg(*[F.sum(F.when(F.col("p_kind") == t, money)).alias(c)
@@ -98,7 +99,7 @@ def c360(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     od = F.col("o_orderdate")
     per_cust = (orders.repartition(n, "o_orderkey").join(per_order, orders.o_orderkey == per_order.l_orderkey, "left")
-                .groupBy("o_custkey")
+                .repartition(n, "o_custkey").groupBy("o_custkey")
                 .agg(F.min(od).alias("first_order"), F.max(od).alias("last_order"),
                      *[F.sum(c).alias(c) for c in SPEND_COLS],
                      F.coalesce(F.sum("n_deals"), F.lit(0)).alias("num_deals"),
@@ -114,8 +115,8 @@ def c360(spark: SparkSession, sf_dir: str) -> DataFrame:
                F.max(F.when(F.col("event_type") == "error", 1).otherwise(0)).alias("complain")))
 
     k = F.col("c_custkey")
-    joined = (cust.join(per_cust, cust.c_custkey == per_cust.o_custkey, "left")
-              .join(ev, cust.c_custkey == ev.user_id, "left"))
+    joined = (cust.repartition(n, "c_custkey").join(per_cust, cust.c_custkey == per_cust.o_custkey, "left")
+              .join(ev.repartition(n, "user_id"), cust.c_custkey == ev.user_id, "left"))
     n_items = F.col("n_items")
     return joined.select(
         k.alias("id"),
