@@ -70,11 +70,13 @@ def test_orders_are_dealt_over_tasks_that_follow_the_rows(spark, tmp_path, monke
     assert sorted(map(str, many.collect())) == few
 
 
-def test_no_join_of_the_customer_view_sorts_line_items_by_part(spark):
+def test_no_join_of_the_customer_view_sorts_line_items_by_part(spark, monkeypatch):
     """The part lookup is hashed, and customers' orders go to a number of tasks that follows the rows, not the session's."""
-    from prepforge.sources.tables import c360
-    p = _plan(c360(spark, SF_SMALL))
+    from prepforge.sources import tables
+    monkeypatch.setattr(tables, "TASK_ROWS", 100)
+    n = -(-spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").count() // 100)
+    p = _plan(tables.c360(spark, SF_SMALL))
     assert "ShuffledHashJoin [l_partkey" in p and "SortMergeJoin [l_partkey" not in p and "BroadcastHashJoin [l_partkey" not in p
     for key in ("o_custkey", "c_custkey", "user_id"):
         deal = [line for line in p.splitlines() if f"hashpartitioning({key}" in line]
-        assert any("REPARTITION_BY_NUM" in line for line in deal), key
+        assert any(f", {n})" in line for line in deal), key
