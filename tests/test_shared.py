@@ -288,3 +288,35 @@ def test_a_wide_level_grows_the_same_trees_in_several_passes(rows, monkeypatch):
     assert [(list(t.feature), list(t.cut), list(map(tuple, t.counts))) for t in some] == \
         [(list(t.feature), list(t.cut), list(map(tuple, t.counts))) for t in at_once]
     assert len(widths) > 30
+
+
+def test_absolute_penalty_reaches_the_minimum_beside_sums_of_columns():
+    """Columns that are sums of others: the step is the minimum of the quadratic model, where sweeps alone stop short of it."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(400, 8))
+    x = np.column_stack([x, x[:, :4].sum(axis=1), 90 * x[:, 4:].sum(axis=1), x[:, 0] + 1e-4 * rng.normal(size=400), np.ones(400)])
+    k = x.shape[1]
+    h = np.stack([x.T @ x + 1e-10 * np.diag(1 + (x * x).sum(axis=0))] * 3)
+    g = np.stack([x.T @ rng.normal(size=400) for _ in range(3)])
+    alpha, free = np.array([1e-4, 1.0, 30.0]), np.ones((3, k), bool)
+    free[1, 2] = False
+    g, h = np.where(free, g, 0), np.where(free[:, :, None] & free[:, None, :], h, np.eye(k))
+    w = np.where(free, rng.normal(size=(3, k)), 0.0)
+    u = w + SH._l1_step(w, g, h, alpha, free)
+    slope = g + np.einsum("ijk,ik->ij", h, u - w)
+    cost = alpha[:, None] * np.append(np.ones(k - 1), 0)
+    off = np.where(u == 0, np.maximum(np.abs(slope) - cost, 0), np.abs(slope + cost * np.sign(u)))
+    assert (off[free] < 1e-6).all() and u[1, 2] == 0
+    assert (u[2] == 0).sum() > (u[0] == 0).sum()
+
+
+def test_absolute_penalty_settles_in_few_passes_beside_sums_of_columns(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(600, 6))
+    x = np.column_stack([x, x[:, :3].sum(axis=1), 90 * x[:, 3:].sum(axis=1), x[:, 0] + 1e-4 * rng.normal(size=600)])
+    y = (x[:, 0] + x[:, 3] + rng.normal(size=600) > 0).astype(float)
+    data = spark.createDataFrame([(r.tolist(), float(v), -1) for r, v in zip(x, y)], "x array<double>, y double, fold int")
+    passes, real = [], SH.scan_sums
+    monkeypatch.setattr(SH, "scan_sums", lambda *a, **b: passes.append(1) or real(*a, **b))
+    SH.fit_logistic(data, [SH.Logistic(c, "l1", 200) for c in (0.1, 10.0, 1e4)], x.shape[1])
+    assert len(passes) < 20
