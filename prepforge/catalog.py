@@ -457,6 +457,12 @@ def q_outlier_iqr_scores(spark, sf):
     return O.outlier_iqr_scores(featured(spark, sf), "total_money_spent")
 
 
+def _votable(spark, sf):
+    """:func:`_num` written once: the detectors and the smoothing scan it some twenty times, and the view's checkpoint
+    holds whole rows, which every scan would read and clean again."""
+    return written(_num(spark, sf), "votable")
+
+
 def vote_flags(df):
     """The detectors' flags, written once: votes, thresholds and smoothing read them again."""
     return written(O.per_column_flags("zscore", O.outlier_zscore(df, NUMERIC, 3.0))
@@ -466,30 +472,30 @@ def vote_flags(df):
 
 @query("outlier_votes")
 def q_outlier_votes(spark, sf):
-    return O.outlier_votes(vote_flags(_num(spark, sf))).withColumn("score", F.round("score", 6))
+    return O.outlier_votes(vote_flags(_votable(spark, sf))).withColumn("score", F.round("score", 6))
 
 
 @query("outlier_info")
 def q_outlier_info(spark, sf):
-    return O.outlier_info(vote_flags(_num(spark, sf)))
+    return O.outlier_info(vote_flags(_votable(spark, sf)))
 
 
 @query("outlier_vote_drop")
 def q_outlier_vote_drop(spark, sf):
-    df = _num(spark, sf)
+    df = _votable(spark, sf)
     return O.outlier_vote_drop(df, O.outlier_votes(vote_flags(df)), VOTE_THRESHOLD)
 
 
 @query("outlier_vote_info")
 def q_outlier_vote_info(spark, sf):
-    df = _num(spark, sf)
+    df = _votable(spark, sf)
     flags = vote_flags(df)
     return O.outlier_vote_info(flags, O.outlier_votes(flags), VOTE_THRESHOLD)
 
 
 @query("outlier_smooth")
 def q_outlier_smooth(spark, sf):
-    df = _num(spark, sf)
+    df = _votable(spark, sf)
     flags = vote_flags(df)
     out = O.outlier_smooth(df, flags, O.outlier_votes(flags), VOTE_THRESHOLD, NUMERIC)
     return out.select("id", *[F.round(c, 6).alias(c) for c in NUMERIC])

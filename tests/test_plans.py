@@ -80,3 +80,15 @@ def test_no_join_of_the_customer_view_sorts_line_items_by_part(spark, monkeypatc
     for key in ("o_custkey", "c_custkey", "user_id"):
         deal = [line for line in p.splitlines() if f"hashpartitioning({key}" in line]
         assert any(f", {n})" in line for line in deal), key
+
+
+def test_votes_scan_a_written_table(spark, monkeypatch):
+    """The detectors and the smoothing don't read the view's checkpoint again and again."""
+    from pyspark.sql import functions as F
+
+    from prepforge import catalog as K
+    df = spark.range(200).select("id", *[((F.col("id") * (i + 3)) % 17).cast("double").alias(c) for i, c in enumerate(K.NUMERIC)]).checkpoint()
+    monkeypatch.setattr(K, "_num", lambda *a: df)
+    out = K.QUERIES["outlier_smooth"](spark, "unused")
+    assert "ExistingRDD" not in out._jdf.queryExecution().executedPlan().toString()
+    assert out.count() <= 200
