@@ -899,7 +899,8 @@ def q_kmeans_elbow(spark, sf):
 @query("predict_new")
 def q_predict_new(spark, sf):
     """The whole preparation fitted on the labelled part, the final model, new rows scored."""
-    df = SA.split_stratified(prepare_raw(spark, sf), LABEL, 0.2, SEED)
+    # every step of the preparation reads the split
+    df = written(SA.split_stratified(prepare_raw(spark, sf), LABEL, 0.2, SEED), "split")
     prepared = run_preparation(1).fit(df.where(F.col("split") == "train").drop("split"))
     cols = [c for c, t in prepared.train.dtypes if c not in ("id", LABEL) and is_numeric(t)]
     model = M.fit_final(prepared.train, cols, LABEL)

@@ -63,3 +63,21 @@ def test_adaboost_finds_a_planted_signal(spark):
     data = M.assemble(df, ["x1", "x2", "x3", "x4"], "y", keep=["id"])
     out = M.fit_adaboost(data.where("id < 400"), rounds=8).transform(data.where("id >= 400"), keep=["label"])
     assert EV.auroc(out, "label", "score").first()["auroc"] > 0.8
+
+
+def test_predict_new_splits_once(spark, monkeypatch):
+    """The preparation's many scans read the split's rows, they don't rank them again."""
+    from prepforge import catalog as K
+
+    class Seen(Exception):
+        pass
+
+    class Spy:
+        def fit(self, train):
+            raise Seen(train._jdf.queryExecution().optimizedPlan().toString())
+    raw = spark.range(60).select("id", (F.col("id") % 3 == 0).cast("int").alias(K.LABEL))
+    monkeypatch.setattr(K, "prepare_raw", lambda *a: raw)
+    monkeypatch.setattr(K, "run_preparation", lambda seed: Spy())
+    with pytest.raises(Seen) as plan:
+        K.QUERIES["predict_new"](spark, "unused")
+    assert "Window" not in str(plan.value) and "Join" not in str(plan.value)
