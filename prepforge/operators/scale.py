@@ -18,6 +18,10 @@ from pyspark.sql import functions as F
 
 from prepforge.functions.exprs import minmax_expr
 from prepforge.functions.stats import column_stats
+from prepforge.plans.prefix import written
+
+#: Variances of one aggregation: more of them leave the generated code's limits and are interpreted.
+YJ_BATCH = 24
 
 
 @dataclass
@@ -127,20 +131,22 @@ def fit_yeo_johnson(df: DataFrame, cols, grid=None, rounds: int = 3) -> YeoJohns
 
         llf(l) = -n/2 * log(var_pop(y_l)) + (l - 1) * sum(sign(x) * log1p(|x|))
 
-    over the column's known values (n of them).  Every (column, lambda) of a grid
-    is one aggregation.  While a column's best value lies at an end of its grid,
+    over the column's known values (n of them).  The (column, lambda) pairs of a grid
+    are taken ``YJ_BATCH`` an aggregation over the written columns.  While a column's best value lies at an end of its grid,
     the grid moves on past that end; then it is refined around the best value
     ``rounds`` times.  A grid whose every variance is zero or beyond double range
     (a constant column) leaves lambda at 1."""
     cols = list(cols)
     grid = [float(x) for x in (grid if grid is not None else np.linspace(-3, 3, 25))]
+    df = written(df.select(*dict.fromkeys(cols)), "yeojohnson")
     jac = df.agg(*[F.sum(F.signum(F.col(c)) * F.log1p(F.abs(F.col(c).cast("double")))).alias(c) for c in cols],
                  *[F.count(c).alias(f"n_{c}") for c in cols]).first()
     best: dict[str, tuple[float, float]] = {}
     cur, left = {c: grid for c in cols}, {c: rounds for c in cols}
     while cur:
         keys = [(c, lam) for c, g in cur.items() for lam in g]
-        row = df.agg(*[F.var_pop(_yj_expr(c, lam)).alias(f"a{j}") for j, (c, lam) in enumerate(keys)]).first()
+        row = [v for i in range(0, len(keys), YJ_BATCH) for v in
+               df.agg(*[F.var_pop(_yj_expr(c, lam)).alias(f"a{j}") for j, (c, lam) in enumerate(keys[i:i + YJ_BATCH])]).first()]
         for (c, lam), v in zip(keys, row):
             # beyond double range the likelihood has long fallen
             if v is None or not 0 < v < float("inf"):

@@ -79,6 +79,21 @@ def test_yeo_johnson_near_one_for_normal(spark):
     assert abs(lam - 1.0) < 0.35
 
 
+def test_yeo_johnson_takes_its_grid_in_small_aggregations(spark, monkeypatch):
+    """Each aggregation stays within generated code, whatever the grid, and the lambda is that of any batch."""
+    df = spark.range(300).select((F.col("id") % 37).cast("double").alias("x"), (F.exp(F.col("id") / 90)).alias("y"))
+    sizes, agg = [], type(df).agg
+
+    def counted(self, *exprs):
+        sizes.append(len(exprs))
+        return agg(self, *exprs)
+    monkeypatch.setattr(type(df), "agg", counted)
+    got = S.fit_yeo_johnson(df, ["x", "y"], rounds=1)
+    assert max(sizes) < 30 and len(sizes) > 4
+    monkeypatch.setattr(S, "YJ_BATCH", 7)
+    assert S.fit_yeo_johnson(df, ["x", "y"], rounds=1).lambdas == pytest.approx(got.lambdas)
+
+
 def test_mahalanobis_ranks_planted_first(spark):
     rng = np.random.default_rng(4)
     X = rng.normal(size=(400, 3))
