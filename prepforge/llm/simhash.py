@@ -147,7 +147,8 @@ def near_links(spark: SparkSession, fps: DataFrame, t: int = MAX_BITS) -> DataFr
 
     Each pair meets at the home of either one: the join compares, per anchor, the fingerprints
     at home there with those replicated to it. A fingerprint has at most 2,080 others within
-    two bits, so the links stay in proportion to the fingerprints.
+    two bits, so the links stay in proportion to the fingerprints. Spark takes either side for as large as the
+    fingerprints, though one has some 61 rows for each: the hint keeps it from being broadcast.
     """
     anchors = Anchors(t)
 
@@ -168,7 +169,7 @@ def near_links(spark: SparkSession, fps: DataFrame, t: int = MAX_BITS) -> DataFr
 
     h = fps.select("fp").mapInArrow(home, "anchor long, a long")
     r = fps.select("fp").mapInArrow(spread, "anchor long, b long")
-    return h.join(r, (h["anchor"] == r["anchor"]) & (F.col("a") < F.col("b"))
+    return h.join(r.hint("merge"), (h["anchor"] == r["anchor"]) & (F.col("a") < F.col("b"))
                   & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= t)).select("a", "b").distinct()
 
 

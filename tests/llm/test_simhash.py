@@ -3,7 +3,7 @@ import pyarrow as pa
 import pytest
 import xxhash
 
-from prepforge.llm.simhash import Anchors, drop_near_copies, fingerprints, one_of_each_group, simhash_groups
+from prepforge.llm.simhash import Anchors, drop_near_copies, fingerprints, near_links, one_of_each_group, simhash_groups
 
 
 def slow(text, k=3):
@@ -108,3 +108,11 @@ def test_clashing_columns_come_through(spark):
         own = {r["doc_id"]: r for r in df.collect()}
         assert set(got) == {0, 1, 2, 4, 6, 8, None} and all(r == own[i] for i, r in got.items())
         assert keep(spark, df.limit(0)).collect() == []
+
+
+def test_no_side_of_the_anchor_join_is_broadcast(spark):
+    # each fingerprint goes to some 61 anchors, which Spark's size of the table knows nothing of
+    links = near_links(spark, spark.createDataFrame([(1,), (3,), (7 << 40,)], "fp long"))
+    plan = links._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    assert [tuple(r) for r in links.collect()] == [(1, 3)]
